@@ -6,6 +6,7 @@ import public_tokenizers
 
 from clonespark.llm.bpe import bpe_round_trip
 from clonespark.llm.common import table
+from clonespark.llm.quality import quality_verdicts
 from clonespark.llm.token_counts import token_counts
 
 
@@ -13,11 +14,15 @@ def op6_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_quality_rules(spark, sf_dir):
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark, sf_dir):
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op6_token_counts, op8_bpe)}
+QUERIES = {f.__name__: f for f in (op6_token_counts, op7_quality_rules, op8_bpe)}
 
 #: DuckDB SQL for the queries that it can express.
 ORACLES: dict[str, str] = {}
