@@ -121,14 +121,17 @@ STRENGTH = 10.0
 #: The estimate of how often a rule calls a good document low stays under this. Without a bound, kinds of
 #: junk that break one rule only are taken for good documents, as the other rules' votes agree on them.
 MOST_FALSE_LOW = 0.002
-PRIOR_GOOD, PRIOR_LOW = np.array([0.02, 0.28, 0.70]), np.array([0.35, 0.25, 0.40])
+PRIOR_GOOD, PRIOR_LOW = np.array([0.02, 0, 0.98]), np.array([0.45, 0, 0.55])
 
 
 def fit_label_model(names: list[str], votes: np.ndarray, counts: np.ndarray, rounds: int = 100) -> LabelModel:
-    """EM for two classes over distinct vote patterns (rows of votes) and how many documents have each."""
+    """EM for two classes over distinct vote patterns (rows of votes) and how many documents have each.
+
+    Only votes count, abstentions tell nothing: the model is of a rule's vote given that it votes.
+    """
     votes, counts = votes.reshape(-1, len(names)), counts.astype(float)
     good = np.array([0.97, 0.3, 0.05])[np.minimum((votes < 0).sum(1), 2)] if len(votes) else np.zeros(0)
-    hot = np.stack([(votes == v) for v in (-1, 0, 1)], 2).astype(float)  # pattern, rule, vote
+    hot = np.stack([(votes == v) & (v != 0) for v in (-1, 0, 1)], 2).astype(float)  # pattern, rule, vote
     for _ in range(rounds):
         share = (good @ counts + 0.8 * STRENGTH) / (counts.sum() + STRENGTH)
         p_good = np.einsum("p,prv->rv", good * counts, hot) + STRENGTH * PRIOR_GOOD
@@ -136,7 +139,9 @@ def fit_label_model(names: list[str], votes: np.ndarray, counts: np.ndarray, rou
         p_good, p_low = p_good / p_good.sum(1, keepdims=True), p_low / p_low.sum(1, keepdims=True)
         false_low = np.minimum(p_good[:, :1], MOST_FALSE_LOW)
         p_good = np.hstack((false_low, p_good[:, 1:] * (1 - false_low) / (1 - p_good[:, :1])))
-        weights, prior = np.log(p_good / p_low), np.log(share / (1 - share))
+        weights = np.zeros_like(p_good)
+        weights[:, [0, 2]] = np.log(p_good[:, [0, 2]] / p_low[:, [0, 2]])
+        prior = np.log(share / (1 - share))
         new = 1 / (1 + np.exp(-(prior + np.einsum("prv,rv->p", hot, weights))))
         if len(new) and np.abs(new - good).max() < 1e-9:
             break
