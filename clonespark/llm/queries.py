@@ -8,6 +8,7 @@ from clonespark.llm.bpe import bpe_round_trip
 from clonespark.llm.common import table
 from clonespark.llm.language import language_id
 from clonespark.llm.quality import quality_verdicts
+from clonespark.llm.simhash import simhash_components
 from clonespark.llm.token_counts import token_counts
 
 
@@ -15,6 +16,10 @@ def op1_language_id(spark, sf_dir):
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark, sf_dir):
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -27,7 +32,7 @@ def op8_bpe(spark, sf_dir):
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op6_token_counts, op7_quality_rules, op8_bpe)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash, op6_token_counts, op7_quality_rules, op8_bpe)}
 
 #: DuckDB SQL for the queries that it can express.
 ORACLES: dict[str, str] = {}
