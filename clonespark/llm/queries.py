@@ -7,6 +7,7 @@ import public_tokenizers
 from clonespark.llm.bpe import bpe_round_trip
 from clonespark.llm.common import table
 from clonespark.llm.language import language_id
+from clonespark.llm.licenses import license_scan
 from clonespark.llm.quality import quality_verdicts
 from clonespark.llm.simhash import simhash_components
 from clonespark.llm.token_counts import token_counts
@@ -32,7 +33,11 @@ def op8_bpe(spark, sf_dir):
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash, op6_token_counts, op7_quality_rules, op8_bpe)}
+def op10_license_scan(spark, sf_dir):
+    return license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash, op6_token_counts, op7_quality_rules, op8_bpe, op10_license_scan)}
 
 #: DuckDB SQL for the queries that it can express.
 ORACLES: dict[str, str] = {}
