@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from clonespark.llm.bpe import bpe_round_trip
 from clonespark.llm.common import table
 from clonespark.llm.language import language_id
 from clonespark.llm.licenses import license_scan
 from clonespark.llm.quality import quality_verdicts
+from clonespark.llm.search import top_k
 from clonespark.llm.simhash import simhash_components
 from clonespark.llm.token_counts import token_counts
 
@@ -33,11 +35,29 @@ def op8_bpe(spark, sf_dir):
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_top_k(spark, sf_dir):
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash, op6_token_counts, op7_quality_rules, op8_bpe, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash, op6_token_counts, op7_quality_rules, op8_bpe, op9_top_k, op10_license_scan)}
 
 #: DuckDB SQL for the queries that it can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+        ), r AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+}
