@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clonespark.llm.bpe import bpe_round_trip
 from clonespark.llm.common import table
+from clonespark.llm.html_text import extract_text
 from clonespark.llm.language import language_id
 from clonespark.llm.licenses import license_scan
 from clonespark.llm.quality import quality_verdicts
@@ -19,6 +20,10 @@ def op1_language_id(spark, sf_dir):
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark, sf_dir):
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash(spark, sf_dir):
     return simhash_components(table(spark, sf_dir, "documents"))
 
@@ -43,7 +48,7 @@ def op10_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op4_simhash, op6_token_counts, op7_quality_rules, op8_bpe, op9_top_k, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op4_simhash, op6_token_counts, op7_quality_rules, op8_bpe, op9_top_k, op10_license_scan)}
 
 #: DuckDB SQL for the queries that it can express.
 ORACLES: dict[str, str] = {
