@@ -10,6 +10,7 @@ from clonespark.llm.common import table
 from clonespark.llm.html_text import extract_text
 from clonespark.llm.language import language_id
 from clonespark.llm.licenses import license_scan
+from clonespark.llm.lm_score import pseudo_likelihood
 from clonespark.llm.quality import quality_verdicts
 from clonespark.llm.search import top_k
 from clonespark.llm.simhash import simhash_components
@@ -28,6 +29,10 @@ def op4_simhash(spark, sf_dir):
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_score(spark, sf_dir):
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -48,7 +53,7 @@ def op10_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op4_simhash, op6_token_counts, op7_quality_rules, op8_bpe, op9_top_k, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op4_simhash, op5_lm_score, op6_token_counts, op7_quality_rules, op8_bpe, op9_top_k, op10_license_scan)}
 
 #: DuckDB SQL for the queries that it can express.
 ORACLES: dict[str, str] = {
