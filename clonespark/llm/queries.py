@@ -11,6 +11,7 @@ from clonespark.llm.html_text import extract_text
 from clonespark.llm.language import language_id
 from clonespark.llm.licenses import license_scan
 from clonespark.llm.lm_score import pseudo_likelihood
+from clonespark.llm.mixing import mixture, quality_domains
 from clonespark.llm.quality import quality_verdicts
 from clonespark.llm.search import top_k
 from clonespark.llm.simhash import simhash_components
@@ -25,6 +26,10 @@ def op2_html_extraction(spark, sf_dir):
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+def op3_mixing(spark, sf_dir):
+    return mixture(table(spark, sf_dir, "documents"), quality_domains(table(spark, sf_dir, "labels")))
+
+
 def op4_simhash(spark, sf_dir):
     return simhash_components(table(spark, sf_dir, "documents"))
 
@@ -53,7 +58,7 @@ def op10_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op4_simhash, op5_lm_score, op6_token_counts, op7_quality_rules, op8_bpe, op9_top_k, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op3_mixing, op4_simhash, op5_lm_score, op6_token_counts, op7_quality_rules, op8_bpe, op9_top_k, op10_license_scan)}
 
 #: DuckDB SQL for the queries that it can express.
 ORACLES: dict[str, str] = {
