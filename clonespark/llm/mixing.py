@@ -85,7 +85,8 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id",
     rate = F.create_map(*(F.lit(x) for k in domains for x in (k, min(1.0, quota / counts[k]))))
     draw = F.pmod(F.xxhash64("_id", F.lit(29)), F.lit(1 << 30)) / float(1 << 30)
     chosen = known.filter((draw < F.coalesce(F.element_at(rate, F.col("_domain")), F.lit(0.0))))
-    rows = ids.join(chosen, "_id").select(utf8("_text"), "_domain", F.pmod(F.xxhash64("_id", F.lit(30)), F.lit(2)).cast("int").alias("_half"))
+    # About `sample` ids and domains, whatever the input: broadcast, so that no text is shuffled to find them.
+    rows = ids.join(F.broadcast(chosen), "_id").select(utf8("_text"), "_domain", F.pmod(F.xxhash64("_id", F.lit(30)), F.lit(2)).cast("int").alias("_half"))
 
     def run(batch: pa.RecordBatch):
         sets, shapes = [], []
