@@ -52,4 +52,4 @@ def paired_files(spark: SparkSession, folder: str) -> DataFrame:
 def write_fasta(df: DataFrame, path: str, name: str = "name", seq: str = "sequence", order_col: str | None = None) -> None:
     """Records of a name line and a sequence line; sorted if an order is given."""
     rows = df.orderBy(order_col) if order_col else df
-    rows.select(F.concat(F.lit(">"), F.col(name).cast("string"), F.lit("\n"), F.col(seq)).alias("value")).write.mode("overwrite").text(path)
+    rows.select(F.concat(F.lit(">"), F.col(name).cast("string"), F.lit("\n"), F.coalesce(F.col(seq), F.lit(""))).alias("value")).write.mode("overwrite").text(path)
