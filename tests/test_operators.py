@@ -107,6 +107,22 @@ def test_similarity_join(spark, method, metric):
     assert values(similarity.similarity_join(df, "id", "s", 3, metric=metric, method=method), "from", "to", "dist") == wanted and wanted
 
 
+def test_lineage_distances(spark):
+    rng = random.Random(13)
+    side = lambda: [(rng.randrange(4), "".join(rng.choices("AC.", [5, 5, 1], k=rng.choice((4, 5)))), rng.choice(("V1*01", "V1*02", "V2*01")), "J1") for _ in range(40)]
+    a, b = side(), side()
+    d = lambda x, y: sum(p != q and "." not in (p, q) for p, q in zip(x, y))
+    wanted = {}
+    for i, s, v, _ in a:
+        for j, t, w, _ in b:
+            if v[:2] == w[:2] and len(s) == len(t):
+                wanted.setdefault((i, j, len(s)), []).append(d(s, t))
+    schema = "lineage_id int, cdr3 string, v_call string, j_call string"
+    got = similarity.lineage_distances(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), 0.42).collect()
+    means = sorted((i, j, round(sum(x) / len(x) / n, 9)) for (i, j, n), x in wanted.items() if sum(x) / len(x) / n < 0.42)
+    assert sorted((r["from"], r["to"], round(r["dist"], 9)) for r in got) == means and means
+
+
 def test_nearest_and_empty(spark):
     v = spark.createDataFrame([(1, "AAAA"), (2, "AAAA"), (3, "AAAT"), (4, "GGGG")], "id int, s string")
     e = similarity.similarity_join(v, "id", "s", 1)
