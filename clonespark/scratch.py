@@ -27,7 +27,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 class Scratch:
     """Tables written to the shared folder, to cut lineage and to compute a costly step once.
 
-    A written table survives the loss of any executor.
+    A written table survives the loss of any executor. What is left of a Scratch goes when the driver ends.
     """
 
     def __init__(self, spark: SparkSession) -> None:
@@ -39,11 +39,22 @@ class Scratch:
         self.count += 1
         path = f"{self.root}/{self.count}"
         df.write.parquet(path)
+        if self.count == 1:
+            self._files(self.root).deleteOnExit(self._path(self.root))
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
 
+    def _path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self, path: str):
+        return self._path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def drop(self, df: DataFrame) -> None:
         """Delete a table that nothing reads any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._files(df._scratch_path).delete(self._path(df._scratch_path), True)
+
+    def clear(self) -> None:
+        """Delete all tables, once nothing reads them any more."""
+        self._files(self.root).delete(self._path(self.root), True)

@@ -124,3 +124,20 @@ def write_workbook(tables: dict[str, DataFrame], path: str, highlight: Column |
         z.writestr("xl/styles.xml", f'<styleSheet xmlns="{main}"><fonts count="1"><font/></fonts><fills count="{len(fills) + 1}">{fill}</fills><borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs><cellXfs count="{len(fills)}">{"".join(f"<xf fillId=\"{i + 1 if i else 0}\" applyFill=\"1\"/>" for i in range(len(fills)))}</cellXfs></styleSheet>')
         for i, xml in enumerate(sheets.values()):
             z.writestr(f"xl/worksheets/sheet{i + 1}.xml", xml)
+
+
+def union_folders(spark: SparkSession, folders: list[str], out: str, names: list[str], sep: str = ",") -> None:
+    """For each name, the files of that name in all folders as one table in a folder of that name; one header."""
+    for name in names:
+        read_union(spark, [f"{f}/{name}" for f in folders], sep).write.csv(f"{out}/{name}", header=True, sep=sep, mode="overwrite")
+
+
+def read_config(path: str, section: str, **values: str) -> dict[str, str]:
+    """A section of an INI file, with $name in it replaced by values; the file stays as it is."""
+    import configparser
+    from string import Template
+
+    parser = configparser.ConfigParser(interpolation=None)
+    with open(path, encoding="utf-8") as f:
+        parser.read_string(Template(f.read()).safe_substitute(values))
+    return dict(parser[section])

@@ -320,3 +320,28 @@ def test_stream(spark, tmp_path):
     q = stream.write_counts(stream.running_counts(stream.read_stream(spark, str(tmp_path / "in"), files_per_batch=1)), str(tmp_path / "out"), str(tmp_path / "ck"))
     q.awaitTermination(120)
     assert values(spark.read.parquet(str(tmp_path / "out")), "full_NT", "readcount") == [("AC", 6), ("AG", 3)]
+
+
+def test_sql_functions(spark):
+    from clonespark.functions.sql import register
+
+    assert "reverse_complement" in register(spark)
+    assert tuple(spark.sql("SELECT reverse_complement('AACG'), isotype_of('IGHG1*01'), trim_to_frame('ACGT', 4), motif_count('NGNS', 'NS|NG')").first()) == ("CGTT", "G1", "CGT", 2)
+
+
+def test_database(spark, tmp_path):
+    from clonespark.sources.database import run_scripts, statements
+
+    assert statements("a; b 'x;y' ;\n") == ["a", "b 'x;y'"]
+    (tmp_path / "setup_1.sql").write_text("SELECT 1; SELECT 2")
+    assert run_scripts(spark, str(tmp_path / "setup_*.sql")) == 2
+
+
+def test_config_and_folders(spark, tmp_path):
+    (tmp_path / "c.ini").write_text("[a]\nlog = $logfile/x\n")
+    assert delimited.read_config(str(tmp_path / "c.ini"), "a", logfile="/l") == {"log": "/l/x"} and "$logfile" in (tmp_path / "c.ini").read_text()
+    for d in "xy":
+        (tmp_path / d).mkdir()
+        (tmp_path / d / "t.csv").write_text(f"k\n{d}\n")
+    delimited.union_folders(spark, [str(tmp_path / d) for d in "xy"], str(tmp_path / "all"), ["t.csv"])
+    assert values(spark.read.csv(str(tmp_path / "all" / "t.csv"), header=True), "k") == [("x",), ("y",)]
