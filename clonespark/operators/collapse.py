@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clonespark.functions.dna import gene_family, translate_dna, trim_to_frame
+from clonespark.scratch import Scratch
 
 # Isotypes of the wide tables.
 ISOTYPES7 = ["M", "G1", "G2", "G3", "G4", "A1", "A2"]
@@ -62,21 +63,25 @@ def dotted(counts: Column | str) -> Column:
     return F.array_join(F.transform(F.col(counts) if isinstance(counts, str) else counts, lambda x: x.cast("string")), ".")
 
 
-def set_ids(df: DataFrame, seq: str, order_col: str, prefix: str = "", id_col: str = "seq_id") -> DataFrame:
-    """An id of prefix, length and running number among the sequences of that length, in order_col.
+def numbered(df: DataFrame, order: list[Column | str], name: str, by: list[str] | None = None) -> DataFrame:
+    """Adds a running number from 1 in the given order, within the values of `by` if any.
 
-    Lengths are few, so a window by length would hold a large share of all rows in a task: numbers are counted
-    within ranges of order_col first, then the ranges' offsets are added.
+    A window over all rows, or over a key that holds many, is one task's work. Here rows are dealt by ranges of the order and numbered within
+    them; what the ranges before hold of each key is added.
     """
-    sized = df.withColumns({"_len": F.length(seq), "_part": F.lit(0)})
-    ranged = sized.repartitionByRange(F.col(order_col)).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_place", F.row_number().over(Window.partitionBy("_part", "_len").orderBy(order_col)))
-    totals = local.groupBy("_len", "_part").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_len").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_len", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    numbered = local.join(offsets, ["_len", "_part"])
-    name = F.concat(F.lit(prefix), F.col("_len").cast("string"), F.lit("-"), (F.col("_before") + F.col("_place")).cast("string"))
-    return numbered.select(name.alias(id_col), *df.columns)
+    keys, cols = by or [], [F.col(c) if isinstance(c, str) else c for c in order]
+    ranged = df.repartitionByRange(*cols).withColumn("_part", F.spark_partition_id())
+    local = Scratch(df.sparkSession).save(ranged.withColumn("_place", F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*cols))))
+    totals = local.groupBy("_part", *keys).agg(F.max("_place").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_part", *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return local.join(offsets, ["_part", *keys]).withColumn(name, F.col("_before") + F.col("_place")).select(*df.columns, name)
+
+
+def set_ids(df: DataFrame, seq: str, order_col: str, prefix: str = "", id_col: str = "seq_id") -> DataFrame:
+    """An id of prefix, length and running number among the sequences of that length, in order_col."""
+    out = numbered(df.withColumn("_len", F.length(seq)), [order_col], "_number", ["_len"])
+    return out.select(F.concat(F.lit(prefix), F.col("_len").cast("string"), F.lit("-"), F.col("_number").cast("string")).alias(id_col), *df.columns)
 
 
 def rarefy(df: DataFrame, size: int, count: str = "readcount", seed: int = 0) -> DataFrame:
@@ -120,8 +125,8 @@ def component_reads(df: DataFrame, component: str, counts: list[str]) -> DataFra
 def size_rank(df: DataFrame, component: str, order_col: str, name: str = "rank") -> DataFrame:
     """Components numbered from 1 by size, largest first; of equal ones the one whose first row comes first."""
     sizes = df.groupBy(component).agg(F.count("*").alias("_size"), F.min(order_col).alias("_first"))
-    ranked = sizes.withColumn(name, F.row_number().over(Window.orderBy(F.desc("_size"), "_first")))
-    return df.join(ranked.select(component, name), component)
+    ranked = numbered(sizes, [F.desc("_size"), F.col("_first")], name)
+    return df.join(ranked.select(component, F.col(name).cast("int").alias(name)), component)
 
 
 def shared_components(df: DataFrame, component: str, sample: str = "sample") -> DataFrame:

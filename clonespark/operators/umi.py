@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clonespark.functions.dna import insert_of, reverse_complement, umi_of
+from clonespark.operators.similarity import similarity_join
 from clonespark.scratch import Scratch
 
 # The default primers.
@@ -105,23 +106,50 @@ def umi_summary(reads: DataFrame, umi: str = "merged_umi", count: str = "readcou
 
 
 def fold_clusters(items: Column, threshold: int) -> Column:
-    """Of an array of (seq, ...) in order of priority: the seeds, each farther than the threshold from all before it."""
-    return F.aggregate(items, F.array().cast("array<string>"), lambda seeds, x: F.when(F.exists(seeds, lambda s: F.levenshtein(s, x["seq"]) <= threshold), seeds).otherwise(F.concat(seeds, F.array(x["seq"]))))
+    """Of an array of (i, seq) in order of priority: the seeds, each farther than the threshold from all before it."""
+    start = F.filter(F.slice(items, 1, 1), lambda _: F.lit(False))
+    return F.aggregate(items, start, lambda seeds, x: F.when(F.exists(seeds, lambda s: F.levenshtein(s["seq"], x["seq"]) <= threshold), seeds).otherwise(F.concat(seeds, F.array(x))))
+
+
+#: A UMI with more reads than this isn't folded in one array: its seeds come from edges, in rounds.
+FOLD_ROWS = 5000
 
 
 def sub_clusters(reads: DataFrame, order_col: str, umi: str = "merged_umi", seq: str = "full_NT", count: str = "readcount", threshold: int = 5) -> DataFrame:
     """Splits each UMI's reads by edit distance to a seed: the read with most copies first, then those left over.
 
-    Adds seed and cluster (from 1 within the UMI; clusters of a single read are dropped and take no number). A UMI's distinct
-    sequences are folded in one array; UMIs with very many are what merge_umis and the sequencing depth bound.
+    Adds seed and cluster (from 1 within the UMI; clusters of a single read are dropped and take no number), with their sums n_seq and rc_sum.
     """
-    order = F.struct((-F.col(count)).alias("neg"), F.col(order_col).alias("row"), F.col(seq).alias("seq"))
-    seeds = reads.groupBy(umi).agg(F.array_sort(F.collect_list(order)).alias("_items")).select(umi, fold_clusters(F.col("_items"), threshold).alias("_seeds"))
-    near = F.filter(F.transform("_seeds", lambda s, i: F.struct(i.alias("i"), s.alias("s"))), lambda x: F.levenshtein(x["s"], F.col(seq)) <= threshold)
-    placed = reads.join(seeds, umi).withColumn("_at", F.get(near, F.lit(0))).select(*reads.columns, F.col("_at.s").alias("seed"), F.col("_at.i").alias("_i"))
-    sums = placed.groupBy(umi, "_i").agg(F.sum(count).alias("rc_sum"), F.count("*").alias("n_seq")).filter("rc_sum > 1")
+    scratch = Scratch(reads.sparkSession)
+    many = scratch.save(reads.groupBy(umi).count().filter(F.col("count") > FOLD_ROWS).select(umi))
+    placed = _folded(reads.join(many, umi, "left_anti"), order_col, umi, seq, count, threshold)
+    if not many.isEmpty():
+        placed = placed.unionByName(_starred(reads.join(many, umi, "left_semi"), order_col, umi, seq, count, threshold, scratch))
+    sums = placed.groupBy(umi, "seed").agg(F.sum(count).alias("rc_sum"), F.count("*").alias("n_seq"), F.min("_i").alias("_i")).filter("rc_sum > 1")
     numbered = sums.withColumn("cluster", F.row_number().over(Window.partitionBy(umi).orderBy("_i")))
-    return placed.join(numbered, [umi, "_i"]).drop("_i")
+    return placed.drop("_i").join(numbered.drop("_i"), [umi, "seed"])
+
+
+def _priority(order_col: str, count: str):
+    return F.struct((-F.col(count)).alias("neg"), F.col(order_col).alias("row"))
+
+
+def _folded(reads: DataFrame, order_col: str, umi: str, seq: str, count: str, threshold: int) -> DataFrame:
+    """reads with seed and its priority _i, by a fold over each UMI's reads."""
+    items = F.array_sort(F.collect_list(F.struct(_priority(order_col, count).alias("i"), F.col(seq).alias("seq"))))
+    seeds = reads.groupBy(umi).agg(items.alias("_items")).select(umi, fold_clusters(F.col("_items"), threshold).alias("_seeds"))
+    near = F.get(F.filter("_seeds", lambda s: F.levenshtein(s["seq"], F.col(seq)) <= threshold), F.lit(0))
+    return reads.join(seeds, umi).withColumn("_at", near).select(*reads.columns, F.col("_at.seq").alias("seed"), F.col("_at.i").alias("_i"))
+
+
+def _starred(reads: DataFrame, order_col: str, umi: str, seq: str, count: str, threshold: int, scratch: Scratch) -> DataFrame:
+    """The same from edges between a UMI's distinct sequences, each with the priority of its first read."""
+    nodes = scratch.save(reads.groupBy(umi, seq).agg(F.min(_priority(order_col, count)).alias("i")).withColumn("k", F.struct(umi, seq)))
+    edges = similarity_join(nodes.withColumn("id", F.struct(umi, "i")), "k", seq, threshold, order_col="id", block_by=[umi], cross_length="all", step=1)
+    both = edges.select("from", "to").unionAll(edges.select(F.col("to").alias("from"), F.col("from").alias("to")))
+    stars = greedy_stars(nodes, both, "k", ["i", "k"], scratch)
+    seeds = stars.join(nodes.select(F.col("k").alias("seed"), "i"), "seed").select(F.col(f"k.{umi}").alias(umi), F.col(f"k.{seq}").alias(seq), F.col(f"seed.{seq}").alias("seed"), F.col("i").alias("_i"))
+    return reads.join(seeds, [umi, seq]).select(*reads.columns, "seed", "_i")
 
 
 def consensus(aligned: DataFrame, keys: list[str], seq: str = "sequence", count: str = "readcount", threshold: float = 0.6) -> DataFrame:

@@ -152,6 +152,35 @@ def test_greedy_stars(spark):
         assert {r["k"]: r["seed"] for r in got.collect()} == greedy(order, reach)
 
 
+def test_sub_clusters(spark, monkeypatch):
+    rng = random.Random(17)
+    rows, row = [], 0
+    for u in "ab":
+        base = ["".join(rng.choices("ACGT", k=14)) for _ in range(4)]
+        for _ in range(25):
+            s = list(rng.choice(base))
+            for _ in range(rng.randrange(4)):
+                s[rng.randrange(len(s))] = rng.choice(["", "A", "CG"])
+            rows.append((row, u, "".join(s), rng.randrange(1, 5)))
+            row += 1
+    wanted = {}
+    for u in "ab":
+        seeds, place = [], {}
+        for r in sorted((r for r in rows if r[1] == u), key=lambda r: (-r[3], r[0])):
+            k = next((k for k, s in enumerate(seeds) if lev(s, r[2]) <= 3), None)
+            if k is None:
+                k = len(seeds)
+                seeds.append(r[2])
+            place[r[0]] = k
+        reads = {k: sum(r[3] for r in rows if place.get(r[0]) == k) for k in range(len(seeds))}
+        kept = [k for k in range(len(seeds)) if reads[k] > 1]
+        wanted |= {r: (kept.index(k) + 1, reads[k]) for r, k in place.items() if k in kept}
+    df = spark.createDataFrame(rows, "row int, merged_umi string, full_NT string, readcount int")
+    for most in (5000, 10):
+        monkeypatch.setattr(umi, "FOLD_ROWS", most)
+        assert {r["row"]: (r["cluster"], r["rc_sum"]) for r in umi.sub_clusters(df, "row", threshold=3).collect()} == wanted
+
+
 def test_consensus(spark):
     df = spark.createDataFrame([(1, "A-C", 3), (1, "AGC", 2), (1, "TGT", 5), (2, "AA", 1)], "g int, sequence string, readcount long")
     assert values(umi.consensus(df, ["g"]), "g", "full_NT") == [(1, "XGX"), (2, "AA")]
