@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clonespark.llm.common import Scratch
+from clonespark.scratch import Scratch
 
 #: Candidates of a bucket, of a slice of it, and queries of a block.
 BUCKET_ROWS, SLICE_ROWS, BLOCK_QUERIES = 16_384, 1_024, 1_024
@@ -163,13 +163,13 @@ def search(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, b
 NONE = np.iinfo(np.int64).min
 
 
-def _first(k: int):
-    """Query blocks beside the longest bucket: the blocks with each query's bound, and its best as arrays."""
+def _first(longest: dict | None, k: int):
+    """Query blocks against the longest bucket: the blocks with each query's bound, and its best as arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                (q_ids, q), (c_ids, c) = _unpack({x: row[f"q_{x}"] for x in ("n", "dim", "ids", "vectors")}), _unpack(row)
+                (q_ids, q), (c_ids, c) = _unpack({x: row[f"q_{x}"] for x in ("n", "dim", "ids", "vectors")}), _unpack(longest)
                 best = search(q_ids, q, c_ids, c, np.full(len(q), NONE), k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["q_n"]], pa.int32()), pa.array([row["q_dim"]], pa.int32()), *(pa.array([x], pa.binary()) for x in (row["q_ids"], row["q_vectors"], best.bound.tobytes(), best.query.tobytes(), best.id.tobytes(), best.score.tobytes()))],
@@ -222,8 +222,8 @@ def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vecto
     blocks = blocks.select(*(F.col(x).alias(f"q_{x}") for x in blocks.columns))
     span = buckets.agg(F.min("bucket").alias("low"), F.max("bucket").alias("high")).first()
     low, high = (span["low"], span["high"]) if span["low"] is not None else (0, 0)
-    longest = buckets.filter((F.col("bucket") == low) & (F.col("piece") == 0))  # one row of at most 2 * BUCKET_ROWS vectors
-    first = scratch.save(blocks.withColumn("bucket", F.lit(low)).join(F.broadcast(longest), "bucket").mapInArrow(_first(k), "q_n int, q_dim int, q_ids binary, q_vectors binary, q_bound binary, best_query binary, best_id binary, best_score binary"))
+    longest = buckets.filter((F.col("bucket") == low) & (F.col("piece") == 0)).first()  # one row of at most 2 * BUCKET_ROWS vectors goes to all tasks
+    first = scratch.save(blocks.mapInArrow(_first(longest and longest.asDict(), k), "q_n int, q_dim int, q_ids binary, q_vectors binary, q_bound binary, best_query binary, best_id binary, best_score binary"))
     pairs = "query_id bigint, vec_id bigint, score bigint"
     spread = first.select("q_n", "q_dim", "q_ids", "q_vectors", "q_bound", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("bucket"))
     others = buckets.filter((F.col("bucket") != low) | (F.col("piece") != 0))
