@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from clonespark.llm.common import map_batches, utf8
 
 #: Encoded pre-tokens that a worker keeps, in bytes of keys and ids; when full, it starts anew.
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 32 << 20
 #: Bytes of text whose pre-tokens are encoded together.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 WORD = 64
 
 
@@ -92,7 +92,7 @@ class BytePairs:
                     pairs[left * self.n + right] = rank
         self.keys = np.fromiter(sorted(pairs), np.int64, len(pairs))
         self.key_ranks = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
-        self.by_byte = np.full((256, 256), -1, np.int64)
+        self.by_byte = np.full((256, 256), -1, np.int32)
         for a in range(256):
             self.by_byte[a] = self.pair_ranks(np.full(256, self.byte_ids[a]), self.byte_ids)
         tokens = [b""] * self.n
@@ -106,7 +106,7 @@ class BytePairs:
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of what each pair merges to; -1: nothing."""
-        wanted = left * self.n + right
+        wanted = left.astype(np.int64) * self.n + right
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where(self.keys[at] == wanted, self.key_ranks[at], -1)
 
@@ -117,9 +117,9 @@ class BytePairs:
             return [np.zeros(0, np.int64) for _ in words]
         data = np.frombuffer(b"".join(words), np.uint8)
         n, ends = len(data), np.cumsum(sizes)
-        ids = np.append(self.byte_ids[data], -1)
-        after, before = np.arange(1, n + 2), np.arange(-1, n)
-        live, pair = np.ones(n + 1, bool), np.full(n + 1, -1, np.int64)
+        ids = np.append(self.byte_ids[data], -1).astype(np.int32)
+        after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
+        live, pair = np.ones(n + 1, bool), np.full(n + 1, -1, np.int32)
         last = np.zeros(n + 1, bool)  # the last token of a word so far: nothing merges across words
         last[ends[sizes > 0] - 1] = True
         pair[: n - 1] = self.by_byte[data[:-1], data[1:]]
@@ -128,7 +128,7 @@ class BytePairs:
         word_of = None
         again: set[int] = set()
         queue = RankQueue(self.n)
-        start = np.flatnonzero(pair >= 0)
+        start = np.flatnonzero(pair >= 0).astype(np.int32)
         queue.push(pair[start], start)
         while found := queue.pop():
             rank, at = found
@@ -141,6 +141,12 @@ class BytePairs:
                 order = np.arange(len(at))
                 at = at[(order - np.maximum.accumulate(np.where(heads, order, 0))) % 2 == 0]
             gone = after[at]
+            hasty = at[:0]
+            if len(at) > 1 and (touch := after[gone[:-1]] == at[1:]).any():
+                # merges side by side: between the first and the second, a pair of a lower rank could have come
+                first = at[:-1][touch]
+                between = self.pair_ranks(np.full(len(first), rank), ids[at[1:][touch]])
+                hasty = first[(between >= 0) & (between < rank)]
             ids[at], live[gone], pair[gone] = rank, False, -1
             last[at] = last[gone]
             nxt = after[gone]
@@ -148,7 +154,7 @@ class BytePairs:
             before[nxt] = at
             # the merged token's pair with what follows, and that of what goes before with it
             end = last[at]
-            new = np.full(len(at), -1, np.int64)
+            new = np.full(len(at), -1, np.int32)
             go = ~end
             if go.any():
                 new[go] = self.pair_ranks(ids[at[go]], ids[nxt[go]])
@@ -161,11 +167,11 @@ class BytePairs:
             push, ranks = np.concatenate((at, prev)), np.concatenate((new, new_prev))
             held = ranks >= 0
             push, ranks = push[held], ranks[held]
-            if (early := ranks < rank).any():
+            if len(hasty) or (ranks < rank).any():
                 # A merge that ought to have come before later ones of this very rank: take its word alone.
                 if word_of is None:
                     word_of = np.repeat(np.arange(len(words)), sizes)
-                again.update(word_of[push[early]].tolist())
+                again.update(word_of[np.concatenate((push[ranks < rank], hasty))].tolist())
             queue.push(ranks, push)
         kept = np.flatnonzero(live[:n])
         counts = np.add.reduceat(np.append(live[:n], False).astype(np.int64), np.concatenate(([0], ends[:-1])))
