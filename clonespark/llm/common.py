@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,51 +9,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clonespark.scratch import Scratch
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one of the tables of a data folder; the path may be in any store Spark reads."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it.
-
-    Only a session without one (as in tests) gets a temporary folder.
-    """
-    context = spark.sparkContext
-    found = context.getConf().get("spark.checkpoint.dir")
-    if not found:
-        current = context._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        found = tempfile.mkdtemp(prefix="clonespark-")
-        context.setCheckpointDir(found)
-    return found
-
-
-class Scratch:
-    """Tables written to the shared folder, to cut lineage and to compute a costly step once.
-
-    A written table survives the loss of any executor.
-    """
-
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark = spark
-        self.root = f"{checkpoint_dir(spark)}/clonespark-{uuid.uuid4().hex}"
-        self.count = 0
-
-    def save(self, df: DataFrame) -> DataFrame:
-        self.count += 1
-        path = f"{self.root}/{self.count}"
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._scratch_path = path
-        return out
-
-    def drop(self, df: DataFrame) -> None:
-        """Delete a table that nothing reads any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+def sized(df: DataFrame, scratch: Scratch, most_rows: int = 500_000) -> DataFrame:
+    """A narrow table for the other side of a join, written once and counted: broadcast up to most_rows, shuffled beyond."""
+    out = scratch.save(df)
+    return F.broadcast(out) if out.count() <= most_rows else out
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str) -> DataFrame:
@@ -73,6 +38,7 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dic
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
+                pa.default_memory_pool().release_unused()  # of the batch before
                 yield pa.RecordBatch.from_arrays([_as(out, f.type) for out, f in zip(function(batch), arrow, strict=True)], schema=arrow)
 
     return df.mapInArrow(run, kinds)

@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from clonespark.llm.common import Scratch, map_batches, utf8
-from clonespark.llm.components import components
+from clonespark.llm.common import map_batches, sized, utf8
+from clonespark.operators.components import components
+from clonespark.scratch import Scratch
 
 SEED = 42
 #: A group of more fingerprints than this is split by a further part of its bits.
@@ -143,12 +144,12 @@ class Plan:
     """How fingerprints are compared.
 
     words64: length of a fingerprint; bands: its bits in so many equal bands, of up to 64 bits; budget: bits in which
-    a pair may differ in some band; limit: bits in which it may differ in the band's check word, which is the
-    next word of the fingerprint, or the word itself if there is one only; sure: bits up to which no further check follows.
+    a pair may differ in some band. checks: 64-bit words that further tell a pair; limit: bits in which it may differ there, sure: bits
+    up to which no exact check follows.
     """
 
-    def __init__(self, words64: int = 1, bands: int = 1, budget: int = 3, limit: int = 3, sure: int = 3) -> None:
-        self.words64, self.bands, self.budget, self.limit, self.sure = words64, bands, budget, limit, sure
+    def __init__(self, words64: int = 1, bands: int = 1, budget: int = 3, checks: int = 1, limit: int = 3, sure: int = 3) -> None:
+        self.words64, self.bands, self.budget, self.checks, self.limit, self.sure = words64, bands, budget, checks, limit, sure
         self.width = 64 * words64 // bands
         if self.width * bands != 64 * words64 or 64 % self.width:
             raise ValueError("bands must divide the fingerprint evenly, without crossing 64-bit words")
@@ -173,23 +174,23 @@ def rotated(x: np.ndarray, lo: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _keyed(plan: Plan, batch: pa.RecordBatch):
-    """A row for each fingerprint, band and part: slot (band and part), key (the part's bits), rest, node, check."""
+    """A row for each fingerprint, band and part: slot (band and part), key (the part's bits), rest, node, known, checks."""
     words = batch.column(1).flatten().to_numpy().reshape(-1, plan.words64).astype(np.uint64)
-    node = batch.column(0).to_numpy()
+    node, known = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+    checks = list(batch.column(3).flatten().to_numpy().reshape(-1, plan.checks).T)
     out = []
     for b in range(plan.bands):
         x = plan.band(words, b)
-        check = words[:, (b * plan.width // 64 + 1) % plan.words64].astype(np.int64)
         for part in range(plan.budget + 1):
             lo, size = plan.cut(part, plan.width)
             key, rest = rotated(x, lo, size)
-            out.append((np.full(len(x), b * (plan.budget + 1) + part, np.int32), key.astype(np.int64), rest.astype(np.int64), node, check))
+            out.append((np.full(len(x), b * (plan.budget + 1) + part, np.int32), key.astype(np.int64), rest.astype(np.int64), node, known, *checks))
     return [np.concatenate(x) for x in zip(*out)]
 
 
 def _split(plan: Plan, batch: pa.RecordBatch):
     """Rows of large groups, each once for every part of the band's other bits; key2 has the part and its bits."""
-    slot, key, rest, node, check = (batch.column(i).to_numpy() for i in range(5))
+    slot, key, rest, *others = (x.to_numpy() for x in batch.columns)
     out, parts = [], plan.budget + 1
     for part in range(parts):
         key2, rest2 = np.zeros_like(key), np.zeros_like(rest)
@@ -199,30 +200,58 @@ def _split(plan: Plan, batch: pa.RecordBatch):
             at = slot == s
             k, r = rotated(rest[at].astype(np.uint64), lo, size)
             key2[at], rest2[at] = k.astype(np.int64) + (part << 48), r.astype(np.int64)
-        out.append((slot, key, key2, rest2, node, check))
+        out.append((slot, key, key2, rest2, *others))
     return [np.concatenate(x) for x in zip(*out)]
 
 
-class Links:
-    """Links of a task, reduced to stars whenever there are many."""
-
-    def __init__(self) -> None:
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
-        self.n = 0
+def forest(i: np.ndarray, j: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Of links in order of preference, the places of a spanning forest between what root tells apart (minimal, by that order)."""
+    chosen, at = [], np.arange(len(i))
+    while True:
+        a, b = root[i[at]], root[j[at]]
+        apart = a != b
+        at, a, b = at[apart], a[apart], b[apart]
+        if not len(at):
+            return np.sort(np.concatenate(chosen)) if chosen else at
+        _, first = np.unique(np.concatenate((a, b)), return_index=True)  # the first link of each component
+        picked = np.unique(first % len(at))
+        chosen.append(at[picked])
+        moved, to = stars(a[picked], b[picked])
+        now = np.arange(len(root))
+        now[moved] = to
+        root = now[root]
 
-    def add(self, i: np.ndarray, j: np.ndarray) -> None:
-        if len(i):
-            self.held.append((i, j))
-            self.n += len(i)
-            if self.n > LINKS:
-                self.shrink()
 
-    def shrink(self) -> tuple[np.ndarray, np.ndarray]:
-        if self.held:
-            self.held = [stars(*(np.concatenate(x) for x in zip(*self.held)))]
-            self.n = len(self.held[0][0])
-            return self.held[0]
-        return (np.zeros(0, np.int64),) * 2
+class Links:
+    """Links of a task: sure ones, reduced to stars, and doubtful ones, to a spanning forest of the closest; whenever there are many."""
+
+    def __init__(self, n: int) -> None:
+        self.n, self.held = n, 0
+        self.sure: list[tuple[np.ndarray, ...]] = []
+        self.doubts: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, i: np.ndarray, j: np.ndarray, differ: np.ndarray, sure: np.ndarray) -> None:
+        for kept, which in ((self.sure, sure), (self.doubts, ~sure)):
+            if which.any():
+                kept.append((i[which], j[which], differ[which]))
+        self.held += len(i)
+        if self.held > LINKS:
+            self.shrink()
+
+    def shrink(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(from, to, sure) of what is left."""
+        none = (np.zeros(0, np.int64),) * 3
+        i, j, _ = (np.concatenate(x) for x in zip(*self.sure)) if self.sure else none
+        i, j = stars(i, j) if len(i) else none[:2]
+        root = np.arange(self.n)
+        root[i] = j
+        x, y, d = (np.concatenate(v) for v in zip(*self.doubts)) if self.doubts else none
+        order = np.argsort(d, kind="stable")
+        order = order[forest(x[order], y[order], root)] if len(order) else order
+        at = np.sort(order)
+        x, y, d = x[at], y[at], d[at]
+        self.sure, self.doubts, self.held = [(i, j, i)] if len(i) else [], [(x, y, d)] if len(x) else [], len(i) + len(x)
+        return np.concatenate((i, x)), np.concatenate((j, y)), np.arange(len(i) + len(x)) < len(i)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -246,56 +275,53 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(kept)
 
 
-def _join(plan: Plan):
+def _join(plan: Plan, every: bool):
     """Over partitions sorted by group: links (a, b, sure) between the nodes of a group, which is held as numbers.
 
-    Sure links are reduced to stars. Those that need a further check come one by one, unless sure ones connect them.
+    every: all links between nodes that aren't known to be connected; else stars and forests that connect the same nodes, of which the doubtful links aren't confirmed yet.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches):
-            slot, key, key2, rest, node, check = (t.column(i).to_numpy() for i in range(6))
+            slot, key, key2, rest, node, known, *checks = (x.to_numpy() for x in t.columns)
             change = np.flatnonzero((slot[1:] != slot[:-1]) | (key[1:] != key[:-1]) | (key2[1:] != key2[:-1])) + 1
             starts, ends = np.concatenate(([0], change)), np.concatenate((change, [len(slot)]))
             several = ends - starts > 1
-            bits = check.view(np.uint64)
-            links, doubts = Links(), []
+            bits, links = [c.view(np.uint64) for c in checks], Links(len(node))
+
+            def batch(a: np.ndarray, b: np.ndarray, sure: np.ndarray, node: np.ndarray = node) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays([pa.array(np.minimum(node[a], node[b])), pa.array(np.maximum(node[a], node[b])), pa.array(sure)], names=["a", "b", "sure"])
+
             for i, j in trie_pairs(rest.astype(np.uint64), starts[several], ends[several], plan.width, plan.budget):
-                differ = np.bitwise_count(bits[i] ^ bits[j])
-                near = differ <= plan.sure
-                links.add(i[near], j[near])
-                near = ~near & (differ <= plan.limit)
-                if near.any():
-                    doubts.append((i[near], j[near]))
-            a, b = links.shrink()
-            sure = np.ones(len(a), bool)
-            if doubts:
-                root = np.arange(len(node))
-                root[a] = b
-                i, j = (np.concatenate(x) for x in zip(*doubts))
-                apart = root[i] != root[j]
-                a, b = np.concatenate((a, i[apart])), np.concatenate((b, j[apart]))
-                sure = np.arange(len(a)) < len(sure)
+                differ = sum(np.bitwise_count(c[i] ^ c[j]).astype(np.int64) for c in bits)
+                near = (differ <= plan.limit) & (known[i] != known[j])
+                i, j, differ = i[near], j[near], differ[near]
+                if every and len(i):
+                    yield batch(i, j, differ <= plan.sure)
+                elif len(i):
+                    links.add(i, j, differ, differ <= plan.sure)
+            a, b, sure = links.shrink()
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[a], node[b])), pa.array(np.maximum(node[a], node[b])), pa.array(sure)], names=["a", "b", "sure"])
+                yield batch(a, b, sure)
 
     return run
 
 
-def trie_links(prints: DataFrame, plan: Plan, scratch: Scratch) -> DataFrame:
-    """Links (a, b, sure) among distinct fingerprints, given as node (bigint) and fingerprint (array<bigint>).
+def trie_links(prints: DataFrame, plan: Plan, scratch: Scratch, every: bool = False) -> DataFrame:
+    """Links (a, b, sure) among distinct fingerprints, given as node (bigint), fingerprint (array<bigint>), known (bigint) and check (array<bigint>).
 
-    Every pair within the plan's bounds is linked directly or connected by sure links.
+    Pairs within the plan's bounds whose known differs: each of them, or without `every` as many as connect the same
+    nodes, the closest first.
     """
-    keyed = scratch.save(map_batches(prints.select("node", "fingerprint"), lambda b: _keyed(plan, b), "slot int, key bigint, rest bigint, node bigint, check bigint"))
+    checks = [f"c{i}" for i in range(plan.checks)]
+    columns = "slot int, key bigint, {}rest bigint, node bigint, known bigint, " + ", ".join(f"{c} bigint" for c in checks)
+    keyed = map_batches(prints.select("node", "fingerprint", "known", "check"), lambda b: _keyed(plan, b), columns.format(""))
     large = keyed.groupBy("slot", "key").count().filter(F.col("count") > LARGE_GROUP).select("slot", "key", F.lit(True).alias("large"))
-    marked = keyed.join(large, ["slot", "key"], "left")
-    few = marked.filter(F.col("large").isNull()).select("slot", "key", F.lit(-1).cast("long").alias("key2"), "rest", "node", "check")
-    many = map_batches(marked.filter("large").select("slot", "key", "rest", "node", "check"), lambda b: _split(plan, b), "slot int, key bigint, key2 bigint, rest bigint, node bigint, check bigint")
+    marked = keyed.join(sized(large, scratch), ["slot", "key"], "left")
+    few = marked.filter(F.col("large").isNull()).select("slot", "key", F.lit(-1).cast("long").alias("key2"), "rest", "node", "known", *checks)
+    many = map_batches(marked.filter("large").select("slot", "key", "rest", "node", "known", *checks), lambda b: _split(plan, b), columns.format("key2 bigint, "))
     dealt = few.unionAll(many).repartition("slot", "key", "key2").sortWithinPartitions("slot", "key", "key2", "rest")
-    out = scratch.save(dealt.mapInArrow(_join(plan), "a bigint, b bigint, sure boolean"))
-    scratch.drop(keyed)
-    return out
+    return scratch.save(dealt.mapInArrow(_join(plan, every), "a bigint, b bigint, sure boolean"))
 
 
 def labels(groups: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -320,16 +346,18 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     scratch = Scratch(docs.sparkSession)
     prints = scratch.save(fingerprints(docs, carry=id_col, text_col=text_col, shingle=shingle).select(id_col, F.col("fingerprint")[0].alias("node")))
     groups = prints.groupBy("node").agg(F.min(id_col).alias("least"))
-    links = trie_links(groups.select("node", F.array("node").alias("fingerprint")), Plan(1, 1, budget, budget, budget), scratch)
+    links = trie_links(groups.select("node", F.array("node").alias("fingerprint"), F.col("node").alias("known"), F.array("node").alias("check")), Plan(1, 1, budget, 1, budget, budget), scratch)
     named = prints.join(labels(groups, links.select("a", "b"), scratch), "node")
     return named.select(id_col, F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), F.col("lowest").alias("component_id"))
 
 
-#: Of near_duplicates: a fingerprint of four 64-bit words in eight bands of 32 bits, compared by the trie join with three
+#: Of near-duplicates: a fingerprint of four 64-bit words in eight bands of 32 bits, compared by the trie join with three
 #: differing bits. Texts whose shingle sets have a Jaccard similarity of 0.8 differ in 15 % of the bits on average, so that some band
-#: of theirs passes in 91 % of cases (0.85: 98 %, 0.9: 99.9 %). The check word bounds what goes to the exact check, three
-#: standard deviations away at 0.8; pairs alike in all but two of its bits are taken for sure.
-NEAR = Plan(words64=4, bands=8, budget=3, limit=19, sure=2)
+#: of theirs passes in 91 % of cases (0.85: 98 %, 0.9: 99.9 %). What goes on lies within some 2.6 standard deviations of
+#: that. Pairs far closer are taken for sure (fewer than 1 in 1,000 at 0.8).
+NEAR = Plan(words64=4, bands=8, budget=3, checks=4, limit=51, sure=13)
+#: The same of texts with candidates, which are told by 16 words.
+CLOSER = Plan(words64=4, bands=8, budget=3, checks=16, limit=182, sure=90)
 
 
 def _shingle_sets(shingle: int):
@@ -344,37 +372,57 @@ def _shingle_sets(shingle: int):
 def confirmed(links: DataFrame, texts: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
     """Of links (a, b) between nodes, those whose texts (node, _text) have shingle sets of that Jaccard similarity."""
     links = scratch.save(links.distinct())
-    nodes = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).distinct()
-    wanted = texts.join(nodes, "node", "left_semi").select(utf8("_text"), "node")
+    ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).distinct()
+    wanted = texts.join(sized(ends, scratch), "node", "left_semi").select(utf8("_text"), "node")
     sets = scratch.save(map_batches(wanted, _shingle_sets(shingle), "node bigint, shingles array<bigint>"))
     both = links.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, plan: Plan = NEAR) -> DataFrame:
-    """Groups of near-duplicates: texts linked by a Jaccard similarity of their word shingles of `similarity` or more.
+def near_duplicate_firsts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, plan: Plan = NEAR, closer: Plan = CLOSER) -> tuple[DataFrame, bool]:
+    """_id and _hash (of the text) of the document to keep of each group of near-duplicates, and whether such pairs repeat in docs.
 
-    Returns the columns of docs as a struct _row, and _first: whether the row is the one of its group to keep, that with the
-    least id (nulls last; of rows with the same id, one). Candidates come from the trie join over bands of longer fingerprints,
-    then a link's shingle sets are compared exactly; see NEAR for what the bands find. Equal texts are always one group. Texts without words are alike;
-    fewer words than a shingle has are one shingle. Groups are connected components of links. Other columns stay;
-    an empty table gives an empty result.
+    Texts are linked by a Jaccard similarity of their word shingles of `similarity` or more. Candidates come from the trie join over
+    bands of longer fingerprints, then a link's shingle sets are compared exactly; see NEAR for what the bands find. Equal texts
+    are always one group. Texts without words are alike; fewer words than a shingle has are one shingle. Groups are connected components
+    of links; the document with the least id stays, null ids last.
     """
-    scratch = Scratch(docs.sparkSession)
-    carried = docs.select(F.col(text_col).alias("_text"), F.struct(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"), F.col(text_col).alias("text")).alias("_all"))
-    prints = fingerprints(carried, carry="_all", text_col="_text", shingle=shingle, words64=plan.words64)
-    rows = scratch.save(prints.select(F.col("_all.row").alias("_row"), F.col("_all.text").alias("_text"), "fingerprint", F.monotonically_increasing_id().alias("_rid")))
-    order = F.struct(F.col(f"_row.{id_col}").isNull().alias("no_id"), F.col(f"_row.{id_col}").alias("id"), F.col("_rid").alias("rid"))
-    groups = scratch.save(rows.groupBy("fingerprint").agg(F.min(order).alias("least")).withColumn("node", F.col("least.rid")))
-    links = trie_links(groups, plan, scratch)
-    texts = rows.select(F.col("_rid").alias("node"), "_text")
-    sure = links.filter("sure").select("a", "b")
-    held = sure.unionAll(confirmed(links.filter(~F.col("sure")).select("a", "b"), texts, shingle, similarity, scratch))
-    firsts = labels(groups.select("node", "least"), held, scratch).select(F.col("lowest.rid").alias("_rid")).distinct()
-    return rows.join(firsts.withColumn("_kept", F.lit(True)), "_rid", "left").select("_row", F.coalesce("_kept", F.lit(False)).alias("_first"))
-
-
-def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that near_duplicates keeps: one of each group, with their columns as they are."""
-    return near_duplicates(docs, **options).filter("_first").select("_row.*")
+    scratch, out = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
+    named = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("_text"))
+    keys = named.select("_text", F.struct("_id", "_hash").alias("_key"))
+    rows = scratch.save(fingerprints(keys, carry="_key", text_col="_text", shingle=shingle, words64=plan.words64))
+    order = F.struct(F.col("_key._id").isNull().alias("no_id"), F.col("_key._id").alias("id"), F.col("_key._hash").alias("hash"))
+    groups = scratch.save(rows.groupBy("fingerprint").agg(F.min(order).alias("least")).withColumn("node", F.monotonically_increasing_id()))
+    repeats = not rows.groupBy("_key").count().filter("count > 1").isEmpty()
+    # First the links of a spanning forest. It has all texts with candidates: they alone go on, with longer fingerprints.
+    links = trie_links(groups.select("node", "fingerprint", F.col("node").alias("known"), F.col("fingerprint").alias("check")), plan, scratch)
+    ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).distinct()
+    wanted = sized(groups.join(ends, "node", "left_semi").select("node", F.col("least.id").alias("_own_id"), F.col("least.hash").alias("_own_hash")), scratch)
+    found = named.join(wanted, named["_id"].eqNullSafe(wanted["_own_id"]) & (named["_hash"] == wanted["_own_hash"])).select("node", "_text")
+    texts = scratch.save(found.dropDuplicates(["node"]) if repeats else found)
+    sure, doubts = links.filter("sure").select("a", "b"), links.filter(~F.col("sure")).select("a", "b")
+    held = scratch.save(sure.unionAll(confirmed(doubts, texts, shingle, similarity, scratch)).distinct())
+    # Then every link between what those that hold leave apart.
+    known = groups.join(components(held, scratch), "node", "left").select("node", "fingerprint", F.coalesce("root", "node").alias("known"))
+    long = fingerprints(texts, carry="node", text_col="_text", shingle=shingle, words64=closer.checks).withColumnRenamed("fingerprint", "check")
+    links = trie_links(scratch.save(known.join(long, "node")), closer, scratch, every=True)
+    sure, doubts = links.filter("sure").select("a", "b"), links.filter(~F.col("sure")).select("a", "b")
+    held = scratch.save(held.unionAll(sure).unionAll(confirmed(doubts, texts, shingle, similarity, scratch)).distinct())
+    firsts = out.save(labels(groups.select("node", "least"), held, scratch).select(F.col("lowest.id").alias("_id"), F.col("lowest.hash").alias("_hash")).distinct())
+    scratch.clear()
+    return firsts, repeats
+
+
+def without_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of docs for each group of near-duplicates, with its columns as they are; see near_duplicate_firsts.
+
+    Rows that repeat both id and text stay once. An empty table gives an empty result.
+    """
+    firsts, repeats = near_duplicate_firsts(docs, id_col=id_col, text_col=text_col, **options)
+    firsts = sized(firsts, Scratch(docs.sparkSession))
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_row"), F.col(id_col).alias("_own_id"), F.xxhash64(text_col).alias("_own_hash"))
+    kept = rows.join(firsts, rows["_own_id"].eqNullSafe(firsts["_id"]) & (rows["_own_hash"] == firsts["_hash"]), "left_semi")
+    if repeats:
+        kept = kept.dropDuplicates(["_own_id", "_own_hash"])
+    return kept.select("_row.*")

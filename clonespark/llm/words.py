@@ -10,7 +10,7 @@ import pyarrow as pa
 from clonespark.llm.common import text_bytes
 
 #: Bytes of text that are held as arrays together.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 #: Odd multiplier of the rolling hash.
 BASE = 0x9E3779B97F4A7C15
 #: ASCII white space: \x20 and \x09-\x0D. Every byte of a longer UTF-8 character is a word byte.
