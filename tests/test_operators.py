@@ -375,3 +375,37 @@ def test_config_and_folders(spark, tmp_path):
         (tmp_path / d / "t.csv").write_text(f"k\n{d}\n")
     delimited.union_folders(spark, [str(tmp_path / d) for d in "xy"], str(tmp_path / "all"), ["t.csv"])
     assert values(spark.read.csv(str(tmp_path / "all" / "t.csv"), header=True), "k") == [("x",), ("y",)]
+
+
+def test_small_readers(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("s,n\nACGT,3\n")
+    assert values(delimited.read_reads(spark, str(tmp_path / "r.csv")), "sequence", "readcount") == [("ACGT", 3)]
+    (tmp_path / "w.csv").write_text("s,n,x\nACGT,3,1\n")
+    with pytest.raises(ValueError, match="two columns"):
+        delimited.read_reads(spark, str(tmp_path / "w.csv"))
+    (tmp_path / "e.csv").write_text("from,to,dist\na,b,0\na,c,2\n")
+    assert values(delimited.read_edges(spark, str(tmp_path / "e.csv"), positive=True), "from", "to", "dist") == [("a", "c", 2)]
+    (tmp_path / "g.csv").write_text("name,full_NT\nIGHG1*01,ACG\nIGHM*01,TTT\n")
+    assert values(delimited.read_genes(spark, str(tmp_path / "g.csv")), "index", "name") == [(0, "IGHG1*01"), (1, "IGHM*01")]
+
+
+def test_chicken_regions(spark):
+    seq = "AAAA" + "CC" + "GGGG" + "TTT" + "AAAA" + "CCCC" + "GGGG"
+    hit = lambda a, b, n: (a, b, 1, n, n)
+    cut = (15, 17, 2, 4, 4)  # FR3 found from its second base on
+    kind = "struct<query_start:int,query_end:int,sbjct_start:int,sbjct_end:int,length:int>"
+    df = spark.createDataFrame([(seq, hit(1, 4, 4), hit(7, 10, 4), cut, hit(22, 25, 4)), (seq, hit(1, 4, 4), None, cut, None)], "seq string, " + ", ".join(f"FR{i} {kind}" for i in range(1, 5)))
+    strict, loose = align.chicken_regions(df).collect(), align.chicken_regions(df, loose=True).collect()
+    assert (strict[0]["CDR1"], strict[0]["CDR2"], strict[0]["CDR3"], strict[0]["failed"]) == ("CC", "E/F", "CCCC", False)
+    assert (loose[0]["CDR2"], loose[0]["CDR3"]) == ("TTT", "CCCC") and strict[1]["failed"] and loose[1]["CDR1"] == "E/F"
+
+
+def test_read_quality(spark, tmp_path):
+    from clonespark.plans.read_quality import report
+
+    (tmp_path / "q.fastq").write_text("@a\nACGT\n+\nI5+I\n@b\nAC\n+\n!K\n")
+    totals, histogram = report(spark, str(tmp_path / "q.fastq"))
+    t = totals.first()
+    assert (t["n_reads"], t["min_length"], t["max_length"]) == (2, 2, 4) and t["mean_score"] == pytest.approx((40 + 20 + 10 + 40 + 0 + 42) / 6)
+    h = {r["qscore"]: (r["least"], r["median"]) for r in histogram.collect()}
+    assert h[10] == (1, 0) and h[0] == (1, 0) and h[30] == (0, 1) and h[21] == (0, 1) and len(h) == 41
