@@ -275,10 +275,36 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(kept)
 
 
+def first_meeting(plan: Plan, xor: np.ndarray, slot: np.ndarray, key2: np.ndarray) -> np.ndarray:
+    """Whether the group in which a pair meets is the first of all in which it does.
+
+    xor: the differing bits of each pair's fingerprints, as rows of words; slot and key2: its group.
+    """
+    parts, keep = plan.budget + 1, np.ones(len(slot), bool)
+    for s in np.unique(slot).tolist():
+        at = np.flatnonzero(slot == s)
+        b, part = divmod(s, parts)
+        for earlier in range(b):
+            at = at[np.bitwise_count(plan.band(xor[at], earlier)) > plan.budget]
+        band = plan.band(xor[at], b)
+        for earlier in range(part):
+            apart = rotated(band, *plan.cut(earlier, plan.width))[0] != 0
+            at, band = at[apart], band[apart]
+        lo, size = plan.cut(part, plan.width)
+        rest, part2 = rotated(band, lo, size)[1], key2[at] >> 48
+        for earlier in range(plan.budget):
+            apart = (part2 <= earlier) | (rotated(rest, *plan.cut(earlier, plan.width - size))[0] != 0)
+            at, rest, part2 = at[apart], rest[apart], part2[apart]
+        keep[slot == s] = False
+        keep[at] = True
+    return keep
+
+
 def _join(plan: Plan, every: bool):
     """Over partitions sorted by group: links (a, b, sure) between the nodes of a group, which is held as numbers.
 
-    every: all links between nodes that aren't known to be connected; else stars and forests that connect the same nodes, of which the doubtful links aren't confirmed yet.
+    every: all links between nodes that aren't known to be connected, each in the first group where it meets (the check words
+    begin with the fingerprint); else stars and forests that connect the same nodes, of which the doubtful links aren't confirmed yet.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +323,10 @@ def _join(plan: Plan, every: bool):
                 near = (differ <= plan.limit) & (known[i] != known[j])
                 i, j, differ = i[near], j[near], differ[near]
                 if every and len(i):
-                    yield batch(i, j, differ <= plan.sure)
+                    xor = np.stack([c[i] ^ c[j] for c in bits[: plan.words64]], 1)
+                    first = first_meeting(plan, xor, slot[i], key2[i])
+                    if first.any():
+                        yield batch(i[first], j[first], differ[first] <= plan.sure)
                 elif len(i):
                     links.add(i, j, differ, differ <= plan.sure)
             a, b, sure = links.shrink()

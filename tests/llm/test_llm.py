@@ -169,6 +169,26 @@ def test_simhash_large_groups(spark, monkeypatch):
         assert collections.Counter(found.get(s, s) for s in signed) == collections.Counter(min(g) for g in groups.values() for _ in g)
 
 
+def test_pairs_meet_once(spark, monkeypatch):
+    """With every link asked for, each pair within the bounds comes once, whatever bands and parts it agrees in."""
+    from clonespark.scratch import Scratch
+
+    rng = random.Random(14)
+    prints = []
+    for _ in range(12):
+        base = rng.getrandbits(128)
+        prints += [base ^ sum(1 << b for b in rng.sample(range(128), rng.choice((0, 2, 5, 9, 14)))) for _ in range(8)]
+    prints = sorted(set(prints))
+    signed = [[w - (1 << 64) if w >> 63 else w for w in (p >> 64, p & (1 << 64) - 1)] for p in prints]
+    df = spark.createDataFrame(list(enumerate(signed)), "node long, fingerprint array<long>").select("node", "fingerprint", F.col("node").alias("known"), F.col("fingerprint").alias("check"))
+    bands = lambda x: [(x >> 96 - 32 * b & (1 << 32) - 1).bit_count() for b in range(4)]
+    wanted = sorted((i, j) for j in range(len(prints)) for i in range(j) if min(bands(prints[i] ^ prints[j])) <= 2 and (prints[i] ^ prints[j]).bit_count() <= 20)
+    for large in (10_000, 4):
+        monkeypatch.setattr(simhash, "LARGE_GROUP", large)
+        links = simhash.trie_links(df, simhash.Plan(words64=2, bands=4, budget=2, checks=2, limit=20, sure=3), Scratch(spark), every=True)
+        assert sorted((r["a"], r["b"]) for r in links.collect()) == wanted and wanted
+
+
 def jaccard(a, b, k=5):
     x, y = (set(zip(*[w[i:] for i in range(k)])) if len(w) >= k else {tuple(w)} for w in (a, b))
     return len(x & y) / len(x | y)
