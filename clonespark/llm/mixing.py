@@ -6,7 +6,7 @@ targets. A rate is how many times a document is to be taken on average.
 
 With p the posteriors and n the tokens of documents, the tokens of domain k at rates w are A w = sum of n w p_k. The squared
 error is measured by G, the sum of n p p', in which domains that overlap are not counted twice, and rates by n. Then a
-gradient step of length one is w - p . g with g = G^-1 (A w - target), clipped at zero: the same for every document with
+gradient step of length one is w - p . g with g = G^-1 (A w - target), clipped at zero and at MOST: the same for every document with
 the same posterior, whatever its length. So an iteration needs only the sums A w, a number for each domain, from all
 documents, and the history of g is all that it takes to compute any document's rate.
 """
@@ -21,16 +21,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from clonespark.llm.common import Scratch, map_batches, utf8
+from clonespark.llm.common import map_batches, utf8
 from clonespark.llm.words import LOWER, Block, blocks
+from clonespark.scratch import Scratch
 
 #: Labelled documents that the classifier is fitted to, shared evenly among the domains.
 SAMPLE_DOCS = 6000
 BUCKETS = 1 << 15
-#: Documents with a word that must have it, and how far its log-odds must be from zero, for it to count.
-LEAST_DOCS, LEAST_ODDS = 4, 1.5
+#: A word counts if a likelihood-ratio test (G, one degree of freedom) tells that it goes with a domain, or against it.
+LEAST_G = 20.0
 MARKS = [np.isin(np.arange(256), list(x)) for x in (b"#*$%&|<>", b"!", bytes(range(0x41, 0x5B)), bytes(range(0x30, 0x3A)))]
 ITERATIONS, TOLERANCE = 40, 1e-4
+#: A domain with a smaller share of the labelled documents is left out: it can't be told, and what posteriors give it lies thinly
+#: over all documents, where no rate reaches it.
+LEAST_SHARE = 0.01
+#: Mixtures of domains in which posteriors scarcely vary, as a share of the strongest, are left as they are: no rates could change them
+#: without taking most documents many times or not at all.
+SCARCELY = 3e-3
+#: No document is taken more often than this, whatever the targets.
+MOST = 4.0
 
 
 def _parts(block: Block):
@@ -79,6 +88,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id",
     known = labelled.select(F.col(id_col).alias("_id"), F.col(domain_col).cast("string").alias("_domain")).filter("_id IS NOT NULL AND _domain IS NOT NULL")
     ids = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     counts = {r["_domain"]: r["count"] for r in known.join(docs.select(F.col(id_col).alias("_id")).distinct(), "_id", "left_semi").groupBy("_domain").count().collect()}
+    counts = {d: n for d, n in counts.items() if n >= LEAST_SHARE * sum(counts.values())}
     if not counts:
         return None
     domains, quota = sorted(counts), max(50, sample // len(counts))
@@ -117,7 +127,7 @@ def train(domains: list[str], prior: np.ndarray, data: list[tuple[int, int, np.n
     p = (having + 0.5) / (docs + 1)
     rest = (having.sum(1, keepdims=True) - having + 0.5) / (docs.sum() - docs + 1)
     odds = np.log(p / rest)
-    odds[(having.sum(1) < LEAST_DOCS)[:, None] | (np.abs(odds) < LEAST_ODDS)] = 0
+    odds[_g_test(having, docs) < LEAST_G] = 0
     x = features(np.array([odds[b].sum(0) for _, _, b, _ in second]).reshape(-1, k), np.array([s for *_, s in second]).reshape(len(second), -1))
     y = np.eye(k)[[d for d, *_ in second]]
     layer = np.zeros((x.shape[1], k))
@@ -130,16 +140,28 @@ def train(domains: list[str], prior: np.ndarray, data: list[tuple[int, int, np.n
     return DomainModel(domains, odds, layer)
 
 
+def _g_test(having: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """For each word and domain, how far the documents with and without the word are from independent of the domain."""
+    with_word, total = having.sum(1, keepdims=True), docs.sum()
+    out = np.zeros_like(having)
+    for word, count in ((having, with_word), (docs - having, total - with_word)):
+        for seen, size in ((word, docs), (count - word, total - docs)):
+            expected = count * size / max(total, 1)
+            out += np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0)
+    return 2 * out
+
+
 @dataclass
 class Rates:
-    """The steps g of all iterations, each a number for every domain."""
+    """The steps g of all iterations, each a number for every domain, and the greatest rate."""
 
     steps: np.ndarray
+    most: float = MOST
 
     def of(self, posteriors: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         w = np.ones(len(posteriors))
         for g in self.steps:
-            w = np.maximum(0, w - posteriors @ g)
+            w = np.clip(w - posteriors @ g, 0, self.most)
         return np.where(tokens > 0, w, 1.0)
 
 
@@ -147,8 +169,11 @@ def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return column.flatten().to_numpy().reshape(-1, k)
 
 
-def fit_rates(posteriors: DataFrame, targets: np.ndarray, iterations: int = ITERATIONS) -> Rates:
-    """Least squares over a table of p (array<double>) and n_tokens. A few numbers for each batch are summed by Spark."""
+def fit_rates(posteriors: DataFrame, targets: np.ndarray, relative: bool = False, iterations: int = ITERATIONS) -> Rates:
+    """Least squares over a table of p (array<double>) and n_tokens. A few numbers for each batch are summed by Spark.
+
+    targets: shares of all tokens, or if relative, factors to the shares that the domains have. Either is brought to a sum of one.
+    """
     k = len(targets)
 
     def moments(batch: pa.RecordBatch):
@@ -163,7 +188,8 @@ def fit_rates(posteriors: DataFrame, targets: np.ndarray, iterations: int = ITER
     total = gram.sum()  # posteriors add up to one
     if total <= 0:
         return Rates(np.zeros((0, k)))
-    wanted, inverse, steps = targets * total, np.linalg.pinv(gram, rcond=1e-9, hermitian=True), []
+    shares = gram.sum(1) * targets if relative else targets
+    wanted, inverse, steps = shares / shares.sum() * total, np.linalg.pinv(gram, rcond=SCARCELY, hermitian=True), []
     for _ in range(iterations):
         now = Rates(np.array(steps).reshape(-1, k))
 
@@ -181,8 +207,9 @@ def fit_rates(posteriors: DataFrame, targets: np.ndarray, iterations: int = ITER
     return Rates(np.array(steps).reshape(-1, k))
 
 
-#: Default shares of tokens, by quality and toxicity as the labels table has them.
-TARGETS = {"q1_t0": 0.94, "q1_t1": 0.02, "q0_t0": 0.03, "q0_t1": 0.01}
+#: By default the mixture has a quarter of the low-quality and toxic tokens that there are, and more of the others in their place. Factors to
+#: present shares ask for no more of a rare domain than there is, so that no document is repeated many times over.
+FACTORS = {"q1_t0": 1.0, "q1_t1": 0.25, "q0_t0": 0.25, "q0_t1": 0.25}
 
 
 def quality_domains(labels: DataFrame) -> DataFrame:
@@ -211,9 +238,9 @@ def _rated(posteriors: DataFrame, carry: str, rates: Rates, k: int) -> DataFrame
     return map_batches(posteriors.select(carry, "p", "n_tokens"), run, schema)
 
 
-def _weights(domains: list[str], targets: dict[str, float]) -> np.ndarray:
-    given = np.array([max(targets.get(d, 0.0), 0.0) for d in domains])
-    return given / given.sum() if given.sum() else np.full(len(domains), 1 / len(domains))
+def _solved(posteriors: DataFrame, domains: list[str], targets: dict[str, float] | None) -> Rates:
+    given = np.array([max((FACTORS if targets is None else targets).get(d, 1.0 if targets is None else 0.0), 0.0) for d in domains])
+    return fit_rates(posteriors, given if given.sum() else np.ones(len(domains)), relative=targets is None)
 
 
 def copies(rate, id_col: str):
@@ -225,8 +252,8 @@ def copies(rate, id_col: str):
 def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE_DOCS) -> DataFrame:
     """Rates of all documents at which the domains' expected shares of tokens meet the targets.
 
-    labelled: id_col and domain. targets: shares by domain; they are brought to a sum of one over the domains that
-    are labelled, and the expected total stays that of docs. Returns id_col, n_tokens (words), domain (the likeliest), posteriors
+    labelled: id_col and domain. targets: shares by domain, brought to a sum of one over the domains that are labelled; without
+    them the present shares times FACTORS. The expected total stays that of docs. Returns id_col, n_tokens (words), domain (the likeliest), posteriors
     (by name), rate and copies. Without labelled documents the domain is null and all rates are one, as is
     that of a text without words. Targets that no rates can meet are met in the least-squares sense. Null and
     repeated ids are rated row by row; other columns are ignored; an empty table gives an empty result.
@@ -237,7 +264,7 @@ def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | No
         return docs.select(id_col, words.alias("n_tokens"), F.lit(None).cast("string").alias("domain"), F.lit(None).cast("map<string,double>").alias("posteriors"), F.lit(1.0).alias("rate"), F.lit(1).cast("bigint").alias("copies"))
     k = len(model.domains)
     posteriors = Scratch(docs.sparkSession).save(_with_posteriors(docs, text_col, id_col, model))
-    rated = _rated(posteriors, id_col, fit_rates(posteriors, _weights(model.domains, TARGETS if targets is None else targets)), k)
+    rated = _rated(posteriors, id_col, _solved(posteriors, model.domains, targets), k)
     names = F.array(*map(F.lit, model.domains))
     top = F.element_at(names, F.array_position("p", F.array_max("p")).cast("int"))
     return rated.select(id_col, "n_tokens", top.alias("domain"), F.map_from_arrays(names, F.col("p")).alias("posteriors"), "rate", copies(F.col("rate"), id_col).alias("copies"))
@@ -250,6 +277,6 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
         return docs
     rows = docs.select(F.col(text_col).alias("_text"), F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_row"))
     posteriors = Scratch(docs.sparkSession).save(_with_posteriors(rows, "_text", "_row", model))
-    rates = fit_rates(posteriors, _weights(model.domains, TARGETS if targets is None else targets))
+    rates = _solved(posteriors, model.domains, targets)
     rated = _rated(posteriors, "_row", rates, len(model.domains)).withColumn("copies", copies(F.col("rate"), f"_row.{id_col}"))
     return rated.filter("copies > 0").select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select("_row.*")
