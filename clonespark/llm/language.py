@@ -19,7 +19,7 @@ from clonespark.llm.common import map_batches, text_bytes, utf8
 from clonespark.llm.words import LOWER, Block, blocks
 
 #: Labelled documents that the model is fitted to, shared evenly among the languages.
-SAMPLE_DOCS = 3000
+SAMPLE_DOCS = 2000
 BUCKETS, DIM, SIZES = 1 << 15, 8, (2, 3, 4)
 EPOCHS, RATE, BATCH = 8, 8.0, 16
 #: Bytes of text scored together.
@@ -130,7 +130,8 @@ def fit_language_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     chosen = known.filter(draw < F.element_at(rate, F.col("_lang"))).withColumn("_fold", F.pmod(F.xxhash64("_id", F.lit(18)), F.lit(4)).cast("int"))
     rows = map_batches(chosen.select(utf8("_text"), "_lang", "_fold"), _counts, "lang string, fold int, buckets binary, shares binary, n bigint").collect()
     rows.sort(key=lambda r: (r["lang"], bytes(r["buckets"]), bytes(r["shares"])))
-    data = [(np.frombuffer(r["buckets"], np.uint16).astype(np.int64), np.frombuffer(r["shares"], np.float32), langs.index(r["lang"]), r["fold"] == 0, r["n"]) for r in rows]
+    data = [(np.frombuffer(r["buckets"], np.uint16), np.frombuffer(r["shares"], np.float32), langs.index(r["lang"]), r["fold"] == 0, r["n"]) for r in rows]
+    del rows
     return train(langs, data, max_error)
 
 
