@@ -374,9 +374,13 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     scratch = Scratch(docs.sparkSession)
     prints = scratch.save(fingerprints(docs, carry=id_col, text_col=text_col, shingle=shingle).select(id_col, F.col("fingerprint")[0].alias("node")))
-    groups = prints.groupBy("node").agg(F.min(id_col).alias("least"))
+    groups = scratch.save(prints.groupBy("node").agg(F.min(id_col).alias("least"), F.count("*").alias("n")))
     links = trie_links(groups.select("node", F.array("node").alias("fingerprint"), F.col("node").alias("known"), F.array("node").alias("check")), Plan(1, 1, budget, 1, budget, budget), scratch)
-    named = prints.join(labels(groups, links.select("a", "b"), scratch), "node")
+    lowest = scratch.save(labels(groups.select("node", "least"), links.select("a", "b"), scratch))
+    # Fingerprints that a thousandth of all documents share, so a thousand at most, aren't dealt by key.
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    shared = F.broadcast(groups.filter(F.col("n") >= max(1000, total / 1000)).select("node").join(lowest, "node"))
+    named = prints.join(shared, "node").unionByName(prints.join(shared, "node", "left_anti").join(lowest, "node"))
     return named.select(id_col, F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), F.col("lowest").alias("component_id"))
 
 
