@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from clonespark.llm.common import map_batches, sized, utf8
 from clonespark.operators.components import components
@@ -46,9 +46,14 @@ def shingle_hashes(raw: bytes, k: int, seed: int = SEED) -> list[int]:
     return [digest(line[s:e], seed) for s, e in zip(starts.tolist(), ends.tolist())]
 
 
-def _signature(hashes: list[int], words64: int) -> np.ndarray:
+def shingle_set(raw: bytes, k: int) -> np.ndarray:
+    """Distinct hashes of a text's shingles, ascending."""
+    return np.unique(np.array(shingle_hashes(raw, k), np.uint64))
+
+
+def _signature(hashes: list[int] | np.ndarray, words64: int) -> np.ndarray:
     """64-bit words, each bit 1 if set in over half the hashes; further words come from remixed hashes."""
-    if not hashes:
+    if not len(hashes):
         return np.zeros(words64, np.int64)
     h = np.array(hashes, np.uint64)
     out = []
@@ -79,6 +84,19 @@ def fingerprints(docs: DataFrame, *, carry: str = "doc_id", text_col: str = "tex
     return map_batches(docs.select(carry, utf8(text_col)), run, schema)
 
 
+def set_fingerprints(docs: DataFrame, *, carry: str, text_col: str, shingle: int, words64: int) -> DataFrame:
+    """The column carry, fingerprint (as in fingerprints, of the distinct shingles) and digest (16 bytes, of the set of shingles) of every text."""
+
+    def run(batch: pa.RecordBatch):
+        sets = [shingle_set(x.as_py(), shingle) for x in batch.column(1)]
+        prints = np.concatenate([_signature(s, words64) for s in sets])
+        offsets = np.arange(len(sets) + 1, dtype=np.int32) * words64
+        return batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(prints)), [xxhash.xxh128_digest(s.tobytes()) for s in sets]
+
+    schema = StructType([docs.schema[carry], StructField("fingerprint", ArrayType(LongType())), StructField("digest", BinaryType())])
+    return map_batches(docs.select(carry, utf8(text_col)), run, schema)
+
+
 def trie_pairs(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, bits: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of values that differ in at most `budget` of their low `bits` bits, within each range.
 
@@ -314,6 +332,9 @@ def _join(plan: Plan, every: bool):
             starts, ends = np.concatenate(([0], change)), np.concatenate((change, [len(slot)]))
             several = ends - starts > 1
             bits, links = [c.view(np.uint64) for c in checks], Links(len(node))
+            order = np.argsort(node, kind="stable")  # stars are around the least node, so that a star is the same in all groups
+            rank, ranked = np.empty(len(node), np.int64), node[order]
+            rank[order] = np.arange(len(node))
 
             def batch(a: np.ndarray, b: np.ndarray, sure: np.ndarray, node: np.ndarray = node) -> pa.RecordBatch:
                 return pa.RecordBatch.from_arrays([pa.array(np.minimum(node[a], node[b])), pa.array(np.maximum(node[a], node[b])), pa.array(sure)], names=["a", "b", "sure"])
@@ -328,10 +349,10 @@ def _join(plan: Plan, every: bool):
                     if first.any():
                         yield batch(i[first], j[first], differ[first] <= plan.sure)
                 elif len(i):
-                    links.add(i, j, differ, differ <= plan.sure)
+                    links.add(rank[i], rank[j], differ, differ <= plan.sure)
             a, b, sure = links.shrink()
             if len(a):
-                yield batch(a, b, sure)
+                yield batch(a, b, sure, ranked)
 
     return run
 
@@ -387,7 +408,7 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 #: Of near-duplicates: a fingerprint of four 64-bit words in eight bands of 32 bits, compared by the trie join with three
 #: differing bits. Texts whose shingle sets have a Jaccard similarity of 0.8 differ in 15 % of the bits on average, so that some band
 #: of theirs passes in 91 % of cases (0.85: 98 %, 0.9: 99.9 %). What goes on lies within some 2.6 standard deviations of
-#: that. Pairs far closer are taken for sure (fewer than 1 in 1,000 at 0.8).
+#: that. Links up to `sure` bits come as stars, which are checked exactly as all others are.
 NEAR = Plan(words64=4, bands=8, budget=3, checks=4, limit=51, sure=13)
 #: The same of texts with candidates, which are told by 16 words.
 CLOSER = Plan(words64=4, bands=8, budget=3, checks=16, limit=182, sure=90)
@@ -395,7 +416,7 @@ CLOSER = Plan(words64=4, bands=8, budget=3, checks=16, limit=182, sure=90)
 
 def _shingle_sets(shingle: int):
     def run(batch: pa.RecordBatch):
-        sets = [np.unique(np.array(shingle_hashes(x.as_py(), shingle), np.uint64)).astype(np.int64) for x in batch.column(0)]
+        sets = [shingle_set(x.as_py(), shingle).astype(np.int64) for x in batch.column(0)]
         offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
         return batch.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))
 
@@ -417,16 +438,16 @@ def near_duplicate_firsts(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     """_id and _hash (of the text) of the document to keep of each group of near-duplicates, and whether such pairs repeat in docs.
 
     Texts are linked by a Jaccard similarity of their word shingles of `similarity` or more. Candidates come from the trie join over
-    bands of longer fingerprints, then a link's shingle sets are compared exactly; see NEAR for what the bands find. Equal texts
-    are always one group. Texts without words are alike; fewer words than a shingle has are one shingle. Groups are connected components
+    bands of longer fingerprints, then every link's shingle sets are compared exactly; see NEAR for what the bands find. Texts with equal
+    shingle sets are always one group. Texts without words are alike; fewer words than a shingle has are one shingle. Groups are connected components
     of links; the document with the least id stays, null ids last.
     """
     scratch, out = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
     named = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("_text"))
     keys = named.select("_text", F.struct("_id", "_hash").alias("_key"))
-    rows = scratch.save(fingerprints(keys, carry="_key", text_col="_text", shingle=shingle, words64=plan.words64))
+    rows = scratch.save(set_fingerprints(keys, carry="_key", text_col="_text", shingle=shingle, words64=plan.words64))
     order = F.struct(F.col("_key._id").isNull().alias("no_id"), F.col("_key._id").alias("id"), F.col("_key._hash").alias("hash"))
-    groups = scratch.save(rows.groupBy("fingerprint").agg(F.min(order).alias("least")).withColumn("node", F.monotonically_increasing_id()))
+    groups = scratch.save(rows.groupBy("digest", "fingerprint").agg(F.min(order).alias("least")).drop("digest").withColumn("node", F.monotonically_increasing_id()))
     repeats = not rows.groupBy("_key").count().filter("count > 1").isEmpty()
     # First the links of a spanning forest. It has all texts with candidates: they alone go on, with longer fingerprints.
     links = trie_links(groups.select("node", "fingerprint", F.col("node").alias("known"), F.col("fingerprint").alias("check")), plan, scratch)
@@ -434,14 +455,12 @@ def near_duplicate_firsts(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     wanted = sized(groups.join(ends, "node", "left_semi").select("node", F.col("least.id").alias("_own_id"), F.col("least.hash").alias("_own_hash")), scratch)
     found = named.join(wanted, named["_id"].eqNullSafe(wanted["_own_id"]) & (named["_hash"] == wanted["_own_hash"])).select("node", "_text")
     texts = scratch.save(found.dropDuplicates(["node"]) if repeats else found)
-    sure, doubts = links.filter("sure").select("a", "b"), links.filter(~F.col("sure")).select("a", "b")
-    held = scratch.save(sure.unionAll(confirmed(doubts, texts, shingle, similarity, scratch)).distinct())
+    held = scratch.save(confirmed(links.select("a", "b"), texts, shingle, similarity, scratch))
     # Then every link between what those that hold leave apart.
     known = groups.join(components(held, scratch), "node", "left").select("node", "fingerprint", F.coalesce("root", "node").alias("known"))
-    long = fingerprints(texts, carry="node", text_col="_text", shingle=shingle, words64=closer.checks).withColumnRenamed("fingerprint", "check")
+    long = set_fingerprints(texts, carry="node", text_col="_text", shingle=shingle, words64=closer.checks).select("node", F.col("fingerprint").alias("check"))
     links = trie_links(scratch.save(known.join(long, "node")), closer, scratch, every=True)
-    sure, doubts = links.filter("sure").select("a", "b"), links.filter(~F.col("sure")).select("a", "b")
-    held = scratch.save(held.unionAll(sure).unionAll(confirmed(doubts, texts, shingle, similarity, scratch)).distinct())
+    held = scratch.save(held.unionAll(confirmed(links.select("a", "b"), texts, shingle, similarity, scratch)))
     firsts = out.save(labels(groups.select("node", "least"), held, scratch).select(F.col("lowest.id").alias("_id"), F.col("lowest.hash").alias("_hash")).distinct())
     scratch.clear()
     return firsts, repeats

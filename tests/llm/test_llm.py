@@ -222,6 +222,18 @@ def test_near_duplicates(spark, odd, empty):
     assert simhash.without_near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_with_runs(spark):
+    """A long run of one token makes no duplicates of different texts, and hides none."""
+    rng = random.Random(15)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(4000)]
+    run, rows = ["."] * 400, []
+    for g in range(6):
+        w = rng.choices(words, k=300)
+        rows += [(10 * g, " ".join(w + run)), (10 * g + 1, " ".join(w)), (10 * g + 2, " ".join(w + run + run))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.without_near_duplicates(df).collect()) == [10 * g for g in range(6)]
+
+
 def base_counts(t):
     words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
     seen, dup = set(), 0
