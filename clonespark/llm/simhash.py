@@ -8,6 +8,7 @@ drops a pair whose sum exceeds the budget. Groups that stay large are split the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ LARGE_GROUP = 2_000
 CHUNK, LEAF = 1 << 16, 16
 #: Links kept before they are reduced to stars.
 LINKS = 1 << 20
+#: Pairs of a prefix join handled at once.
+PAIRS = 1 << 18
 
 
 def shingle_hashes(raw: bytes, k: int, seed: int = SEED) -> list[int]:
@@ -84,16 +87,31 @@ def fingerprints(docs: DataFrame, *, carry: str = "doc_id", text_col: str = "tex
     return map_batches(docs.select(carry, utf8(text_col)), run, schema)
 
 
-def set_fingerprints(docs: DataFrame, *, carry: str, text_col: str, shingle: int, words64: int) -> DataFrame:
-    """The column carry, fingerprint (as in fingerprints, of the distinct shingles) and digest (16 bytes, of the set of shingles) of every text."""
+def prefix_size(n: int, similarity: float) -> int:
+    """Of n shingles in any fixed order, how many hold SHARED of any set's with that similarity to them, if its own prefix is cut alike.
+
+    Sets that must have c in common share min(SHARED, c) at least.
+    """
+    least = math.ceil(similarity * n - 1e-9)
+    return n - least + min(SHARED, least)
+
+
+def set_fingerprints(docs: DataFrame, *, carry: str, text_col: str, shingle: int, words64: int, similarity: float) -> DataFrame:
+    """Of every text the column carry, fingerprint (as in fingerprints, of the distinct shingles) and of the set of shingles: digest
+    (16 bytes), size and prefix (the least hashes; see prefix_size)."""
 
     def run(batch: pa.RecordBatch):
         sets = [shingle_set(x.as_py(), shingle) for x in batch.column(1)]
         prints = np.concatenate([_signature(s, words64) for s in sets])
         offsets = np.arange(len(sets) + 1, dtype=np.int32) * words64
-        return batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(prints)), [xxhash.xxh128_digest(s.tobytes()) for s in sets]
-
-    schema = StructType([docs.schema[carry], StructField("fingerprint", ArrayType(LongType())), StructField("digest", BinaryType())])
+        sizes = [len(s) for s in sets]
+        heads = [s[: prefix_size(len(s), similarity)].astype(np.int64) for s in sets]
+        ends = np.concatenate(([0], np.cumsum([len(h) for h in heads]))).astype(np.int32)
+        prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(heads)))
+        return batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(prints)), [xxhash.xxh128_digest(s.tobytes()) for s in sets], sizes, prefix
+
+    longs = ArrayType(LongType())
+    schema = StructType([docs.schema[carry], StructField("fingerprint", longs), StructField("digest", BinaryType()), StructField("size", LongType()), StructField("prefix", longs)])
     return map_batches(docs.select(carry, utf8(text_col)), run, schema)
 
 
@@ -405,13 +423,15 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     return named.select(id_col, F.lower(F.lpad(F.hex("node"), 16, "0")).alias("fingerprint"), F.col("lowest").alias("component_id"))
 
 
-#: Of near-duplicates: a fingerprint of four 64-bit words in eight bands of 32 bits, compared by the trie join with three
-#: differing bits. Texts whose shingle sets have a Jaccard similarity of 0.8 differ in 15 % of the bits on average, so that some band
-#: of theirs passes in 91 % of cases (0.85: 98 %, 0.9: 99.9 %). What goes on lies within some 2.6 standard deviations of
-#: that. Links up to `sure` bits come as stars, which are checked exactly as all others are.
+#: Near-duplicates that are found first, to leave less to the prefixes: a fingerprint of four 64-bit words in eight bands of 32 bits, compared
+#: by the trie join with three differing bits. Up to `sure` bits links come as stars, up to `limit` as a forest. Neither decides what is found.
 NEAR = Plan(words64=4, bands=8, budget=3, checks=4, limit=51, sure=13)
-#: The same of texts with candidates, which are told by 16 words.
-CLOSER = Plan(words64=4, bands=8, budget=3, checks=16, limit=182, sure=90)
+#: So many shingles of two prefixes must be equal: a few more in each prefix rule out pairs that have some by chance.
+SHARED = 8
+#: A shingle in more prefixes than this goes to the end of the order, so that it is in few.
+COMMON = 64
+#: Up to so many of them are sent to the tasks.
+KNOWN_COMMON = 500_000
 
 
 def _shingle_sets(shingle: int):
@@ -423,44 +443,141 @@ def _shingle_sets(shingle: int):
     return run
 
 
-def confirmed(links: DataFrame, texts: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """Of links (a, b) between nodes, those whose texts (node, _text) have shingle sets of that Jaccard similarity."""
+def confirmed(links: DataFrame, texts_of, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """Of links (a, b) between nodes, those whose texts (texts_of gives node and _text of nodes) have shingle sets of that Jaccard similarity."""
     links = scratch.save(links.distinct())
     ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).distinct()
-    wanted = texts.join(sized(ends, scratch), "node", "left_semi").select(utf8("_text"), "node")
+    wanted = texts_of(ends).select(utf8("_text"), "node")
     sets = scratch.save(map_batches(wanted, _shingle_sets(shingle), "node bigint, shingles array<bigint>"))
     both = links.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
-def near_duplicate_firsts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, plan: Plan = NEAR, closer: Plan = CLOSER) -> tuple[DataFrame, bool]:
+def _rare_first(nodes: DataFrame, texts_of, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """node, known, size and prefix with shingles that many prefixes share last in the order, then by hash. The order is one for all nodes."""
+    tokens = nodes.select("node", F.explode("prefix").alias("shingle"))
+    common = scratch.save(tokens.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > COMMON))
+    changed = scratch.save(tokens.join(sized(common, scratch), "shingle", "left_semi").select("node").distinct())
+    sets = map_batches(texts_of(changed).select(utf8("_text"), "node"), _shingle_sets(shingle), "node bigint, shingles array<bigint>")
+    if common.count() <= KNOWN_COMMON:  # a few MB for each task: the sets needn't be dealt
+        listed = sorted((r["shingle"], r["n"]) for r in common.collect())
+        hashes, counts = (np.array(x, np.int64) for x in zip(*listed)) if listed else (np.zeros(0, np.int64),) * 2
+
+        def reorder(batch: pa.RecordBatch):
+            heads = []
+            for x in batch.column(1):
+                own = x.values.to_numpy()
+                at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+                n = np.where(hashes[at] == own, counts[at], 0)
+                heads.append(own[np.lexsort((own.view(np.uint64), n))][: prefix_size(len(own), similarity)])
+            return batch.column(0), heads
+
+        new = map_batches(sets, reorder, "node bigint, _prefix array<bigint>")
+    else:
+        ranked = sets.select("node", F.explode("shingles").alias("shingle")).join(common, "shingle", "left").groupBy("node")
+        # Hashes are compared as signed numbers here, as unsigned ones elsewhere: the sign bit is flipped.
+        order = F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("shingle").bitwiseXOR(F.lit(-(1 << 63))).alias("place"), "shingle")
+        ordered = ranked.agg(F.sort_array(F.collect_list(order))["shingle"].alias("ordered"))
+        least = F.ceil(similarity * F.size("ordered") - 1e-9)
+        length = (F.size("ordered") - least + F.least(least, F.lit(SHARED))).cast("int")
+        new = ordered.select("node", F.slice("ordered", F.lit(1), length).alias("_prefix"))
+    new = scratch.save(new)
+    return nodes.join(new, "node", "left").select("node", "known", "size", F.coalesce("_prefix", "prefix").alias("prefix"))
+
+
+def _prefix_pairs(similarity: float):
+    """Over rows (shingle, node, known, size) in order of shingle and known: for each shingle the pairs (a, b) that differ in known and whose
+    sizes may go together, with how many shingles of their prefixes must be equal."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _blocks(batches):
+            shingle, node, known, size = (x.to_numpy() for x in t.columns)
+            least = np.minimum(np.ceil(similarity * size - 1e-9), SHARED).astype(np.int64)
+            change = np.flatnonzero(shingle[1:] != shingle[:-1]) + 1
+            ends = np.concatenate((change, [len(shingle)]))
+            end = np.repeat(ends, np.diff(np.concatenate(([0], ends))))
+            runs = np.concatenate((np.flatnonzero((shingle[1:] != shingle[:-1]) | (known[1:] != known[:-1])) + 1, [len(shingle)]))
+            begin = np.repeat(runs, np.diff(np.concatenate(([0], runs))))  # partners of a row: from the next known to the block's end
+            widths = end - begin
+            total = np.concatenate(([0], np.cumsum(widths)))
+            row = 0
+            while row < len(widths):
+                last = max(row + 1, int(np.searchsorted(total, total[row] + PAIRS, side="right")) - 1)
+                w = widths[row:last]
+                i = np.repeat(np.arange(row, last), w)
+                j = np.arange(len(i)) - np.repeat(np.cumsum(w) - w, w) + np.repeat(begin[row:last], w)
+                row = last
+                may = np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6
+                if may.any():
+                    i, j = i[may], j[may]
+                    a, b = node[i], node[j]
+                    columns = (np.minimum(a, b), np.maximum(a, b), np.minimum(least[i], least[j]))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["a", "b", "least"])
+
+    return run
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Whole groups of rows alike in the first column, a batch or more at a time."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ident = batch.column(0).to_numpy()
+        if kept and kept[-1].column(0)[-1].as_py() != ident[0]:
+            yield pa.Table.from_batches(kept)
+            kept = []
+        change = np.flatnonzero(ident[1:] != ident[:-1])
+        cut = int(change[-1]) + 1 if len(change) else 0
+        if cut:
+            yield pa.Table.from_batches([*kept, batch.slice(0, cut)])
+            kept = []
+        kept.append(batch.slice(cut))
+    if kept:
+        yield pa.Table.from_batches(kept)
+
+
+def prefix_links(nodes: DataFrame, texts_of, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """Of nodes (node, known, size, prefix), all pairs (a, b) of that similarity whose known differs, among others.
+
+    Complete: of two sets that share so much, the prefixes in any one order of all shingles share elements (see prefix_size).
+    """
+    rows = _rare_first(nodes, texts_of, shingle, similarity, scratch).select(F.explode("prefix").alias("shingle"), "node", "known", "size")
+    dealt = rows.repartition("shingle").sortWithinPartitions("shingle", "known")
+    pairs = dealt.mapInArrow(_prefix_pairs(similarity), "a bigint, b bigint, least bigint")
+    return pairs.groupBy("a", "b", "least").count().filter("count >= least").select("a", "b")
+
+
+def near_duplicate_firsts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, plan: Plan = NEAR) -> tuple[DataFrame, bool]:
     """_id and _hash (of the text) of the document to keep of each group of near-duplicates, and whether such pairs repeat in docs.
 
-    Texts are linked by a Jaccard similarity of their word shingles of `similarity` or more. Candidates come from the trie join over
-    bands of longer fingerprints, then every link's shingle sets are compared exactly; see NEAR for what the bands find. Texts with equal
-    shingle sets are always one group. Texts without words are alike; fewer words than a shingle has are one shingle. Groups are connected components
-    of links; the document with the least id stays, null ids last.
+    Texts are linked by a Jaccard similarity of their word shingles of `similarity` or more. Exact and complete: a trie join over
+    bands of longer fingerprints connects most of them, a join of prefixes of the shingle sets gives all pairs that it leaves apart, and every
+    link's sets are compared. Texts with equal shingle sets are always one group. Texts without words are alike; fewer words than a shingle
+    has are one shingle. Groups are connected components of links; the document with the least id stays, null ids last.
     """
     scratch, out = Scratch(docs.sparkSession), Scratch(docs.sparkSession)
     named = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("_text"))
     keys = named.select("_text", F.struct("_id", "_hash").alias("_key"))
-    rows = scratch.save(set_fingerprints(keys, carry="_key", text_col="_text", shingle=shingle, words64=plan.words64))
+    rows = scratch.save(set_fingerprints(keys, carry="_key", text_col="_text", shingle=shingle, words64=plan.words64, similarity=similarity))
     order = F.struct(F.col("_key._id").isNull().alias("no_id"), F.col("_key._id").alias("id"), F.col("_key._hash").alias("hash"))
-    groups = scratch.save(rows.groupBy("digest", "fingerprint").agg(F.min(order).alias("least")).drop("digest").withColumn("node", F.monotonically_increasing_id()))
+    same = rows.groupBy("digest").agg(F.min(order).alias("least"), *(F.first(c).alias(c) for c in ("fingerprint", "size", "prefix"))).drop("digest")
+    groups = scratch.save(same.withColumn("node", F.monotonically_increasing_id()))
     repeats = not rows.groupBy("_key").count().filter("count > 1").isEmpty()
-    # First the links of a spanning forest. It has all texts with candidates: they alone go on, with longer fingerprints.
+    scratch.drop(rows)
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        wanted = sized(groups.join(nodes, "node", "left_semi").select("node", F.col("least.id").alias("_own_id"), F.col("least.hash").alias("_own_hash")), scratch)
+        found = named.join(wanted, named["_id"].eqNullSafe(wanted["_own_id"]) & (named["_hash"] == wanted["_own_hash"])).select("node", "_text")
+        return found.dropDuplicates(["node"]) if repeats else found
+
+    # First the links of a spanning forest, then all pairs between what those that hold leave apart.
     links = trie_links(groups.select("node", "fingerprint", F.col("node").alias("known"), F.col("fingerprint").alias("check")), plan, scratch)
-    ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).distinct()
-    wanted = sized(groups.join(ends, "node", "left_semi").select("node", F.col("least.id").alias("_own_id"), F.col("least.hash").alias("_own_hash")), scratch)
-    found = named.join(wanted, named["_id"].eqNullSafe(wanted["_own_id"]) & (named["_hash"] == wanted["_own_hash"])).select("node", "_text")
-    texts = scratch.save(found.dropDuplicates(["node"]) if repeats else found)
-    held = scratch.save(confirmed(links.select("a", "b"), texts, shingle, similarity, scratch))
-    # Then every link between what those that hold leave apart.
-    known = groups.join(components(held, scratch), "node", "left").select("node", "fingerprint", F.coalesce("root", "node").alias("known"))
-    long = set_fingerprints(texts, carry="node", text_col="_text", shingle=shingle, words64=closer.checks).select("node", F.col("fingerprint").alias("check"))
-    links = trie_links(scratch.save(known.join(long, "node")), closer, scratch, every=True)
-    held = scratch.save(held.unionAll(confirmed(links.select("a", "b"), texts, shingle, similarity, scratch)))
+    held = scratch.save(confirmed(links.select("a", "b"), texts_of, shingle, similarity, scratch))
+    known = scratch.save(groups.join(components(held, scratch), "node", "left").select("node", "size", "prefix", F.coalesce("root", "node").alias("known")))
+    links = prefix_links(known, texts_of, shingle, similarity, scratch)
+    held = scratch.save(held.unionAll(confirmed(links, texts_of, shingle, similarity, scratch)))
     firsts = out.save(labels(groups.select("node", "least"), held, scratch).select(F.col("lowest.id").alias("_id"), F.col("lowest.hash").alias("_hash")).distinct())
     scratch.clear()
     return firsts, repeats

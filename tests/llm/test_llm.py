@@ -234,6 +234,27 @@ def test_near_duplicates_with_runs(spark):
     assert sorted(r["doc_id"] for r in simhash.without_near_duplicates(df).collect()) == [10 * g for g in range(6)]
 
 
+def test_near_duplicates_are_complete(spark, monkeypatch):
+    """All pairs at 0.8 and just above it are found, and none below, with shingles that are common too."""
+    rng = random.Random(16)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(4000)]
+    lead, rows = rng.choices(words, k=30), []
+    for g in range(150):
+        w = lead + rng.choices(words, k=170)
+        v = list(w)
+        for i in rng.sample(range(35, 195, 7), 4):  # each takes five of 196 shingles
+            v[i] = rng.choice(words)
+        rows += [(2 * g, " ".join(w)), (2 * g + 1, " ".join(v))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    split = [t.split() for _, t in rows]
+    wanted = [2 * g + c for g in range(150) for c in range(2) if not c or jaccard(split[2 * g], split[2 * g + 1]) < 0.8]
+    assert 150 <= len(wanted) < 200
+    for common, known in ((5, 1000), (5, 0), (10_000, 1000)):
+        monkeypatch.setattr(simhash, "COMMON", common, raising=False)
+        monkeypatch.setattr(simhash, "KNOWN_COMMON", known, raising=False)
+        assert sorted(r["doc_id"] for r in simhash.without_near_duplicates(df).collect()) == wanted
+
+
 def base_counts(t):
     words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
     seen, dup = set(), 0
