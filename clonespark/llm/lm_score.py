@@ -22,8 +22,8 @@ from clonespark.scratch import Scratch
 
 #: Words with an id of their own, groups of the others, classes, hidden units, words seen on either side.
 VOCABULARY, OTHERS, CLASSES, HIDDEN, WINDOW = 4096, 64, 64, 16, 2
-#: Passes over all documents, each of which masks one of so many places; size of a step, places in a step.
-ROUNDS, MASK_ONE_IN, RATE, STEP = 2, 8, 0.15, 2048
+#: Passes over all documents, each of which masks its share of the places, so that all are masked once; size of a step, places in a step.
+ROUNDS, RATE, STEP = 2, 0.15, 2048
 #: Bytes of text scored together.
 SCORE_BYTES = 1 << 20
 
@@ -151,7 +151,7 @@ class Network:
         self.rows[rows] -= RATE * grad / np.sqrt(self.squares[rows])[:, None]
 
 
-def _train(words: Lexicon, start: np.ndarray | None, turn: int):
+def _train(words: Lexicon, start: np.ndarray | None, turn: int, rounds: int = ROUNDS):
     """Over a partition: weights after its masked places, a row for each row that it saw, with how often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +161,7 @@ def _train(words: Lexicon, start: np.ndarray | None, turn: int):
                 hashes = word_hashes(block)
                 ids = words.ids(hashes)
                 place = np.arange(len(ids)) - np.searchsorted(block.text, block.text)
-                masked = np.flatnonzero(mix(hashes.astype(np.uint64) + place.astype(np.uint64)) % np.uint64(MASK_ONE_IN) == turn)
+                masked = np.flatnonzero(mix(hashes.astype(np.uint64) + place.astype(np.uint64)) % np.uint64(rounds) == turn)
                 for at in range(0, len(masked), STEP):
                     chosen = masked[at : at + STEP]
                     net.learn(net.context(ids, block.text, chosen), words.class_of[ids[chosen]])
@@ -175,12 +175,12 @@ def _train(words: Lexicon, start: np.ndarray | None, turn: int):
 
 
 def train(docs: DataFrame, words: Lexicon, text_col: str = "text", rounds: int = ROUNDS) -> Network:
-    """Rounds of training in all tasks at once. The driver gets the mean weights, whose size doesn't depend on the input."""
+    """Rounds of training in all tasks at once, which mask every place once. The driver gets the mean weights, whose size doesn't depend on the input."""
     start = None
     texts = docs.select(utf8(text_col))
     schema = "row int, seen double, " + ", ".join(f"w{h} double" for h in range(HIDDEN))
     for turn in range(rounds):
-        made = texts.mapInArrow(_train(words, start, turn), schema).groupBy("row").agg(*((F.sum(F.col(f"w{h}") * F.col("seen")) / F.sum("seen")).alias(f"w{h}") for h in range(HIDDEN)))
+        made = texts.mapInArrow(_train(words, start, turn, rounds), schema).groupBy("row").agg(*((F.sum(F.col(f"w{h}") * F.col("seen")) / F.sum("seen")).alias(f"w{h}") for h in range(HIDDEN)))
         rows = Network(words.size, start).rows.copy()
         for r in made.collect():
             rows[r["row"]] = r[1:]

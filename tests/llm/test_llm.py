@@ -442,6 +442,19 @@ def test_lm_brute_force(docs):
     assert (mass <= 1 + 1e-6).all()
 
 
+def test_lm_trains_on_every_place(docs):
+    import pyarrow as pa
+
+    words = lm_score.lexicon(lm_score.word_counts(docs))
+    sample = [x for _, x in sorted(texts(docs).items())[:20]]
+    batch = pa.RecordBatch.from_arrays([pa.array([x.encode() for x in sample])], names=["text"])
+    seen = 0
+    for turn in range(lm_score.ROUNDS):
+        rows = {r: s for b in lm_score._train(words, None, turn)(iter([batch])) for r, s in zip(b["row"].to_pylist(), b["seen"].to_pylist())}
+        seen += rows[max(rows)]  # a row of biases, which every masked place moves
+    assert seen == sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in sample)
+
+
 def test_mixing(spark, docs, odd, empty):
     labels = mixing.quality_domains(spark.read.parquet(f"{DATA}/labels.parquet"))
     targets = {"q1_t0": 0.8, "q0_t0": 0.1, "q1_t1": 0.1}
