@@ -20,6 +20,9 @@ from clonespark.llm.common import map_batches, utf8
 from clonespark.llm.words import LOWER, Block, blocks, mix
 from clonespark.scratch import Scratch
 
+#: Kinds of words up to which their counts are broadcast.
+BROADCAST_KINDS = 500_000
+
 #: Words with an id of their own, groups of the others, classes, hidden units, words seen on either side.
 VOCABULARY, OTHERS, CLASSES, HIDDEN, WINDOW = 4096, 64, 64, 16, 2
 #: Passes over all documents, each of which masks its share of the places, so that all are masked once; size of a step, places in a step.
@@ -52,6 +55,7 @@ class Lexicon:
     hashes: np.ndarray  # ascending
     class_of: np.ndarray
     log_share: np.ndarray
+    log_mean: np.ndarray  # of the count; for a group, of its words' mean
 
     @property
     def size(self) -> int:
@@ -81,7 +85,7 @@ def lexicon(counts: DataFrame, size: int = VOCABULARY) -> Lexicon:
     filled = (np.cumsum(mass[order]) - mass[order] / 2) / mass.sum()
     class_of = np.empty(len(mass), np.int64)
     class_of[order] = np.minimum((filled * CLASSES).astype(np.int64), CLASSES - 1)
-    return Lexicon(hashes, class_of, np.log(mass / np.bincount(class_of, mass, CLASSES)[class_of] / kinds))
+    return Lexicon(hashes, class_of, np.log(mass / np.bincount(class_of, mass, CLASSES)[class_of] / kinds), np.log(mass / kinds))
 
 
 class Network:
@@ -188,9 +192,9 @@ def train(docs: DataFrame, words: Lexicon, text_col: str = "text", rounds: int =
     return Network(words.size, start)
 
 
-def score(net: Network, words: Lexicon, block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Words of each text, and the sum of their conditional log-probabilities."""
-    ids = words.ids(word_hashes(block))
+def score(net: Network, words: Lexicon, block: Block, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each text, and the sum of their conditional log-probabilities, where words of a group have equal shares."""
+    ids = words.ids(word_hashes(block) if hashes is None else hashes)
     logs = np.empty(len(ids))
     for at in range(0, len(ids), 1 << 14):
         places = np.arange(at, min(len(ids), at + (1 << 14)))
@@ -207,12 +211,28 @@ def pseudo_likelihood(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     empty text has no words and log_prob 0. Words are runs of anything but ASCII white space, A-Z lower-cased.
     Null and repeated ids are scored row by row; other columns are ignored; an empty table gives an empty result.
     """
-    words = lexicon(Scratch(docs.sparkSession).save(word_counts(docs, text_col)), vocabulary)
+    scratch = Scratch(docs.sparkSession)
+    counts = scratch.save(word_counts(docs, text_col))
+    words = lexicon(counts, vocabulary)
     net = train(docs, words, text_col, rounds)
 
     def run(batch: pa.RecordBatch):
-        made = [score(net, words, b) for b in blocks(batch.column(1), SCORE_BYTES)]
-        return batch.column(0), np.concatenate([m[0] for m in made]), np.concatenate([m[1] for m in made])
-
-    out = map_batches(docs.select(id_col, utf8(text_col)), run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_tokens bigint, log_prob double")
+        made = []
+        for block in blocks(batch.column(1), SCORE_BYTES):
+            hashes = word_hashes(block)
+            counts, sums = score(net, words, block, hashes)
+            ids = words.ids(hashes)
+            rest = ids >= len(words.hashes)
+            sums -= np.bincount(block.text[rest], words.log_mean[ids[rest]], block.n)
+            made.append((counts, sums, hashes[rest], np.bincount(block.text[rest], minlength=block.n)))
+        n, sums, rest, sizes = (np.concatenate(x) for x in zip(*made))
+        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        return batch.column(0), n, sums, pa.ListArray.from_arrays(pa.array(offsets), pa.array(rest))
+
+    # Each word of a group brings its own count in place of the group's mean.
+    made = map_batches(docs.select(F.col(id_col).alias("_id"), utf8(text_col)), run, f"_id {docs.schema[id_col].dataType.simpleString()}, n_tokens bigint, log_prob double, rest array<bigint>")
+    made = scratch.save(made.withColumn("_row", F.monotonically_increasing_id()))
+    counts = F.broadcast(counts) if counts.count() <= BROADCAST_KINDS else counts
+    own = made.select("_row", F.explode("rest").alias("hash")).join(counts, "hash").groupBy("_row").agg(F.sum(F.log("n")).alias("own"))
+    out = made.join(own, "_row", "left").select(F.col("_id").alias(id_col), "n_tokens", (F.col("log_prob") + F.coalesce("own", F.lit(0.0))).alias("log_prob"))
     return out.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))

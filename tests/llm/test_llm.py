@@ -442,6 +442,22 @@ def test_lm_brute_force(docs):
     assert (mass <= 1 + 1e-6).all()
 
 
+def test_lm_words_have_their_own_counts(spark, monkeypatch):
+    """Words without an id of their own that share a group differ by their counts."""
+    from clonespark.llm.words import blocks, mix
+    import pyarrow as pa
+
+    kinds = [f"w{i}" for i in range(300)]
+    (block,) = blocks(pa.array([" ".join(kinds)]))
+    group = mix(lm_score.word_hashes(block).astype(np.uint64)) % np.uint64(lm_score.OTHERS)
+    a, b = [k for k, g in zip(kinds, group) if g == group[0]][:2]
+    df = spark.createDataFrame([(1, a), (2, b), *((3 + i, "the of " * 20 + a) for i in range(4)), (None, a)], "doc_id long, text string")
+    for kinds in (1000, 0):
+        monkeypatch.setattr(lm_score, "BROADCAST_KINDS", kinds, raising=False)
+        got = {r["doc_id"]: r["log_prob"] for r in lm_score.pseudo_likelihood(df, vocabulary=2).collect()}
+        assert math.isclose(got[1] - got[2], math.log(6), rel_tol=1e-6) and got[None] == got[1] and len(got) == 7
+
+
 def test_lm_trains_on_every_place(docs):
     import pyarrow as pa
 
