@@ -17,10 +17,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of Parquet files up to which a table is broadcast; it takes several times that in memory.
+BROADCAST_BYTES = 8 << 20
+
+
+def fits(saved: DataFrame, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a table that Scratch.save wrote is small enough to be broadcast."""
+    spark, path = saved.sparkSession, saved._scratch_path
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength() <= most_bytes
+
+
 def sized(df: DataFrame, scratch: Scratch, most_rows: int = 500_000) -> DataFrame:
-    """A narrow table for the other side of a join, written once and counted: broadcast up to most_rows, shuffled beyond."""
-    out = scratch.save(df)
-    return F.broadcast(out) if out.count() <= most_rows else out
+    """A narrow table for the other side of a join, written once and measured: broadcast up to most_rows and BROADCAST_BYTES, shuffled beyond."""
+    out = df if hasattr(df, "_scratch_path") else scratch.save(df)
+    return F.broadcast(out) if fits(out) and out.count() <= most_rows else out
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str) -> DataFrame:

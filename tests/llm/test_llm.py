@@ -318,15 +318,92 @@ def test_language_learns_from_its_fold_only(docs):
 
 def test_html():
     page = "<body><nav>m</nav><div class='side-bar ad'>x</div><article><h1>H &amp; h</h1><p>a <b>b</b><br>c<p>d<script>no()</script>e<ul><li>1<li>2</ul><section id=comments><p>troll</section></article><footer>f</footer>"
-    assert html_text.main_text(page, html_text.skeleton(page)) == "H & h\n\na b c\n\nde\n\n1\n\n2"
-    for bad in ("", "<", "<p", "a<b", "<!-- x", "<p a='>z</p>", "<div>" * 3000 + "x", "<b></i></u>t"):
-        html_text.main_text(bad, html_text.skeleton(bad))
+    assert html_text.main_text(page) == "H & h\n\na b c\n\nde\n\n1\n\n2"
+    kept = {
+        '<div class="layout has-sidebar"><p>body text</p></div>': "body text",
+        '<div class="social-science"><p>t</p></div>': "t",
+        '<div class="sidebar"><p>all there is</p></div>': "all there is",
+        '<p title="hidden costs">one</p><div data-hidden="false">two</div>': "one\n\ntwo",
+        "<p>a <span hidden>x <span>y</span> z</span> b</p><p style='display: none'>c</p>": "a b",
+        "<p>a <img src=x> b<!-- c --> d</p><hr>e<article": "a b d\n\ne",
+        "<p a='>z</p>": "z",
+        "<div><i>" * 3000 + "deep<nav>menu</nav>": "deep",
+    }
+    assert {p: html_text.main_text(p) for p in kept} == kept
+    for bad in ("", "<", "<p", "a<b", "<!-- x", "<b></i></u>t"):
+        html_text.main_text(bad)
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    for unit in ("<script ", "<a ", '<p "', "<p a='", "<div>", "<x>", "</x>", "<li>", "<p>t", "<h2>a</h2><p>b</p><ul><li>c</ul>", "<!--", '<p a="b'):
+        began = time.process_time()
+        html_text.main_text(unit * (300_000 // len(unit)))
+        assert time.process_time() - began < 5, unit
 
 
 def test_wrappers_take_in_their_pages():
-    pages = ["<div><h1>a</h1><p>b</p></div>", "<div><p>b</p><p>c</p></div>", "<div><h1>a</h1><ul><li>x</ul></div>"]
-    wrapper = html_text.fold([html_text.skeleton(p) for p in pages])
+    fold = lambda *pages: html_text.fold([html_text.Page(p).skeleton for p in pages])
+    wrapper = fold("<div><h1>a</h1><p>b</p></div>", "<div><p>b</p><p>c</p></div>", "<div><h1>a</h1><ul><li>x</ul></div>")
     assert wrapper == "div(h1(#)? p(#)+? ul(li(#))?)" and html_text.write(html_text.read(wrapper)) == wrapper
+    rows = "<h2>a</h2><p>b</p><p>c</p>" * 30
+    assert fold(rows, "<h2>a</h2><ul><li>x</ul>" * 40, "<h1>t</h1>" + rows) == "h1(#)? (h2(#) p(#)+)+? (h2(#) ul(li(#)))+?"
+    many = "".join(f"<{x}>t</{x}>" for x in random.Random(17).choices(["h2", "p", "ul", "pre", "table"], k=600))
+    skeleton = html_text.Page(many).skeleton
+    assert html_text.write(html_text.align(html_text.read(skeleton), html_text.read(skeleton + " div(#)"))) == skeleton + " div(#)?"
+
+
+def site(rng, n, article="div", menu="div"):
+    """Pages of one host without telling names: menu, notice, article, footer; and the articles' texts."""
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(3000)]
+    say = lambda k: " ".join(rng.choices(words, k=k))
+    names = {x: "".join(rng.choices("qrstuvw", k=7)) for x in ("menu", "note", "text", "end", "page")}
+    pages, texts = [], []
+    for i in range(n):
+        title, paragraphs = say(6), [say(rng.randrange(5, 120)) for _ in range(rng.randrange(1, 6))]
+        links = "".join(f"<a href=/{x}>{x}</a> " for x in rng.choices(words, k=rng.randrange(3, 9)))
+        note = "<p>We keep this notice on all of our pages for you.</p>" if i % 10 else ""
+        own = f"<div class={''.join(rng.choices('xyz', k=9))}></div>"
+        pages.append(f"<body><{menu} class={names['menu']}>{links}</{menu}>{own}<div class='{names['page']} post-{i}'><{article} class={names['text']}>{note}<h1>{title}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs) + f"</{article}></div><div class={names['end']}>{say(4)}</div>")
+        texts.append("\n\n".join([title, *paragraphs]))
+    return pages, texts
+
+
+def test_wrappers_decide(spark):
+    """Without names that tell, an article comes out by its host's wrapper, and not without it."""
+    rng = random.Random(18)
+    rows, wanted, alone = [], {}, 0
+    for h in range(3):
+        pages, texts_ = site(rng, 60)
+        for p, t in zip(pages, texts_):
+            alone += html_text.main_text(p) == t
+            wanted[len(rows)] = t
+            rows.append((len(rows), f"https://h{h}.example/{len(rows)}", p))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(df).collect()}
+    assert got == wanted and alone < 0.3 * len(rows)
+    rules = [html_text.Rule.of([html_text.Page(p) for _, u, p in rows if f"h{h}." in u]) for h in range(3)]
+    assert [html_text.main_text(p, rules[int(u[9])]) for _, u, p in rows] == list(wanted.values())
+
+
+def test_rules_in_rounds_and_shuffled(spark, monkeypatch):
+    """Skeletons folded in several rounds, and rules that are too many to broadcast, give the same texts."""
+    from clonespark.llm import common
+
+    pages, texts_ = site(random.Random(19), 50)
+    df = spark.createDataFrame([(i, "http://h/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    monkeypatch.setattr(html_text, "FOLD", 4)
+    monkeypatch.setattr(html_text, "fits", lambda df: False)
+    monkeypatch.setattr(common, "fits", lambda df: False)
+    assert {r["page_id"]: r["text"] for r in html_text.extract_text(df).collect()} == dict(enumerate(texts_))
+
+
+def test_pages_without_an_article_where_others_have_one():
+    pages, texts_ = site(random.Random(20), 30, "article", "nav")
+    rule = html_text.Rule.of([html_text.Page(p) for p in pages])
+    assert rule.in_article and [html_text.main_text(p, rule).split("\n\n")[-1] for p in pages] == [t.split("\n\n")[-1] for t in texts_]
+    assert html_text.main_text("<nav>a</nav><div><p>b</p></div>", rule) == "b"
 
 
 def test_extract_text(spark):
