@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clonespark.scratch import Scratch
@@ -55,6 +55,28 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dic
     return df.mapInArrow(run, kinds)
 
 
+def column_function(function: Callable[[pa.Array], pa.Array | list], kind: str) -> Callable[[str], Column]:
+    """A column function from a function of an Arrow array of texts as UTF-8 bytes (null: empty) to values, or for a struct to one list of values for each field.
+
+    The other columns of a row don't go through Python. Batches are bounded as in map_batches.
+    """
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import _parse_datatype_string
+
+    arrow = to_arrow_type(_parse_datatype_string(kind))
+
+    def run(texts: pa.Array) -> pa.Array:
+        pa.default_memory_pool().release_unused()  # of the batch before
+        out = function(texts) if len(texts) else [[] for _ in arrow] if pa.types.is_struct(arrow) else []
+        if not pa.types.is_struct(arrow):
+            return _as(out, arrow)
+        return pa.StructArray.from_arrays([_as(x, f.type) for x, f in zip(out, arrow, strict=True)], fields=list(arrow))
+
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    made = F.arrow_udf(run, kind)
+    return lambda column: made(utf8(column))
+
+
 def _as(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()

@@ -33,6 +33,8 @@ class Block:
 
     def per_text(self, mask: np.ndarray) -> np.ndarray:
         """How many bytes of each text the mask holds for."""
+        if self.n == 1:  # a long text: no sums over each of its bytes
+            return np.array([np.count_nonzero(mask)], np.int64)
         sums = np.concatenate(([0], np.cumsum(mask, dtype=np.int64)))
         return sums[self.offsets[1:]] - sums[self.offsets[:-1]]
 
@@ -58,11 +60,20 @@ class Block:
         """A 64-bit hash of each word's bytes; equal words have equal hashes."""
         if not len(self.starts):
             return np.zeros(0, np.uint64)
-        data = self.data if data is None else data
-        sizes = self.ends - self.starts
+        data, out = self.data if data is None else data, np.empty(len(self.starts), np.uint64)
+        at = 0
+        while at < len(out):  # words of BLOCK_BYTES together, or one that is longer
+            end = max(at + 1, int(np.searchsorted(self.ends, self.starts[at] + BLOCK_BYTES, side="right")))
+            out[at:end] = self._hashed(data, self.starts[at:end], self.ends[at:end])
+            at = end
+        return out
+
+    @staticmethod
+    def _hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        sizes = ends - starts
         at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)  # place within the word
         powers = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(int(sizes.max()) - 1, BASE, np.uint64))))
-        values = (data[at + np.repeat(self.starts, sizes)].astype(np.uint64) + np.uint64(1)) * powers[at]
+        values = (data[at + np.repeat(starts, sizes)].astype(np.uint64) + np.uint64(1)) * powers[at]
         return mix(np.add.reduceat(values, np.cumsum(sizes) - sizes))
 
     def grams(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -281,17 +281,75 @@ def test_quality(spark, docs, odd, empty):
     assert quality.quality_filter(docs).count() == sum(r["kept"] for r in got)
 
 
+def planted_votes(rng, n):
+    """Votes of rules with known probabilities on good and low documents."""
+    good = rng.random(n) < 0.85
+    p_good = np.array([[0.001, 0.009, 0.99], [0.01, 0.09, 0.9], [0.02, 0.13, 0.85], [0.0, 0.03, 0.97], [0.005, 0.005, 0.99]])
+    p_low = np.array([[0.6, 0.2, 0.2], [0.3, 0.3, 0.4], [0.4, 0.3, 0.3], [0.5, 0.2, 0.3], [0.1, 0.5, 0.4]])
+    draw = rng.random((n, 5, 1))
+    of = lambda p: np.array([-2, -1, 1])[(draw > np.cumsum(p, 1)[:, :2]).sum(2)]
+    votes = np.where(good[:, None], of(p_good), of(p_low))
+    votes[rng.random(votes.shape) < 0.1] = 0
+    return good, votes, p_good, p_low
+
+
 def test_label_model_finds_accuracies():
     rng = np.random.default_rng(6)
-    good = rng.random(20_000) < 0.85
-    right = [0.97, 0.9, 0.8]
-    low = np.array([np.where(rng.random(len(good)) < r, ~good, False) for r in right]).T
-    votes = np.where(low, -1, np.where(rng.random(low.shape) < 0.2, 0, 1))
+    good, votes, p_good, p_low = planted_votes(rng, 40_000)
+    patterns, where, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    model = quality.fit_label_model(list("abcde"), patterns, counts)
+    assert abs(model.share - 0.85) < 0.02 and np.abs(model.good - p_good).max() < 0.03 and np.abs(model.low - p_low).max() < 0.05
+    right = 0.85 * p_good[:, 2] + 0.15 * p_low[:, :2].sum(1)
+    assert np.abs(np.array(list(model.accuracy.values())) - right).max() < 0.03
+    # the posterior tells more than a vote of all rules, and single low votes don't decide
+    w = model.weights()
+    score = np.log(model.share / (1 - model.share)) + sum(np.where(votes == v, w[:, k], 0).sum(1) for k, v in enumerate(quality.VOTES))
+    lows = (votes < 0).sum(1)
+    assert ((score > 0) == good).mean() > max(((lows == 0) == good).mean(), 0.97)
+    assert (score[lows == 1] > 0).any() and (score[lows == 1] < 0).any()
+
+
+def test_label_model_brute_force():
+    """EM document by document, in plain Python, ends where EM over patterns does."""
+    _, votes, *_ = planted_votes(np.random.default_rng(13), 300)
     patterns, counts = np.unique(votes, axis=0, return_counts=True)
-    model = quality.fit_label_model(["a", "b", "c"], patterns, counts)
-    share = [1 / (1 + math.exp(-(model.prior + sum(model.weights[n][v + 1] for n, v in zip("abc", p))))) for p in patterns]
-    wrong = sum(c for p, c, s in zip(patterns, counts, share) if (p < 0).any() and s > 0.5)
-    assert wrong < 0.01 * len(good)
+    model = quality.fit_label_model(list("abcde"), patterns, counts, rounds=25, tolerance=0)
+    belief = [quality.START[min(3, -sum(min(v, 0) for v in row))] for row in votes.tolist()]
+    for _ in range(25):
+        share = (sum(belief) + quality.SHARE * quality.STRENGTH) / (len(votes) + quality.STRENGTH)
+        tables = []
+        for weight, prior in ((lambda b: b, quality.PRIOR_GOOD), (lambda b: 1 - b, quality.PRIOR_LOW)):
+            table = [[quality.STRENGTH * x for x in prior] for _ in range(5)]
+            for row, b in zip(votes.tolist(), belief):
+                for r, v in enumerate(row):
+                    if v:
+                        table[r][quality.VOTES.index(v)] += weight(b)
+            tables.append([[x / sum(t) for x in t] for t in table])
+        belief = []
+        for row in votes.tolist():
+            a, b = share, 1 - share
+            for r, v in enumerate(row):
+                if v:
+                    k = quality.VOTES.index(v)
+                    a, b = a * tables[0][r][k], b * tables[1][r][k]
+            belief.append(a / (a + b))
+    assert math.isclose(model.share, share, rel_tol=1e-9) and np.allclose(model.good, tables[0]) and np.allclose(model.low, tables[1])
+
+
+def test_quality_verdicts_weigh_votes(spark):
+    """A document with one low vote may stay, so the verdict isn't that of all rules; junk of one kind goes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rng = random.Random(21)
+    numbers = " ".join(x for _ in range(60) for x in ("".join(rng.choices("abcdefgh", k=7)), "".join(rng.choices("0123456789", k=3))))
+    docs = docs.unionByName(spark.createDataFrame([(900_000, numbers)], "doc_id long, text string"))
+    rows = docs.select("doc_id", quality.quality_features().alias("f")).select("doc_id", "f.*").withColumns(quality.rules()).collect()
+    lows = {r["doc_id"]: sum(r[x] < 0 for x in quality.rules()) for r in rows}
+    got = [r for r in quality.quality_verdicts(docs).collect() if not r["base_failed"]]
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    assert lows[900_000] == 1 and {r["doc_id"]: r["kept"] for r in got}[900_000]
+    assert not any(r["kept"] for r in got if lows[r["doc_id"]] > 2)
+    judged = [r["kept"] == bool(labels[r["doc_id"]]) for r in got if r["doc_id"] in labels]
+    assert sum(judged) >= 0.99 * len(judged)
 
 
 def test_language(spark, docs, odd, empty):
