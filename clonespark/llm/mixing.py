@@ -4,11 +4,12 @@ A classifier, fitted to a table of labelled documents, gives each document a pro
 squares then finds rates, one for each document and none negative, such that the expected tokens of each domain meet their
 targets. A rate is how many times a document is to be taken on average.
 
-With p the posteriors and n the tokens of documents, the tokens of domain k at rates w are A w = sum of n w p_k. The squared
-error is measured by G, the sum of n p p', in which domains that overlap are not counted twice, and rates by n. Then a
-gradient step of length one is w - p . g with g = G^-1 (A w - target), clipped at zero and at MOST: the same for every document with
-the same posterior, whatever its length. So an iteration needs only the sums A w, a number for each domain, from all
-documents, and the history of g is all that it takes to compute any document's rate.
+With p the posteriors and n the tokens of documents, the tokens of domain k at rates w are A w = sum of n w p_k. A step from rates of one along
+the gradient, projected on what rates may be, is w = max(0, 1 - p . l): of all rates that attain their totals these lie nearest to one, if l
+is right. l, a number for each domain, moves against the gradient of the miss, A w - target, scaled by G^-1, where G is the sum of n p p' over the
+documents whose rate isn't clipped: so a step meets the targets but for the rates that it clips itself, and is halved while it doesn't come
+nearer. An iteration needs only sums from all documents, a number for each domain and pair of domains, and l is all that it takes to compute any
+document's rate. What totals the rates attain is reported beside the targets; targets that no rates can meet are met as closely as EASE makes worth it.
 """
 
 from __future__ import annotations
@@ -17,11 +18,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from clonespark.llm.common import map_batches, utf8
+from clonespark.llm.common import column_function, map_batches, utf8
 from clonespark.llm.words import LOWER, Block, blocks
 from clonespark.scratch import Scratch
 
@@ -31,15 +31,10 @@ BUCKETS = 1 << 15
 #: A word counts if a likelihood-ratio test (G, one degree of freedom) tells that it goes with a domain, or against it.
 LEAST_G = 20.0
 MARKS = [np.isin(np.arange(256), list(x)) for x in (b"#*$%&|<>", b"!", bytes(range(0x41, 0x5B)), bytes(range(0x30, 0x3A)))]
-ITERATIONS, TOLERANCE = 40, 1e-4
-#: A domain with a smaller share of the labelled documents is left out: it can't be told, and what posteriors give it lies thinly
-#: over all documents, where no rate reaches it.
-LEAST_SHARE = 0.01
-#: Mixtures of domains in which posteriors scarcely vary, as a share of the strongest, are left as they are: no rates could change them
-#: without taking most documents many times or not at all.
-SCARCELY = 3e-3
-#: No document is taken more often than this, whatever the targets.
-MOST = 4.0
+#: Steps at most, and the largest miss of a domain, as a share of all tokens, at which they end.
+ITERATIONS, TOLERANCE = 60, 1e-5
+#: What moving rates off one costs beside missing targets, both as mean squares: keeps rates finite where targets can't be met.
+EASE = 1e-5
 
 
 def _parts(block: Block):
@@ -80,15 +75,16 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def fit_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", sample: int = SAMPLE_DOCS) -> DomainModel | None:
+def fit_domains(docs: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", sample: int = SAMPLE_DOCS, least_share: float = 0.0) -> DomainModel | None:
     """Fit to about `sample` documents that `labelled` (id_col, domain_col) names, chosen by a hash of the id, of all domains alike.
 
-    Only sets of buckets come to the driver, at most 2 * BUCKETS bytes each. None if no document is labelled.
+    Only sets of buckets come to the driver, at most 2 * BUCKETS bytes each. None if no document is labelled. least_share: domains with a smaller
+    share of the labelled documents are left out (none by default).
     """
     known = labelled.select(F.col(id_col).alias("_id"), F.col(domain_col).cast("string").alias("_domain")).filter("_id IS NOT NULL AND _domain IS NOT NULL")
     ids = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     counts = {r["_domain"]: r["count"] for r in known.join(docs.select(F.col(id_col).alias("_id")).distinct(), "_id", "left_semi").groupBy("_domain").count().collect()}
-    counts = {d: n for d, n in counts.items() if n >= LEAST_SHARE * sum(counts.values())}
+    counts = {d: n for d, n in counts.items() if n >= least_share * sum(counts.values())}
     if not counts:
         return None
     domains, quota = sorted(counts), max(50, sample // len(counts))
@@ -153,63 +149,71 @@ def _g_test(having: np.ndarray, docs: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Rates:
-    """The steps g of all iterations, each a number for every domain, and the greatest rate."""
+    """The multiplier of each domain; most: the greatest rate, if there is one. And shares of tokens by domain."""
 
-    steps: np.ndarray
-    most: float = MOST
+    multipliers: np.ndarray
+    most: float = np.inf
+    target: np.ndarray | None = None
+    present: np.ndarray | None = None
+    attained: np.ndarray | None = None
 
     def of(self, posteriors: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-        w = np.ones(len(posteriors))
-        for g in self.steps:
-            w = np.clip(w - posteriors @ g, 0, self.most)
-        return np.where(tokens > 0, w, 1.0)
+        return np.where(tokens > 0, np.clip(1 - posteriors @ self.multipliers, 0, self.most), 1.0)
 
 
 def _matrix(column: pa.Array, k: int) -> np.ndarray:
     return column.flatten().to_numpy().reshape(-1, k)
 
 
-def fit_rates(posteriors: DataFrame, targets: np.ndarray, relative: bool = False, iterations: int = ITERATIONS) -> Rates:
+def _totals(posteriors: DataFrame, rates: Rates, k: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Tokens of each domain at the rates, G over the documents whose rate isn't clipped, and the part of the objective that is summed over documents."""
+
+    def sums(batch: pa.RecordBatch):
+        p, n = _matrix(batch.column(0), k), batch.column(1).to_numpy().astype(float)
+        z = 1 - p @ rates.multipliers
+        w = np.clip(z, 0, rates.most)
+        free = (w > 0) & (w < rates.most)
+        return list(range(k + k * k + 1)), np.concatenate(((w * n) @ p, (p[free].T @ (p[free] * n[free, None])).ravel(), [n @ (w * np.maximum(z, 0) - w * w / 2)]))
+
+    out = np.zeros(k + k * k + 1)
+    for r in map_batches(posteriors.select("p", "n_tokens"), sums, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
+        out[r["i"]] = r["v"]
+    return out[:k], out[k:-1].reshape(k, k), float(out[-1])
+
+
+def fit_rates(posteriors: DataFrame, targets: np.ndarray, *, iterations: int = ITERATIONS, tolerance: float = TOLERANCE, ease: float = EASE, most: float | None = None) -> Rates:
     """Least squares over a table of p (array<double>) and n_tokens. A few numbers for each batch are summed by Spark.
 
-    targets: shares of all tokens, or if relative, factors to the shares that the domains have. Either is brought to a sum of one.
+    targets: shares of all tokens, brought to a sum of one. most: no rate exceeds it (by default there is no such bound).
     """
-    k = len(targets)
-
-    def moments(batch: pa.RecordBatch):
-        p, n = _matrix(batch.column(0), k), batch.column(1).to_numpy()
-        return [0] * (k * k), list(range(k * k)), np.einsum("d,di,dj->ij", n.astype(float), p, p).ravel()
-
-    rows = map_batches(posteriors.select("p", "n_tokens"), moments, "x int, i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
-    gram = np.zeros(k * k)
-    for r in rows:
-        gram[r["i"]] = r["v"]
-    gram = gram.reshape(k, k)
-    total = gram.sum()  # posteriors add up to one
+    k, rates = len(targets), Rates(np.zeros(len(targets)), np.inf if most is None else most)
+    held, gram, cost = _totals(posteriors, rates, k)
+    total, whole = held.sum(), gram  # posteriors add up to one
     if total <= 0:
-        return Rates(np.zeros((0, k)))
-    shares = gram.sum(1) * targets if relative else targets
-    wanted, inverse, steps = shares / shares.sum() * total, np.linalg.pinv(gram, rcond=SCARCELY, hermitian=True), []
+        return rates
+    wanted = targets / targets.sum() * total
+    rates.target, rates.present, rates.attained = wanted / total, held / total, held / total
+    objective = lambda cost, x: cost + x @ wanted + ease / 2 * x @ whole @ x
+    best = objective(cost, rates.multipliers)
     for _ in range(iterations):
-        now = Rates(np.array(steps).reshape(-1, k))
-
-        def sums(batch: pa.RecordBatch, now: Rates = now):
-            p, n = _matrix(batch.column(0), k), batch.column(1).to_numpy()
-            return list(range(k)), (now.of(p, n) * n) @ p
-
-        held = np.zeros(k)
-        for r in map_batches(posteriors.select("p", "n_tokens"), sums, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
-            held[r["i"]] = r["v"]
-        error = held - wanted
-        if np.abs(error).max() <= TOLERANCE * total:
+        gradient = wanted - held + ease * whole @ rates.multipliers
+        if min(np.abs(held - wanted).max(), np.abs(gradient).max() * 10) <= tolerance * total:
             break
-        steps.append(inverse @ error)
-    return Rates(np.array(steps).reshape(-1, k))
+        step = -np.linalg.pinv(gram + ease * whole, rcond=1e-14, hermitian=True) @ gradient
+        for size in 0.5 ** np.arange(12):
+            new = Rates(rates.multipliers + size * step, rates.most, rates.target, rates.present)
+            held_new, gram_new, cost_new = _totals(posteriors, new, k)
+            if objective(cost_new, new.multipliers) <= best + 1e-4 * size * (gradient @ step):
+                break
+        else:
+            break
+        rates, held, gram, best = new, held_new, gram_new, objective(cost_new, new.multipliers)
+        rates.attained = held / total
+    return rates
 
 
-#: By default the mixture has a quarter of the low-quality and toxic tokens that there are, and more of the others in their place. Factors to
-#: present shares ask for no more of a rare domain than there is, so that no document is repeated many times over.
-FACTORS = {"q1_t0": 1.0, "q1_t1": 0.25, "q0_t0": 0.25, "q0_t1": 0.25}
+#: Shares of tokens by default: few of low quality, fewer toxic ones.
+TARGETS = {"q1_t0": 0.94, "q1_t1": 0.02, "q0_t0": 0.03, "q0_t1": 0.01}
 
 
 def quality_domains(labels: DataFrame) -> DataFrame:
@@ -217,66 +221,89 @@ def quality_domains(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", F.concat(F.lit("q"), F.col("quality").cast("string"), F.lit("_t"), F.col("toxic").cast("string")).alias("domain"))
 
 
-def _with_posteriors(rows: DataFrame, text: str, carry: str, model: DomainModel) -> DataFrame:
-    def run(batch: pa.RecordBatch):
+def toxicity_domains(labels: DataFrame) -> DataFrame:
+    """doc_id and domain (clean or toxic) from a table of labels."""
+    return labels.select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("toxic") == 0, "clean").alias("domain"))
+
+
+def _posteriors(model: DomainModel):
+    """A column function: p and n_tokens of texts."""
+
+    def run(texts: pa.Array):
         p, n = [], []
-        for block in blocks(batch.column(0)):
+        for block in blocks(texts):
             n.append(_tokens(Block(block.first, block.data, block.offsets)))
             p.append(model.posteriors(block))
         p, k = np.concatenate(p), len(model.domains)
-        return batch.column(1), pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * k), pa.array(p.ravel())), np.concatenate(n)
+        return [pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * k), pa.array(p.ravel())), np.concatenate(n)]
 
-    schema = StructType([rows.schema[carry], StructField("p", ArrayType(DoubleType())), StructField("n_tokens", LongType())])
-    return map_batches(rows.select(utf8(text), carry), run, schema)
+    return column_function(run, "struct<p: array<double>, n_tokens: bigint>")
 
 
-def _rated(posteriors: DataFrame, carry: str, rates: Rates, k: int) -> DataFrame:
-    def run(batch: pa.RecordBatch):
-        return *batch.columns, rates.of(_matrix(batch.column(1), k), batch.column(2).to_numpy())
+def _rate(rates: Rates) -> Column:
+    """The rate of a row with p and n_tokens, in the JVM."""
+    each = F.array(*map(F.lit, rates.multipliers.tolist()))
+    dot = F.aggregate(F.zip_with("p", each, lambda x, y: x * y), F.lit(0.0), lambda a, b: a + b)
+    return F.when(F.col("n_tokens") > 0, F.least(F.greatest(1 - dot, F.lit(0.0)), F.lit(float(rates.most)))).otherwise(1.0)
+
 
-    schema = StructType([posteriors.schema[carry], posteriors.schema["p"], posteriors.schema["n_tokens"], StructField("rate", DoubleType())])
-    return map_batches(posteriors.select(carry, "p", "n_tokens"), run, schema)
+def _solved(posteriors: DataFrame, domains: list[str], targets: dict[str, float], most: float | None) -> Rates:
+    given = np.array([max(targets.get(d, 0.0), 0.0) for d in domains])
+    return fit_rates(posteriors, given if given.sum() else np.ones(len(domains)), most=most)
 
 
-def _solved(posteriors: DataFrame, domains: list[str], targets: dict[str, float] | None) -> Rates:
-    given = np.array([max((FACTORS if targets is None else targets).get(d, 1.0 if targets is None else 0.0), 0.0) for d in domains])
-    return fit_rates(posteriors, given if given.sum() else np.ones(len(domains)), relative=targets is None)
+def copies(rate: Column, draw: Column) -> Column:
+    """Whole copies for a rate: its floor, and one more for as many rows, by their draw, as its fraction says."""
+    return F.floor(rate + F.pmod(draw, F.lit(1 << 30)) / float(1 << 30)).cast("bigint")
 
 
-def copies(rate, id_col: str):
-    """Whole copies for a rate: its floor, and one more for as many ids, by their hash, as its fraction says."""
-    chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(31)), F.lit(1 << 30)) / float(1 << 30)
-    return F.floor(rate + chance).cast("bigint")
+def _draw(id_col: str, text_col: str) -> Column:
+    """A hash of id and text, so that rows without an id don't share one."""
+    return F.xxhash64(F.col(id_col), F.col(text_col), F.lit(31))
 
 
-def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE_DOCS) -> DataFrame:
+def mixture(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE_DOCS, most: float | None = None, least_share: float = 0.0) -> DataFrame:
     """Rates of all documents at which the domains' expected shares of tokens meet the targets.
 
-    labelled: id_col and domain. targets: shares by domain, brought to a sum of one over the domains that are labelled; without
-    them the present shares times FACTORS. The expected total stays that of docs. Returns id_col, n_tokens (words), domain (the likeliest), posteriors
-    (by name), rate and copies. Without labelled documents the domain is null and all rates are one, as is
-    that of a text without words. Targets that no rates can meet are met in the least-squares sense. Null and
-    repeated ids are rated row by row; other columns are ignored; an empty table gives an empty result.
+    labelled: id_col and domain. targets: shares by domain, brought to a sum of one over the domains that are labelled; TARGETS by
+    default. The expected total stays that of docs. Returns id_col, n_tokens (words), domain (the likeliest), posteriors
+    (by name), rate, copies, and shares, the same in every row: by domain its target, present and attained share of the tokens. Without labelled
+    documents the domain is null and all rates are one, as is that of a text without words. Targets that no rates can meet
+    are met in the least-squares sense: shares tells. most: no rate exceeds it; least_share: domains with a smaller share of the
+    labels are left out; neither holds by default. Null and repeated ids are rated row by row; other columns are ignored; an empty
+    table gives an empty result.
     """
-    model = fit_domains(docs, labelled, id_col=id_col, text_col=text_col, sample=sample)
+    shares = "map<string,struct<target:double,present:double,attained:double>>"
+    model = fit_domains(docs, labelled, id_col=id_col, text_col=text_col, sample=sample, least_share=least_share)
     if model is None:
         words = F.size(F.array_remove(F.split(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("bigint")
-        return docs.select(id_col, words.alias("n_tokens"), F.lit(None).cast("string").alias("domain"), F.lit(None).cast("map<string,double>").alias("posteriors"), F.lit(1.0).alias("rate"), F.lit(1).cast("bigint").alias("copies"))
-    k = len(model.domains)
-    posteriors = Scratch(docs.sparkSession).save(_with_posteriors(docs, text_col, id_col, model))
-    rated = _rated(posteriors, id_col, _solved(posteriors, model.domains, targets), k)
+        none = [F.lit(None).cast(kind).alias(name) for name, kind in (("domain", "string"), ("posteriors", "map<string,double>"))]
+        return docs.select(id_col, words.alias("n_tokens"), *none, F.lit(1.0).alias("rate"), F.lit(1).cast("bigint").alias("copies"), F.lit(None).cast(shares).alias("shares"))
+    rows = docs.select(F.col(id_col).alias("_id"), _draw(id_col, text_col).alias("_draw"), _posteriors(model)(text_col).alias("_p"))
+    posteriors = Scratch(docs.sparkSession).save(rows).select("_id", "_draw", "_p.*")
+    rates = _solved(posteriors, model.domains, TARGETS if targets is None else targets, most)
     names = F.array(*map(F.lit, model.domains))
     top = F.element_at(names, F.array_position("p", F.array_max("p")).cast("int"))
-    return rated.select(id_col, "n_tokens", top.alias("domain"), F.map_from_arrays(names, F.col("p")).alias("posteriors"), "rate", copies(F.col("rate"), id_col).alias("copies"))
+    said = F.lit(None)
+    if rates.target is not None:
+        row = lambda i: F.struct(*(F.lit(float(x[i])).alias(n) for n, x in (("target", rates.target), ("present", rates.present), ("attained", rates.attained))))
+        said = F.create_map(*(x for i, d in enumerate(model.domains) for x in (F.lit(d), row(i))))
+    rated = posteriors.withColumn("rate", _rate(rates))
+    return rated.select(F.col("_id").alias(id_col), "n_tokens", top.alias("domain"), F.map_from_arrays(names, F.col("p")).alias("posteriors"), "rate", copies(F.col("rate"), F.col("_draw")).alias("copies"), said.cast(shares).alias("shares"))
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE_DOCS) -> DataFrame:
-    """The documents themselves at those rates: each row as often as its copies say, with the columns of docs."""
-    model = fit_domains(docs, labelled, id_col=id_col, text_col=text_col, sample=sample)
+def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, *, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE_DOCS, most: float | None = None, least_share: float = 0.0, copy_col: str | None = None) -> DataFrame:
+    """The documents themselves at those rates: each row as often as its copies say, with the columns of docs.
+
+    copy_col: a further column with the number of the copy, from 1. Without labelled documents all rows stay once. A text without words stays once. For the
+    rest see mixture.
+    """
+    model = fit_domains(docs, labelled, id_col=id_col, text_col=text_col, sample=sample, least_share=least_share)
     if model is None:
-        return docs
-    rows = docs.select(F.col(text_col).alias("_text"), F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_row"))
-    posteriors = Scratch(docs.sparkSession).save(_with_posteriors(rows, "_text", "_row", model))
-    rates = _solved(posteriors, model.domains, targets)
-    rated = _rated(posteriors, "_row", rates, len(model.domains)).withColumn("copies", copies(F.col("rate"), f"_row.{id_col}"))
-    return rated.filter("copies > 0").select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select("_row.*")
+        return docs.withColumn(copy_col, F.lit(1).cast("bigint")) if copy_col else docs
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_row"), _draw(id_col, text_col).alias("_draw"), _posteriors(model)(text_col).alias("_p"))
+    saved = Scratch(docs.sparkSession).save(rows)
+    rates = _solved(saved.select("_p.*"), model.domains, TARGETS if targets is None else targets, most)
+    rated = saved.select("_row", "_draw", "_p.*").withColumn("_copies", copies(_rate(rates), F.col("_draw"))).filter("_copies > 0")
+    out = rated.select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))).alias("_copy"))
+    return out.select("_row.*", F.col("_copy").alias(copy_col)) if copy_col else out.select("_row.*")

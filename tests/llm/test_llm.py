@@ -606,22 +606,46 @@ def test_lm_trains_on_every_place(docs):
     assert seen == sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in sample)
 
 
-def test_mixing(spark, docs, odd, empty):
-    labels = mixing.quality_domains(spark.read.parquet(f"{DATA}/labels.parquet"))
-    targets = {"q1_t0": 0.8, "q0_t0": 0.1, "q1_t1": 0.1}
-    got = mixing.mixture(docs, labels, targets).collect()
-    n = np.array([r["n_tokens"] for r in got], float)
-    names = sorted(got[0]["posteriors"])
-    p = np.array([[r["posteriors"][k] for k in names] for r in got])
-    w = np.array([r["rate"] for r in got])
-    assert (w >= 0).all() and np.allclose(p.sum(1), 1)
-    share = (w * n) @ p / n.sum()
-    given = np.array([targets.get(k, 0.0) for k in names])
-    assert np.abs(share - given / given.sum()).max() < 0.05
-    assert mixing.mixed(docs, labels, targets).count() == sum(r["copies"] for r in got)
+def nearest_rates(p, n, target, steps=100_000):
+    """Plain projected gradient on nonnegative rates, by itself."""
+    a = (p * n[:, None]).T / n.sum()
+    scale, w = np.linalg.pinv(a @ p), np.ones(len(p))
+    for _ in range(steps):
+        new = np.maximum(w - p @ (scale @ (a @ w - target)), 0)
+        if np.abs(new - w).max() < 1e-10:
+            break
+        w = new
+    return a @ w
+
+
+def test_mixing(spark, odd, empty):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("documents", "labels"))
+    labels = mixing.quality_domains(labels)
+    for targets in ({"q1_t0": 0.4, "q0_t0": 0.3, "q1_t1": 0.2, "q0_t1": 0.1}, {"q1_t0": 0.2, "q0_t0": 0.6, "q1_t1": 0.2}, None):
+        got = mixing.mixture(docs, labels, targets).collect()
+        n = np.array([r["n_tokens"] for r in got], float)
+        names = sorted(got[0]["posteriors"])
+        p = np.array([[r["posteriors"][k] for k in names] for r in got])
+        w = np.array([r["rate"] for r in got])
+        assert (w >= 0).all() and np.allclose(p.sum(1), 1)
+        share, said = (w * n) @ p / n.sum(), got[0]["shares"]
+        given = np.array([(targets or mixing.TARGETS).get(k, 0.0) for k in names])
+        assert np.allclose(share, [said[k]["attained"] for k in names], atol=1e-6) and np.allclose(given / given.sum(), [said[k]["target"] for k in names])
+        best = nearest_rates(p[n > 0], n[n > 0], given / given.sum())
+        assert np.abs(share - best).max() < 0.005 and (targets is None or len(targets) < 4 or np.abs(share - given).max() < 1e-3)
+    capped = mixing.mixture(docs, labels, {"q1_t0": 0.2, "q0_t0": 0.6, "q1_t1": 0.2}, most=3.0).collect()
+    assert 2.5 < max(r["rate"] for r in capped) <= 3.0 and capped[0]["shares"]["q0_t0"]["attained"] < 0.5
+    out = mixing.mixed(docs, labels, targets, copy_col="copy")
+    assert out.count() == sum(r["copies"] for r in got) and out.select("doc_id", "copy").distinct().count() <= out.count()
     assert {r["rate"] for r in mixing.mixture(odd, labels.limit(0)).collect()} == {1.0}
     assert mixing.mixture(empty, labels).count() == 0 and mixing.mixed(empty, labels).columns == empty.columns
-    assert mixing.mixture(docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text").withColumn("doc_id", F.col("doc_id") + 90_000)), labels).count() == docs.count() + len(ODD)
+    assert mixing.mixture(docs.select("doc_id", "text").unionByName(odd.select("doc_id", "text").withColumn("doc_id", F.col("doc_id") + 900_000)), labels).count() == docs.count() + len(ODD)
+
+
+def test_rows_without_ids_draw_by_their_texts(spark):
+    df = spark.createDataFrame([(None, f"text {i}") for i in range(2000)], "doc_id long, text string").repartition(5)
+    n = df.select(mixing.copies(F.lit(1.5), mixing._draw("doc_id", "text")).alias("n")).agg(F.sum("n")).first()[0]
+    assert 2900 < n < 3100
 
 
 def test_rates_meet_feasible_targets(spark):
@@ -629,9 +653,10 @@ def test_rates_meet_feasible_targets(spark):
     p = rng.dirichlet([0.3, 0.3, 0.3], 3000)
     n = rng.integers(0, 500, 3000)
     df = spark.createDataFrame([(x.tolist(), int(k)) for x, k in zip(p, n)], "p array<double>, n_tokens long")
-    rates = mixing.fit_rates(df, np.array([0.6, 0.3, 0.1]))
-    w = rates.of(p, n)
-    assert (w >= 0).all() and np.allclose((w * n) @ p / n.sum(), [0.6, 0.3, 0.1], atol=1e-3)
+    for target in ([0.6, 0.3, 0.1], [0.98, 0.01, 0.01], [0.05, 0.05, 0.9]):
+        rates = mixing.fit_rates(df, np.array(target))
+        w = rates.of(p, n)
+        assert (w >= 0).all() and np.allclose((w * n) @ p / n.sum(), target, atol=2e-3) and np.allclose(rates.attained, (w * n) @ p / n.sum())
 
 
 def test_pipeline(spark, docs):
