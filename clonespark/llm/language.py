@@ -12,14 +12,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clonespark.llm.common import map_batches, text_bytes, utf8
+from clonespark.llm.common import column_function, map_batches, text_bytes, utf8
 from clonespark.llm.words import LOWER, Block, blocks
 
 #: Labelled documents that the model is fitted to, shared evenly among the languages.
 SAMPLE_DOCS = 2000
+LEAST_DOCS, MOST_LANGS = 20, 1000
 BUCKETS, DIM, SIZES = 1 << 15, 8, (2, 3, 4)
 EPOCHS, RATE, BATCH = 8, 8.0, 16
 #: Bytes of text scored together.
@@ -46,6 +48,16 @@ def subwords(block: Block):
         yield ((h ^ (h >> np.uint32(15))) & np.uint32(BUCKETS - 1)).astype(np.int64), left[: len(h)] >= n
 
 
+def histogram(data: np.ndarray) -> np.ndarray:
+    """How often each bucket occurs in one text, which is gone through in pieces that overlap by an n-gram."""
+    held, reach = np.zeros(BUCKETS, np.int64), max(SIZES) - 1
+    for at in range(0, len(data), SCORE_BYTES):
+        piece = data[at : at + SCORE_BYTES + reach]
+        for buckets, inside in subwords(Block(0, piece, np.array([0, len(piece)]))):
+            held += np.bincount(buckets[inside][:SCORE_BYTES], minlength=BUCKETS)
+    return held
+
+
 def letters(block: Block) -> np.ndarray:
     """Whether each text has a letter."""
     out = block.per_text(LETTER[block.data]) > 0
@@ -66,6 +78,11 @@ class LanguageModel:
 
     def scores(self, block: Block) -> np.ndarray:
         """Calibrated probabilities of each language for each text."""
+        if block.n == 1:  # maybe a long one
+            held = histogram(block.data)
+            count = np.array([held.sum()], float)
+            mean = (held @ self.table / max(count[0], 1))[None]
+            return softmax(calibrated(mean + self.bias, count, self.temperature, self.half_at))
         total, count = np.zeros((block.n, len(self.langs))), np.zeros(block.n)
         for buckets, inside in subwords(block):
             sums = np.vstack((np.zeros((1, len(self.langs))), np.cumsum(np.where(inside[:, None], self.table[buckets], 0), axis=0, dtype=np.float64)))
@@ -86,24 +103,28 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
+def snippet(data: np.ndarray, begin: int, end: int) -> tuple[int, int]:
+    """A part of 4 to 512 bytes of the text data[begin:end], all of it if it is shorter. Place and length follow from its hash."""
+    draw = xxhash.xxh64_intdigest(data[begin:end].tobytes(), 19)
+    size = min(4 << draw % 8, end - begin)
+    at = begin + (draw >> 8) % (end - begin - size + 1)
+    return at, at + size
+
+
 def _counts(batch: pa.RecordBatch):
     """Sparse bucket counts of each text, as bytes: of uint16 buckets, of float32 shares.
 
-    A text of the calibration fold comes twice, whole and as a snippet of 4 to 512 bytes: scores have to hold for short
-    texts too.
+    A text of the calibration fold comes twice, whole and as a snippet of 4 to 512 bytes from a place that its hash gives: scores have to hold for
+    short texts too, from anywhere.
     """
     out = []
     data, offsets = text_bytes(batch.column(0))
     for i, (lang, fold) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
         spans = [(offsets[i], offsets[i + 1])]
         if fold == 0 and offsets[i + 1] > offsets[i]:
-            size = int(offsets[i + 1] - offsets[i])
-            start = offsets[i] + size * 0x9E3779B1 % size // 2
-            spans.append((start, min(offsets[i + 1], start + (4 << size % 8))))
+            spans.append(snippet(data, int(offsets[i]), int(offsets[i + 1])))
         for a, b in spans:
-            held = np.zeros(BUCKETS, np.int64)
-            for buckets, _ in subwords(Block(i, data[a:b], np.array([0, b - a]))):
-                held += np.bincount(buckets, minlength=BUCKETS)
+            held = histogram(data[a:b])
             at = np.flatnonzero(held)
             out.append((lang, fold, at.astype(np.uint16).tobytes(), (held[at] / max(held.sum(), 1)).astype(np.float32).tobytes(), int(held.sum())))
     return zip(*out)
@@ -118,13 +139,16 @@ def fit_language_model(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """Fit to about `sample` labelled documents that aren't held out, of all languages alike.
 
     Chosen by a hash of the id, so the same whatever the partitions; whole texts; only their bucket counts come to the
-    driver (at most 6 bytes for each of BUCKETS). None if no row is labelled.
+    driver (at most 6 bytes for each of BUCKETS). A language has sample / languages documents, or LEAST_DOCS if that is less, or all that it
+    has. None if no row is labelled. More than MOST_LANGS languages are an error: the column is no language then.
     """
     known = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).cast("string").alias("_lang")).filter(F.col("_lang").isNotNull() & F.col("_id").isNotNull() & F.col("_text").isNotNull() & ~held_out("_id"))
-    counts = {r["_lang"]: r["count"] for r in known.groupBy("_lang").count().collect()}
+    counts = {r["_lang"]: r["count"] for r in known.groupBy("_lang").count().limit(MOST_LANGS + 1).collect()}
     if not counts:
         return None
-    langs, quota = sorted(counts), max(20, sample // len(counts))
+    if len(counts) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} values of {lang_col}")
+    langs, quota = sorted(counts), max(LEAST_DOCS, sample // len(counts))
     rate = F.create_map(*(F.lit(x) for k in langs for x in (k, min(1.0, quota / counts[k]))))
     draw = F.pmod(F.xxhash64("_id", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
     chosen = known.filter(draw < F.element_at(rate, F.col("_lang"))).withColumn("_fold", F.pmod(F.xxhash64("_id", F.lit(18)), F.lit(4)).cast("int"))
@@ -182,9 +206,11 @@ def rejection(probabilities: np.ndarray, truth: np.ndarray, max_error: float) ->
 
 
 def _predict(model: LanguageModel | None):
-    def run(batch: pa.RecordBatch):
+    """A column function: lang_pred and score of texts."""
+
+    def run(texts: pa.Array):
         names, tops = [], []
-        for block in blocks(batch.column(0), SCORE_BYTES):
+        for block in blocks(texts, SCORE_BYTES):
             some = letters(block)
             if model is None:
                 names += [UNKNOWN] * block.n
@@ -194,9 +220,9 @@ def _predict(model: LanguageModel | None):
             best = p.argmax(1)
             names += [model.langs[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), some)]
             tops.append(np.where(some, p.max(1), 0.0))
-        return [*batch.columns[1:], names, np.concatenate(tops)]
+        return [names, np.concatenate(tops)]
 
-    return run
+    return column_function(run, "struct<lang_pred: string, score: double>")
 
 
 def language_id(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_DOCS) -> DataFrame:
@@ -209,9 +235,8 @@ def language_id(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     are ignored; ties go to the language that sorts first; an empty table gives an empty result.
     """
     model = fit_language_model(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, sample=sample)
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = map_batches(docs.select(utf8(text_col), id_col), _predict(model), f"`{id_col}` {kind}, lang_pred string, score double")
-    return out.select(id_col, held_out(id_col).alias("held_out"), "lang_pred", "score", _rejected(model).alias("rejected"))
+    out = docs.select(F.col(id_col).alias("_id"), _predict(model)(text_col).alias("_p")).select("_id", "_p.*")
+    return out.select(F.col("_id").alias(id_col), held_out("_id").alias("held_out"), "lang_pred", "score", _rejected(model).alias("rejected"))
 
 
 def _rejected(model: LanguageModel | None) -> Column:
@@ -219,10 +244,13 @@ def _rejected(model: LanguageModel | None) -> Column:
 
 
 def language_filter(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_DOCS) -> DataFrame:
-    """The rows of docs whose language isn't rejected, with their columns as they are."""
-    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+    """The rows of docs whose language isn't rejected (see language_id), with their columns as they are.
 
+    A null text, or one without a letter, is rejected. If no row is labelled there is nothing to tell languages by: all rows stay. Rows that repeat stay as
+    often as they are; names of docs may clash with those of the prediction; an empty table gives an empty result.
+    """
     model = fit_language_model(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, sample=sample)
-    rows = docs.select(utf8(text_col), F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_row"))
-    schema = StructType([rows.schema["_row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return map_batches(rows, _predict(model), schema).filter(~_rejected(model)).select("_row.*")
+    if model is None:
+        return docs
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_row"), _predict(model)(text_col).alias("_p"))
+    return rows.select("_row", "_p.*").filter(~_rejected(model)).select("_row.*")

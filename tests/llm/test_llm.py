@@ -367,6 +367,45 @@ def test_language(spark, docs, odd, empty):
     assert language.language_filter(docs).count() >= 0.99 * docs.count()
 
 
+def test_language_without_labels_keeps_all(docs):
+    assert language.language_filter(docs.withColumn("lang", F.lit(None).cast("string"))).count() == docs.count()
+    with pytest.raises(ValueError):
+        language.fit_language_model(docs.withColumn("lang", F.col("doc_id").cast("string")).unionByName(docs.crossJoin(docs.select(F.col("doc_id").alias("n")).limit(20)).withColumn("lang", F.concat("doc_id", F.lit("-"), "n")).drop("n")))
+
+
+def test_language_scores_are_calibrated(spark):
+    """Over parts of held-out texts, short ones too, scores are near the share that is right; more of those under the threshold are wrong than of the others."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(22)
+    rows = []
+    for r in docs.filter(language.held_out("doc_id") & F.col("lang").isNotNull()).select("text", "lang").collect():
+        for size in (6, 12, 25, 60, 200):
+            at = rng.randrange(max(1, len(r["text"]) - size))
+            rows.append((len(rows), r["text"][at : at + size], r["lang"]))
+    model = language.fit_language_model(docs)
+    df = spark.createDataFrame(rows, "doc_id long, text string, truth string")
+    got = df.select("truth", language._predict(model)("text").alias("p")).select("truth", "p.*").filter("lang_pred != 'und'").collect()
+    for low, high in ((0.25, 0.7), (0.7, 0.95), (0.95, 1.01)):
+        part = [r for r in got if low <= r["score"] < high]
+        assert len(part) > 20 and abs(sum(r["score"] for r in part) / len(part) - sum(r["lang_pred"] == r["truth"] for r in part) / len(part)) < 0.1
+    wrong = lambda rows: sum(r["lang_pred"] != r["truth"] for r in rows) / max(1, len(rows))
+    assert wrong([r for r in got if r["score"] < model.reject_below]) > wrong([r for r in got if r["score"] >= model.reject_below])
+
+
+def test_snippets_come_from_anywhere():
+    data = np.arange(10_000) % 251
+    spans = [language.snippet(data.astype(np.uint8), 0, n) for n in range(5000, 6000)]
+    assert all(0 <= a < b <= n for (a, b), n in zip(spans, range(5000, 6000))) and np.std([a for a, _ in spans]) > 1000
+
+
+def test_long_text_in_pieces(monkeypatch):
+    """A text gone through in pieces has the buckets of the whole."""
+    data = np.frombuffer(random.Random(23).randbytes(5000), np.uint8)
+    whole = language.histogram(data)
+    monkeypatch.setattr(language, "SCORE_BYTES", 97)
+    assert (language.histogram(data) == whole).all() and whole.sum() == sum(len(data) - n + 1 for n in language.SIZES)
+
+
 def test_language_learns_from_its_fold_only(docs):
     """Labels of held-out rows change nothing."""
     false = docs.withColumn("lang", F.when(language.held_out("doc_id"), F.lit("zz")).otherwise(F.col("lang")))
