@@ -8,6 +8,7 @@ against the template's words before it counts.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -89,6 +90,8 @@ def template_positions(spark: SparkSession, found: list[Template]) -> DataFrame:
     return spark.createDataFrame(rows, "hash long, gram string, template int, position int")
 
 
+#: Rows that leave a task together.
+ROWS = 1 << 17
 #: The hash under which a text's own row, with its number of words, passes the join.
 MARK = -1
 
@@ -104,16 +107,14 @@ def _rolling(known: np.ndarray):
             hashes, first, begin = _block_grams(block)
             hashes = hashes.astype(np.int64)
             hashes[hashes == MARK] = MARK - 1
-            owner = block.text[first]
-            raw, at = block.data.tobytes(), np.flatnonzero(np.isin(hashes, known))
-            grams = np.full(len(hashes) + block.n, None, object)
-            for p in at.tolist():
-                f = first[p]
-                grams[p] = b" ".join(raw[block.starts[q] : block.ends[q]] for q in range(f, f + K)).decode("utf-8", "replace")
-            rows = np.concatenate((owner, np.arange(block.n))) + block.first
-            keys = batch.column(0).take(pa.array(rows))
-            places = np.concatenate((first - begin[owner], block.counts)).astype(np.int32)
-            yield keys, np.concatenate((hashes, np.full(block.n, MARK))), places, pa.array(grams, pa.string())
+            yield batch.column(0).slice(block.first, block.n), np.full(block.n, MARK), block.counts.astype(np.int32), pa.nulls(block.n, pa.string())
+            for low in range(0, len(hashes), ROWS):
+                part, at = hashes[low : low + ROWS], first[low : low + ROWS]
+                owner, grams = block.text[at], np.full(len(part), None, object)
+                for p in np.flatnonzero(np.isin(part, known)).tolist():
+                    words = range(at[p], at[p] + K)
+                    grams[p] = b" ".join(block.data[block.starts[q] : block.ends[q]].tobytes() for q in words).decode("utf-8", "replace")
+                yield batch.column(0).take(pa.array(owner + block.first)), part, (at - begin[owner]).astype(np.int32), pa.array(grams, pa.string())
 
     return run
 
@@ -179,10 +180,12 @@ def spans(found: list[Template], matches: list[dict]) -> list[tuple[int, int, in
             covered = {p + j for _, p in s for j in range(K)}
             if len(covered) >= MIN_COVER * len(t.words):
                 notices.append((-len(covered), i, s[0][0], s[-1][0], len(covered) / len(t.words)))
-    taken: list[tuple[int, int]] = []
+    begins, ends = [], []  # of notices taken, which lie apart, in order
     for _, i, first, last, cover in sorted(notices):  # of notices that overlap, the one that covers most words
-        if all(last + K <= a or first >= b for a, b in taken):
-            taken.append((first, last + K))
+        at = bisect_right(begins, first)
+        if (not at or ends[at - 1] <= first) and (at == len(begins) or last + K <= begins[at]):
+            begins.insert(at, first)
+            ends.insert(at, last + K)
             out.append((i, first, last, cover))
     return out
 

@@ -30,27 +30,34 @@ FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 def repeated_words(block: Block, hashes: np.ndarray) -> np.ndarray:
     """Words of each text that lie in a window of three words which the text holds twice or more."""
-    out = np.zeros(block.n, np.int64)
     keys, first = block.grams(hashes, 3)
     if not len(keys):
-        return out
+        return np.zeros(block.n, np.int64)
     owner = block.text[first]
     order = np.lexsort((keys, owner))
-    same = (keys[order][1:] == keys[order][:-1]) & (owner[order][1:] == owner[order][:-1])
-    raw, begin = block.data.tobytes(), np.searchsorted(block.text, np.arange(block.n))
-    for i in np.unique(owner[order][1:][same]).tolist():  # equal hashes: count the words themselves
-        span = slice(begin[i], begin[i] + block.counts[i])
-        words = [raw[s:e] for s, e in zip(block.starts[span].tolist(), block.ends[span].tolist())]
-        windows = list(zip(words, words[1:], words[2:]))
-        found = Counter(windows)
-        covered = np.zeros(len(words), bool)
-        at = np.array([k for k, w in enumerate(windows) if found[w] > 1], np.int64)
+    keys, owner, first = keys[order], owner[order], first[order]
+    same = np.flatnonzero((keys[1:] == keys[:-1]) & (owner[1:] == owner[:-1]))
+    # Equal hashes: the words themselves are compared.
+    equal = np.logical_and.reduce([block.same_words(first[same] + j, first[same + 1] + j) for j in range(3)])
+    covered = np.zeros(len(block.starts), bool)
+    for at in (first[same], first[same + 1]):
         for j in range(3):
             covered[at + j] = True
-        out[i] = covered.sum()
+    out = np.bincount(block.text[covered], minlength=block.n)
+    for i in np.unique(owner[same[~equal]]).tolist():  # different windows of one hash
+        out[i] = _counted(block, i)
     return out
 
 
+def _counted(block: Block, i: int) -> int:
+    """repeated_words of one text by its windows as such."""
+    at = np.flatnonzero(block.text == i)
+    words = [block.data[s:e].tobytes() for s, e in zip(block.starts[at].tolist(), block.ends[at].tolist())]
+    windows = list(zip(words, words[1:], words[2:]))
+    found = Counter(windows)
+    return len({k + j for k, w in enumerate(windows) if found[w] > 1 for j in range(3)})
+
+
 def distinct_words(block: Block, hashes: np.ndarray) -> np.ndarray:
     order = np.lexsort((hashes, block.text))
     new = np.ones(len(order), bool)

@@ -9,6 +9,7 @@ drops a pair whose sum exceeds the budget. Groups that stay large are split the
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,9 @@ from clonespark.operators.components import components
 from clonespark.scratch import Scratch
 
 SEED = 42
+#: Bytes of a long text whose words are held together.
+PIECE_BYTES = 1 << 18
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: A group of more fingerprints than this is split by a further part of its bits.
 LARGE_GROUP = 2_000
 #: Node pairs handled at once, and the product of sizes under which a node pair's members are compared.
@@ -33,39 +37,48 @@ LINKS = 1 << 20
 PAIRS = 1 << 18
 
 
-def shingle_hashes(raw: bytes, k: int, seed: int = SEED) -> list[int]:
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    """A text cut at white space, in pieces of PIECE_BYTES and a word."""
+    at = 0
+    while at < len(raw):
+        cut = SPACE.search(raw, at + PIECE_BYTES)
+        end = cut.start() if cut else len(raw)
+        yield raw[at:end]
+        at = end
+
+
+def shingle_hashes(raw: bytes, k: int, seed: int = SEED) -> np.ndarray:
     """Unsigned XXH64 of each run of k words, joined by spaces; fewer words: of the whole run; none: nothing."""
-    words = raw.lower().split()  # of bytes: A-Z and ASCII white space only
-    if not words:
-        return []
-    line = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    if len(words) > k:
-        starts, ends = starts[: len(words) - k + 1], ends[k - 1 :]
-    else:
-        starts, ends = starts[:1], ends[-1:]
-    digest = xxhash.xxh64_intdigest
-    return [digest(line[s:e], seed) for s, e in zip(starts.tolist(), ends.tolist())]
+    digest, out, words = xxhash.xxh64_intdigest, [], []
+    for piece in _pieces(raw):
+        words += piece.lower().split()  # of bytes: A-Z and ASCII white space only
+        if len(words) < k:
+            continue
+        line = b" ".join(words)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+        starts = np.concatenate(([0], ends[:-1] + 1))
+        spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist())
+        out.append(np.fromiter((digest(line[s:e], seed) for s, e in spans), np.uint64, len(words) - k + 1))
+        words = words[len(words) - k + 1 :]
+    if not out:
+        return np.array([digest(b" ".join(words), seed)] if words else [], np.uint64)
+    return np.concatenate(out)
 
 
 def shingle_set(raw: bytes, k: int) -> np.ndarray:
     """Distinct hashes of a text's shingles, ascending."""
-    return np.unique(np.array(shingle_hashes(raw, k), np.uint64))
+    return np.unique(shingle_hashes(raw, k))
 
 
-def _signature(hashes: list[int] | np.ndarray, words64: int) -> np.ndarray:
+def _signature(h: np.ndarray, words64: int) -> np.ndarray:
     """64-bit words, each bit 1 if set in over half the hashes; further words come from remixed hashes."""
-    if not len(hashes):
-        return np.zeros(words64, np.int64)
-    h = np.array(hashes, np.uint64)
     out = []
     for w in range(words64):
-        x = h if not w else _remix(h, w)
         bits = np.zeros(64, np.int64)
-        for at in range(0, len(x), 1 << 16):
-            bits += np.unpackbits(x[at : at + (1 << 16)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-        out.append(np.packbits(2 * bits > len(x)).view(">i8")[0])
+        for at in range(0, len(h), 1 << 16):
+            x = h[at : at + (1 << 16)]
+            bits += np.unpackbits((_remix(x, w) if w else x).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        out.append(np.packbits(2 * bits > len(h)).view(">i8")[0])
     return np.array(out, np.int64)
 
 

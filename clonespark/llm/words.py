@@ -76,6 +76,19 @@ class Block:
         values = (data[at + np.repeat(starts, sizes)].astype(np.uint64) + np.uint64(1)) * powers[at]
         return mix(np.add.reduceat(values, np.cumsum(sizes) - sizes))
 
+    def same_words(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the words i and j, pair by pair, are equal byte by byte."""
+        sizes = self.ends[i] - self.starts[i]
+        out = sizes == self.ends[j] - self.starts[j]
+        pairs, step = np.flatnonzero(out), BLOCK_BYTES // 4
+        for at in range(0, len(pairs), step):
+            k = pairs[at : at + step]
+            n = sizes[k]
+            first = np.cumsum(n) - n
+            place = np.arange(n.sum()) - np.repeat(first, n)
+            out[k] = ~np.logical_or.reduceat(self.data[place + np.repeat(self.starts[i[k]], n)] != self.data[place + np.repeat(self.starts[j[k]], n)], first)
+        return out
+
     def grams(self, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of each k words in a row, and the index of the first of them; none spans two texts."""
         n = len(hashes) - k + 1

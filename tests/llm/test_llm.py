@@ -127,6 +127,14 @@ def reachable(n, linked):
     return [find(i) for i in range(n)]
 
 
+def test_shingles_of_long_texts(monkeypatch):
+    t = " ".join(random.Random(25).choices(["a", "bb", "Ccc\t", "é\n\n", "x" * 30], k=800)).encode()
+    whole = {k: simhash.shingle_hashes(t, k) for k in (1, 3, 5)}
+    monkeypatch.setattr(simhash, "PIECE_BYTES", 40)
+    assert all((simhash.shingle_hashes(t, k) == w).all() for k, w in whole.items())
+    assert len(simhash.shingle_hashes(b" a b ", 3)) == 1 and not len(simhash.shingle_hashes(b" \n", 3))
+
+
 def test_simhash(spark, docs, odd, empty):
     rng = random.Random(3)
     base = list(texts(docs).items())[:60]
@@ -293,6 +301,19 @@ def planted_votes(rng, n):
     return good, votes, p_good, p_low
 
 
+def test_repeats_under_colliding_hashes(monkeypatch):
+    """Windows of one hash that aren't equal are counted as what they are."""
+    import pyarrow as pa
+
+    from clonespark.llm import words
+
+    sample = ["a b c d a b c e f", "x y z x y q", "k " * 20, "", "one two"]
+    monkeypatch.setattr(words, "mix", lambda x: x % np.uint64(3))
+    for (block,) in (words.blocks(pa.array([t])) for t in sample):
+        block.split()
+        assert quality.repeated_words(block, block.hashes()).tolist() == [base_counts(sample[[x.strip() for x in sample].index(block.data.tobytes().decode().strip())])[4]]
+
+
 def test_label_model_finds_accuracies():
     rng = np.random.default_rng(6)
     good, votes, p_good, p_low = planted_votes(rng, 40_000)
@@ -533,6 +554,44 @@ def test_licenses(spark, docs, odd, empty):
     assert licenses.license_scan(empty).count() == 0
 
 
+def test_many_notices_take_no_square(spark):
+    import time
+
+    began = time.process_time()
+    held = licenses.spans(licenses.templates(), [{"template": len(licenses.templates()) - 1, "diagonal": 3 * i, "votes": 1, "positions": [0]} for i in range(40_000)])
+    assert len(held) == 40_000 and time.process_time() - began < 5
+
+
+def brute_notices(t):
+    """Labels by a plain search: spans of a notice's words in order, with little between them."""
+    words = [x.decode() for x in re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").encode().lower())]
+    labels = {label for p, label in licenses.PHRASES.items() if f" {p} " in f" {' '.join(words)} "}
+    line = f" {' '.join(words)} "
+    return labels | {label for label, text in licenses.NOTICES if f" {text} " in line}
+
+
+def test_license_labels_hold_whole_notices(spark, docs):
+    """Every notice that stands in a text word for word has its label unless a longer notice covers it, and no text without most of a notice's words has one."""
+    rng = random.Random(24)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(500)]
+    rows, wanted = [], {}
+    for i, (label, text) in enumerate(licenses.NOTICES * 3):
+        w = text.split()
+        if i >= len(licenses.NOTICES):  # a word put in or left out
+            if i % 2 or len(w) < 8:
+                w.insert(rng.randrange(1, len(w)) if len(w) > 8 else 0, "odd")
+            else:
+                del w[len(w) // 2]
+        rows.append((i, " ".join(rng.choices(words, k=40) + w + rng.choices(words, k=30)).upper()))
+        wanted[i] = label
+    rows += [(1000 + i, " ".join(rng.choices(words, k=60) + t.split()[: len(t.split()) // 2] + rng.choices(words, k=9))) for i, (_, t) in enumerate(licenses.NOTICES) if len(t.split()) > 10]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.license_scan(df).collect()}
+    assert {i: x for i, x in got.items() if i < 1000} == wanted and {x for i, x in got.items() if i >= 1000} == {""}
+    for r in licenses.license_scan(docs).collect():
+        assert brute_notices(texts(docs)[r["doc_id"]]) <= set(r["labels"].split(",")) if r["labels"] else not brute_notices(texts(docs)[r["doc_id"]])
+
+
 def test_top_k(spark, monkeypatch):
     rng = np.random.default_rng(7)
     x = rng.normal(size=(30, 16))[rng.integers(0, 30, 1500)] + rng.normal(size=(1500, 16)) * 0.02
