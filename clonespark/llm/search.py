@@ -3,7 +3,8 @@
 Candidates are dealt to buckets by length, longest first. A query's k-th best score over the longest bucket is a bound that holds
 everywhere. With it, each slice of a bucket has a local threshold: the cosine that a candidate of that length needs. A
 threshold over one prunes the slice by length alone; a high one prunes candidates by the query's largest coordinates; else all
-are compared. What remains is verified by exact integer products.
+are compared. What remains is verified by exact integer products. Before any vector moves, blocks of queries are held against the buckets'
+greatest lengths: a block goes only to buckets that can hold a candidate for one of its queries.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ BUCKET_ROWS, SLICE_ROWS, BLOCK_QUERIES = 16_384, 1_024, 1_024
 COORDINATE_FROM, FOCUS = 0.8, 3
 #: Relative slack for rounding in bounds; products themselves are exact.
 SLACK = 1e-9
-PACKED = "bucket int, piece int, n int, dim int, ids binary, vectors binary"
+PACKED = "bucket int, piece int, top double, n int, dim int, ids binary, vectors binary"
 
 
 def quantised(column: str, scale: float) -> Column:
@@ -45,11 +46,15 @@ def _numbers(column: pa.Array) -> np.ndarray:
     return out
 
 
+def norms(rows: np.ndarray) -> np.ndarray:
+    return np.sqrt((rows.astype(np.float64) ** 2).sum(1))
+
+
 def _pack(bucket: int, piece: int, ids: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
     small = rows.size == 0 or np.abs(rows).max() < 1 << 15
-    kinds = [*[pa.int32()] * 4, pa.binary(), pa.binary()]
-    values = [bucket, piece, len(ids), rows.shape[1], ids.astype(np.int64).tobytes(), rows.astype(np.int16 if small else np.int64).tobytes()]
-    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=["bucket", "piece", "n", "dim", "ids", "vectors"])
+    kinds = [pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    values = [bucket, piece, float(norms(rows).max(initial=0)), len(ids), rows.shape[1], ids.astype(np.int64).tobytes(), rows.astype(np.int16 if small else np.int64).tobytes()]
+    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=["bucket", "piece", "top", "n", "dim", "ids", "vectors"])
 
 
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -124,8 +129,7 @@ class Best:
 def search(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, bound: np.ndarray, k: int) -> Best:
     """The k best candidates (of a bucket, longest first) of each query, if their scores reach the query's bound."""
     best = Best(len(q), k, bound)
-    q_len = np.sqrt((q.astype(np.float64) ** 2).sum(1))
-    c_len = np.sqrt((c.astype(np.float64) ** 2).sum(1))
+    q_len, c_len = norms(q), norms(c)
     q_unit = q / np.maximum(q_len, 1e-300)[:, None]
     focus = np.argsort(-np.abs(q_unit), axis=1, kind="stable")[:, :FOCUS]
     for at in range(0, len(c), SLICE_ROWS):
@@ -163,8 +167,15 @@ def search(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, b
 NONE = np.iinfo(np.int64).min
 
 
+def needed(bound: np.ndarray, lengths: np.ndarray) -> float:
+    """The length that a candidate must have for one of the queries at least; zero if any would do."""
+    if not len(bound) or (bound <= 0).any():
+        return 0.0
+    return float((bound / np.maximum(lengths, 1e-300)).min() * (1 - SLACK))
+
+
 def _first(longest: dict | None, k: int):
-    """Query blocks against the longest bucket: the blocks with each query's bound, and its best as arrays."""
+    """Query blocks against the longest bucket: the blocks with each query's bound and the length that it needs, and its best as arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,8 +183,8 @@ def _first(longest: dict | None, k: int):
                 (q_ids, q), (c_ids, c) = _unpack({x: row[f"q_{x}"] for x in ("n", "dim", "ids", "vectors")}), _unpack(longest)
                 best = search(q_ids, q, c_ids, c, np.full(len(q), NONE), k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["q_n"]], pa.int32()), pa.array([row["q_dim"]], pa.int32()), *(pa.array([x], pa.binary()) for x in (row["q_ids"], row["q_vectors"], best.bound.tobytes(), best.query.tobytes(), best.id.tobytes(), best.score.tobytes()))],
-                    names=["q_n", "q_dim", "q_ids", "q_vectors", "q_bound", "best_query", "best_id", "best_score"],
+                    [pa.array([row["q_n"]], pa.int32()), pa.array([row["q_dim"]], pa.int32()), pa.array([needed(best.bound, norms(q))]), *(pa.array([x], pa.binary()) for x in (row["q_ids"], row["q_vectors"], best.bound.tobytes(), best.query.tobytes(), best.id.tobytes(), best.score.tobytes()))],
+                    names=["q_n", "q_dim", "q_need", "q_ids", "q_vectors", "q_bound", "best_query", "best_id", "best_score"],
                 )
 
     return run
@@ -192,6 +203,25 @@ def _rest(k: int):
     return run
 
 
+def reached(first: DataFrame, buckets: DataFrame) -> DataFrame:
+    """first with a row for each bucket that its block must still be held against. Greatest lengths fall with the bucket's number, so that is a range of them.
+
+    The driver gets a number for each bucket, one of BUCKET_ROWS vectors.
+    """
+    tops = sorted((r["bucket"], r["top"]) for r in buckets.groupBy("bucket").agg(F.max("top").alias("top")).collect())
+    if not tops:
+        return first.withColumn("bucket", F.lit(0)).limit(0)
+    numbers, lengths = np.array([b for b, _ in tops], np.int32), np.minimum.accumulate([t for _, t in tops])
+
+    def run(needs: pa.Array) -> pa.Array:
+        count = np.searchsorted(-lengths, -needs.to_numpy(zero_copy_only=False), side="right")
+        ends = np.concatenate(([0], np.cumsum(count))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(numbers[np.arange(ends[-1]) - np.repeat(ends[:-1], count)]))
+
+    run.__annotations__ = {"needs": pa.Array, "return": pa.Array}
+    return first.withColumn("bucket", F.explode(F.arrow_udf(run, "array<int>")("q_need")))
+
+
 def _unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
@@ -218,16 +248,15 @@ def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vecto
     dealt = clean.select("vec_id", "v", norm.alias("norm")).repartitionByRange(n_buckets, F.col("norm").desc(), "vec_id").sortWithinPartitions(F.col("norm").desc(), "vec_id")
     buckets = scratch.save(dealt.select(F.spark_partition_id().alias("bucket"), "vec_id", "v").mapInArrow(_packed(2 * BUCKET_ROWS), PACKED))
     wanted = clean.filter("q").select("vec_id", "v").distinct().repartition(n_blocks, "vec_id")
-    blocks = wanted.select(F.lit(0).alias("bucket"), "vec_id", "v").mapInArrow(_packed(BLOCK_QUERIES), PACKED).drop("bucket", "piece")
+    blocks = wanted.select(F.lit(0).alias("bucket"), "vec_id", "v").mapInArrow(_packed(BLOCK_QUERIES), PACKED).drop("bucket", "piece", "top")
     blocks = blocks.select(*(F.col(x).alias(f"q_{x}") for x in blocks.columns))
-    span = buckets.agg(F.min("bucket").alias("low"), F.max("bucket").alias("high")).first()
-    low, high = (span["low"], span["high"]) if span["low"] is not None else (0, 0)
+    low = buckets.agg(F.min("bucket")).first()[0] or 0
     longest = buckets.filter((F.col("bucket") == low) & (F.col("piece") == 0)).first()  # one row of at most 2 * BUCKET_ROWS vectors goes to all tasks
-    first = scratch.save(blocks.mapInArrow(_first(longest and longest.asDict(), k), "q_n int, q_dim int, q_ids binary, q_vectors binary, q_bound binary, best_query binary, best_id binary, best_score binary"))
+    first = scratch.save(blocks.mapInArrow(_first(longest and longest.asDict(), k), "q_n int, q_dim int, q_need double, q_ids binary, q_vectors binary, q_bound binary, best_query binary, best_id binary, best_score binary"))
     pairs = "query_id bigint, vec_id bigint, score bigint"
-    spread = first.select("q_n", "q_dim", "q_ids", "q_vectors", "q_bound", F.explode(F.sequence(F.lit(low), F.lit(high))).alias("bucket"))
     others = buckets.filter((F.col("bucket") != low) | (F.col("piece") != 0))
-    rest = spread.join(others, "bucket").mapInArrow(_rest(k), pairs)
+    spread = reached(first.select("q_n", "q_dim", "q_need", "q_ids", "q_vectors", "q_bound"), others)
+    rest = spread.join(others.drop("top"), "bucket").mapInArrow(_rest(k), pairs)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     every = first.select("q_ids", "best_query", "best_id", "best_score").mapInArrow(_unfold, pairs).unionAll(rest)
     return every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -17,8 +17,8 @@ from clonespark.llm.common import map_batches, utf8
 
 #: A text of more characters than this is cut at safe boundaries.
 PIECE_CHARS = 32_768
-#: Texts and pieces are encoded together until they hold so many characters.
-BATCH_CHARS = 1 << 20
+#: Texts and pieces are encoded together until they hold so many bytes.
+BATCH_BYTES = 1 << 20
 #: Places where no byte-level token spans: before ASCII white space that follows no white space, and
 #: between an ASCII letter and a digit. The pattern never looks behind, and special strings hold
 #: neither white space nor digits (see byte_level), so a cut there leaves the count as it is.
@@ -62,12 +62,13 @@ def lengths(texts: list[str], path: str, split: bool) -> np.ndarray:
         for part in pieces(text) if split else [text]:
             owner.append(i)
             parts.append(part)
-    order = sorted(range(len(parts)), key=lambda k: len(parts[k]))
+    sizes = [len(p) if p.isascii() else len(p.encode()) for p in parts]
+    order = sorted(range(len(parts)), key=sizes.__getitem__)
     at = 0
     while at < len(order):
         end, held = at, 0
-        while end < len(order) and (end == at or held + len(parts[order[end]]) <= BATCH_CHARS):
-            held += len(parts[order[end]])
+        while end < len(order) and (end == at or held + sizes[order[end]] <= BATCH_BYTES):
+            held += sizes[order[end]]
             end += 1
         chosen = order[at:end]
         np.add.at(out, [owner[k] for k in chosen], count([parts[k] for k in chosen]))

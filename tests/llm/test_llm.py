@@ -620,6 +620,32 @@ def test_top_k(spark, monkeypatch):
     assert search.top_k(df.filter("vec_id < 3"), F.col("vec_id") == 0).count() == 2
 
 
+def test_top_k_moves_what_survives(spark, monkeypatch):
+    """Blocks go only to buckets that are long enough for them; what they find is the same."""
+    rng = np.random.default_rng(26)
+    x = rng.normal(size=(3000, 8)) * np.where(np.arange(3000) < 300, 8, 1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(search, "BUCKET_ROWS", 150)
+    monkeypatch.setattr(search, "BLOCK_QUERIES", 10)
+    seen, own = {}, search.reached
+
+    def counted(first, buckets):
+        out = own(first, buckets)
+        seen["pairs"], seen["all"] = out.count(), first.count() * buckets.select("bucket").distinct().count()
+        return out
+
+    monkeypatch.setattr(search, "reached", counted)
+    whole = np.floor(256 * x).astype(np.int64)
+    got = collections.defaultdict(list)
+    for r in search.top_k(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    for i in range(0, 3000, 50):
+        scores = whole @ whole[i]
+        best = sorted((int(-s), j) for j, s in enumerate(scores) if j != i)[:5]
+        assert got[i] == [(j, -s) for s, j in best]
+    assert 0 < seen["pairs"] < 0.5 * seen["all"]
+
+
 def test_top_k_oracle(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{DATA}/embeddings.parquet'")
