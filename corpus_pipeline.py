@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clonespark.llm.bpe import bpe_encode
 from clonespark.llm.common import table
 from clonespark.llm.language import language_filter
-from clonespark.llm.mixing import mixed, quality_domains
+from clonespark.llm.mixing import mixed, toxicity_domains
 from clonespark.llm.quality import quality_filter
 from clonespark.llm.simhash import without_near_duplicates
 from clonespark.scratch import Scratch
@@ -34,8 +34,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their rates say."""
-    return mixed(docs, quality_domains(table(spark, sf_dir, "labels")))
+    """Documents as often as their rates say: a fiftieth of the tokens toxic. Quality has been seen to by the rules.
+
+    Rows keep the columns of documents, so copies of one share its doc_id.
+    """
+    return mixed(docs, toxicity_domains(table(spark, sf_dir, "labels")), MIXTURE)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,6 +46,9 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe_encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+#: Shares of the tokens that the mixture is to have.
+MIXTURE = {"clean": 0.98, "toxic": 0.02}
+
 STAGES = [
     ("quality rules", quality_rules),
     ("language ID", language_identification),
