@@ -674,31 +674,94 @@ def test_lm_score(spark, docs, odd, empty):
     assert lm_score.pseudo_likelihood(empty).count() == 0
 
 
-def test_lm_brute_force(docs):
-    """Probabilities of a place, one by one, from the same network."""
-    words = lm_score.lexicon(lm_score.word_counts(docs))
-    net = lm_score.train(docs, words, rounds=1)
+def test_lm_brute_force(spark):
+    """Probabilities of each place, one by one, by a plain model of the same weights; of all words they add up to one."""
     from clonespark.llm.words import blocks
     import pyarrow as pa
 
-    sample = ["the of and in the of is", "le de la que"]
-    (block,) = blocks(pa.array(sample))
-    _, sums = lm_score.score(net, words, block)
-    (block,) = blocks(pa.array(sample))
-    ids, owner = words.ids(lm_score.word_hashes(block)), block.text
-    total = [0.0, 0.0]
-    for i in range(len(ids)):
+    rng = random.Random(27)
+    kinds = [f"w{i}" for i in range(60)]
+    df = spark.createDataFrame([(i, " ".join(rng.choices(kinds, weights=range(1, 61), k=50))) for i in range(80)], "doc_id long, text string")
+    counts = {r["hash"]: r["n"] for r in lm_score.word_counts(df).collect()}
+    words = lm_score.lexicon(lm_score.word_counts(df), 20)
+    net = lm_score.train(df, words)
+
+    def predicted(before, after):
+        """Probability of each kind of word between two words on either side."""
+        near = [lm_score.word_hashes(b) for b in blocks(pa.array([" ".join(before + after)]))][0]
+        ids = words.ids(near).tolist()
         h = np.zeros(lm_score.HIDDEN)
-        for k, d in enumerate(net.PLACES):
-            j = i + d
-            inside = 0 <= j < len(ids) and owner[j] == owner[i]
-            h += net.table[k * (words.size + 1) + (ids[j] if inside else words.size)]
-        logits = np.tanh(h) @ net.out.T.astype(float) + net.bias
-        total[owner[i]] += logits[words.class_of[ids[i]]] - np.log(np.exp(logits).sum()) + words.log_share[ids[i]]
-    assert np.allclose(sums, total, rtol=1e-4)
-    mass = np.zeros(lm_score.CLASSES)
-    np.add.at(mass, words.class_of[: len(words.hashes)], np.exp(words.log_share[: len(words.hashes)]))
-    assert (mass <= 1 + 1e-6).all()
+        for k, i in enumerate(ids):
+            h += net.table[k * (words.size + 1) + i]
+        h = np.tanh(h)
+        e = np.exp(net.classes.astype(float) @ h + net.bias + net.log_class)
+        of_class = e / e.sum()
+        out = {}
+        for kind, key in zip(kinds, lm_score.word_hashes(next(blocks(pa.array([" ".join(kinds)])))).tolist()):
+            i = int(words.ids(np.array([key]))[0])
+            e = np.exp(net.cells[words.class_of[i]].astype(float) @ h + net.biases[words.class_of[i]] + net.log_cell[words.class_of[i]])
+            out[kind] = of_class[words.class_of[i]] * (e / e.sum())[words.cell_of[i]] * counts[key] / np.exp(words.log_mass[i])
+        return out
+
+    p = predicted(["w9", "w50"], ["w3", "w59"])
+    assert 0.9 < sum(p.values()) <= 1 + 1e-6  # the rest is what groups without a word are given
+    scores = {}
+    for kind in kinds:
+        (block,) = blocks(pa.array([f"w9 w50 {kind} w3 w59"]))
+        hashes = lm_score.word_hashes(block)
+        ids = words.ids(hashes)
+        logs = net.log_probabilities(net.context(ids, block.text, np.array([2])), words.class_of[ids[2:3]], words.cell_of[ids[2:3]])[0]
+        scores[kind] = math.exp(logs) * counts[int(hashes[2])] / math.exp(words.log_mass[ids[2]])
+    assert all(math.isclose(scores[k], p[k], rel_tol=1e-3) for k in kinds)
+
+
+def test_lm_gradient(spark, monkeypatch):
+    """A step goes down the slope of the summed log-probabilities, as differences of them tell."""
+    monkeypatch.setattr(lm_score, "OTHERS", 13)
+    hashes = np.sort(np.random.default_rng(1).integers(-(2**62), 2**62, 12))
+    words = lm_score.Lexicon(hashes, np.random.default_rng(2).permutation(25), np.log(np.arange(1.0, 26)))
+    net = lm_score.Network(words)
+    rng = np.random.default_rng(3)
+    ids, owner = rng.integers(0, 25, 40), np.repeat([0, 1], 20)
+    context, classes, cells = net.context(ids, owner, np.arange(40)), words.class_of[ids], words.cell_of[ids]
+    loss = lambda rows: -net_of(rows).log_probabilities(context, classes, cells).sum()
+    net_of = lambda rows: lm_score.Network(words, rows)
+    grads = {}
+
+    def step(rows, grad, count):
+        at = np.arange(len(net.rows))[rows] if isinstance(rows, slice) else rows
+        grads.update(zip(at.tolist(), grad))
+
+    monkeypatch.setattr(net, "_step", step)
+    net.learn(context, classes, cells)
+    for row in rng.choice(sorted(grads), 60):
+        for h in (0, 7, 15):
+            up, down = net.rows.copy(), net.rows.copy()
+            up[row, h] += 0.05
+            down[row, h] -= 0.05
+            assert abs((loss(up) - loss(down)) / 0.1 - grads[row][h]) < 0.02 + 0.02 * abs(grads[row][h])
+
+
+def test_lm_sees_context(spark):
+    """Rare words, too, are likelier where they belong."""
+    rng = random.Random(28)
+    pairs = [("".join(rng.choices("abcd", k=6)), "".join(rng.choices("efgh", k=6))) for _ in range(40)]
+    rows = [(i, " ".join(x for _ in range(40) for x in rng.choice(pairs))) for i in range(300)]
+    wrong = [(1000 + i, " ".join(y for _ in range(40) for y in (rng.choice(pairs)[0], rng.choice(pairs)[1]))) for i in range(20)]
+    df = spark.createDataFrame(rows + wrong, "doc_id long, text string")
+    got = {r["doc_id"]: r["mean_log_prob"] for r in lm_score.pseudo_likelihood(df, vocabulary=10, rounds=6).collect()}
+    right, other = [got[i] for i, _ in rows], [got[i] for i, _ in wrong]
+    assert sum(right) / len(right) > sum(other) / len(other) + 0.3
+
+
+def test_lm_ids(monkeypatch):
+    """Ids come out whatever the tables have room for."""
+    hashes = np.sort(np.random.default_rng(4).integers(-(2**62), 2**62, 300))
+    asked = np.concatenate((hashes, hashes + 1))
+    for slots in (1 << 18, 64):
+        monkeypatch.setattr(lm_score, "SLOTS", slots)
+        words = lm_score.Lexicon(hashes, np.arange(300 + lm_score.OTHERS), np.zeros(300 + lm_score.OTHERS))
+        assert (words.ids(asked)[:300] == np.arange(300)).all() and (words.ids(asked)[300:] >= 300).all()
 
 
 def test_lm_words_have_their_own_counts(spark, monkeypatch):
