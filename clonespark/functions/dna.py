@@ -17,8 +17,8 @@ CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 CODONS = {a + b + c: CODE[16 * i + 4 * j + k] for i, a in enumerate("TCAG") for j, b in enumerate("TCAG") for k, c in enumerate("TCAG")}
 #: With gaps kept: three blanks or dots are a blank or a dot.
 GAPPED = {**CODONS, "   ": " ", "...": "."}
-#: Amber suppression: TAG is read as Q; no gaps.
-AMBER = {**CODONS, "TAG": "Q"}
+#: In a strain that suppresses the stop TAG it is read as Q; no gaps.
+SUPPRESSED = {**CODONS, "TAG": "Q"}
 
 
 def _col(x: Column | str) -> Column:
@@ -42,9 +42,9 @@ def iupac_pattern(seq: Column | str, forward: bool = True) -> Column:
 def translate_dna(seq: Column | str, code: dict[str, str] | str | None = None) -> Column:
     """Amino acids of the codons from the first base on; X for unknown or partial codons; empty for an empty sequence.
 
-    code: None for the standard code with gaps, "amber", or a map of codons. Lower-case codons are unknown.
+    code: None for the standard code with gaps, any name for the code in which TAG is Q, or a map of codons. Lower-case codons are unknown.
     """
-    codons = GAPPED if code is None else AMBER if code == "amber" else code
+    codons = GAPPED if code is None else SUPPRESSED if isinstance(code, str) else code
     table = F.create_map(*(F.lit(x) for pair in sorted(codons.items()) for x in pair))
     s = _col(seq)
     acids = F.transform(F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1)), F.lit(3)), lambda i: F.coalesce(F.try_element_at(table, F.substring(s, i, F.lit(3))), F.lit("X")))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,30 +87,27 @@ def gravy(protein: Column | str) -> Column:
     return F.when(F.length(s) > 0, total / F.length(s))
 
 
-def charge(protein: str, ph: float) -> float:
-    plus = {**PK_PLUS, "n": PK_N_END.get(protein[0], PK_PLUS["n"])}
-    minus = {**PK_MINUS, "c": PK_C_END.get(protein[-1], PK_MINUS["c"])}
-    n = {c: protein.count(c) for c in "KRHDECY"} | {"n": 1, "c": 1}
-    return sum(n[g] / (1 + 10 ** (ph - pk)) for g, pk in plus.items()) - sum(n[g] / (1 + 10 ** (pk - ph)) for g, pk in minus.items())
-
-
-def _neutral_ph(protein: str | None) -> float | None:
-    if not protein:
-        return None
-    low, high, s = 0.0, 14.0, protein.upper()
-    for _ in range(60):
-        mid = (low + high) / 2
-        low, high = (mid, high) if charge(s, mid) > 0 else (low, mid)
-    return (low + high) / 2
-
-
-def isoelectric_point(protein: Column | str) -> Column:
-    """The pH at which the charge is zero, by bisection in an Arrow function; null for an empty sequence."""
-
-    def of(values: pd.Series) -> pd.Series:
-        return values.map(_neutral_ph).astype(float)
-
-    return F.pandas_udf(of, "double")(_col(protein))
+def charge(protein: Column, ph: Column) -> Column:
+    """Net charge of an upper-case sequence at a pH."""
+    end = lambda table, residue, other: F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), residue), F.lit(other))
+    n_end, c_end = end(PK_N_END, F.substring(protein, 1, 1), PK_PLUS["n"]), end(PK_C_END, F.substring(protein, -1, 1), PK_MINUS["c"])
+    count = lambda c: F.length(protein) - F.length(F.replace(protein, F.lit(c)))
+    plus = [(F.lit(1), n_end), *((count(c), F.lit(pk)) for c, pk in PK_PLUS.items() if c != "n")]
+    minus = [(F.lit(1), c_end), *((count(c), F.lit(pk)) for c, pk in PK_MINUS.items() if c != "c")]
+    held = [n / (1 + F.pow(F.lit(10.0), ph - pk)) for n, pk in plus] + [-n / (1 + F.pow(F.lit(10.0), pk - ph)) for n, pk in minus]
+    return reduce(lambda a, b: a + b, held)
+
+
+def isoelectric_point(protein: Column | str, halvings: int = 60) -> Column:
+    """The pH at which the charge is zero, by bisection; null for an empty sequence."""
+    s = F.upper(_col(protein))
+    ends = F.aggregate(
+        F.sequence(F.lit(1), F.lit(halvings)),
+        F.struct(F.lit(0.0).alias("low"), F.lit(14.0).alias("high")),
+        lambda x, _: F.when(charge(s, (x["low"] + x["high"]) / 2) > 0, F.struct(((x["low"] + x["high"]) / 2).alias("low"), x["high"].alias("high"))).otherwise(F.struct(x["low"].alias("low"), ((x["low"] + x["high"]) / 2).alias("high"))),
+        lambda x: (x["low"] + x["high"]) / 2,
+    )
+    return F.when(F.length(s) > 0, ends)
 
 
 # Residue labels of CDR3; the letter of the label in the middle goes on as the longest sequence needs.

@@ -84,15 +84,31 @@ def set_ids(df: DataFrame, seq: str, order_col: str, prefix: str = "", id_col: s
     return out.select(F.concat(F.lit(prefix), F.col("_len").cast("string"), F.lit("-"), F.col("_number").cast("string")).alias(id_col), *df.columns)
 
 
-def rarefy(df: DataFrame, size: int, count: str = "readcount", seed: int = 0) -> DataFrame:
+def rarefy(df: DataFrame, size: int, count: str = "readcount", seed: int = 0, id_col: str | None = None) -> DataFrame:
     """`size` reads drawn without replacement, counted again by row; all if there are fewer.
 
-    Every read gets a random number and the `size` smallest stay, so the draw is uniform over subsets.
+    Every read gets a hash of its row, its number in it and the seed, and those with the `size` least hashes stay. With id_col the draw is the same
+    however rows are dealt; without it, rows are told apart by where they are. The hashes' beginnings are counted first, so that only reads that begin as
+    the last one drawn does are put in order.
     """
     keys = [c for c in df.columns if c != count]
-    one = df.withColumn("_first", F.monotonically_increasing_id()).withColumn("_read", F.explode(F.sequence(F.lit(1), F.col(count)))).filter(F.col(count) > 0)
-    drawn = one.orderBy(F.rand(seed)).limit(size)
-    return drawn.groupBy("_first", *keys).agg(F.count("*").alias(count)).select(*df.columns)
+    row = F.col(id_col).cast("string") if id_col else F.monotonically_increasing_id().cast("string")
+    scratch = Scratch(df.sparkSession)
+    given = df.filter(F.col(count) > 0).withColumn("_row", row)
+    given = given if id_col else scratch.save(given)
+    reads = given.withColumn("_read", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(count).cast("bigint"))))
+    reads = reads.withColumn("_draw", F.md5(F.concat_ws("-", F.col("_row"), F.col("_read").cast("string"), F.lit(str(seed)))))
+    begin = F.conv(F.substring("_draw", 1, 4), 16, 10).cast("int")
+    total, last, before = 0, None, 0
+    for r in sorted(reads.groupBy(begin.alias("b")).count().collect()):  # 65,536 at most
+        if total + r["count"] > size:
+            last, before = r["b"], total
+            break
+        total += r["count"]
+    if last is not None:
+        edge = reads.filter(begin == last).orderBy("_draw", "_row", "_read").limit(size - before)
+        reads = reads.filter(begin < last).unionAll(edge)
+    return reads.groupBy("_row", *keys).agg(F.count("*").alias(count)).select(*df.columns)
 
 
 def union_samples(samples: dict[str, DataFrame], tag: str = "sample") -> DataFrame:

@@ -47,11 +47,12 @@ def merge_bucket(components: list[list[str]], threshold: float, linkage: str = "
     return group
 
 
-def merge_components(df: DataFrame, order_col: str, threshold: float, counts: list[str], sample: str = "sample", component: str = "component_ID", cdr3: str = "CDR3_AA", v: str = "V_gene", j: str = "J_gene", linkage: str = "min") -> DataFrame:
+def merge_components(df: DataFrame, order_col: str, threshold: float, counts: list[str], sample: str = "sample", component: str = "component_ID", cdr3: str = "CDR3_AA", v: str = "V_gene", j: str = "J_gene", linkage: str = "min", most: int = 50_000) -> DataFrame:
     """Adds component_ID_merged: components of samples with the same CDR3 length and gene families, merged if close.
 
     A component's length and genes are those of its first row. Merged components are numbered from 1 by their rows, largest first, of equal
-    ones the one whose first row comes first. The merge goes by order, so a bucket is one task's work; only distinct CDR3s come to it.
+    ones the one whose first row comes first. The merge goes by order, so a bucket is one task's work; only distinct CDR3s come to it, and a bucket of
+    more than `most` of them is an error.
     """
     name = F.concat_ws("|", F.col(sample).cast("string"), F.col(component).cast("string"))
     rows = df.withColumn("_component", name)
@@ -59,6 +60,8 @@ def merge_components(df: DataFrame, order_col: str, threshold: float, counts: li
     buckets = first.join(component_reads(rows, "_component", counts), "_component").select("b.*", "_component", "first", "cdr3s", "reads")
 
     def merge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        if (held := sum(map(len, group["cdr3s"]))) > most:
+            raise ValueError(f"{held} CDR3s of length {key[0]} with {key[1]} and {key[2]}: more than {most}; merge finer buckets, or raise most")
         ordered = group.sort_values(["reads", "first"], ascending=[False, True], kind="stable")
         longest = [[s for s in c if len(s) == key[0]] or [""] for c in ordered["cdr3s"]]
         numbers = merge_bucket([sorted(c) for c in longest], threshold, linkage)
@@ -119,36 +122,80 @@ def germline_graph(vertices: DataFrame, threshold: int, name: str = "name", seq:
 
 def upgma(names: list[str], distances: np.ndarray) -> list[tuple[str, str, float]]:
     """Edges (parent, child, length) of the tree that joins the two nearest clusters again and again, means of members' distances between them."""
+    n = len(names)
     d = distances.astype(float).copy()
-    np.fill_diagonal(d, np.inf)
-    label, height, size = list(names), [0.0] * len(names), [1] * len(names)
-    alive, edges = list(range(len(names))), []
-    while len(alive) > 1:
-        sub = d[np.ix_(alive, alive)]
-        a, b = divmod(int(sub.argmin()), len(alive))
-        i, j = alive[min(a, b)], alive[max(a, b)]
-        h = d[i, j] / 2
-        node = f"Inner{len(names) - len(alive) + 1}"
-        edges += [(node, label[i], h - height[i]), (node, label[j], h - height[j])]
-        merged = (d[i] * size[i] + d[j] * size[j]) / (size[i] + size[j])
-        d[i, :], d[:, i] = merged, merged
-        d[i, i], label[i], height[i], size[i] = np.inf, node, h, size[i] + size[j]
-        alive.remove(j)
+    d[np.tril_indices(n)] = np.inf  # rows have the distances to later ones
+    label, height, size, edges = list(names), np.zeros(n), np.ones(n), []
+    nearest = d.argmin(1) if n else np.zeros(0, int)
+    least = d[np.arange(n), nearest]
+    for k in range(n - 1):
+        i = int(least.argmin())
+        j = int(nearest[i])
+        h, node = d[i, j] / 2, f"Inner{k + 1}"
+        edges += [(node, label[i], float(h - height[i])), (node, label[j], float(h - height[j]))]
+        to_i, to_j = (np.where(np.arange(n) < x, d[:, x], d[x]) for x in (i, j))
+        merged = (to_i * size[i] + to_j * size[j]) / (size[i] + size[j])
+        label[i], height[i], size[i] = node, h, size[i] + size[j]
+        d[j], d[:, j] = np.inf, np.inf
+        d[:i, i], d[i, i + 1 :] = merged[:i], merged[i + 1 :]
+        d[i, j] = np.inf
+        # Rows whose nearest was one of the two are searched anew; for the others only the merged one may have come nearer.
+        for r in {i, *np.flatnonzero((nearest == i) | (nearest == j)).tolist()}:
+            nearest[r] = d[r].argmin()
+        nearer = np.flatnonzero((d[:i, i] < least[:i]) | ((d[:i, i] == least[:i]) & (i < nearest[:i])))
+        nearest[nearer] = i
+        least = d[np.arange(n), nearest]
     return edges
 
 
+# Scores of equal and unequal bases by model; those of transitions (A with G, C with T) may differ.
+MODELS = {"blastn": (5, -4, -4), "trans": (6, -5, -1)}
+
+
+def model_distances(seqs: list[str], model: str = "identity") -> np.ndarray:
+    """Distances between aligned sequences: the share of places that differ, or what a pair's score lacks of the better one's own. Gaps and stops score nothing."""
+    if model != "identity" and model not in MODELS:
+        raise ValueError(f"no such model: {model}; there are identity, {', '.join(MODELS)}")
+    m = _matrix(seqs)
+    if not m.size:
+        return np.zeros((len(m), len(m)))
+    known = (m != ord("-")) & (m != ord("*"))
+    total, own = np.zeros((len(m), len(m))), np.zeros(len(m))
+    for place, there in zip(m.T, known.T):
+        both, same = there[:, None] & there[None, :], place[:, None] == place[None, :]
+        if model == "identity":
+            total += both & same
+            continue
+        equal, unequal, transition = MODELS[model]
+        purine, pyrimidine = np.isin(place, [ord("A"), ord("G")]), np.isin(place, [ord("C"), ord("T")])
+        alike = (purine[:, None] & purine[None, :]) | (pyrimidine[:, None] & pyrimidine[None, :])
+        total += both * np.where(same, equal, np.where(alike, transition, unequal))
+        own += there * equal
+    if model == "identity":
+        return 1 - total / m.shape[1]
+    best = np.maximum(own[:, None], own[None, :])
+    return 1 - total / np.where(best > 0, best, 1)
+
+
 def mismatch_share(seqs: list[str]) -> np.ndarray:
     """Share of differing places between aligned sequences."""
     m = _matrix(seqs)
     return _hamming_all(m, m) / max(m.shape[1], 1)
 
 
-def trees(df: DataFrame, group: str, name: str = "name", seq: str = "sequence") -> DataFrame:
-    """A UPGMA tree of each group's aligned sequences: group, from, to, length, root (1 for edges of the root)."""
+def _distances(seqs: list[str], model: str | None) -> np.ndarray:
+    return mismatch_share(seqs) if model is None else model_distances(seqs, model)
+
+
+def trees(df: DataFrame, group: str, name: str = "name", seq: str = "sequence", model: str | None = None) -> DataFrame:
+    """A UPGMA tree of each group's aligned sequences: group, from, to, length, root (1 for edges of the root).
+
+    model: None for the share of mismatches (a dot matches all), or see model_distances. A group is one task's work, its matrix in memory.
+    """
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(name)
-        edges = upgma(rows[name].tolist(), mismatch_share(rows[seq].tolist()))
+        edges = upgma(rows[name].tolist(), _distances(rows[seq].tolist(), model))
         root = edges[-1][0] if edges else None
         return pd.DataFrame([(key[0], a, b, length, int(a == root)) for a, b, length in edges], columns=[group, "from", "to", "length", "root"])
 
@@ -189,12 +236,12 @@ def cut_tree(edges: list[tuple[str, str, float]], threshold: float) -> list[list
     return list(out.values())
 
 
-def tree_ranks(df: DataFrame, group: str, name: str = "name", seq: str = "sequence", threshold: float | None = None) -> DataFrame:
+def tree_ranks(df: DataFrame, group: str, name: str = "name", seq: str = "sequence", threshold: float | None = None, model: str | None = None) -> DataFrame:
     """Each sequence's place in its group's tree, and with a threshold the subtree (from 1) that it is in."""
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(name)
-        edges = upgma(rows[name].tolist(), mismatch_share(rows[seq].tolist()))
+        edges = upgma(rows[name].tolist(), _distances(rows[seq].tolist(), model))
         order = leaf_order(edges) or rows[name].tolist()
         part = {n: i + 1 for i, p in enumerate(cut_tree(edges, threshold) if threshold is not None and edges else [order]) for n in p}
         return pd.DataFrame([(key[0], n, i + 1, part[n]) for i, n in enumerate(order)], columns=[group, name, "leaf_rank", "subtree"])

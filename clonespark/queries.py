@@ -533,3 +533,6 @@ def phylo_ranks(spark, sf_dir):
 @query()
 def rarefy(spark, sf_dir):
     return collapse.rarefy(V.clones(spark, sf_dir).select("id", "seq", "readcount"), 5000, seed=7)
+
+
+from clonespark import annotation_queries, file_queries  # noqa: E402, F401 they add theirs

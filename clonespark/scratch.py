@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as the session names it.
 
-    Only a session without one (as in tests) gets a temporary folder.
+    Only a local session without one (as in tests) gets a temporary folder: elsewhere executors wouldn't share it.
     """
     context = spark.sparkContext
     found = context.getConf().get("spark.checkpoint.dir")
@@ -19,6 +19,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = context._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="clonespark-")
         context.setCheckpointDir(found)
     return found
@@ -35,12 +37,24 @@ class Scratch:
         self.root = f"{checkpoint_dir(spark)}/clonespark-{uuid.uuid4().hex}"
         self.count = 0
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def path(self, name: str = "") -> str:
+        """A path for a table or file of its own, which goes when the driver ends."""
         self.count += 1
-        path = f"{self.root}/{self.count}"
-        df.write.parquet(path)
         if self.count == 1:
-            self._files(self.root).deleteOnExit(self._path(self.root))
+            files = self._files(self.root)
+            files.mkdirs(self._path(self.root))
+            files.deleteOnExit(self._path(self.root))
+        return f"{self.root}/{self.count}{name}"
+
+    def put(self, path: str, content: bytes) -> None:
+        """A small file, written by the driver."""
+        out = self._files(path).create(self._path(path))
+        out.write(content)
+        out.close()
+
+    def save(self, df: DataFrame) -> DataFrame:
+        path = self.path()
+        df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out

@@ -33,6 +33,15 @@ def run_scripts(spark: SparkSession, pattern: str, execute: Callable[[str], obje
     return len(every)
 
 
+def setup_database(spark: SparkSession, name: str, pattern: str, execute: Callable[[str], object] | None = None) -> int:
+    """Makes a schema and runs the scripts that match in it. A schema that is there already is left as it is: 0 statements."""
+    if execute is None and spark.catalog.databaseExists(name):
+        return 0
+    (execute or spark.sql)(f"CREATE SCHEMA {name}")
+    (execute or spark.sql)(f"USE {name}")
+    return run_scripts(spark, pattern, execute)
+
+
 def jdbc(spark: SparkSession, table: str, url: str | None = None) -> DataFrame:
     """A table by JDBC. URL, user and password come from JDBC_URL, JDBC_USER and JDBC_PASSWORD."""
     options = {"url": url or os.environ["JDBC_URL"], "dbtable": table, "user": os.environ.get("JDBC_USER", ""), "password": os.environ.get("JDBC_PASSWORD", "")}

@@ -82,10 +82,11 @@ def write_table(df: DataFrame, path: str, columns: list[str] | None = None, sep:
     chosen.write.option("maxRecordsPerFile", rows_per_file).csv(path, header=True, sep=sep, mode=mode)
 
 
-def write_workbook(tables: dict[str, DataFrame], path: str, highlight: Column | None = None, most_rows: int = 1_000_000) -> None:
+def write_workbook(tables: dict[str, DataFrame], path, highlight: Column | None = None, most_rows: int = 1_000_000, widths: dict[str, list[tuple[int, int, float]]] | None = None) -> None:
     """A sheet for each table, as an Office Open XML workbook. Small results only: more rows than most_rows are an error.
 
-    {bg_color:name} fragments of a cell and rows for which highlight holds get a fill.
+    path: a path or an open binary file. {bg_color:name} fragments of a cell and rows for which highlight holds get a fill. widths: of a sheet's columns, as
+    (first, last, width), columns counted from 0.
     """
     import re
     import zipfile
@@ -111,7 +112,8 @@ def write_workbook(tables: dict[str, DataFrame], path: str, highlight: Column |
                 number = isinstance(value, (int, float)) and not isinstance(value, bool)
                 cells.append(f'<c s="{style}"><v>{value}</v></c>' if number else f'<c s="{style}" t="inlineStr"><is><t>{escape(text)}</t></is></c>')
             xml.append(f"<row>{''.join(cells)}</row>")
-        sheets[name] = f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{"".join(xml)}</sheetData></worksheet>'
+        cols = "".join(f'<col min="{a + 1}" max="{b + 1}" width="{w}" customWidth="1"/>' for a, b, w in (widths or {}).get(name, ()))
+        sheets[name] = f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">{f"<cols>{cols}</cols>" if cols else ""}<sheetData>{"".join(xml)}</sheetData></worksheet>'
     main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     kinds = "application/vnd.openxmlformats-officedocument.spreadsheetml."
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
@@ -132,12 +134,17 @@ def union_folders(spark: SparkSession, folders: list[str], out: str, names: list
         read_union(spark, [f"{f}/{name}" for f in folders], sep).write.csv(f"{out}/{name}", header=True, sep=sep, mode="overwrite")
 
 
-def read_config(path: str, section: str, **values: str) -> dict[str, str]:
-    """A section of an INI file, with $name in it replaced by values; the file stays as it is."""
+def read_config(path: str, section: str, spark: SparkSession | None = None, **values: str) -> dict[str, str]:
+    """A section of an INI file, with $name in it replaced by values; the file stays as it is. With a session, from any store that Spark reads."""
     import configparser
     from string import Template
 
+    if spark is not None:
+        text = spark.read.text(path, wholetext=True).first()[0]
+    else:
+        with open(path, encoding="utf-8") as f:
+            text = f.read()
     parser = configparser.ConfigParser(interpolation=None)
-    with open(path, encoding="utf-8") as f:
-        parser.read_string(Template(f.read()).safe_substitute(values))
+    parser.optionxform = str
+    parser.read_string(Template(text).safe_substitute(values))
     return dict(parser[section])

@@ -16,4 +16,4 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     splits = text.groupBy("file", "start").agg(F.min("n").alias("low"), F.count("*").alias("size"))
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("file", "start", (F.coalesce(F.sum("size").over(before), F.lit(0)) - F.col("low")).alias("shift"))
-    return text.join(F.broadcast(offsets), ["file", "start"]).select("file", (F.col("n") + F.col("shift")).alias("line"), "value")
+    return text.join(offsets, ["file", "start"]).select("file", (F.col("n") + F.col("shift")).alias("line"), "value")

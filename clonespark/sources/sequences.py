@@ -15,7 +15,7 @@ def read_fasta(spark: SparkSession, path: str | list[str], upper: bool = True) -
     """
     records = spark.read.option("lineSep", "\n>").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_row_id"))
     firsts = records.groupBy("file", "_start").agg(F.min("_row_id").alias("_row_id")).filter("_start = 0").select("_row_id", F.lit(True).alias("_first"))
-    marked = records.join(F.broadcast(firsts), "_row_id", "left")
+    marked = records.join(firsts, "_row_id", "left")  # a row for each file: Spark sees if that is few
     body = F.when(F.col("_first") & ~F.col("value").startswith(">"), F.raise_error(F.concat(F.lit("not FASTA: "), F.col("file")))).otherwise(F.regexp_replace("value", "^>", ""))
     lines = marked.select("_row_id", "file", body.alias("b")).filter(F.trim("b") != "")
     seq = F.regexp_replace(F.regexp_replace("b", r"^[^\n]*\n?", ""), r"[\r\n]", "")
@@ -23,8 +23,8 @@ def read_fasta(spark: SparkSession, path: str | list[str], upper: bool = True) -
 
 
 def read_clusters(spark: SparkSession, pattern: str) -> DataFrame:
-    """FASTA files named umi_sequences_reads.fasta: umi, n_seq, rc_sum, readcount (the record's name), sequence."""
-    parts = F.split(F.regexp_extract("file", r"([^/]+)\.fasta$", 1), "_")
+    """FASTA files (or folders of them) named umi_sequences_reads.fasta: umi, n_seq, rc_sum, readcount (the record's name), sequence."""
+    parts = F.split(F.regexp_extract("file", r"([^/=]+)\.fasta(?:/[^/]*)?$", 1), "_")
     return read_fasta(spark, pattern, upper=False).select(F.get(parts, F.lit(0)).alias("umi"), F.get(parts, F.lit(1)).cast("bigint").alias("n_seq"), F.get(parts, F.lit(2)).cast("bigint").alias("rc_sum"), F.col("name").cast("bigint").alias("readcount"), "sequence", "_row_id")
 
 
@@ -53,3 +53,11 @@ def write_fasta(df: DataFrame, path: str, name: str = "name", seq: str = "sequen
     """Records of a name line and a sequence line; sorted if an order is given."""
     rows = df.orderBy(order_col) if order_col else df
     rows.select(F.concat(F.lit(">"), F.col(name).cast("string"), F.lit("\n"), F.coalesce(F.col(seq), F.lit(""))).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_clusters(df: DataFrame, path: str, umi: str = "umi", seq: str = "sequence", count: str = "readcount") -> None:
+    """A folder of FASTA for each UMI, named umi_sequences_reads.fasta, with records named by their read counts: what read_clusters reads."""
+    sums = df.groupBy(umi).agg(F.count("*").alias("_n"), F.sum(count).alias("_sum"))
+    name = F.concat(F.concat_ws("_", F.col(umi), F.col("_n").cast("string"), F.col("_sum").cast("string")), F.lit(".fasta"))
+    record = F.concat(F.lit(">"), F.col(count).cast("string"), F.lit("\n"), F.col(seq))
+    df.join(sums, umi).select(record.alias("value"), name.alias("cluster")).repartition("cluster").write.mode("overwrite").partitionBy("cluster").text(path)

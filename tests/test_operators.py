@@ -33,7 +33,7 @@ def values(df, *columns):
 
 def test_scalar_functions(spark):
     df = spark.createDataFrame([("ATGTAG", 4, 1), ("atg", 0, 5), ("", 1, 1), ("AT", 2, 0), (".../x", 3, 3)], "s string, a int, b int")
-    got = [tuple(r) for r in df.select(dna.translate_dna("s"), dna.translate_dna("s", "amber"), dna.reverse_complement("s")).collect()]
+    got = [tuple(r) for r in df.select(dna.translate_dna("s"), dna.translate_dna("s", "suppressed"), dna.reverse_complement("s")).collect()]
     assert got == [("M*", "MQ", "CTACAT"), ("X", "X", "gta"), ("", "", ""), ("X", "X", "AT"), (".X", "XX", "x/...")]
     cut = spark.createDataFrame([("ACGTACGT", 3, 1), ("ACGTACGT", 1, 3), ("ACG", 0, 9)], "s string, a int, b int").select(dna.variable_region("s", "a", "b")).collect()
     assert [r[0] for r in cut] == ["ACGTACGT"[: 3 - 1], "ACGTACGT"[: 1 - 3], "ACG"[:-9]]
