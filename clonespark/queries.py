@@ -100,9 +100,23 @@ def gravy(spark, sf_dir):
     return part(spark, sf_dir).select("p_partkey", F.round(protein.gravy("prot"), 6).alias("gravy"))
 
 
-@query()
+def _count(c: str) -> str:
+    return f"(length(prot) - length(replace(prot, '{c}', '')))"
+
+
+def _end(table: dict[str, float], place: int, other: float) -> str:
+    return f"CASE substr(prot, {place}, 1) " + " ".join(f"WHEN '{a}' THEN {pk}" for a, pk in table.items()) + f" ELSE {other} END"
+
+
+CHARGE = " + ".join(f"{n} / (1 + pow(10, ph - ({pk})))" for n, pk in [("1", _end(protein.PK_N_END, 1, protein.PK_PLUS["n"])), *((_count(c), pk) for c, pk in protein.PK_PLUS.items() if c != "n")])
+CHARGE += "".join(f" - {n} / (1 + pow(10, ({pk}) - ph))" for n, pk in [("1", _end(protein.PK_C_END, 32, protein.PK_MINUS["c"])), *((_count(c), pk) for c, pk in protein.PK_MINUS.items() if c != "c")])
+
+
+@query(f"""WITH RECURSIVE b AS (SELECT p_partkey, {PROT} AS prot, 0 AS i, CAST(0 AS DOUBLE) AS low, CAST(14 AS DOUBLE) AS high FROM part
+    UNION ALL SELECT p_partkey, prot, i + 1, CASE WHEN charge > 0 THEN ph ELSE low END, CASE WHEN charge > 0 THEN high ELSE ph END FROM (SELECT *, {CHARGE} AS charge FROM (SELECT *, (low + high) / 2 AS ph FROM b WHERE i < 60) x) y)
+    SELECT p_partkey, round((low + high) / 2, 6) AS pi FROM b WHERE i = 60""")
 def isoelectric_point(spark, sf_dir):
-    return part(spark, sf_dir).select("p_partkey", protein.isoelectric_point("prot").alias("pi"))
+    return part(spark, sf_dir).select("p_partkey", F.round(protein.isoelectric_point("prot"), 6).alias("pi"))
 
 
 @query(f"""WITH s AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN {DNA36} WHEN 1 THEN {PROT} WHEN 2 THEN '' ELSE p_type END AS s FROM part)
@@ -143,15 +157,41 @@ def numbering_cdr3(spark, sf_dir):
     return r.select("p_partkey", "HCDR3", *(F.col("residues")[k].alias(n) for k, n in (("95", "r95"), ("100A", "r100a"), ("101", "r101"), ("102", "r102"))))
 
 
+NUMBERED = [f"L{n}" for n in (24, 25, 26, 27)] + ["L27A"] + [f"L{n}" for n in range(28, 35)]
+
+
+@query(f"""WITH s AS (SELECT p_partkey, 'Y' || substr({PROT}, 1, CAST(3 + p_partkey % 9 AS INTEGER)) AS s, 'Y' || substr({PROT}, 5, CAST(8 + p_partkey % 5 AS INTEGER)) AS f FROM part), n AS (SELECT *, length(s) AS n, greatest(length(s) - 7, 0) AS l FROM s)
+    SELECT p_partkey, array_to_string([{", ".join(f"'{label}=' || CASE WHEN {12 - i} <= n - l THEN substr(s, n - {12 - i} + 1, 1) WHEN {i} < l THEN substr(s, {i + 1}, 1) ELSE '-' END" for i, label in enumerate(NUMBERED))}], ';') AS cdr1,
+      array_to_string([{", ".join(f"'L{i}=' || CASE WHEN {24 - i} <= length(f) THEN substr(f, length(f) - {24 - i} + 1, 1) ELSE '-' END" for i in range(24))}], ';') AS fr1 FROM n""")
+def numbering_regions(spark, sf_dir):
+    """CDR1 from both ends, FR1 from the right, of residues as they are (the Y keeps them from being read as nucleotides)."""
+    k = F.col("p_partkey")
+    rows = part(spark, sf_dir).select("p_partkey", F.concat(F.lit("Y"), F.substring("prot", F.lit(1), (3 + k % 9).cast("int"))).alias("CDR1"), F.concat(F.lit("Y"), F.substring("prot", F.lit(5), (8 + k % 5).cast("int"))).alias("FR1"))
+    out = protein.number_regions(rows, "light", "p_partkey", blank="-")
+    text = lambda name, labels: F.array_join(F.array(*(F.concat(F.lit(f"{x}="), F.element_at(f"{name}_residues", F.lit(x))) for x in labels)), ";")
+    return out.select("p_partkey", text("CDR1", NUMBERED).alias("cdr1"), text("FR1", [f"L{i}" for i in range(24)]).alias("fr1"))
+
+
 @query()
 def numbering_all(spark, sf_dir):
     rows = part(spark, sf_dir).select("p_partkey", F.substring("prot", F.lit(1), (3 + F.col("p_partkey") % 9).cast("int")).alias("CDR1"), F.substring("prot", F.lit(5), (8 + F.col("p_partkey") % 7).cast("int")).alias("FR4"))
     return protein.number_regions(rows, "light", "p_partkey")
 
 
-@query()
+def _spans(pattern: str) -> str:
+    """Places (from 0) that lie in a match: what stands before each match, and the matches themselves, from the left."""
+    found, rest = f"regexp_extract_all(prot, '{pattern}')", f"regexp_split_to_array(prot, '{pattern}')"
+    return f"""list_distinct(flatten(list_transform(range(1, len({found}) + 1), lambda k: range(
+      CAST(list_sum(list_transform({rest}[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform({found}[1:k - 1], lambda x: length(x))), 0) AS BIGINT),
+      CAST(list_sum(list_transform({rest}[1:k], lambda x: length(x))) + list_sum(list_transform({found}[1:k], lambda x: length(x))) AS BIGINT)))))"""
+
+
+@query(f"WITH s AS (SELECT p_partkey, {PROT} AS prot FROM part), m AS (SELECT p_partkey, prot, " + ", ".join(f"{_spans(p)} AS m{i}" for i, p in enumerate(protein.MOTIFS.values())) + " FROM s) SELECT p_partkey, array_to_string(list_transform(range(0, 32), lambda i: 'R' || CAST(i + 1 AS VARCHAR) || ' ' || "
+    + " || ".join(f"CASE WHEN list_contains(m{i}, i) THEN '{{bg_color:{n}}}' ELSE '' END" for i, n in enumerate(protein.MOTIFS)) + " || substr(prot, CAST(i + 1 AS INTEGER), 1)), ';') AS residues FROM m")
 def residue_marks(spark, sf_dir):
-    return protein.marked_residues(part(spark, sf_dir).select("p_partkey", F.col("prot").alias("query")))
+    marked = protein.marked_residues(part(spark, sf_dir).select("p_partkey", F.col("prot").alias("query")))
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(32)), lambda i: F.concat(F.lit("R"), i.cast("string"), F.lit(" "), F.element_at("residues", F.concat(F.lit("R"), i.cast("string"))))), ";")
+    return marked.select("p_partkey", text.alias("residues"))
 
 
 @query(f"""WITH s AS (SELECT p_partkey, {DNA36} AS seq, CAST(p_size % 12 AS INTEGER) AS f, CAST(p_partkey % 9 AS INTEGER) - 4 AS d FROM part)
@@ -530,9 +570,10 @@ def phylo_ranks(spark, sf_dir):
     return graph.tree_ranks(V.clones(spark, sf_dir).select("component_ID", F.col("id").cast("string").alias("name"), F.col("seq").alias("sequence")), "component_ID", threshold=0.2)
 
 
-@query()
+@query(f"""WITH {V.CLONES}, r AS (SELECT id, seq, unnest(range(1, readcount + 1)) AS i FROM clones), d AS (SELECT id, seq, i, md5(CAST(id AS VARCHAR) || '-' || CAST(i AS VARCHAR) || '-7') AS h FROM r),
+    k AS (SELECT * FROM d ORDER BY h, id, i LIMIT 5000) SELECT id, seq, count(*) AS readcount FROM k GROUP BY id, seq""")
 def rarefy(spark, sf_dir):
-    return collapse.rarefy(V.clones(spark, sf_dir).select("id", "seq", "readcount"), 5000, seed=7)
+    return collapse.rarefy(V.clones(spark, sf_dir).select("id", "seq", "readcount"), 5000, seed=7, id_col="id")
 
 
 from clonespark import annotation_queries, file_queries  # noqa: E402, F401 they add theirs
