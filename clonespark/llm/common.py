@@ -34,15 +34,25 @@ def sized(df: DataFrame, scratch: Scratch, most_rows: int = 500_000) -> DataFram
     return F.broadcast(out) if fits(out) and out.count() <= most_rows else out
 
 
+#: Bytes of a batch that goes to Python, unless the session says otherwise. Spark's own 64 MB take several times that of an executor for each task.
+BATCH_BYTES, BATCH_SETTING, BATCH_DEFAULT = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864b", "67108864")
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Sets the bytes of a batch for the session, if they are as Spark comes. Spark looks at the setting when a plan is run."""
+    if spark.conf.get(BATCH_SETTING, BATCH_DEFAULT[0]) in BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str) -> DataFrame:
     """Run a function from an Arrow batch to columns over each batch of a DataFrame.
 
-    Spark bounds a batch by rows and by bytes (spark.sql.execution.arrow.maxBytesPerBatch),
-    so memory doesn't grow with the partition.
+    Spark bounds a batch by rows and by bytes (see bound_batches), so memory doesn't grow with the partition.
     """
     from pyspark.sql.types import StructType, _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    bound_batches(df.sparkSession)
     kinds = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
     arrow = to_arrow_schema(kinds)
 
@@ -63,6 +73,7 @@ def column_function(function: Callable[[pa.Array], pa.Array | list], kind: str)
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import _parse_datatype_string
 
+    bound_batches(SparkSession.active())
     arrow = to_arrow_type(_parse_datatype_string(kind))
 
     def run(texts: pa.Array) -> pa.Array:

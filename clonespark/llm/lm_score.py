@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clonespark.llm.common import map_batches, utf8
+from clonespark.llm.common import bound_batches, map_batches, utf8
 from clonespark.llm.words import LOWER, Block, blocks, mix
 from clonespark.scratch import Scratch
 
@@ -267,6 +267,7 @@ def _train(words: Lexicon, start: np.ndarray | None, turn: int, rounds: int = RO
 def train(docs: DataFrame, words: Lexicon, text_col: str = "text", rounds: int = ROUNDS) -> Network:
     """Rounds of training in all tasks at once, which mask every place once. The driver gets the mean weights, whose size doesn't depend on the input."""
     start = None
+    bound_batches(docs.sparkSession)
     texts = docs.select(utf8(text_col))
     schema = "row int, seen double, " + ", ".join(f"w{h} double" for h in range(HIDDEN))
     for turn in range(rounds):
