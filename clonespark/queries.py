@@ -52,9 +52,9 @@ def translate_dna(spark, sf_dir):
     return part(spark, sf_dir).select("p_partkey", dna.translate_dna(s).alias("aa"))
 
 
-@query("SELECT p_partkey, array_to_string(list_transform(string_split(translate(substr(p_name, 1, 8), 'abcdefghijklmnopqrstuvwxyz', 'ABCDGHKMNRSTVWYACGTNRYSWKM'), ''), lambda c: CASE c WHEN 'W' THEN '[AT]' WHEN 'S' THEN '[CG]' WHEN 'M' THEN '[AC]' WHEN 'K' THEN '[GT]' WHEN 'R' THEN '[AG]' WHEN 'Y' THEN '[CT]' WHEN 'B' THEN '[CGT]' WHEN 'D' THEN '[AGT]' WHEN 'H' THEN '[ACT]' WHEN 'V' THEN '[ACG]' WHEN 'N' THEN '[ACGT]' ELSE c END), '') AS pattern FROM part")
+@query("SELECT p_partkey, array_to_string(list_transform(string_split(translate(p_name, 'abcdefghijklmnopqrstuvwxyz', 'ABCDGHKMNRSTVWYACGTNRYSWKM'), ''), lambda c: CASE c WHEN 'W' THEN '[AT]' WHEN 'S' THEN '[CG]' WHEN 'M' THEN '[AC]' WHEN 'K' THEN '[GT]' WHEN 'R' THEN '[AG]' WHEN 'Y' THEN '[CT]' WHEN 'B' THEN '[CGT]' WHEN 'D' THEN '[AGT]' WHEN 'H' THEN '[ACT]' WHEN 'V' THEN '[ACG]' WHEN 'N' THEN '[ACGT]' ELSE c END), '') AS pattern FROM part")
 def iupac_regex(spark, sf_dir):
-    return part(spark, sf_dir).select("p_partkey", dna.iupac_pattern(F.translate(F.substring("p_name", 1, 8), "abcdefghijklmnopqrstuvwxyz", "ABCDGHKMNRSTVWYACGTNRYSWKM")).alias("pattern"))
+    return part(spark, sf_dir).select("p_partkey", dna.iupac_pattern(F.translate("p_name", "abcdefghijklmnopqrstuvwxyz", "ABCDGHKMNRSTVWYACGTNRYSWKM")).alias("pattern"))
 
 
 PAIR = f"""p AS (SELECT p_partkey, translate(substr({DNA36}, 1, 12), 'A', CASE WHEN p_partkey % 3 = 0 THEN '.' ELSE 'A' END) AS a,
@@ -443,17 +443,17 @@ TEMPLATE = "ACGTACGTTAGC"
 
 
 def umi_reads(spark, sf_dir):
-    """From part: row, umi (13 bases of 200 families, with one base changed or left out in some), full_NT, readcount."""
+    """From part: row, umi (13 bases, of families of ten rows, with one base changed or left out in some), full_NT, readcount."""
     k = F.col("p_partkey")
-    base = V.dna(k % 200, 13)
+    base = V.dna(F.floor(k / 10), 13)
     umi_ = F.when(k % 5 == 0, F.concat(F.substring(base, 1, 4), F.lit("A"), F.substring(base, 6, 8))).when(k % 7 == 0, F.concat(F.substring(base, 1, 6), F.substring(base, 8, 6))).otherwise(base)
-    body = V.dna(F.concat(F.lit("s"), (k % 400).cast("string")), 24)
+    body = V.dna(F.concat(F.lit("s"), F.floor(k / 5).cast("string")), 24)
     seq = F.when(k % 3 == 0, F.concat(F.substring(body, 1, 10), F.lit("T"), F.substring(body, 12, 13))).otherwise(body)
     return V.table(spark, sf_dir, "part").select(k.alias("row"), umi_.alias("umi"), seq.alias("full_NT"), F.col("p_size").cast("bigint").alias("readcount"))
 
 
-UMI_READS = """b AS (SELECT p_partkey AS row, CAST(p_size AS BIGINT) AS readcount, substr(translate(md5(CAST(p_partkey % 200 AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 13) AS u,
-      substr(translate(md5('s' || CAST(p_partkey % 400 AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 24) AS s FROM part),
+UMI_READS = """b AS (SELECT p_partkey AS row, CAST(p_size AS BIGINT) AS readcount, substr(translate(md5(CAST(p_partkey // 10 AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 13) AS u,
+      substr(translate(md5('s' || CAST(p_partkey // 5 AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 24) AS s FROM part),
     r AS (SELECT row, readcount, CASE WHEN row % 5 = 0 THEN substr(u, 1, 4) || 'A' || substr(u, 6, 8) WHEN row % 7 = 0 THEN substr(u, 1, 6) || substr(u, 8, 6) ELSE u END AS umi,
       CASE WHEN row % 3 = 0 THEN substr(s, 1, 10) || 'T' || substr(s, 12, 13) ELSE s END AS full_nt FROM b)"""
 
@@ -470,7 +470,7 @@ def umi_merge(spark, sf_dir):
     return umi.merge_umis(umi_reads(spark, sf_dir), "row").select("row", "merged_umi")
 
 
-@query(f"""WITH RECURSIVE {UMI_READS}, o AS (SELECT row % 20 AS g, row, readcount, full_nt, CAST(row_number() OVER (PARTITION BY row % 20 ORDER BY readcount DESC, row) AS BIGINT) AS k FROM r),
+@query(f"""WITH RECURSIVE {UMI_READS}, o AS (SELECT row // 100 AS g, row, readcount, full_nt, CAST(row_number() OVER (PARTITION BY row // 100 ORDER BY readcount DESC, row) AS BIGINT) AS k FROM r),
     t AS (SELECT g, CAST(0 AS BIGINT) AS k, CAST([] AS VARCHAR[]) AS seeds FROM (SELECT DISTINCT g FROM o) UNION ALL
       SELECT t.g, t.k + 1, CASE WHEN len(list_filter(t.seeds, lambda s: levenshtein(s, o.full_nt) <= 5)) > 0 THEN t.seeds ELSE list_append(t.seeds, o.full_nt) END FROM t JOIN o ON o.g = t.g AND o.k = t.k + 1),
     z AS (SELECT g, arg_max(seeds, k) AS seeds FROM t GROUP BY g),
@@ -478,7 +478,7 @@ def umi_merge(spark, sf_dir):
     c AS (SELECT g, i, sum(readcount) AS rc, count(*) AS n FROM p GROUP BY g, i HAVING sum(readcount) > 1), w AS (SELECT g, i, CAST(rc AS BIGINT) AS rc_sum, n AS n_seq, CAST(row_number() OVER (PARTITION BY g ORDER BY i) AS INTEGER) AS cluster FROM c)
     SELECT p.row, w.cluster, w.rc_sum, w.n_seq FROM p JOIN w ON p.g = w.g AND p.i = w.i""")
 def subcluster(spark, sf_dir):
-    reads = umi_reads(spark, sf_dir).withColumn("merged_umi", F.col("row") % 20)
+    reads = umi_reads(spark, sf_dir).withColumn("merged_umi", F.floor(F.col("row") / 100))
     return umi.sub_clusters(reads, "row").select("row", "cluster", "rc_sum", "n_seq")
 
 
@@ -513,13 +513,16 @@ def umi_counts(spark, sf_dir):
     return umi.umi_summary(umi_reads(spark, sf_dir), "umi").filter(filters.consensus_clusters())
 
 
-ERRORS = f"""c AS (SELECT p_partkey AS id, substr(translate(md5(CAST(p_partkey % 500 AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, CAST(6 + p_partkey % 2 AS INTEGER)) AS s, CAST(p_size * p_size AS BIGINT) AS n FROM part),
+ERRORS = f"""b AS (SELECT *, translate(md5(CAST(p_partkey // 6 AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT') AS t FROM part),
+    c AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN substr(t, 1, 12) ELSE substr(t, 1, CAST(p_partkey % 6 AS INTEGER)) || 'T' || substr(t, CAST(p_partkey % 6 + 2 AS INTEGER), CAST(11 - p_partkey % 6 AS INTEGER)) END AS s, CAST(p_size * p_size AS BIGINT) AS n FROM b),
     u AS (SELECT s, min(id) AS id, CAST(sum(n) AS BIGINT) AS n0, CAST(sum(n * (id % 3)) AS BIGINT) AS n1 FROM c GROUP BY s)"""
 
 
 def erroneous(spark, sf_dir):
     k = F.col("p_partkey")
-    c = V.table(spark, sf_dir, "part").select(k.alias("id"), F.substring(V.dna(k % 500, 7), F.lit(1), (6 + k % 2).cast("int")).alias("s"), (F.col("p_size") * F.col("p_size")).cast("bigint").alias("n"))
+    t, at = V.dna(F.floor(k / 6), 32), (k % 6).cast("int")
+    changed = F.concat(F.substring(t, F.lit(1), at), F.lit("T"), F.substring(t, at + 2, 11 - at))
+    c = V.table(spark, sf_dir, "part").select(k.alias("id"), F.when(k % 3 == 0, F.substring(t, 1, 12)).otherwise(changed).alias("s"), (F.col("p_size") * F.col("p_size")).cast("bigint").alias("n"))
     return c.groupBy("s").agg(F.min("id").alias("id"), F.sum("n").alias("n0"), F.sum(F.col("n") * (F.col("id") % 3)).alias("n1"))
 
 
@@ -547,13 +550,31 @@ def connected_components(spark, sf_dir):
     return graph.connected_vertices(v, similarity.similarity_join(v, "id", "seq", 3), "id", "component").select("id", "component")
 
 
-@query()
+@query(f"""WITH RECURSIVE {V.CLONES}, o AS (SELECT id, substr(seq, 1, 4) AS s, split_part("V_gene", '*', 1) || '|' || "J_gene" AS g, readcount FROM clones),
+    k AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY readcount DESC, id) AS k FROM o), b AS (SELECT g, list(s ORDER BY k) AS seqs, list(id ORDER BY k) AS ids, range(1, count(*) + 1) AS every FROM k GROUP BY g),
+    t AS (SELECT g, CAST(0 AS BIGINT) AS step, CAST([] AS BIGINT[]) AS left_, CAST(1 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS held, every AS rest, CAST(-1 AS BIGINT) AS num, CAST([] AS BIGINT[]) AS members, CAST([] AS BIGINT[]) AS numbers FROM b
+      UNION ALL SELECT g, step + 1, CASE WHEN go THEN left_ ELSE rest[1:len(rest) - 1] END, CASE WHEN go THEN i + 1 ELSE 1 END, CASE WHEN NOT go THEN [rest[len(rest)]] WHEN close THEN list_append(held, left_[i]) ELSE held END,
+        CASE WHEN NOT go THEN CAST([] AS BIGINT[]) WHEN close THEN rest ELSE list_append(rest, left_[i]) END, CASE WHEN go THEN num ELSE num + 1 END,
+        CASE WHEN NOT go THEN list_append(members, rest[len(rest)]) WHEN close THEN list_append(members, left_[i]) ELSE members END, CASE WHEN NOT go THEN list_append(numbers, num + 1) WHEN close THEN list_append(numbers, num) ELSE numbers END
+      FROM (SELECT t.*, i <= len(left_) AS go, i <= len(left_) AND len(list_filter(held, lambda h: hamming(b.seqs[h], b.seqs[left_[i]]) < 2)) > 0 AS close FROM t JOIN b USING (g)) x WHERE go OR len(rest) > 0),
+    f AS (SELECT g, arg_max(members, step) AS members, arg_max(numbers, step) AS numbers FROM t GROUP BY g), m AS (SELECT g, unnest(members) AS k, unnest(numbers) AS n FROM f),
+    r AS (SELECT k.id, m.g, m.n FROM m JOIN k USING (g, k)), z AS (SELECT g, n, row_number() OVER (ORDER BY count(*) DESC, min(id)) AS rank FROM r GROUP BY g, n)
+    SELECT c.id, substr(c.seq, 1, 4) AS "CDR3_AA", c."V_gene", c."J_gene", c.id AS "component_ID", c.id % 2 AS sample, c.readcount, CAST(z.rank AS INTEGER) AS "component_ID_merged" FROM clones c JOIN r ON r.id = c.id JOIN z ON z.g = r.g AND z.n = r.n""")
 def component_merge(spark, sf_dir):
     v = V.clones(spark, sf_dir).select("id", F.substring("seq", 1, 4).alias("CDR3_AA"), "V_gene", "J_gene", F.col("id").alias("component_ID"), (F.col("id") % 2).alias("sample"), "readcount")
     return graph.merge_components(v, "id", 2, ["readcount"])
 
 
-@query()
+@query(f"""WITH RECURSIVE {V.CLONES}, v AS (SELECT CAST(id AS VARCHAR) AS name, seq, "component_ID" AS c, CAST(id % 5 AS INTEGER) AS d FROM clones),
+    e AS (SELECT a.c, a.name AS a, b.name AS b, CAST(levenshtein(a.seq, b.seq) AS INTEGER) AS d, row_number() OVER (PARTITION BY a.c ORDER BY a.name, b.name) AS i FROM v a JOIN v b ON a.c = b.c AND a.name < b.name),
+    n AS (SELECT c, count(*) AS size, min(d) AS least FROM v GROUP BY c), f AS (SELECT v.c, n.size, n.least, list(v.name) AS front FROM v JOIN n ON v.c = n.c AND v.d = n.least GROUP BY ALL), p AS (SELECT c, list({{'i': i, 'a': a, 'b': b, 'd': d}}) AS edges FROM e GROUP BY c),
+    t AS (SELECT f.c, CAST(0 AS BIGINT) AS step, f.front AS reached, CAST([] AS BIGINT[]) AS chosen, p.edges FROM f JOIN p ON f.c = p.c WHERE NOT (f.size = 2 AND len(f.front) = 2)
+      UNION ALL SELECT c, step + 1, list_distinct(list_concat(reached, list_concat(list_transform(kept, lambda x: x.a), list_transform(kept, lambda x: x.b)))), list_concat(chosen, list_transform(kept, lambda x: x.i)), edges
+      FROM (SELECT *, CASE WHEN len(list_filter(crossing, lambda x: x.d <= 7)) > 0 THEN list_filter(crossing, lambda x: x.d <= 7) ELSE list_filter(crossing, lambda x: x.d = list_min(list_transform(crossing, lambda y: y.d))) END AS kept
+        FROM (SELECT *, list_filter(edges, lambda x: NOT list_contains(chosen, x.i) AND list_contains(reached, x.a) <> list_contains(reached, x.b)) AS crossing FROM t) y) z WHERE len(crossing) > 0),
+    l AS (SELECT c, arg_max(chosen, step) AS chosen FROM t GROUP BY c)
+    SELECT 'V' || CAST(f.c % 3 AS VARCHAR) || '|J1' AS "from", unnest(f.front) AS "to", CAST(f.least + 1 AS INTEGER) AS dist FROM f
+    UNION ALL SELECT e.a, e.b, e.d FROM e JOIN l ON e.c = l.c WHERE list_contains(l.chosen, e.i) OR e.d <= 7""")
 def germline_graph(spark, sf_dir):
     k = F.col("id")
     v = V.clones(spark, sf_dir).select(k.cast("string").alias("name"), F.col("seq").alias("full_NT"), "component_ID", F.concat(F.lit("V"), (F.col("component_ID") % 3).cast("string")).alias("V_gene"), F.lit("J1*01").alias("J_gene"), (k % 5).cast("int").alias("distance_from_V_gene"))
