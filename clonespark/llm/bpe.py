@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from clonespark.llm.common import map_batches, utf8
 
 #: Encoded pre-tokens that a worker keeps, in bytes of keys and ids; when full, it starts anew.
-CACHE_BYTES = 32 << 20
+CACHE_BYTES = 16 << 20
 #: Bytes of text whose pre-tokens are encoded together.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 2 << 20
 WORD = 64
 
 

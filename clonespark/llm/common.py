@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,6 +45,13 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
+def release_memory() -> None:
+    """Gives back to the system what a worker has freed: workers live on, idle or with other work, beside those of other stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc
+        trim(0)
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str) -> DataFrame:
     """Run a function from an Arrow batch to columns over each batch of a DataFrame.
 
@@ -59,8 +67,9 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dic
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                pa.default_memory_pool().release_unused()  # of the batch before
-                yield pa.RecordBatch.from_arrays([_as(out, f.type) for out, f in zip(function(batch), arrow, strict=True)], schema=arrow)
+                out = pa.RecordBatch.from_arrays([_as(x, f.type) for x, f in zip(function(batch), arrow, strict=True)], schema=arrow)
+                release_memory()
+                yield out
 
     return df.mapInArrow(run, kinds)
 
@@ -77,11 +86,11 @@ def column_function(function: Callable[[pa.Array], pa.Array | list], kind: str)
     arrow = to_arrow_type(_parse_datatype_string(kind))
 
     def run(texts: pa.Array) -> pa.Array:
-        pa.default_memory_pool().release_unused()  # of the batch before
         out = function(texts) if len(texts) else [[] for _ in arrow] if pa.types.is_struct(arrow) else []
-        if not pa.types.is_struct(arrow):
-            return _as(out, arrow)
-        return pa.StructArray.from_arrays([_as(x, f.type) for x, f in zip(out, arrow, strict=True)], fields=list(arrow))
+        if pa.types.is_struct(arrow):
+            out = pa.StructArray.from_arrays([_as(x, f.type) for x, f in zip(out, arrow, strict=True)], fields=list(arrow))
+        release_memory()
+        return _as(out, arrow)
 
     run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     made = F.arrow_udf(run, kind)

@@ -25,7 +25,7 @@ LEAST_DOCS, MOST_LANGS = 20, 1000
 BUCKETS, DIM, SIZES = 1 << 15, 8, (2, 3, 4)
 EPOCHS, RATE, BATCH = 8, 8.0, 16
 #: Bytes of text scored together.
-SCORE_BYTES = 1 << 19
+SCORE_BYTES = 1 << 18
 UNKNOWN = "und"
 #: Every byte that is no ASCII letter and belongs to no longer character counts as one space.
 FOLD = LOWER.copy()

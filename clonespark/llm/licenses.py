@@ -124,7 +124,7 @@ def _many(df: DataFrame, function, schema: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    from clonespark.llm.common import _as
+    from clonespark.llm.common import _as, release_memory
 
     kinds = _parse_datatype_string(schema)
     arrow = to_arrow_schema(kinds)
@@ -133,6 +133,7 @@ def _many(df: DataFrame, function, schema: str) -> DataFrame:
         for batch in batches:
             for out in function(batch) if batch.num_rows else ():
                 yield pa.RecordBatch.from_arrays([_as(x, f.type) for x, f in zip(out, arrow, strict=True)], schema=arrow)
+            release_memory()
 
     return df.mapInArrow(run, kinds)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clonespark.llm.common import bound_batches, map_batches, utf8
+from clonespark.llm.common import bound_batches, map_batches, release_memory, utf8
 from clonespark.llm.words import LOWER, Block, blocks, mix
 from clonespark.scratch import Scratch
 
@@ -255,6 +255,7 @@ def _train(words: Lexicon, start: np.ndarray | None, turn: int, rounds: int = RO
                     chosen = masked[at : at + STEP]
                     truth = ids[chosen]
                     net.learn(net.context(ids, block.text, chosen), words.class_of[truth], words.cell_of[truth])
+            release_memory()
         seen = np.flatnonzero(net.seen)
         for at in range(0, len(seen), 10_000):
             part = seen[at : at + 10_000]

@@ -447,9 +447,13 @@ COMMON = 64
 KNOWN_COMMON = 500_000
 
 
-def _shingle_sets(shingle: int):
+def _shingle_sets(shingle: int, ordered=None):
+    """Sets of shingles of texts, ascending, or what `ordered` makes of each."""
+
     def run(batch: pa.RecordBatch):
         sets = [shingle_set(x.as_py(), shingle).astype(np.int64) for x in batch.column(0)]
+        if ordered is not None:
+            sets = [ordered(x) for x in sets]
         offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
         return batch.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))
 
@@ -472,22 +476,19 @@ def _rare_first(nodes: DataFrame, texts_of, shingle: int, similarity: float, scr
     tokens = nodes.select("node", F.explode("prefix").alias("shingle"))
     common = scratch.save(tokens.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > COMMON))
     changed = scratch.save(tokens.join(sized(common, scratch), "shingle", "left_semi").select("node").distinct())
-    sets = map_batches(texts_of(changed).select(utf8("_text"), "node"), _shingle_sets(shingle), "node bigint, shingles array<bigint>")
+    texts = texts_of(changed).select(utf8("_text"), "node")
     if common.count() <= KNOWN_COMMON:  # a few MB for each task: the sets needn't be dealt
         listed = sorted((r["shingle"], r["n"]) for r in common.collect())
         hashes, counts = (np.array(x, np.int64) for x in zip(*listed)) if listed else (np.zeros(0, np.int64),) * 2
 
-        def reorder(batch: pa.RecordBatch):
-            heads = []
-            for x in batch.column(1):
-                own = x.values.to_numpy()
-                at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
-                n = np.where(hashes[at] == own, counts[at], 0)
-                heads.append(own[np.lexsort((own.view(np.uint64), n))][: prefix_size(len(own), similarity)])
-            return batch.column(0), heads
+        def head(own: np.ndarray) -> np.ndarray:
+            at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+            n = np.where(hashes[at] == own, counts[at], 0) if len(hashes) else np.zeros(len(own), np.int64)
+            return own[np.lexsort((own.view(np.uint64), n))][: prefix_size(len(own), similarity)]
 
-        new = map_batches(sets, reorder, "node bigint, _prefix array<bigint>")
+        new = map_batches(texts, _shingle_sets(shingle, head), "node bigint, _prefix array<bigint>")
     else:
+        sets = map_batches(texts, _shingle_sets(shingle), "node bigint, shingles array<bigint>")
         ranked = sets.select("node", F.explode("shingles").alias("shingle")).join(common, "shingle", "left").groupBy("node")
         # Hashes are compared as signed numbers here, as unsigned ones elsewhere: the sign bit is flipped.
         order = F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("shingle").bitwiseXOR(F.lit(-(1 << 63))).alias("place"), "shingle")
