@@ -58,10 +58,56 @@ def op10_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op3_mixing, op4_simhash, op5_lm_score, op6_token_counts, op7_quality_rules, op8_bpe, op9_top_k, op10_license_scan)}
+def quality_counts(spark, sf_dir):
+    """The counts of op7 that SQL can express."""
+    return op7_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
-#: DuckDB SQL for the queries that it can express.
+
+def license_phrases(spark, sf_dir):
+    """What op10 says of its fixed phrases."""
+    return op10_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op3_mixing, op4_simhash, op5_lm_score, op6_token_counts, op7_quality_rules, op8_bpe, op9_top_k, op10_license_scan, quality_counts, license_phrases)}
+
+#: DuckDB SQL for the queries that it can express. op2: the pages' articles are elements of their own, with headings and paragraphs alone.
 ORACLES: dict[str, str] = {
+    "op2_html_extraction": r"""
+        WITH a AS (
+            SELECT page_id, url, list_transform(regexp_split_to_array(replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<br>', ' '), '</?(?:h1|p)>'), lambda x: regexp_replace(x, '</?b>', '', 'g')) AS blocks FROM pages
+        ), b AS (
+            SELECT page_id, url, list_filter(list_transform(blocks, lambda x: trim(regexp_replace(
+                replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks FROM a
+        )
+        SELECT page_id, url, array_to_string(blocks, chr(10) || chr(10)) AS text, CAST(length(array_to_string(blocks, chr(10) || chr(10))) AS BIGINT) AS n_chars FROM b
+    """,
+    "quality_counts": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents
+        ), w AS (
+            SELECT doc_id, unnest(range(1, len(words) - 1)) AS i, words FROM d
+        ), g AS (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i], words[i + 1], words[i + 2]) AS n FROM w
+        ), r AS (
+            SELECT doc_id, count(DISTINCT i + j) AS n FROM g, (SELECT unnest([0, 1, 2]) AS j) k WHERE n > 1 GROUP BY doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars, CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+            CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(words) < 50 OR 100 * coalesce(r.n, 0) > 50 * len(words) AS base_failed
+        FROM d LEFT JOIN r USING (doc_id)
+    """,
+    "license_phrases": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM documents
+        ), p AS (
+            SELECT unnest([['under', 'the', 'mit', 'license'], ['apache', 'license', 'version', '2'], ['cc', 'by', 'nc']]) AS phrase, unnest(['mit', 'apache-2', 'cc-by-nc']) AS label
+        ), h AS (
+            SELECT doc_id, label, unnest(list_filter(range(len(words)), lambda i: words[i + 1] = phrase[1] AND words[i + 1:i + len(phrase)] = phrase)) AS place FROM d, p
+        ), s AS (
+            SELECT doc_id, count(*) AS n, min(place) AS first_word, max(place) AS last_word, array_to_string(list_sort(list_distinct(list(label))), ',') AS labels FROM h GROUP BY doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word, coalesce(labels, '') AS base_labels FROM d LEFT JOIN s USING (doc_id)
+    """,
     "op9_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
