@@ -115,20 +115,25 @@ def align_to_genes(df: DataFrame, genes: DataFrame, seq: str = "full_NT", top: i
 def global_alignment(a: str, b: str, band: int) -> tuple[str, str]:
     """Least edits from a to b, of alignments that stray at most `band` from the diagonal (as many as their lengths differ at least)."""
     band = max(band, abs(len(a) - len(b))) + 1
-    far = len(a) + len(b) + 1
-    cost = {(0, 0): 0}
-    for i in range(len(a) + 1):
-        for j in range(max(0, i - band), min(len(b), i + band) + 1):
-            if i or j:
-                cost[i, j] = min(cost.get((i - 1, j - 1), far) + (a[i - 1 : i] != b[j - 1 : j]) if i and j else far, cost.get((i - 1, j), far) + 1, cost.get((i, j - 1), far) + 1)
+    far, width = len(a) + len(b) + 2, 2 * band + 1
+    k = np.arange(width)  # of row i: place j = i + k - band in b
+    other = np.concatenate((np.zeros(band + 1, np.uint32), np.array([ord(c) for c in b], np.uint32), np.zeros(band + 1, np.uint32)))
+    cost = np.full((len(a) + 1, width + 1), far, np.int32)
+    cost[0, :width] = np.where((k >= band) & (k - band <= len(b)), k - band, far)
+    for i, c in enumerate(a, 1):
+        j = i + k - band
+        unequal = other[i : i + width] != ord(c)
+        row = np.minimum(np.where(j >= 1, cost[i - 1, :width] + unequal, far), cost[i - 1, 1:] + 1)
+        row = np.where((j >= 0) & (j <= len(b)), row, far)
+        cost[i, :width] = np.where((j >= 0) & (j <= len(b)), np.minimum.accumulate(row - k) + k, far)
     x, y, i, j = [], [], len(a), len(b)
     while i or j:
-        c = cost[i, j]
-        if i and j and c == cost.get((i - 1, j - 1), far) + (a[i - 1] != b[j - 1]):
+        at = j - i + band
+        if i and j and cost[i, at] == cost[i - 1, at] + (a[i - 1] != b[j - 1]):
             i, j = i - 1, j - 1
             x.append(a[i])
             y.append(b[j])
-        elif i and c == cost.get((i - 1, j), far) + 1:
+        elif i and cost[i, at] == cost[i - 1, at + 1] + 1:
             i -= 1
             x.append(a[i])
             y.append("-")
@@ -182,21 +187,32 @@ def align_clusters(reads: DataFrame, keys: list[str], seed: str = "seed", seq: s
     return distinct.groupBy(*keys).applyInPandas(one, f"{kinds}, sequence string, `{count}` bigint")
 
 
-def merged_pair(a: str, b: str, least: int = 10, most_wrong: float = 0.1) -> str | None:
-    """A read and its mate (already turned) joined where they overlap best: the longest overlap with few enough mismatches."""
+def merged_pair(a: str, b: str, least: int = 10, most_wrong: float = 0.1, qa: str | None = None, qb: str | None = None) -> tuple[str, str | None] | None:
+    """A read and its mate (already turned) joined where they overlap best: the longest overlap with few enough mismatches.
+
+    With their qualities, where they differ the base that is surer counts, and where they agree the better quality.
+    """
+    x, y = (np.frombuffer(s.encode("ascii", "replace"), np.uint8) for s in (a, b))
     for n in range(min(len(a), len(b)), least - 1, -1):
-        wrong = sum(x != y for x, y in zip(a[-n:], b[:n]))
-        if wrong <= most_wrong * n:
-            return a + b[n:]
+        if np.count_nonzero(x[len(x) - n :] != y[:n]) <= most_wrong * n:
+            if not (qa and qb):
+                return a + b[n:], None
+            surer = [(c, p) if p >= q else (d, q) for c, p, d, q in zip(a[len(a) - n :], qa[len(a) - n :], b, qb)]
+            return a[: len(a) - n] + "".join(c for c, _ in surer) + b[n:], qa[: len(a) - n] + "".join(q for _, q in surer) + qb[n:]
     return None
 
 
-def merge_pairs(pairs: DataFrame, forward: str = "r1", reverse: str = "r2", least: int = 10, most_wrong: float = 0.1) -> DataFrame:
-    """Adds merged: a stand-in for a read merger, null where there is no overlap. reverse: as sequenced."""
-    def join(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([merged_pair(x, y, least, most_wrong) if x and y else None for x, y in zip(a, b)], dtype=object)
+def merge_pairs(pairs: DataFrame, forward: str = "r1", reverse: str = "r2", least: int = 10, most_wrong: float = 0.1, qualities: tuple[str, str] | None = None) -> DataFrame:
+    """Adds merged: a stand-in for a read merger, null where there is no overlap. reverse: as sequenced. qualities: the columns of both reads' qualities;
+    they decide where the reads differ, and merged_quality is added."""
+
+    def join(a: pd.Series, b: pd.Series, p: pd.Series, q: pd.Series) -> pd.DataFrame:
+        rows = [merged_pair(x, y, least, most_wrong, u, v) if x and y else None for x, y, u, v in zip(a, b, p, q)]
+        return pd.DataFrame([r or (None, None) for r in rows], columns=["merged", "merged_quality"], dtype=object)
 
-    return pairs.withColumn("merged", F.pandas_udf(join, "string")(F.col(forward), reverse_complement(reverse)))
+    columns = [F.col(qualities[0]), F.reverse(F.col(qualities[1]))] if qualities else [F.lit(None).cast("string")] * 2
+    made = pairs.withColumn("_m", F.pandas_udf(join, "merged string, merged_quality string")(F.col(forward), reverse_complement(reverse), *columns))
+    return made.select("*", "_m.merged", *(["_m.merged_quality"] if qualities else [])).drop("_m")
 
 
 def chicken_regions(fr_hits: DataFrame, seq: str = "seq", loose: bool = False) -> DataFrame:

@@ -74,10 +74,10 @@ def parse(blocks: DataFrame, chain: ChainType, domain_system: str | None = None,
     return rows.select(*(c.alias(n) for n, c in out.items()))
 
 
-def annotate(seqs: DataFrame, annotations: DataFrame, seq: str = "full_NT", id_col: str = "query", protein: bool = False, tcr: bool = False) -> DataFrame:
+def annotate(seqs: DataFrame, annotations: DataFrame, seq: str = "full_NT", id_col: str = "query", protein: bool = False, tcr: bool = False, spaced: bool = False) -> DataFrame:
     """The sequences' columns with genes, regions cut out and translated, frame and stop codon.
 
-    Joined by id. Columns that seqs has already stay as they are there.
+    Joined by id. Columns that seqs has already stay as they are there. spaced: names of added columns have blanks for underscores ("V gene").
     """
     marks = annotations.drop(*(c for c in annotations.columns if c in seqs.columns and c != id_col))
     rows = seqs.join(marks, id_col, "left")
@@ -93,4 +93,5 @@ def annotate(seqs: DataFrame, annotations: DataFrame, seq: str = "full_NT", id_c
         cuts |= {"CDR3_AA_temp": F.substring(F.col(seq), F.col("FR3_to") + 3, F.lit(28))}
     if tcr:
         cuts["full_AA"] = translate_dna(F.substring(F.col(seq), F.lit(2), F.lit(2147483647)))
-    return rows.withColumns({n: c for n, c in cuts.items() if n not in seqs.columns})
+    out = rows.withColumns({n: c for n, c in cuts.items() if n not in seqs.columns})
+    return out.withColumnsRenamed({c: c.replace("_", " ") for c in out.columns if spaced and c not in seqs.columns})

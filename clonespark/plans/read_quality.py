@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import os
+from html import escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,19 @@ def report(spark: SparkSession, path: str, forward: int = 0, reverse: int = 0) -
     return read_totals(reads, "scores"), score_histogram(reads, "scores", forward, reverse)
 
 
+def chart(histogram: list[dict], n_reads: int, title: str) -> str:
+    """Cumulative shares of least and median scores as bars, from 40 down to 0: an SVG drawing."""
+    bars = []
+    for i, r in enumerate(sorted(histogram, key=lambda r: -r["qscore"])):
+        for k, (name, colour) in enumerate((("least_cum", "#00b7c2"), ("median_cum", "#d9c400"))):
+            height = 300 * r[name] / max(n_reads, 1)
+            bars.append(f'<rect x="{50 + 14 * i + 6 * k}" y="{340 - height:.2f}" width="6" height="{height:.2f}" fill="{colour}"/>')
+        if i % 5 == 0:
+            bars.append(f'<text x="{50 + 14 * i}" y="358" font-size="11">{r["qscore"]}</text>')
+    named = f'<text x="50" y="20">{escape(title)}: {n_reads} reads</text><text x="50" y="376" font-size="11">least (blue) and median (yellow) score, cumulative share</text>'
+    return f'<svg xmlns="http://www.w3.org/2000/svg" width="660" height="390">{named}<path d="M45 40V340H640" fill="none" stroke="black"/>{"".join(bars)}</svg>'
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("-d", "--directory", required=True)
@@ -38,6 +52,8 @@ def main(arguments: list[str] | None = None) -> None:
         totals, histogram = report(spark, merged, given.forward, given.reverse)
         write_table(totals, f"{out}.totals", mode="ignore")
         write_table(histogram.orderBy(F.desc("qscore")), f"{out}.scores", mode="ignore")
+        drawing = chart([r.asDict() for r in histogram.collect()], totals.first()["n_reads"], pair["sample"])
+        spark.createDataFrame([(drawing,)], "value string").coalesce(1).write.mode("ignore").text(f"{out}.svg")
 
 
 if __name__ == "__main__":

@@ -325,7 +325,7 @@ def test_alignment(spark):
     assert (a["query_start"], a["query_end"], a["sbjct_end"], a["match_pattern"]) == (2, 4, 4, "||q|")
     assert align.star_alignment("ACGT", ["ACGT", "AGT", "ACCGT"], 2)[0].replace("-", "") == "ACGT"
     assert len({len(x) for x in align.star_alignment("ACGT", ["ACGT", "AGT", "ACCGT"], 2)}) == 1
-    assert align.merged_pair("AAAACCCCGGGG", "CCCCGGGGTTTT", 6, 0.1) == "AAAACCCCGGGGTTTT" and align.merged_pair("AAAA", "TTTT", 3) is None
+    assert align.merged_pair("AAAACCCCGGGG", "CCCCGGGGTTTT", 6, 0.1)[0] == "AAAACCCCGGGGTTTT" and align.merged_pair("AAAA", "TTTT", 3) is None
 
 
 def test_plan_from_reads(spark):
@@ -409,3 +409,113 @@ def test_read_quality(spark, tmp_path):
     assert (t["n_reads"], t["min_length"], t["max_length"]) == (2, 2, 4) and t["mean_score"] == pytest.approx((40 + 20 + 10 + 40 + 0 + 42) / 6)
     h = {r["qscore"]: (r["least"], r["median"]) for r in histogram.collect()}
     assert h[10] == (1, 0) and h[0] == (1, 0) and h[30] == (0, 1) and h[21] == (0, 1) and len(h) == 41
+
+
+def test_banded_alignment():
+    """Least edits within the band, against a plain model."""
+    rng = random.Random(41)
+    for _ in range(40):
+        a = "".join(rng.choices("ACGT", k=rng.randrange(0, 30)))
+        b = list(a)
+        for _ in range(rng.randrange(4)):
+            p = rng.randrange(len(b) + 1)
+            b[p : p + rng.randrange(2)] = rng.choices("ACGT", k=rng.randrange(2))
+        b = "".join(b)
+        x, y = align.global_alignment(a, b, 5)
+        assert x.replace("-", "") == a and y.replace("-", "") == b and sum(c != d for c, d in zip(x, y)) == lev(a, b)
+
+
+def test_merging_by_quality(spark):
+    df = spark.createDataFrame([("ACGTACGTTT", "GGAAACGTAC", "IIIIIIIII#", "IIIIIIIIII")], "r1 string, r2 string, q1 string, q2 string")
+    got = align.merge_pairs(df, least=8, most_wrong=0.2, qualities=("q1", "q2")).first()
+    assert got["merged"] is not None and len(got["merged"]) == len(got["merged_quality"])
+    assert align.merged_pair("AACCGGTT", "CCGGTAGA", 6, 0.2, "IIIIIII#", "IIIIIIII") == ("AACCGGTAGA", "IIIIIIIIII")
+    assert align.merged_pair("AACCGGTT", "CCGGTAGA", 6, 0.2, "IIIIIIII", "IIIII#II")[0] == "AACCGGTTGA"
+
+
+def test_tree_models():
+    seqs = ["ACGT-ACG", "ACGA-ACG", "GCGT-ACG"]
+    d = graph.model_distances(seqs)
+    assert d[0, 1] == pytest.approx(2 / 8) and d[0, 0] == pytest.approx(1 / 8)  # a gap is no match
+    blast, trans = (graph.model_distances(seqs, m) for m in ("blastn", "trans"))
+    assert blast[0, 1] == blast[0, 2] == pytest.approx(1 - (6 * 5 - 4) / 35) and trans[0, 2] == pytest.approx(1 - (6 * 6 - 1) / 42) and trans[0, 1] == pytest.approx(1 - (6 * 6 - 5) / 42)
+    with pytest.raises(ValueError):
+        graph.model_distances(seqs, "none")
+
+
+def test_upgma_against_a_plain_model():
+    rng = np.random.default_rng(42)
+    for n in (1, 2, 3, 9, 30):
+        d = rng.integers(1, 6, (n, n)).astype(float)
+        d = np.triu(d, 1) + np.triu(d, 1).T
+        clusters, edges = [(f"n{i}", 0.0, [i]) for i in range(n)], []
+        while len(clusters) > 1:
+            mean = lambda p, q: np.mean([d[i, j] for i in p[2] for j in q[2]])
+            i, j = min(((i, j) for j in range(len(clusters)) for i in range(j)), key=lambda x: (round(mean(clusters[x[0]], clusters[x[1]]), 9), x))
+            a, b = clusters[i], clusters[j]
+            h, node = mean(a, b) / 2, f"Inner{n - len(clusters) + 1}"
+            edges += [(node, a[0], h - a[1]), (node, b[0], h - b[1])]
+            clusters[i] = (node, h, a[2] + b[2])
+            del clusters[j]
+        got = graph.upgma([f"n{i}" for i in range(n)], d)
+        if n < 9:  # equal means come out in another order of additions
+            assert [e[:2] for e in got] == [e[:2] for e in edges]
+        assert sorted(e[2] for e in got) == pytest.approx(sorted(e[2] for e in edges)) or n >= 9
+        assert len(got) == max(0, 2 * n - 2)
+
+
+def test_trees_in_nexus():
+    from clonespark.sources import trees
+
+    edges = [("r", "a b", 0.5), ("r", "x", 1.0), ("x", "c", 0.25), ("x", "d'e", 0.0)]
+    assert sorted(e[:3] for e in trees.newick_edges(trees.newick(edges))) == sorted(edges)
+    assert trees.newick_edges("((a:1,b:2):3,c:4);") == [("Inner1", "Inner2", 3.0, 1), ("Inner1", "c", 4.0, 1), ("Inner2", "a", 1.0, 0), ("Inner2", "b", 2.0, 0)]
+
+
+def test_log_records_of_a_queue(tmp_path):
+    import logging
+    import queue
+
+    from clonespark import logs
+
+    (tmp_path / "log.ini").write_text(f"[loggers]\nkeys=root\n[handlers]\nkeys=f\n[formatters]\nkeys=p\n[logger_root]\nlevel=INFO\nhandlers=f\n[handler_f]\nclass=FileHandler\nformatter=p\nargs=({str(tmp_path / 'out')!r},)\n[formatter_p]\nformat=%(levelname)s %(message)s\n")
+    held, root = queue.Queue(), logging.getLogger()
+    before = root.handlers[:]
+    listener = logs.listen(held, str(tmp_path / "log.ini"))
+    held.put(logging.LogRecord("a.b", logging.WARNING, "", 1, "hello %s", ("you",), None))
+    listener.stop()
+    assert (tmp_path / "out").read_text() == "WARNING hello you\n"
+    root.handlers[:] = before
+    logs.send_to(held, "c.d").info("more")
+    assert held.get_nowait().getMessage() == "more"
+
+
+def test_limits_of_one_task(spark):
+    v = spark.createDataFrame([(i, "ACGT", 1) for i in range(8)], "id int, s string, c int")
+    with pytest.raises(ValueError):
+        similarity.component_edges(v, "id", "s", "c", most=7)
+    assert similarity.component_edges(v, "id", "s", "c", most=8).count() == 28
+
+
+def test_rarefaction_is_the_same_however_rows_are_dealt(spark):
+    df = spark.createDataFrame([(i, i % 7 + 1) for i in range(500)], "id int, readcount long")
+    a, b = (values(collapse.rarefy(d, 300, seed=3, id_col="id"), "id", "readcount") for d in (df, df.repartition(7)))
+    assert a == b and sum(n for _, n in a) == 300
+    assert sum(n for _, n in values(collapse.rarefy(df, 10**6), "id", "readcount")) == df.agg(F.sum("readcount")).first()[0]
+
+
+def test_joins_are_salted_by_counted_blocks(spark, monkeypatch):
+    rng = random.Random(43)
+    base = ["".join(rng.choices("ACGT", k=16)) for _ in range(3)]
+    rows = [(i, "".join(c if rng.random() > 0.05 else "A" for c in rng.choice(base))) for i in range(80)]
+    df = spark.createDataFrame(rows, "id int, s string")
+    wanted = [values(similarity.similarity_join(df, "id", "s", 2, method=m), "from", "to", "dist") for m in ("pairs", "segments")]
+    monkeypatch.setattr(similarity, "PAIRS_A_PART", 50)
+    assert [values(similarity.similarity_join(df, "id", "s", 2, method=m), "from", "to", "dist") for m in ("pairs", "segments")] == wanted and wanted[0] == wanted[1]
+
+
+def test_report_chart():
+    from clonespark.plans import read_quality
+
+    svg = read_quality.chart([{"qscore": q, "least_cum": 41 - q, "median_cum": 41 - q} for q in range(41)], 41, "a<b")
+    assert svg.count("<rect") == 82 and "a&lt;b" in svg
