@@ -120,11 +120,14 @@ def germline_graph(vertices: DataFrame, threshold: int, name: str = "name", seq:
     return every, both.mapInPandas(rooted, "`from` string, `to` string, dist int")
 
 
-def upgma(names: list[str], distances: np.ndarray) -> list[tuple[str, str, float]]:
-    """Edges (parent, child, length) of the tree that joins the two nearest clusters again and again, means of members' distances between them."""
+def upgma(names: list[str], distances: np.ndarray, unit: float = 1.0) -> list[tuple[str, str, float]]:
+    """Edges (parent, child, length in units) of the tree that joins the two nearest clusters again and again, means of members' distances between them.
+
+    Of equally near ones, those that come first. Sums of distances are kept, so that means of whole numbers are as exact as one division.
+    """
     n = len(names)
-    d = distances.astype(float).copy()
-    d[np.tril_indices(n)] = np.inf  # rows have the distances to later ones
+    sums = distances.astype(float)
+    d = np.where(np.arange(n)[:, None] < np.arange(n), sums, np.inf)  # rows have the distances to later ones
     label, height, size, edges = list(names), np.zeros(n), np.ones(n), []
     nearest = d.argmin(1) if n else np.zeros(0, int)
     least = d[np.arange(n), nearest]
@@ -132,13 +135,13 @@ def upgma(names: list[str], distances: np.ndarray) -> list[tuple[str, str, float
         i = int(least.argmin())
         j = int(nearest[i])
         h, node = d[i, j] / 2, f"Inner{k + 1}"
-        edges += [(node, label[i], float(h - height[i])), (node, label[j], float(h - height[j]))]
-        to_i, to_j = (np.where(np.arange(n) < x, d[:, x], d[x]) for x in (i, j))
-        merged = (to_i * size[i] + to_j * size[j]) / (size[i] + size[j])
-        label[i], height[i], size[i] = node, h, size[i] + size[j]
+        edges += [(node, label[i], float(h - height[i]) * unit), (node, label[j], float(h - height[j]) * unit)]
+        sums[i] += sums[j]
+        sums[:, i] = sums[i]
+        label[i], height[i], size[i], size[j] = node, h, size[i] + size[j], np.inf
         d[j], d[:, j] = np.inf, np.inf
-        d[:i, i], d[i, i + 1 :] = merged[:i], merged[i + 1 :]
-        d[i, j] = np.inf
+        mean = np.where(np.isfinite(size), sums[i] / (size[i] * size), np.inf)
+        d[:i, i], d[i, i + 1 :] = mean[:i], mean[i + 1 :]
         # Rows whose nearest was one of the two are searched anew; for the others only the merged one may have come nearer.
         for r in {i, *np.flatnonzero((nearest == i) | (nearest == j)).tolist()}:
             nearest[r] = d[r].argmin()
@@ -177,14 +180,11 @@ def model_distances(seqs: list[str], model: str = "identity") -> np.ndarray:
     return 1 - total / np.where(best > 0, best, 1)
 
 
-def mismatch_share(seqs: list[str]) -> np.ndarray:
-    """Share of differing places between aligned sequences."""
+def _tree(names: list[str], seqs: list[str], model: str | None) -> list[tuple[str, str, float]]:
+    if model is not None:
+        return upgma(names, model_distances(seqs, model))
     m = _matrix(seqs)
-    return _hamming_all(m, m) / max(m.shape[1], 1)
-
-
-def _distances(seqs: list[str], model: str | None) -> np.ndarray:
-    return mismatch_share(seqs) if model is None else model_distances(seqs, model)
+    return upgma(names, _hamming_all(m, m), 1 / max(m.shape[1], 1))
 
 
 def trees(df: DataFrame, group: str, name: str = "name", seq: str = "sequence", model: str | None = None) -> DataFrame:
@@ -195,7 +195,7 @@ def trees(df: DataFrame, group: str, name: str = "name", seq: str = "sequence",
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(name)
-        edges = upgma(rows[name].tolist(), _distances(rows[seq].tolist(), model))
+        edges = _tree(rows[name].tolist(), rows[seq].tolist(), model)
         root = edges[-1][0] if edges else None
         return pd.DataFrame([(key[0], a, b, length, int(a == root)) for a, b, length in edges], columns=[group, "from", "to", "length", "root"])
 
@@ -241,7 +241,7 @@ def tree_ranks(df: DataFrame, group: str, name: str = "name", seq: str = "sequen
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(name)
-        edges = upgma(rows[name].tolist(), _distances(rows[seq].tolist(), model))
+        edges = _tree(rows[name].tolist(), rows[seq].tolist(), model)
         order = leaf_order(edges) or rows[name].tolist()
         part = {n: i + 1 for i, p in enumerate(cut_tree(edges, threshold) if threshold is not None and edges else [order]) for n in p}
         return pd.DataFrame([(key[0], n, i + 1, part[n]) for i, n in enumerate(order)], columns=[group, name, "leaf_rank", "subtree"])

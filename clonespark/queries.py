@@ -581,12 +581,26 @@ def germline_graph(spark, sf_dir):
     return graph.germline_graph(v, 7)[1]
 
 
-@query()
+TREES = f"""{V.CLONES}, v AS (SELECT "component_ID" AS c, CAST(id AS VARCHAR) AS name, seq, row_number() OVER (PARTITION BY "component_ID" ORDER BY CAST(id AS VARCHAR)) AS i FROM clones),
+    h AS (SELECT a.c, a.i, list(hamming(a.seq, b.seq) ORDER BY b.i) AS row FROM v a JOIN v b ON a.c = b.c GROUP BY a.c, a.i), m AS (SELECT c, list(row ORDER BY i) AS d FROM h GROUP BY c),
+    t AS (SELECT c, CAST(1 AS BIGINT) AS step, list({{'label': name, 'h': CAST(0 AS DOUBLE), 'leaves': [i]}} ORDER BY i) AS cl, list({{'a': name, 'b': name, 'n': CAST(0 AS DOUBLE)}})[1:0] AS edges FROM v GROUP BY c
+      UNION ALL SELECT c, step + 1, list_concat(list_concat(list_concat(cl[1:p.i - 1], [{{'label': 'Inner' || CAST(step AS VARCHAR), 'h': p.m / 2, 'leaves': list_concat(cl[p.i].leaves, cl[p.j].leaves)}}]), cl[p.i + 1:p.j - 1]), cl[p.j + 1:]),
+        list_concat(edges, [{{'a': 'Inner' || CAST(step AS VARCHAR), 'b': cl[p.i].label, 'n': (p.m / 2 - cl[p.i].h) / 12}}, {{'a': 'Inner' || CAST(step AS VARCHAR), 'b': cl[p.j].label, 'n': (p.m / 2 - cl[p.j].h) / 12}}])
+      FROM (SELECT t.*, list_sort(flatten(list_transform(range(1, len(cl)), lambda x: list_transform(range(x + 1, len(cl) + 1), lambda y: {{
+        'm': CAST(list_sum(list_transform(cl[x].leaves, lambda u: list_sum(list_transform(cl[y].leaves, lambda w: m.d[u][w])))) AS DOUBLE) / (len(cl[x].leaves) * len(cl[y].leaves)), 'i': x, 'j': y}}))))[1] AS p FROM t JOIN m USING (c) WHERE len(cl) > 1) z),
+    f AS (SELECT c, arg_max(cl, step) AS cl, arg_max(edges, step) AS edges, max(step) - 1 AS last FROM t GROUP BY c), e AS (SELECT c, last, unnest(edges) AS e FROM f)"""
+
+
+@query(f"""WITH RECURSIVE {TREES} SELECT c AS "component_ID", e.a AS "from", e.b AS "to", round(e.n, 6) AS length, CASE WHEN e.a = 'Inner' || CAST(last AS VARCHAR) THEN 1 ELSE 0 END AS root FROM e""")
 def phylo_trees(spark, sf_dir):
-    return graph.trees(V.clones(spark, sf_dir).select("component_ID", F.col("id").cast("string").alias("name"), F.col("seq").alias("sequence")), "component_ID")
+    t = graph.trees(V.clones(spark, sf_dir).select("component_ID", F.col("id").cast("string").alias("name"), F.col("seq").alias("sequence")), "component_ID")
+    return t.withColumn("length", F.round("length", 6))
 
 
-@query()
+@query(f"""WITH RECURSIVE {TREES}, l AS (SELECT f.c, v.name, u.k AS leaf_rank FROM f, (SELECT c, unnest(cl[1].leaves) AS i, unnest(range(1, len(cl[1].leaves) + 1)) AS k FROM f) u, v WHERE u.c = f.c AND v.c = f.c AND v.i = u.i),
+    up AS (SELECT c, e.b AS b, CASE WHEN round(e.n, 9) > 0.2 THEN NULL ELSE e.a END AS a FROM e), w AS (SELECT c, name, name AS node, 0 AS n FROM l UNION ALL SELECT w.c, w.name, up.a, n + 1 FROM w JOIN up ON up.c = w.c AND up.b = w.node WHERE up.a IS NOT NULL),
+    peaks AS (SELECT c, name, arg_max(node, n) AS peak FROM w GROUP BY c, name), k AS (SELECT l.*, min(l.leaf_rank) OVER (PARTITION BY l.c, peak) AS least FROM l JOIN peaks USING (c, name))
+    SELECT c AS "component_ID", name, CAST(leaf_rank AS INTEGER) AS leaf_rank, CAST(dense_rank() OVER (PARTITION BY c ORDER BY least) AS INTEGER) AS subtree FROM k""")
 def phylo_ranks(spark, sf_dir):
     return graph.tree_ranks(V.clones(spark, sf_dir).select("component_ID", F.col("id").cast("string").alias("name"), F.col("seq").alias("sequence")), "component_ID", threshold=0.2)
 
