@@ -646,11 +646,47 @@ def test_top_k_moves_what_survives(spark, monkeypatch):
     assert 0 < seen["pairs"] < 0.5 * seen["all"]
 
 
-def test_top_k_oracle(spark):
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{DATA}/embeddings.parquet'")
-    got = QUERIES["op9_top_k"](spark, DATA).select("query_id", "rank", "vec_id", "score").collect()
-    assert sorted(map(tuple, got)) == sorted(con.execute(ORACLES["op9_top_k"]).fetchall())
+    for table in ("documents", "embeddings", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
+    wanted = con.execute(ORACLES[name])
+    columns = [d[0] for d in wanted.description]
+    assert sorted(map(tuple, QUERIES[name](spark, DATA).select(*columns).collect())) == sorted(wanted.fetchall())
+
+
+@pytest.mark.parametrize("name", ["op1", "op3", "op4", "op5", "op7", "op10"])
+def test_long_texts_take_bounded_memory(name):
+    """What numpy and Python hold beside a text of 8 MB, at the most."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from clonespark.llm.words import blocks
+
+    rng = random.Random(29)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randrange(2, 10))) for _ in range(20_000)]
+    unit = (" ".join(rng.choices(words, k=100_000)) + "\n").encode()
+    text = (unit * (8 * 2**20 // len(unit) + 1))[: 8 * 2**20]
+    array = pa.array([text], pa.binary())
+    (block,) = blocks(array)
+    model = language.LanguageModel(["a", "b", "c", "d"], np.ones((language.BUCKETS, 4), np.float32), np.zeros(4))
+    domains = mixing.DomainModel(["a", "b"], np.zeros((mixing.BUCKETS, 2)), np.zeros((7, 2)))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), array], names=["key", "text"])
+    work = {
+        "op1": lambda: (language.letters(block), model.scores(block)),
+        "op3": lambda: domains.posteriors(block),
+        "op4": lambda: simhash._signature(simhash.shingle_hashes(text, 3), 1),
+        "op5": lambda: lm_score.word_hashes(block),
+        "op7": lambda: quality._all_features(array),
+        "op10": lambda: [len(x[1]) for x in licenses._rolling(np.array([1]))(batch)],
+    }
+    tracemalloc.start()
+    work[name]()
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 250 * 2**20
 
 
 def test_lm_score(spark, docs, odd, empty):
