@@ -109,9 +109,18 @@ def prefix_size(n: int, similarity: float) -> int:
     return n - least + min(SHARED, least)
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """64-bit words whose bits tell whether a set has an odd number of hashes that end in each of the bits' numbers.
+
+    Two sets differ in at least as many elements as their words do in bits.
+    """
+    odd = np.bincount((s & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def set_fingerprints(docs: DataFrame, *, carry: str, text_col: str, shingle: int, words64: int, similarity: float) -> DataFrame:
     """Of every text the column carry, fingerprint (as in fingerprints, of the distinct shingles) and of the set of shingles: digest
-    (16 bytes), size and prefix (the least hashes; see prefix_size)."""
+    (16 bytes), size, prefix (the least hashes; see prefix_size) and parities."""
 
     def run(batch: pa.RecordBatch):
         sets = [shingle_set(x.as_py(), shingle) for x in batch.column(1)]
@@ -121,10 +130,11 @@ def set_fingerprints(docs: DataFrame, *, carry: str, text_col: str, shingle: int
         heads = [s[: prefix_size(len(s), similarity)].astype(np.int64) for s in sets]
         ends = np.concatenate(([0], np.cumsum([len(h) for h in heads]))).astype(np.int32)
         prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(heads)))
-        return batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(prints)), [xxhash.xxh128_digest(s.tobytes()) for s in sets], sizes, prefix
+        odd = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * PARITY_WORDS), pa.array(np.concatenate([parities(s) for s in sets])))
+        return batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(prints)), [xxhash.xxh128_digest(s.tobytes()) for s in sets], sizes, prefix, odd
 
     longs = ArrayType(LongType())
-    schema = StructType([docs.schema[carry], StructField("fingerprint", longs), StructField("digest", BinaryType()), StructField("size", LongType()), StructField("prefix", longs)])
+    schema = StructType([docs.schema[carry], StructField("fingerprint", longs), StructField("digest", BinaryType()), StructField("size", LongType()), StructField("prefix", longs), StructField("parities", longs)])
     return map_batches(docs.select(carry, utf8(text_col)), run, schema)
 
 
@@ -445,6 +455,8 @@ SHARED = 8
 COMMON = 64
 #: Up to so many of them are sent to the tasks.
 KNOWN_COMMON = 500_000
+#: Words of a set's parities (see parities), which go with nodes that have such shingles: where many sets meet, they rule out most pairs that are too far apart.
+PARITY_WORDS = 4
 
 
 def _shingle_sets(shingle: int, ordered=None):
@@ -472,7 +484,8 @@ def confirmed(links: DataFrame, texts_of, shingle: int, similarity: float, scrat
 
 
 def _rare_first(nodes: DataFrame, texts_of, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """node, known, size and prefix with shingles that many prefixes share last in the order, then by hash. The order is one for all nodes."""
+    """node, known, size and prefix with shingles that many prefixes share last in the order, then by hash, and of nodes that have such ones parities. The
+    order is one for all nodes."""
     tokens = nodes.select("node", F.explode("prefix").alias("shingle"))
     common = scratch.save(tokens.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > COMMON))
     changed = scratch.save(tokens.join(sized(common, scratch), "shingle", "left_semi").select("node").distinct())
@@ -497,16 +510,20 @@ def _rare_first(nodes: DataFrame, texts_of, shingle: int, similarity: float, scr
         length = (F.size("ordered") - least + F.least(least, F.lit(SHARED))).cast("int")
         new = ordered.select("node", F.slice("ordered", F.lit(1), length).alias("_prefix"))
     new = scratch.save(new)
-    return nodes.join(new, "node", "left").select("node", "known", "size", F.coalesce("_prefix", "prefix").alias("prefix"))
+    told = F.when(F.col("_prefix").isNotNull(), F.col("parities")).alias("parities")
+    return nodes.join(new, "node", "left").select("node", "known", "size", told, F.coalesce("_prefix", "prefix").alias("prefix"))
 
 
 def _prefix_pairs(similarity: float):
-    """Over rows (shingle, node, known, size) in order of shingle and known: for each shingle the pairs (a, b) that differ in known and whose
-    sizes may go together, with how many shingles of their prefixes must be equal."""
+    """Over rows (shingle, node, known, size, parities) in order of shingle and known: for each shingle the pairs (a, b) that differ in known and whose
+    sizes and parities may go together, with how many shingles of their prefixes must be equal."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _blocks(batches):
-            shingle, node, known, size = (x.to_numpy() for x in t.columns)
+            shingle, node, known, size = (x.to_numpy() for x in t.columns[:4])
+            told = t.column(4).is_valid().to_numpy()
+            odd = np.zeros((len(node), PARITY_WORDS), np.uint64)
+            odd[told] = t.column(4).combine_chunks().flatten().to_numpy().reshape(-1, PARITY_WORDS).view(np.uint64)
             least = np.minimum(np.ceil(similarity * size - 1e-9), SHARED).astype(np.int64)
             change = np.flatnonzero(shingle[1:] != shingle[:-1]) + 1
             ends = np.concatenate((change, [len(shingle)]))
@@ -523,6 +540,10 @@ def _prefix_pairs(similarity: float):
                 j = np.arange(len(i)) - np.repeat(np.cumsum(w) - w, w) + np.repeat(begin[row:last], w)
                 row = last
                 may = np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6
+                i, j = i[may], j[may]
+                both = size[i] + size[j]
+                differ = np.bitwise_count(odd[i] ^ odd[j]).sum(1, dtype=np.int64)
+                may = (differ <= both - 2 * np.ceil(similarity / (1 + similarity) * both - 1e-9)) | ~(told[i] & told[j])
                 if may.any():
                     i, j = i[may], j[may]
                     a, b = node[i], node[j]
@@ -553,11 +574,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def prefix_links(nodes: DataFrame, texts_of, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """Of nodes (node, known, size, prefix), all pairs (a, b) of that similarity whose known differs, among others.
+    """Of nodes (node, known, size, parities, prefix), all pairs (a, b) of that similarity whose known differs, among others.
 
     Complete: of two sets that share so much, the prefixes in any one order of all shingles share elements (see prefix_size).
     """
-    rows = _rare_first(nodes, texts_of, shingle, similarity, scratch).select(F.explode("prefix").alias("shingle"), "node", "known", "size")
+    ordered = _rare_first(nodes, texts_of, shingle, similarity, scratch)
+    rows = ordered.select(F.explode("prefix").alias("shingle"), "node", "known", "size", "parities")
     dealt = rows.repartition("shingle").sortWithinPartitions("shingle", "known")
     pairs = dealt.mapInArrow(_prefix_pairs(similarity), "a bigint, b bigint, least bigint")
     return pairs.groupBy("a", "b", "least").count().filter("count >= least").select("a", "b")
@@ -576,7 +598,7 @@ def near_duplicate_firsts(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     keys = named.select("_text", F.struct("_id", "_hash").alias("_key"))
     rows = scratch.save(set_fingerprints(keys, carry="_key", text_col="_text", shingle=shingle, words64=plan.words64, similarity=similarity))
     order = F.struct(F.col("_key._id").isNull().alias("no_id"), F.col("_key._id").alias("id"), F.col("_key._hash").alias("hash"))
-    same = rows.groupBy("digest").agg(F.min(order).alias("least"), *(F.first(c).alias(c) for c in ("fingerprint", "size", "prefix"))).drop("digest")
+    same = rows.groupBy("digest").agg(F.min(order).alias("least"), *(F.first(c).alias(c) for c in ("fingerprint", "size", "prefix", "parities"))).drop("digest")
     groups = scratch.save(same.withColumn("node", F.monotonically_increasing_id()))
     repeats = not rows.groupBy("_key").count().filter("count > 1").isEmpty()
     scratch.drop(rows)
@@ -589,7 +611,7 @@ def near_duplicate_firsts(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     # First the links of a spanning forest, then all pairs between what those that hold leave apart.
     links = trie_links(groups.select("node", "fingerprint", F.col("node").alias("known"), F.col("fingerprint").alias("check")), plan, scratch)
     held = scratch.save(confirmed(links.select("a", "b"), texts_of, shingle, similarity, scratch))
-    known = scratch.save(groups.join(components(held, scratch), "node", "left").select("node", "size", "prefix", F.coalesce("root", "node").alias("known")))
+    known = scratch.save(groups.join(components(held, scratch), "node", "left").select("node", "size", "prefix", "parities", F.coalesce("root", "node").alias("known")))
     links = prefix_links(known, texts_of, shingle, similarity, scratch)
     held = scratch.save(held.unionAll(confirmed(links, texts_of, shingle, similarity, scratch)))
     firsts = out.save(labels(groups.select("node", "least"), held, scratch).select(F.col("lowest.id").alias("_id"), F.col("lowest.hash").alias("_hash")).distinct())

@@ -263,6 +263,41 @@ def test_near_duplicates_are_complete(spark, monkeypatch):
         assert sorted(r["doc_id"] for r in simhash.without_near_duplicates(df).collect()) == wanted
 
 
+def test_parities_bound_differences():
+    """Sets differ in as many elements as their parities in bits, or more; equal sets in none."""
+    rng = np.random.default_rng(30)
+    for size, changed in ((50, 5), (300, 40), (2000, 900)):
+        x = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        y = np.unique(np.concatenate((x[changed:], rng.integers(0, 2**63, changed).astype(np.uint64))))
+        a, b = simhash.parities(x).view(np.uint64), simhash.parities(y).view(np.uint64)
+        assert 0 < np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y)) and (simhash.parities(x) == simhash.parities(x[::-1])).all()
+
+
+def test_prefix_join_of_a_crowd(spark, monkeypatch):
+    """Of many texts near one another but under the similarity few pairs leave the join, and those over it all do."""
+    rng = random.Random(31)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(4000)]
+    base = rng.choices(words, k=150)
+    rows = [(0, " ".join(base))]
+    for i in range(1, 300):
+        w = list(base)
+        for p in rng.sample(range(150), rng.choice((3, 5, 8))):
+            w[p] = rng.choice(words)
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    split = [t.split() for _, t in rows]
+    roots = reachable(len(rows), lambda i, j: jaccard(split[i], split[j]) >= 0.8)
+    made, own = [], simhash.confirmed
+
+    def counted(links, *rest):
+        made.append(links.distinct().count())
+        return own(links, *rest)
+
+    monkeypatch.setattr(simhash, "confirmed", counted)
+    assert sorted(r["doc_id"] for r in simhash.without_near_duplicates(df).collect()) == sorted(set(roots))
+    assert len(set(roots)) > 20 and made[-1] < 0.1 * len(rows) ** 2 / 2
+
+
 def base_counts(t):
     words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
     seen, dup = set(), 0
