@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -511,7 +511,9 @@ def _rare_first(nodes: DataFrame, texts_of, shingle: int, similarity: float, scr
         new = ordered.select("node", F.slice("ordered", F.lit(1), length).alias("_prefix"))
     new = scratch.save(new)
     told = F.when(F.col("_prefix").isNotNull(), F.col("parities")).alias("parities")
-    return nodes.join(new, "node", "left").select("node", "known", "size", told, F.coalesce("_prefix", "prefix").alias("prefix"))
+    out = scratch.save(nodes.join(new, "node", "left").select("node", "known", "size", told, F.coalesce("_prefix", "prefix").alias("prefix")))
+    scratch.drop(new)
+    return out
 
 
 def _prefix_pairs(similarity: float):
@@ -574,12 +576,16 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def prefix_links(nodes: DataFrame, texts_of, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """Of nodes (node, known, size, parities, prefix), all pairs (a, b) of that similarity whose known differs, among others.
+    """Of nodes (node, known, size, parities, prefix), a saved table that goes, all pairs (a, b) of that similarity whose known differs, among others.
 
     Complete: of two sets that share so much, the prefixes in any one order of all shingles share elements (see prefix_size).
     """
     ordered = _rare_first(nodes, texts_of, shingle, similarity, scratch)
-    rows = ordered.select(F.explode("prefix").alias("shingle"), "node", "known", "size", "parities")
+    scratch.drop(nodes)
+    # Most shingles are in one prefix alone: nodes meet by number first, and bring what else is needed to shingles that they share.
+    tokens = ordered.select(F.explode("prefix").alias("shingle"), "node")
+    shared = tokens.withColumn("_n", F.count("*").over(Window.partitionBy("shingle"))).filter("_n > 1").drop("_n")
+    rows = shared.join(ordered.drop("prefix"), "node").select("shingle", "node", "known", "size", "parities")
     dealt = rows.repartition("shingle").sortWithinPartitions("shingle", "known")
     pairs = dealt.mapInArrow(_prefix_pairs(similarity), "a bigint, b bigint, least bigint")
     return pairs.groupBy("a", "b", "least").count().filter("count >= least").select("a", "b")
@@ -600,11 +606,12 @@ def near_duplicate_firsts(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     order = F.struct(F.col("_key._id").isNull().alias("no_id"), F.col("_key._id").alias("id"), F.col("_key._hash").alias("hash"))
     same = rows.groupBy("digest").agg(F.min(order).alias("least"), *(F.first(c).alias(c) for c in ("fingerprint", "size", "prefix", "parities"))).drop("digest")
     groups = scratch.save(same.withColumn("node", F.monotonically_increasing_id()))
+    names = scratch.save(groups.select("node", "least"))
     repeats = not rows.groupBy("_key").count().filter("count > 1").isEmpty()
     scratch.drop(rows)
 
     def texts_of(nodes: DataFrame) -> DataFrame:
-        wanted = sized(groups.join(nodes, "node", "left_semi").select("node", F.col("least.id").alias("_own_id"), F.col("least.hash").alias("_own_hash")), scratch)
+        wanted = sized(names.join(nodes, "node", "left_semi").select("node", F.col("least.id").alias("_own_id"), F.col("least.hash").alias("_own_hash")), scratch)
         found = named.join(wanted, named["_id"].eqNullSafe(wanted["_own_id"]) & (named["_hash"] == wanted["_own_hash"])).select("node", "_text")
         return found.dropDuplicates(["node"]) if repeats else found
 
@@ -612,9 +619,10 @@ def near_duplicate_firsts(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     links = trie_links(groups.select("node", "fingerprint", F.col("node").alias("known"), F.col("fingerprint").alias("check")), plan, scratch)
     held = scratch.save(confirmed(links.select("a", "b"), texts_of, shingle, similarity, scratch))
     known = scratch.save(groups.join(components(held, scratch), "node", "left").select("node", "size", "prefix", "parities", F.coalesce("root", "node").alias("known")))
+    scratch.drop(groups)
     links = prefix_links(known, texts_of, shingle, similarity, scratch)
     held = scratch.save(held.unionAll(confirmed(links, texts_of, shingle, similarity, scratch)))
-    firsts = out.save(labels(groups.select("node", "least"), held, scratch).select(F.col("lowest.id").alias("_id"), F.col("lowest.hash").alias("_hash")).distinct())
+    firsts = out.save(labels(names, held, scratch).select(F.col("lowest.id").alias("_id"), F.col("lowest.hash").alias("_hash")).distinct())
     scratch.clear()
     return firsts, repeats
 
