@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clonespark.llm.bpe import bpe_round_trip
 from clonespark.llm.common import table
+from clonespark.llm.divergence import divergence
 from clonespark.llm.html_text import extract_text
 from clonespark.llm.language import language_id
 from clonespark.llm.licenses import license_scan
@@ -14,8 +15,10 @@ from clonespark.llm.lm_score import pseudo_likelihood
 from clonespark.llm.mixing import mixture, quality_domains
 from clonespark.llm.quality import quality_verdicts
 from clonespark.llm.search import top_k
+from clonespark.llm.secret_scan import secret_scan
 from clonespark.llm.simhash import simhash_components
 from clonespark.llm.token_counts import token_counts
+from clonespark.llm.whitening import whiten
 
 
 def op1_language_id(spark, sf_dir):
@@ -58,6 +61,28 @@ def op10_license_scan(spark, sf_dir):
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_secret_scan(spark, sf_dir):
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_divergence(spark, sf_dir):
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+def secret_spans(spark, sf_dir):
+    """The spans of op11 that SQL can express."""
+    return op11_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+def whitening_scatter(spark, sf_dir):
+    """What op12 has in whole numbers."""
+    return op12_whitening(spark, sf_dir).select("vec_id", "component", "n", "deviation")
+
+
 def quality_counts(spark, sf_dir):
     """The counts of op7 that SQL can express."""
     return op7_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -68,7 +93,7 @@ def license_phrases(spark, sf_dir):
     return op10_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op3_mixing, op4_simhash, op5_lm_score, op6_token_counts, op7_quality_rules, op8_bpe, op9_top_k, op10_license_scan, quality_counts, license_phrases)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_html_extraction, op3_mixing, op4_simhash, op5_lm_score, op6_token_counts, op7_quality_rules, op8_bpe, op9_top_k, op10_license_scan, op11_secret_scan, op12_whitening, op13_divergence, secret_spans, whitening_scatter, quality_counts, license_phrases)}
 
 #: DuckDB SQL for the queries that it can express. op2: the pages' articles are elements of their own, with headings and paragraphs alone.
 ORACLES: dict[str, str] = {
@@ -81,6 +106,59 @@ ORACLES: dict[str, str] = {
         )
         SELECT page_id, url, array_to_string(blocks, chr(10) || chr(10)) AS text, CAST(length(array_to_string(blocks, chr(10) || chr(10))) AS BIGINT) AS n_chars FROM b
     """,
+    "op13_divergence": r"""
+        WITH d AS (
+            SELECT coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS d FROM documents
+        ), w AS (
+            SELECT d, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+        ), k AS (
+            SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT d) >= 30
+        ), g AS (
+            SELECT DISTINCT lang, source FROM d
+        ), c AS (
+            SELECT g.lang, g.source, k.term, k.n AS n_lang, coalesce(x.n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term) x USING (lang, source, term)
+        ), t AS (
+            SELECT *, sum(n) OVER s AS total, sum(n_lang) OVER s AS total_lang, count(*) OVER s AS v FROM c WINDOW s AS (PARTITION BY lang, source)
+        ), p AS (
+            SELECT lang, source, term, n, 1 + CAST(1000000000 * (n + 5) AS HUGEINT) // CAST(total + 5 * v AS HUGEINT) AS p, 1 + CAST(1000000000 * (n_lang + 5) AS HUGEINT) // CAST(total_lang + 5 * v AS HUGEINT) AS q FROM t
+        ), o AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL
+            UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q
+        )
+        SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o) WHERE part = 'pair' OR rank <= 50
+    """,
+    "whitening_scatter": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), f AS (
+            SELECT DISTINCT x FROM v
+        ), n AS (
+            SELECT count(*) AS n FROM f
+        ), s AS (
+            SELECT list(s ORDER BY i) AS s FROM (SELECT i, sum(c) AS s FROM (SELECT unnest(x) AS c, generate_subscripts(x, 1) AS i FROM f) GROUP BY i)
+        )
+        SELECT vec_id, CAST(component AS INTEGER) AS component, n, CAST(list_sum(list_transform(list_zip(x, s), lambda z: CAST((n * z[1] - z[2]) * (n * z[1] - z[2]) AS HUGEINT))) AS BIGINT) AS deviation
+        FROM v, n, s, (SELECT unnest(range(1, 1 + least(4, (SELECT max(len(x)) FROM v)))) AS component)
+    """,
+    "secret_spans": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+        ), p AS (
+            SELECT unnest(['assign', 'access', 'hex']) AS kind, unnest([1, 2, 3]) AS k,
+                unnest(['((?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)', '()(AKIA[A-Z0-9]{16,})', '()([0-9a-f]{24,})']) AS pattern, unnest([6, 20, 24]) AS least
+        ), m AS (
+            SELECT row, k, kind, least, regexp_extract_all(text, pattern, 0) AS whole, regexp_extract_all(text, pattern, 2) AS held, string_split_regex(text, pattern) AS between
+            FROM d, p WHERE regexp_matches(text, pattern)
+        ), s AS (
+            SELECT row, k, kind, least, unnest(list_transform(range(1, len(whole) + 1), lambda i: {'start': list_sum(list_transform(between[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(whole[:i - 1], lambda x: length(x))), 0), 'n': length(whole[i]), 'held': length(held[i])})) AS s FROM m
+        ), f AS (
+            SELECT row, count(*) FILTER (k = 1) AS n_assign, count(*) FILTER (k = 2) AS n_access, count(*) FILTER (k = 3) AS n_hex, string_agg(kind || ':' || CAST(s.start AS BIGINT) || ':' || CAST(s.start + s.n AS BIGINT), ',' ORDER BY s.start, k) AS spans
+            FROM s WHERE s.held >= least GROUP BY row
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256 FROM d LEFT JOIN f USING (row)
+    """,
     "quality_counts": r"""
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
