@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clonespark.adapters import align, igblast
 from clonespark.adapters.tools import ChainType
 from clonespark.functions import cells, distance, dna, protein
-from clonespark.operators import collapse, correction, filters, graph, similarity, umi
+from clonespark.operators import collapse, correction, filters, graph, prefix_tree, similarity, umi
 from clonespark.operators.components import components
 from clonespark.plans import repertoire
 from clonespark.scratch import Scratch
@@ -87,7 +87,7 @@ def test_cells(spark):
     assert [tuple(r) for r in f.collect()] == [("x", {"a": "3", "b": "2"}), ("x", {})]
 
 
-@pytest.mark.parametrize("method", ["pairs", "segments"])
+@pytest.mark.parametrize("method", ["pairs", "segments", "tree"])
 @pytest.mark.parametrize("metric", ["levenshtein", "hamming"])
 def test_similarity_join(spark, method, metric):
     rng = random.Random(3)
@@ -504,14 +504,61 @@ def test_rarefaction_is_the_same_however_rows_are_dealt(spark):
     assert sum(n for _, n in values(collapse.rarefy(df, 10**6), "id", "readcount")) == df.agg(F.sum("readcount")).first()[0]
 
 
-def test_joins_are_salted_by_counted_blocks(spark, monkeypatch):
+def test_joins_are_cut_by_counted_blocks(spark, monkeypatch):
+    """A large block is cut into tiles; a small one isn't copied because another is large."""
     rng = random.Random(43)
     base = ["".join(rng.choices("ACGT", k=16)) for _ in range(3)]
-    rows = [(i, "".join(c if rng.random() > 0.05 else "A" for c in rng.choice(base))) for i in range(80)]
-    df = spark.createDataFrame(rows, "id int, s string")
-    wanted = [values(similarity.similarity_join(df, "id", "s", 2, method=m), "from", "to", "dist") for m in ("pairs", "segments")]
-    monkeypatch.setattr(similarity, "PAIRS_A_PART", 50)
-    assert [values(similarity.similarity_join(df, "id", "s", 2, method=m), "from", "to", "dist") for m in ("pairs", "segments")] == wanted and wanted[0] == wanted[1]
+    rows = [(i, "".join(c if rng.random() > 0.05 else "A" for c in rng.choice(base)), "hot" if i < 80 else f"k{i // 10}") for i in range(140)]
+    df = spark.createDataFrame(rows, "id int, s string, k string")
+    methods = ("pairs", "segments", "tree")
+    wanted = [values(similarity.similarity_join(df, "id", "s", 2, method=m, block_by=["k"]), "from", "to", "dist") for m in methods]
+    assert wanted[0] == wanted[1] == wanted[2] == sorted((i, j, lev(a, b)) for i, a, k in rows for j, b, q in rows if i < j and k == q and lev(a, b) <= 2)
+    monkeypatch.setattr(similarity, "PAIRS_A_PART", 400)
+    monkeypatch.setattr(prefix_tree, "TILE_ROWS", 20)
+    assert [values(similarity.similarity_join(df, "id", "s", 2, method=m, block_by=["k"]), "from", "to", "dist") for m in methods] == wanted
+    a, b = (df.select(F.col("id").alias(f"id_{x}"), F.col("k").alias(f"k_{x}")) for x in "ab")
+    x, y, _ = similarity._gridded(a, b, [("k_a", "k_b")])
+    assert x.filter("k_a = 'hot'").count() == y.filter("k_b = 'hot'").count() == 80 * 4 and x.filter("k_a != 'hot'").count() == 60
+
+
+@pytest.mark.parametrize("cross", ["all", "last"])
+def test_trees_of_unequal_lengths(spark, cross, monkeypatch):
+    rng = random.Random(44)
+    rows = [(i, "".join(rng.choices("AC", k=rng.choice((3, 5, 6, 7, 8, 9)))), rng.choice("xy")) for i in range(90)] + [(90, "", "x"), (91, None, "x"), (92, "ACA", None), (93, "A", "x")]
+    df = spark.createDataFrame(rows, "id int, s string, k string")
+    last = {}
+    for i, s, k in rows:
+        if s is not None:
+            last[len(s), k] = i
+    far = lambda a, b, i, k: len(b) > len(a) and (len(b) - len(a)) % 2 == 0 and len(b) - len(a) <= 4 and (cross == "all" or last[len(a), k] == i)
+    live = [r for r in rows if r[1] is not None and r[2] is not None]
+    wanted = sorted((min(i, j), max(i, j), lev(a, b)) for i, a, k in live for j, b, q in live if k == q and (i < j and len(a) == len(b) or far(a, b, i, k)) and lev(a, b) <= 4)
+    for tile in (8192, 7):
+        monkeypatch.setattr(prefix_tree, "TILE_ROWS", tile)
+        for m in ("tree", "pairs"):
+            assert values(similarity.similarity_join(df, "id", "s", 4, method=m, block_by=["k"], cross_length=cross, step=2), "from", "to", "dist") == wanted
+
+
+def test_trees_of_dots_and_long_letters(spark):
+    rng = random.Random(45)
+    rows = [(i, "".join(rng.choices("A.é😀", k=6))) for i in range(60)]
+    d = lambda a, b: sum(x != y and "." not in (x, y) for x, y in zip(a, b))
+    got = similarity.similarity_join(spark.createDataFrame(rows, "id int, s string"), "id", "s", 2, metric="hamming")
+    assert values(got, "from", "to", "dist") == sorted((i, j, d(a, b)) for i, a in rows for j, b in rows if i < j and d(a, b) <= 2)
+
+
+def test_pairs_of_nodes_are_few(monkeypatch):
+    """Far fewer pairs are measured than there are, in whatever pieces they go down."""
+    rng = random.Random(46)
+    seqs = sorted("".join(rng.choices("ACGT", k=12)) for _ in range(3000))
+    held = prefix_tree.letters(seqs, 12), np.zeros(3000, int)
+    tally = [0]
+    a = prefix_tree.tree_join(held[1], held[0], None, None, 2, "levenshtein", tally)
+    assert tally[0] < 3000 * 2999 / 2 / 4
+    monkeypatch.setattr(prefix_tree, "FRONT", 1000)
+    b = prefix_tree.tree_join(held[1], held[0], None, None, 2, "levenshtein")
+    assert sorted(zip(*(x.tolist() for x in a))) == sorted(zip(*(x.tolist() for x in b))) and len(a[0])
+    assert all(lev(seqs[i], seqs[j]) == d for i, j, d in list(zip(*(x.tolist() for x in a)))[:200])
 
 
 def test_report_chart():
