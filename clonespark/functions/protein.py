@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clonespark.functions.dna import _col, sequence_class, translate_dna
+from clonespark.scratch import Scratch
 
 # Liability motifs by the name of their column.
 MOTIFS = {
@@ -51,32 +52,20 @@ def marked_residues(df: DataFrame, protein: str = "query", prefix: str = "R") ->
     """Adds residues: map from prefix and number (from 1) to the residue, before it a {bg_color:name} for each motif that it is in."""
     s = _col(protein)
 
-    def spans(pattern: str) -> Column:
-        # places of matches: lengths of what stands before each, and of the matches
+    def inside(pattern: str) -> Column:
+        """A text as long as the sequence, with a tilde where a match is: blanks for what stands before each match, tildes for the match."""
         found, rest = motif_matches(s, pattern), F.split(s, pattern)
-        return F.filter(
-            F.aggregate(
-                F.sequence(F.lit(0), F.size(found) - 1),
-                F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<a:int,b:int>>").alias("out")),
-                lambda acc, i: F.struct(
-                    (acc["at"] + F.length(F.get(rest, i)) + F.length(F.get(found, i))).alias("at"),
-                    F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(F.get(rest, i))).alias("a"), (acc["at"] + F.length(F.get(rest, i)) + F.length(F.get(found, i))).alias("b")))).alias("out"),
-                ),
-                lambda acc: acc["out"],
-            ),
-            lambda _: F.size(found) > 0,
-        )
-
-    named = {name: F.when(F.size(motif_matches(s, p)) > 0, spans(p)).otherwise(F.array().cast("array<struct<a:int,b:int>>")) for name, p in MOTIFS.items()}
-    rows = df.withColumns({f"_span_{i}": c for i, c in enumerate(named.values())})
-
-    def mark(i: Column) -> Column:
-        tags = [F.when(F.exists(F.col(f"_span_{k}"), lambda x: (x["a"] <= i) & (i < x["b"])), F.lit(f"{{bg_color:{name}}}")).otherwise("") for k, name in enumerate(named)]
-        return F.concat(*tags, F.substring(s, i + 1, F.lit(1)))
-
-    numbers = F.sequence(F.lit(0), F.length(s) - 1)
-    pairs = F.transform(numbers, lambda i: F.struct(F.concat(F.lit(prefix), (i + 1).cast("string")).alias("key"), mark(i).alias("value")))
-    return rows.withColumn("residues", F.when(F.length(s) > 0, F.map_from_entries(pairs)).otherwise(F.create_map().cast("map<string,string>"))).drop(*(f"_span_{i}" for i in range(len(named))))
+        return F.array_join(F.zip_with(rest, found, lambda r, f: F.concat(F.repeat(F.lit(" "), F.length(r)), F.coalesce(F.repeat(F.lit("~"), F.length(f)), F.lit("")))), "")
+
+    masks = F.struct(*(inside(p).alias(f"m{k}") for k, p in enumerate(MOTIFS.values())))
+
+    def mark(m: Column, i: Column) -> Column:
+        tags = [F.when(F.substring(m[f"m{k}"], i, F.lit(1)) == "~", F.lit(f"{{bg_color:{name}}}")).otherwise("") for k, name in enumerate(MOTIFS)]
+        return F.struct(F.concat(F.lit(prefix), i.cast("string")).alias("key"), F.concat(*tags, F.substring(s, i, F.lit(1))).alias("value"))
+
+    # masks are a variable of a function, so they are made once for a sequence and not anew for each residue
+    marked = F.transform(F.array(masks), lambda m: F.map_from_entries(F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: mark(m, i))))[0]
+    return df.withColumn("residues", F.when(F.length(s) > 0, marked).otherwise(F.create_map().cast("map<string,string>")))
 
 
 def gravy(protein: Column | str) -> Column:
@@ -169,6 +158,18 @@ def region_labels(chain: str, name: str, longest: int = 0) -> list[str]:
     return labels
 
 
+def running_max(df: DataFrame, value: Column, order_col: str, name: str) -> DataFrame:
+    """Adds the greatest value of all rows up to a row, in order_col (rows of equal order count for each other or not as they fall).
+
+    Rows are dealt by ranges of the order; each range has its own running maximum, and what the ranges before came to is held against it.
+    """
+    ranged = df.withColumn("_value", value).repartitionByRange(order_col).withColumn("_range", F.spark_partition_id())
+    local = Scratch(df.sparkSession).save(ranged.withColumn(name, F.max("_value").over(Window.partitionBy("_range").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0))))
+    tops = local.groupBy("_range").agg(F.max("_value").alias("_top"))  # a row for each range
+    before = tops.select("_range", F.max("_top").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    return local.join(F.broadcast(before), "_range").withColumn(name, F.greatest(name, "_before")).select(*df.columns, name)
+
+
 def number_regions(df: DataFrame, chain: str, order_col: str, blank: str = "{bg_color:gray}-") -> DataFrame:
     """Adds a map from label to residue for each region that df has as a column: <region>_residues.
 
@@ -187,7 +188,7 @@ def number_regions(df: DataFrame, chain: str, order_col: str, blank: str = "{bg_
         size = F.length(f"_{name}")
         growing = chain == "light" and name == "FR4" and longest > len(region_labels(chain, name))
         if growing:  # the running maximum over all rows, in their order
-            out = out.withColumn("_running", F.max(size).over(Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)))
+            out = running_max(out, size, order_col, "_running")
         tail = len(labels) - 1 - max(i for i, x in enumerate(labels) if x[-1].isalpha()) if extra else 0
         if name == "FR1":
             left = F.lit(0)

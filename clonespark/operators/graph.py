@@ -1,4 +1,4 @@
-"""Merging of components, germline-rooted graphs, trees."""
+"""Trees of aligned sequences, and networks' components."""
 
 from __future__ import annotations
 
@@ -7,9 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clonespark.operators.collapse import component_reads, size_rank
 from clonespark.operators.components import components
-from clonespark.operators.similarity import component_edges
 from clonespark.scratch import Scratch
 
 
@@ -22,104 +20,6 @@ def _hamming_all(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return sum(((a[:, None, k] != b[None, :, k]) & (a[:, None, k] != dot) & (b[None, :, k] != dot)).astype(np.int32) for k in range(a.shape[1])) if a.shape[1] else np.zeros((len(a), len(b)), np.int32)
 
 
-def merge_bucket(components: list[list[str]], threshold: float, linkage: str = "min") -> list[int]:
-    """Groups of a bucket's components, given by descending reads as lists of CDR3s of one length.
-
-    The last, with fewest reads, is the reference. One pass over the rest, in order, takes in each component that lies closer than
-    the threshold; the reference grows as it goes, and what was passed over isn't looked at again in this pass. Then the
-    next reference is the last of those left.
-    """
-    group, left, number = [-1] * len(components), list(range(len(components))), 0
-    while left:
-        ref = left.pop()
-        group[ref] = number
-        held = _matrix(components[ref])
-        rest = []
-        for c in left:
-            own = _matrix(components[c])
-            d = _hamming_all(held, own)
-            if (d.min() if linkage == "min" else d.mean()) < threshold:
-                group[c] = number
-                held = np.vstack((held, own))
-            else:
-                rest.append(c)
-        left, number = rest, number + 1
-    return group
-
-
-def merge_components(df: DataFrame, order_col: str, threshold: float, counts: list[str], sample: str = "sample", component: str = "component_ID", cdr3: str = "CDR3_AA", v: str = "V_gene", j: str = "J_gene", linkage: str = "min", most: int = 50_000) -> DataFrame:
-    """Adds component_ID_merged: components of samples with the same CDR3 length and gene families, merged if close.
-
-    A component's length and genes are those of its first row. Merged components are numbered from 1 by their rows, largest first, of equal
-    ones the one whose first row comes first. The merge goes by order, so a bucket is one task's work; only distinct CDR3s come to it, and a bucket of
-    more than `most` of them is an error.
-    """
-    name = F.concat_ws("|", F.col(sample).cast("string"), F.col(component).cast("string"))
-    rows = df.withColumn("_component", name)
-    first = rows.groupBy("_component").agg(F.min_by(F.struct(F.length(cdr3).alias("len"), F.substring_index(v, "*", 1).alias("v"), F.substring_index(j, "*", 1).alias("j")), order_col).alias("b"), F.min(order_col).alias("first"), F.collect_set(cdr3).alias("cdr3s"))
-    buckets = first.join(component_reads(rows, "_component", counts), "_component").select("b.*", "_component", "first", "cdr3s", "reads")
-
-    def merge(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        if (held := sum(map(len, group["cdr3s"]))) > most:
-            raise ValueError(f"{held} CDR3s of length {key[0]} with {key[1]} and {key[2]}: more than {most}; merge finer buckets, or raise most")
-        ordered = group.sort_values(["reads", "first"], ascending=[False, True], kind="stable")
-        longest = [[s for s in c if len(s) == key[0]] or [""] for c in ordered["cdr3s"]]
-        numbers = merge_bucket([sorted(c) for c in longest], threshold, linkage)
-        return pd.DataFrame({"_component": ordered["_component"], "_merged": [f"{key[0]}|{key[1]}|{key[2]}|{n}" for n in numbers]})
-
-    merged = buckets.groupBy("len", "v", "j").applyInPandas(merge, "_component string, _merged string")
-    return size_rank(rows.join(merged, "_component"), "_merged", order_col, "component_ID_merged").drop("_component", "_merged")
-
-
-def root_edges(vertices: list[tuple[str, int]], edges: list[tuple[str, str, int]], germline: str, threshold: int) -> list[tuple[str, str, int]]:
-    """Edges of a component with its germline sequence as the root.
-
-    vertices: (name, distance from the germline); the nearest attach to the germline, one edit farther than their distance. From those
-    reached, edges to vertices not reached yet are kept if within the threshold, or else the shortest of them; what is then
-    left within the threshold is added. Two vertices that are both nearest keep no edge but those to the germline.
-    """
-    least = min(d for _, d in vertices)
-    front = [n for n, d in vertices if d == least]
-    out = [(germline, n, least + 1) for n in front]
-    if len(vertices) == 2 and len(front) == 2:
-        return out
-    reached, left = set(front), list(edges)
-    while True:
-        crossing = [e for e in left if (e[0] in reached) != (e[1] in reached)]
-        if not crossing:
-            break
-        near = [e for e in crossing if e[2] <= threshold]
-        kept = near or [e for e in crossing if e[2] == min(x[2] for x in crossing)]
-        out += kept
-        chosen = set(kept)
-        left = [e for e in left if e not in chosen]
-        reached |= {n for e in kept for n in e[:2]}
-    return out + [e for e in left if e[2] <= threshold]
-
-
-def germline_graph(vertices: DataFrame, threshold: int, name: str = "name", seq: str = "full_NT", component: str = "component_ID", v: str = "V_gene", j: str = "J_gene", distance: str = "distance_from_V_gene") -> tuple[DataFrame, DataFrame]:
-    """(vertices, edges) of all components, each rooted in the germline of its gene families.
-
-    A germline is a vertex named V|J with the number of its components' vertices as frequency, null in what it has not.
-    """
-    families = vertices.withColumns({v: F.substring_index(v, "*", 1), j: F.substring_index(j, "*", 1)})
-    roots = families.groupBy(v, j).agg(F.count("*").alias("frequency")).withColumn(name, F.concat_ws("|", v, j))
-    every = families.unionByName(roots, allowMissingColumns=True)
-    pairs = component_edges(families, name, seq, component).groupBy(component).agg(F.collect_list(F.struct("from", "to", "dist")).alias("edges"))
-    members = families.groupBy(component).agg(F.collect_list(F.struct(F.col(name).alias("name"), F.col(distance).cast("int").alias("d"))).alias("members"), F.min(F.struct(F.col(name), F.concat_ws("|", v, j).alias("root"))).alias("m"))
-    both = members.join(pairs, component, "left").select(F.col("m.root").alias("root"), "members", "edges")
-
-    def rooted(batches):
-        for frame in batches:
-            rows = []
-            for root, held, edges in zip(frame["root"], frame["members"], frame["edges"]):
-                given = sorted((e["from"], e["to"], int(e["dist"])) for e in edges) if edges is not None else []
-                rows += root_edges(sorted((m["name"], int(m["d"])) for m in held), given, root, threshold)
-            yield pd.DataFrame(rows, columns=["from", "to", "dist"])
-
-    return every, both.mapInPandas(rooted, "`from` string, `to` string, dist int")
-
-
 def upgma(names: list[str], distances: np.ndarray, unit: float = 1.0) -> list[tuple[str, str, float]]:
     """Edges (parent, child, length in units) of the tree that joins the two nearest clusters again and again, means of members' distances between them.
 

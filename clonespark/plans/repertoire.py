@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clonespark.adapters.align import align_clusters, align_to_genes
 from clonespark.functions.dna import isotype_of, variable_region
-from clonespark.operators import collapse, filters, graph, similarity, umi
+from clonespark.operators import collapse, filters, graph, merging, similarity, umi
 from clonespark.scratch import Scratch
 
 
@@ -49,5 +49,5 @@ def similarity_network(repertoire: DataFrame, order_col: str, seq: str = "CDR3_N
 def shared_between(samples: dict[str, DataFrame], order_col: str, threshold: float, linkage: str = "min") -> DataFrame:
     """Components of samples merged across them, those that several samples have."""
     tagged = collapse.network_pivot(collapse.union_samples(samples), order_col)
-    merged = graph.merge_components(tagged, order_col, threshold, collapse.ISOTYPES9, linkage=linkage)
+    merged = merging.merge_components(tagged, order_col, threshold, collapse.ISOTYPES9, linkage=linkage)
     return collapse.shared_components(merged, "component_ID_merged")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clonespark import views as V
 from clonespark.functions import cells, distance, dna, protein
-from clonespark.operators import collapse, correction, diversity, filters, graph, similarity, umi
+from clonespark.operators import collapse, correction, diversity, filters, germline, graph, merging, similarity, umi
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -172,10 +172,28 @@ def numbering_regions(spark, sf_dir):
     return out.select("p_partkey", text("CDR1", NUMBERED).alias("cdr1"), text("FR1", [f"L{i}" for i in range(24)]).alias("fr1"))
 
 
-@query()
+FR4 = [f"L{n}" for n in range(98, 110)]
+FR4 = FR4[: FR4.index("L106") + 1] + ["L106A"] + FR4[FR4.index("L106") + 1 :]
+
+
+def _growing(most: int) -> str:
+    """FR4 of a row: labels through the lettered one from the left, then letters as many as the longest sequence so far calls for, then the last labels."""
+    at, n = FR4.index("L106A"), len(FR4)
+    cell = lambda i: f"CASE WHEN {i} < n THEN substr(f, CAST({i} + 1 AS INTEGER), 1) ELSE '-' END"
+    head = [f"'{x}=' || {cell(i)}" for i, x in enumerate(FR4[: at + 1])]
+    letters = [f"'L106{chr(ord('B') + i)}=' || CASE WHEN {i + 1} <= greatest(m, {n}) - {n} THEN {cell(at + 1 + i)} ELSE '-' END" for i in range(most - n)]
+    tail = [f"'{x}=' || {cell(f'({at + 1 + i} + greatest(m, {n}) - {n})')}" for i, x in enumerate(FR4[at + 1 :])]
+    return f"array_to_string([{', '.join(head + letters + tail)}], ';')"
+
+
+@query(f"""WITH s AS (SELECT p_partkey, 'Y' || substr({PROT}, 5, CAST(8 + p_partkey * 7 % 11 AS INTEGER)) AS f FROM part), r AS (SELECT *, length(f) AS n, max(length(f)) OVER (ORDER BY p_partkey ROWS UNBOUNDED PRECEDING) AS m FROM s)
+    SELECT p_partkey, {_growing(19)} AS fr4 FROM r""")
 def numbering_all(spark, sf_dir):
-    rows = part(spark, sf_dir).select("p_partkey", F.substring("prot", F.lit(1), (3 + F.col("p_partkey") % 9).cast("int")).alias("CDR1"), F.substring("prot", F.lit(5), (8 + F.col("p_partkey") % 7).cast("int")).alias("FR4"))
-    return protein.number_regions(rows, "light", "p_partkey")
+    """The light FR4, whose labels grow with the longest sequence up to each row."""
+    k = F.col("p_partkey")
+    rows = part(spark, sf_dir).select("p_partkey", F.concat(F.lit("Y"), F.substring("prot", F.lit(5), (8 + k * 7 % 11).cast("int"))).alias("FR4"))
+    out = protein.number_regions(rows, "light", "p_partkey", blank="-")
+    return out.select("p_partkey", F.array_join(F.transform(F.map_entries("FR4_residues"), lambda e: F.concat_ws("=", e["key"], e["value"])), ";").alias("fr4"))
 
 
 def _spans(pattern: str) -> str:
@@ -190,7 +208,7 @@ def _spans(pattern: str) -> str:
     + " || ".join(f"CASE WHEN list_contains(m{i}, i) THEN '{{bg_color:{n}}}' ELSE '' END" for i, n in enumerate(protein.MOTIFS)) + " || substr(prot, CAST(i + 1 AS INTEGER), 1)), ';') AS residues FROM m")
 def residue_marks(spark, sf_dir):
     marked = protein.marked_residues(part(spark, sf_dir).select("p_partkey", F.col("prot").alias("query")))
-    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(32)), lambda i: F.concat(F.lit("R"), i.cast("string"), F.lit(" "), F.element_at("residues", F.concat(F.lit("R"), i.cast("string"))))), ";")
+    text = F.array_join(F.transform(F.map_entries("residues"), lambda e: F.concat_ws(" ", e["key"], e["value"])), ";")
     return marked.select("p_partkey", text.alias("residues"))
 
 
@@ -562,7 +580,7 @@ def connected_components(spark, sf_dir):
     SELECT c.id, substr(c.seq, 1, 4) AS "CDR3_AA", c."V_gene", c."J_gene", c.id AS "component_ID", c.id % 2 AS sample, c.readcount, CAST(z.rank AS INTEGER) AS "component_ID_merged" FROM clones c JOIN r ON r.id = c.id JOIN z ON z.g = r.g AND z.n = r.n""")
 def component_merge(spark, sf_dir):
     v = V.clones(spark, sf_dir).select("id", F.substring("seq", 1, 4).alias("CDR3_AA"), "V_gene", "J_gene", F.col("id").alias("component_ID"), (F.col("id") % 2).alias("sample"), "readcount")
-    return graph.merge_components(v, "id", 2, ["readcount"])
+    return merging.merge_components(v, "id", 2, ["readcount"])
 
 
 @query(f"""WITH RECURSIVE {V.CLONES}, v AS (SELECT CAST(id AS VARCHAR) AS name, seq, "component_ID" AS c, CAST(id % 5 AS INTEGER) AS d FROM clones),
@@ -578,7 +596,7 @@ def component_merge(spark, sf_dir):
 def germline_graph(spark, sf_dir):
     k = F.col("id")
     v = V.clones(spark, sf_dir).select(k.cast("string").alias("name"), F.col("seq").alias("full_NT"), "component_ID", F.concat(F.lit("V"), (F.col("component_ID") % 3).cast("string")).alias("V_gene"), F.lit("J1*01").alias("J_gene"), (k % 5).cast("int").alias("distance_from_V_gene"))
-    return graph.germline_graph(v, 7)[1]
+    return germline.germline_graph(v, 7)[1]
 
 
 TREES = f"""{V.CLONES}, v AS (SELECT "component_ID" AS c, CAST(id AS VARCHAR) AS name, seq, row_number() OVER (PARTITION BY "component_ID" ORDER BY CAST(id AS VARCHAR)) AS i FROM clones),

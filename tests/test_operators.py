@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clonespark.adapters import align, igblast
 from clonespark.adapters.tools import ChainType
 from clonespark.functions import cells, distance, dna, protein
-from clonespark.operators import collapse, correction, filters, graph, prefix_tree, similarity, umi
+from clonespark.operators import collapse, correction, filters, germline, graph, merging, prefix_tree, similarity, umi
 from clonespark.operators.components import components
 from clonespark.plans import repertoire
 from clonespark.scratch import Scratch
@@ -220,17 +220,113 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a int, b int"), Scratch(spark)).count() == 0
 
 
-def test_merge_bucket_grows_within_a_pass():
+def plain_merge(components, threshold, linkage):
+    """Groups by the pass itself: components by descending reads, as lists of CDR3s."""
+    d = lambda x, y: sum(p != q and "." not in (p, q) for p, q in zip(x, y))
+    group, left, number = [-1] * len(components), list(range(len(components))), 0
+    while left:
+        ref = left.pop()
+        group[ref], held, rest = number, list(components[ref]), []
+        for c in left:
+            far = [d(x, y) for x in held for y in components[c]]
+            if (min(far) if linkage == "min" else sum(far) / len(far)) < threshold:
+                group[c] = number
+                held += components[c]
+            else:
+                rest.append(c)
+        left, number = rest, number + 1
+    return group
+
+
+def test_absorption_grows_within_a_pass(spark):
     # what a pass went by stays apart, though the reference has come closer; what comes later is held against all it has grown to
-    assert graph.merge_bucket([["AACC"], ["AAAC"], ["AAAA"]], 2) == [1, 0, 0]
-    assert graph.merge_bucket([["AAAC"], ["AACC"], ["AAAA"]], 2) == [0, 0, 0]
-    assert graph.merge_bucket([["AAAC"], ["AAAA"]], 1) == [1, 0]
-
-
-def test_root_edges():
+    assert plain_merge([["AACC"], ["AAAC"], ["AAAA"]], 2, "min") == [1, 0, 0]
+    assert plain_merge([["AAAC"], ["AACC"], ["AAAA"]], 2, "min") == [0, 0, 0]
+
+
+@pytest.mark.parametrize("linkage", ["min", "mean"])
+def test_merged_components(spark, linkage, monkeypatch):
+    rng = random.Random(51)
+    rows, k = [], 0
+    for c in range(130):
+        gene, size = rng.choice(("V1*01", "V1*02", "V2*01")), rng.choice((5, 6))
+        for _ in range(rng.randrange(1, 4)):
+            k += 1
+            text = "".join(rng.choices("ACD.", [6, 5, 5, 1], k=size if rng.random() < 0.9 else 4))
+            rows.append((k, "x", c, text, gene, "J1", rng.randrange(1, 6)))
+    rows += [(k + 1, "x", 900, None, "V1*01", "J1", 2), (k + 2, "x", 901, None, "V1*01", "J1", 1), (k + 3, "x", 902, "", "V1*01", "J1", 1)]
+    df = spark.createDataFrame(rows, "id int, sample string, component_ID int, CDR3_AA string, V_gene string, J_gene string, n int").repartition(3)
+    buckets = {}
+    for c in sorted({r[2] for r in rows}):
+        own = sorted(r for r in rows if r[2] == c)
+        length = None if own[0][3] is None else len(own[0][3])
+        texts = sorted({r[3] or "" for r in own if len(r[3] or "") == (length or 0)})
+        buckets.setdefault((length, own[0][4][:2]), []).append((-sum(r[6] for r in own), own[0][0], c, texts))
+    wanted = set()
+    for threshold in (2, 2.5):
+        for held in buckets.values():
+            held.sort()
+            groups = plain_merge([x[3] for x in held], threshold, linkage)
+            wanted |= {(threshold, frozenset(x[2] for x, h in zip(held, groups) if h == g)) for g in set(groups)}
+    assert any(len(g) > 2 for _, g in wanted) and len({len(g) for _, g in wanted}) > 2
+    for links in (5_000_000, 3):
+        monkeypatch.setattr(merging, "PART_LINKS", links)
+        got = set()
+        for threshold in (2, 2.5) if links > 3 else (2,):
+            found = {}
+            for r in merging.merge_components(df, "id", threshold, ["n"], linkage=linkage).select("component_ID", "component_ID_merged").collect():
+                found.setdefault(r[1], set()).add(r[0])
+            got |= {(threshold, frozenset(x)) for x in found.values()}
+        assert got == {w for w in wanted if links > 3 or w[0] == 2}
+        if linkage == "mean":
+            break
+
+
+def test_profiles_give_mean_distances():
+    rng = random.Random(52)
+    d = lambda x, y: sum(p != q and "." not in (p, q) for p, q in zip(x, y))
+    for _ in range(50):
+        x, y, z = (["".join(rng.choices("AC.", k=4)) for _ in range(rng.randrange(1, 5))] for _ in range(3))
+        held = merging.Profile(x)
+        held.add(merging.Profile(z))
+        assert held.mean(merging.Profile(y)) == pytest.approx(np.mean([d(a, b) for a in x + z for b in y]))
+
+
+def plain_roots(vertices, edges, root, threshold):
+    """Edges of a component by growing from its nearest vertices, all pairs given."""
+    least = min(d for _, d in vertices)
+    front = [n for n, d in vertices if d == least]
+    out = [(root, n, least + 1) for n in front]
+    if len(vertices) == 2 and len(front) == 2:
+        return out
+    reached, left = set(front), list(edges)
+    while crossing := [e for e in left if (e[0] in reached) != (e[1] in reached)]:
+        kept = [e for e in crossing if e[2] <= threshold] or [e for e in crossing if e[2] == min(x[2] for x in crossing)]
+        out += kept
+        left = [e for e in left if e not in kept]
+        reached |= {n for e in kept for n in e[:2]}
+    return out + [e for e in left if e[2] <= threshold]
+
+
+def test_germline_graphs(spark):
     v = [("a", 1), ("b", 3), ("c", 5)]
-    assert graph.root_edges(v, [("a", "b", 2), ("a", "c", 9), ("b", "c", 8)], "V|J", 3) == [("V|J", "a", 2), ("a", "b", 2), ("b", "c", 8)]
-    assert graph.root_edges([("a", 1), ("b", 1)], [("a", "b", 1)], "V|J", 3) == [("V|J", "a", 2), ("V|J", "b", 2)]
+    assert plain_roots(v, [("a", "b", 2), ("a", "c", 9), ("b", "c", 8)], "V|J", 3) == [("V|J", "a", 2), ("a", "b", 2), ("b", "c", 8)]
+    rng = random.Random(53)
+    rows = []
+    for c in range(9):
+        centres = ["".join(rng.choices("ACGT", k=rng.choice((11, 12, 12)))) for _ in range(3)]
+        for i in range((1, 2, 2, 12, 14, 16, 9, 20, 3)[c]):
+            s = "".join(x if rng.random() > 0.12 else rng.choice("ACGT") for x in rng.choice(centres))
+            rows.append((f"{c}-{i:02}", s, c, rng.choice((0, 1, 2, 5)) if c != 1 else 3, f"V{c % 2}*01", "J1*02"))
+    df = spark.createDataFrame(rows, "name string, full_NT string, component_ID int, distance_from_V_gene int, V_gene string, J_gene string").repartition(3)
+    wanted = []
+    for c in range(9):
+        own = sorted(r for r in rows if r[2] == c)
+        pairs = [(a[0], b[0], lev(a[1], b[1])) for a in own for b in own if a[0] < b[0]]
+        wanted += plain_roots([(r[0], r[3]) for r in own], pairs, f"V{c % 2}|J1", 2)
+    assert any(d > 3 for a, _, d in wanted if "|" not in a)
+    every, edges = germline.germline_graph(df, 2)
+    assert values(edges, "from", "to", "dist") == sorted(wanted) and every.count() == len(rows) + 2
 
 
 def test_trees():
