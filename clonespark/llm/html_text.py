@@ -432,17 +432,21 @@ class Page:
     def __init__(self, page: str) -> None:
         path: list[str] = []
         self.slots: list[tuple[str, str, int]] = []
-        stream = []
+        self.articles: list[int] = []  # of each slot, the number of the outermost article that it is in
+        stream, number, within = [], 0, 0
         for op, value, linked in tokens(page):
             if op == "<":
                 path.append(value)
+                if _name(value) == "article":
+                    number, within = number + (not within), within + 1
             elif op == ">":
-                path.pop()
+                within -= _name(path.pop()) == "article"
             else:
                 value = block(value)
                 if not value:
                     continue
                 self.slots.append(("/".join(path), value, min(linked, len(value))))
+                self.articles.append(number if within else 0)
             stream.append((op, value))
         self.skeleton = write(tree(stream))
         self.names = {f"{_name(v)}.{w}" for op, v in stream if op == "<" and "." in v for w in v.split(".")[1:]}
@@ -468,8 +472,33 @@ def reduced_path(path: str, known: frozenset[str] | None) -> str:
     return "/".join(out)
 
 
-def content(wrapper: str, sums: dict[str, tuple[int, int]]) -> tuple[frozenset[str], bool]:
-    """Paths of the wrapper's slots that hold content, and whether an article or main element does.
+def outermost(path: tuple[str, ...], name: str) -> tuple[str, ...]:
+    """The part of a path that leads to its first element of that name; empty if there is none."""
+    return next((path[: k + 1] for k, kind in enumerate(path) if _name(kind) == name), ())
+
+
+def in_articles(paths: list[tuple[str, ...]], slots: dict[tuple[str, ...], tuple[int, int]]) -> list[tuple[str, ...]]:
+    """Of the paths in articles those that may hold content, those of the likeliest articles first.
+
+    Articles in articles are what others say of them (as the HTML standard has it): they go, unless the outer one has no text of its own. Of articles in different places the one with a
+    headline comes first, then the one with more text over all pages; a page keeps the first that it has.
+    """
+    plain = [p for p in paths if sum(_name(k) == "article" for k in p) == 1]
+    own = {outermost(p, "article") for p in plain}
+    kept = plain + [p for p in paths if p not in set(plain) and outermost(p, "article") not in own]
+    text: dict[tuple[str, ...], list[int]] = {}
+    for p in kept:
+        n, linked = slots[p]
+        held = text.setdefault(outermost(p, "article"), [0, 0, 0])
+        held[0] |= n > 0 and any(_name(k) in ("h1", "h2") for k in p)
+        held[1] += n
+        held[2] += linked
+    order = sorted(text, key=lambda g: (text[g][2] >= LINK_SHARE * max(text[g][1], 1), -text[g][0], -text[g][1], g))
+    return sorted(kept, key=lambda p: (order.index(outermost(p, "article")), p))
+
+
+def content(wrapper: str, sums: dict[str, tuple[int, int]]) -> tuple[list[str], bool]:
+    """Paths of the wrapper's slots that hold content, and whether an article or main element does. In articles, the likeliest come first.
 
     sums: of each slot's path, characters over all pages of the host and those in links.
     """
@@ -495,9 +524,9 @@ def content(wrapper: str, sums: dict[str, tuple[int, int]]) -> tuple[frozenset[s
         barred.remove(max(outer, key=lambda t: (held[t], t)))
     article, main = (sum(n for p, (n, _) in left.items() if any(_name(k) == x for k in p)) for x in ARTICLE)
     for name in ARTICLE if article >= main / 2 else ARTICLE[::-1]:
-        inside = frozenset("/".join(p) for p in left if any(_name(k) == name for k in p))
+        inside = sorted(p for p in left if any(_name(k) == name for k in p))
         if inside:
-            return inside, True
+            return ["/".join(p) for p in (in_articles(inside, left) if name == "article" else inside)], True
     held, root = _subtrees(left), ()
     headings: set[tuple[str, ...]] = set()
     while True:
@@ -507,7 +536,7 @@ def content(wrapper: str, sums: dict[str, tuple[int, int]]) -> tuple[frozenset[s
             break
         headings |= {p for p in left if p[: len(root)] == root and p[: len(best)] != best and any(_name(k) == "h1" for k in p)}
         root = best
-    return frozenset("/".join(p) for p in left if p[: len(root)] == root or p in headings), False
+    return sorted("/".join(p) for p in left if p[: len(root)] == root or p in headings), False
 
 
 def _subtrees(slots: dict) -> dict[tuple[str, ...], tuple[int, int]]:
@@ -534,8 +563,10 @@ def _standard(path: tuple[str, ...]) -> bool:
 class Rule:
     """What makes up the main text on a host's pages."""
 
-    def __init__(self, paths: frozenset[str], in_article: bool, template: frozenset[int] = frozenset(), known: frozenset[str] | None = None) -> None:
+    def __init__(self, paths: list[str], in_article: bool, template: frozenset[int] = frozenset(), known: frozenset[str] | None = None) -> None:
         self.paths, self.in_article, self.template, self.known = paths, in_article, template, known
+        places: dict[tuple[str, ...], int] = {}  # articles of one place, in the order of the paths
+        self.place = {p: places.setdefault(outermost(tuple(p.split("/")), "article"), len(places)) for p in paths}
 
     @classmethod
     def of(cls, pages: list[Page]) -> Rule:
@@ -553,11 +584,27 @@ class Rule:
         return cls(*content(fold([write(read(p.skeleton, known)) for p in pages]), sums), template, known)
 
     def blocks(self, page: Page) -> list[str]:
-        out = []
-        for path, text, _ in page.slots:
-            if reduced_path(path, self.known) in self.paths and (self.in_article or not self.template or xxhash.xxh64_intdigest(text) >> 1 not in self.template):
-                out.append(text)
-        return out
+        """The page's texts in content slots. In articles, those of the likeliest place that the page has one in, and of several there those with a headline if some have
+        one. What the host's template says is left out; in an article no more than half of it, so that pages much alike keep their text, and no headline."""
+        found = [(place, text, n) for (path, text, _), n in zip(page.slots, page.articles) if (place := reduced_path(path, self.known)) in self.place]
+        if not self.in_article:
+            return [t for _, t, _ in found if not self._said_everywhere(t)]
+        best = min((self.place[p] for p, _, _ in found), default=0)
+        found = [f for f in found if self.place[f[0]] == best]
+        titled = {n for p, _, n in found if _headline(p)}
+        if titled:
+            found = [f for f in found if f[2] in titled]
+        said = [self._said_everywhere(t) and not _headline(p) for p, t, _ in found]
+        if 2 * sum(len(t) for (_, t, _), x in zip(found, said) if x) > sum(len(t) for _, t, _ in found):
+            said = [False] * len(found)
+        return [t for (_, t, _), x in zip(found, said) if not x]
+
+    def _said_everywhere(self, text: str) -> bool:
+        return bool(self.template) and xxhash.xxh64_intdigest(text) >> 1 in self.template
+
+
+def _headline(path: str) -> bool:
+    return any(_name(k) in ("h1", "h2") for k in path.split("/"))
 
 
 def main_text(page: str, rule: Rule | None = None) -> str:
@@ -648,7 +695,7 @@ def infer_rules(pages: DataFrame, scratch: Scratch, *, url_col: str = "url", htm
         paths, flags = [], []
         for wrapper, sums in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             found, flag = content(wrapper, {s["key"]: (s["chars"], s["linked"]) for s in sums or ()})
-            paths.append(sorted(found))
+            paths.append(found)
             flags.append(flag)
         return batch.column(0), batch.column(1), paths, flags
 
@@ -659,7 +706,7 @@ def infer_rules(pages: DataFrame, scratch: Scratch, *, url_col: str = "url", htm
 @lru_cache(256)
 def _rule(text: str) -> Rule:
     said = json.loads(text)
-    return Rule(frozenset(said["paths"]), said["in_article"], frozenset(said["template"]), frozenset(said["known"]))
+    return Rule(said["paths"], said["in_article"], frozenset(said["template"]), frozenset(said["known"]))
 
 
 def extract_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -10,7 +10,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
-from clonespark.llm import divergence, secret_scan, whitening
+from clonespark.llm import divergence, html_text, secret_scan, whitening
 
 DATA = "/root/testdata/sf0.01"
 
@@ -180,3 +180,32 @@ def test_divergence_parts():
         count = rng.randrange(0, total + 1)
         got = divergence.probability(np.array([count], np.int64), np.array([total], np.int64), kinds)
         assert int(got[0]) == 1 + 10**9 * (count + 5) // (total + 5 * kinds)
+
+
+def _comment_page(i, sibling=False):
+    """A story with a notice that all pages have, readers' comments as articles of their own, and a linked card as an article."""
+    inner = f"<section class='zz'><article class='u'><p>I read this and think reader {i} is wrong.</p></article><article class='u'><p>So do I, says {i * 7}.</p></article></section>"
+    story = f"<h1>Title {i}</h1><p>First words of story {i} with detail {i * i}.</p><p class='xk'>Please switch off your blocker to read on.</p><p>Last words of story {i}, which are enough.</p>"
+    card = f"<article class='rel'><p><a href='/x{i}'>Another story that may please you {i}</a></p></article>"
+    body = f"<article>{story}</article><article><p>A reply by reader {i}.</p></article>" if sibling else f"<article>{story}{inner}</article>{inner}"
+    return f"<html><body><nav><a href='/'>Home</a></nav><main>{body}{card}</main><footer>About us</footer></body></html>"
+
+
+@pytest.mark.parametrize("sibling", [False, True])
+def test_comments_notices_and_cards_in_articles(spark, sibling):
+    wanted = lambda i: f"Title {i}\n\nFirst words of story {i} with detail {i * i}.\n\nLast words of story {i}, which are enough."
+    pages = [html_text.Page(_comment_page(i, sibling)) for i in range(8)]
+    rule = html_text.Rule.of(pages)
+    assert ["\n\n".join(rule.blocks(p)) for p in pages] == [wanted(i) for i in range(8)]
+    df = spark.createDataFrame([(i, f"http://a.example/{i}", _comment_page(i, sibling)) for i in range(8)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_text.extract_text(df).collect()} == {i: wanted(i) for i in range(8)}
+
+
+def test_several_equal_articles(spark):
+    """An index of articles keeps all of them; pages that are nearly copies of one another keep their text."""
+    index = "<html><body><main>" + "".join(f"<article><h2>News {i}</h2><p>Text {i} of the day.</p></article>" for i in range(4)) + "</main></body></html>"
+    alike = [f"<html><body><article><h1>One story</h1><p>It is the same everywhere, word for word.</p><p>Print {i}</p></article></body></html>" for i in range(9)]
+    rows = [(0, "http://i.example/", index), *[(1 + i, "http://c.example/%d" % i, h) for i, h in enumerate(alike)]]
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0].count("News") == 4 and got[0].count("of the day") == 4
+    assert all(got[1 + i] == f"One story\n\nIt is the same everywhere, word for word.\n\nPrint {i}" for i in range(9))
