@@ -51,6 +51,83 @@ def upgma(names: list[str], distances: np.ndarray, unit: float = 1.0) -> list[tu
     return edges
 
 
+#: Sequences of a group up to which all distances are held; of more, residues by place of each cluster.
+MATRIX_ROWS = 2_000
+
+
+class Profiles:
+    """Residues by place of clusters of aligned sequences, from which the mean Hamming distances of one to all follow without any pair of members.
+
+    Only places where rows differ are held: numbers grow with the clusters and these places, not with the pairs of clusters. A dot differs from nothing.
+    """
+
+    def __init__(self, m: np.ndarray) -> None:
+        varied = (m != m[:1]).any(0) | (m == ord(".")).any(0)
+        self.places, places = int(varied.sum()), m[:, varied]
+        columns = [(places == c) & (places != ord(".")) for c in np.unique(places) if c != ord(".")]
+        self.counts = np.concatenate([c[:, c.any(0)] for c in columns], axis=1).astype(np.float64) if columns else np.zeros((len(m), 0))
+        dots = places == ord(".")
+        self.dots = dots[:, dots.any(0)].astype(np.float64)
+        self.all_dots = self.dots.sum(1)
+        self.size = np.ones(len(m))
+
+    def sums(self, i: int, to: np.ndarray) -> np.ndarray:
+        """Sums of the distances between all members of cluster i and all of each of the others: whole numbers."""
+        alike = self.counts[to] @ self.counts[i] - self.dots[to] @ self.dots[i] + self.all_dots[i] * self.size[to] + self.size[i] * self.all_dots[to]
+        return self.places * self.size[i] * self.size[to] - alike
+
+    def join(self, i: int, j: int) -> None:
+        for x in (self.counts, self.dots, self.all_dots, self.size):
+            x[i] += x[j]
+
+    def keep(self, rows: np.ndarray) -> None:
+        self.counts, self.dots, self.all_dots, self.size = (x[rows] for x in (self.counts, self.dots, self.all_dots, self.size))
+
+
+def upgma_by_profiles(names: list[str], m: np.ndarray, unit: float = 1.0) -> list[tuple[str, str, float]]:
+    """The tree that upgma makes of the Hamming distances of aligned rows, edge for edge, without their matrix.
+
+    Each cluster keeps its nearest later one and how near; a row of distances is made anew from profiles where the nearest went into a merged cluster. Rows of clusters that
+    are gone are dropped once they are half of all.
+    """
+    n, held = len(names), Profiles(m)
+    label, height, alive, edges = list(names), np.zeros(n), np.ones(n, bool), []
+    nearest, least = np.zeros(n, np.int64), np.full(n, np.inf)
+
+    def search(r: int) -> None:
+        later = np.flatnonzero(alive[r + 1 :]) + r + 1
+        if not len(later):
+            least[r] = np.inf
+            return
+        d = held.sums(r, later) / (held.size[r] * held.size[later])
+        at = int(d.argmin())
+        nearest[r], least[r] = later[at], d[at]
+
+    for r in range(n):
+        search(r)
+    for k in range(n - 1):
+        i = int(least.argmin())
+        j = int(nearest[i])
+        h, node = least[i] / 2, f"Inner{k + 1}"
+        edges += [(node, label[i], float(h - height[i]) * unit), (node, label[j], float(h - height[j]) * unit)]
+        held.join(i, j)
+        label[i], height[i], alive[j], least[j] = node, h, False, np.inf
+        for r in {i, *np.flatnonzero(alive & ((nearest == i) | (nearest == j)) & np.isfinite(least)).tolist()}:
+            search(r)
+        before = np.flatnonzero(alive[:i])
+        if len(before):  # for the others only the merged one may have come nearer
+            d = held.sums(i, before) / (held.size[i] * held.size[before])
+            nearer = (d < least[before]) | ((d == least[before]) & (i < nearest[before]))
+            nearest[before[nearer]], least[before[nearer]] = i, d[nearer]
+        if 2 * alive.sum() < len(alive) and len(alive) > 64:
+            rows = np.flatnonzero(alive)
+            new = np.cumsum(alive) - 1
+            held.keep(rows)
+            nearest, least, height, label = new[nearest[rows]], least[rows], height[rows], [label[r] for r in rows]
+            alive = np.ones(len(rows), bool)
+    return edges
+
+
 # Scores of equal and unequal bases by model; those of transitions (A with G, C with T) may differ.
 MODELS = {"blastn": (5, -4, -4), "trans": (6, -5, -1)}
 
@@ -83,14 +160,15 @@ def model_distances(seqs: list[str], model: str = "identity") -> np.ndarray:
 def _tree(names: list[str], seqs: list[str], model: str | None) -> list[tuple[str, str, float]]:
     if model is not None:
         return upgma(names, model_distances(seqs, model))
-    m = _matrix(seqs)
-    return upgma(names, _hamming_all(m, m), 1 / max(m.shape[1], 1))
+    m, unit = _matrix(seqs), 1 / max(len(seqs[0]) if seqs else 0, 1)
+    return upgma_by_profiles(names, m, unit) if len(names) > MATRIX_ROWS else upgma(names, _hamming_all(m, m), unit)
 
 
 def trees(df: DataFrame, group: str, name: str = "name", seq: str = "sequence", model: str | None = None) -> DataFrame:
     """A UPGMA tree of each group's aligned sequences: group, from, to, length, root (1 for edges of the root).
 
-    model: None for the share of mismatches (a dot matches all), or see model_distances. A group is one task's work, its matrix in memory.
+    model: None for the share of mismatches (a dot matches all), or see model_distances. A group is one task's work: up to MATRIX_ROWS sequences with all their
+    distances in memory, beyond it with its clusters' residues by place (for None; the other models' distances of means don't follow from residues).
     """
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

@@ -560,6 +560,31 @@ def test_upgma_against_a_plain_model():
         assert len(got) == max(0, 2 * n - 2)
 
 
+def test_trees_of_large_groups_without_a_matrix(spark, monkeypatch):
+    """Edge for edge as with all distances held, ties and dots included."""
+    rng = random.Random(61)
+    for n, length, alphabet in ((1, 3, "AC"), (2, 3, "AC"), (3, 0, "A"), (40, 5, "AC."), (150, 8, "ACGT."), (200, 30, "ACGT")):
+        seqs = ["".join(rng.choices(alphabet, k=length)) for _ in range(n)]
+        m = graph._matrix(seqs)
+        assert graph.upgma_by_profiles([f"n{i}" for i in range(n)], m, 0.5) == graph.upgma([f"n{i}" for i in range(n)], graph._hamming_all(m, m), 0.5)
+
+
+def test_group_distances(spark):
+    rng = random.Random(62)
+    side = lambda: [(rng.randrange(3), "".join(rng.choices("AC.", k=rng.choice((3, 4)))), rng.choice("xy"), rng.choice((1, 2))) for _ in range(40)]
+    a, b = side(), side()
+    schema = "g int, s string, v string, j int"
+    dot = lambda p, q: max(len(p), len(q)) if len(p) != len(q) else sum(x != y and "." not in (x, y) for x, y in zip(p, q))
+    for metric, d in (("hamming", dot), ("levenshtein", lev)):
+        wanted = {}
+        for g, p, v, j in a:
+            for h, q, w, k in b:
+                if (v, j) == (w, k):
+                    wanted.setdefault((g, h), []).append(d(p, q))
+        got = similarity.group_distances(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), "g", "s", ["v", "j"], metric)
+        assert {(r["from"], r["to"]): (r["min_dist"], round(r["mean_dist"], 9)) for r in got.collect()} == {k: (min(x), round(sum(x) / len(x), 9)) for k, x in wanted.items()}
+
+
 def test_trees_in_nexus():
     from clonespark.sources import trees
 
