@@ -20,6 +20,8 @@ from clonespark.scratch import Scratch
 
 #: Candidates of a bucket, of a slice of it, and queries of a block.
 BUCKET_ROWS, SLICE_ROWS, BLOCK_QUERIES = 16_384, 1_024, 1_024
+#: Blocks of queries that are held against a bucket in one task.
+BLOCKS_A_TASK = 16
 #: From this local cosine threshold on, coordinates prune enough to pay; so many of the largest are looked at.
 COORDINATE_FROM, FOCUS = 0.8, 3
 #: Relative slack for rounding in bounds; products themselves are exact.
@@ -252,11 +254,15 @@ def top_k(vectors: DataFrame, is_query: Column, *, id_col: str = "vec_id", vecto
     blocks = blocks.select(*(F.col(x).alias(f"q_{x}") for x in blocks.columns))
     low = buckets.agg(F.min("bucket")).first()[0] or 0
     longest = buckets.filter((F.col("bucket") == low) & (F.col("piece") == 0)).first()  # one row of at most 2 * BUCKET_ROWS vectors goes to all tasks
-    first = scratch.save(blocks.mapInArrow(_first(longest and longest.asDict(), k), "q_n int, q_dim int, q_need double, q_ids binary, q_vectors binary, q_bound binary, best_query binary, best_id binary, best_score binary"))
+    first = scratch.save(blocks.mapInArrow(_first(longest and longest.asDict(), k), "q_n int, q_dim int, q_need double, q_ids binary, q_vectors binary, q_bound binary, best_query binary, best_id binary, best_score binary").withColumn("q_number", F.spark_partition_id()))
     pairs = "query_id bigint, vec_id bigint, score bigint"
     others = buckets.filter((F.col("bucket") != low) | (F.col("piece") != 0))
-    spread = reached(first.select("q_n", "q_dim", "q_need", "q_ids", "q_vectors", "q_bound"), others)
-    rest = spread.join(others.drop("top"), "bucket").mapInArrow(_rest(k), pairs)
+    spread = reached(first.select("q_n", "q_dim", "q_need", "q_ids", "q_vectors", "q_bound", "q_number"), others)
+    # The first buckets get every block of queries: a bucket goes to as many tasks as hold BLOCKS_A_TASK of its blocks each.
+    met = spread.groupBy("bucket").agg(F.max(F.ceil((F.col("q_number") + 1) / BLOCKS_A_TASK)).cast("int").alias("_salts"))
+    dealt = others.drop("top").join(met, "bucket").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    salted = spread.withColumn("_salt", F.floor(F.col("q_number") / BLOCKS_A_TASK).cast("int"))
+    rest = salted.join(dealt, ["bucket", "_salt"]).mapInArrow(_rest(k), pairs)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     every = first.select("q_ids", "best_query", "best_id", "best_score").mapInArrow(_unfold, pairs).unionAll(rest)
     return every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
