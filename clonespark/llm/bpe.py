@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 from functools import lru_cache
 from itertools import chain
 
@@ -53,28 +54,62 @@ class RankQueue:
             held = self.buckets.get(rank)
             if held is None:
                 self.buckets[rank] = [part]
-                self.low[rank >> 6] |= 1 << (rank & 63)
-                self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
-                self.top |= 1 << (rank >> 12)
+                self.mark(rank)
             else:
                 held.append(part)
 
-    def pop(self) -> tuple[int, np.ndarray] | None:
-        """The lowest rank and its positions in ascending order."""
-        if not self.top:
-            return None
+    def mark(self, rank: int) -> None:
+        self.low[rank >> 6] |= 1 << (rank & 63)
+        self.mid[rank >> 12] |= 1 << (rank >> 6 & 63)
+        self.top |= 1 << (rank >> 12)
+
+    def lowest(self) -> int:
         a = (self.top & -self.top).bit_length() - 1
         b = a << 6 | ((m := self.mid[a]) & -m).bit_length() - 1
-        rank = b << 6 | ((m := self.low[b]) & -m).bit_length() - 1
-        self.low[b] &= self.low[b] - 1
+        return b << 6 | ((m := self.low[b]) & -m).bit_length() - 1
+
+    def clear(self, rank: int) -> None:
+        a, b = rank >> 12, rank >> 6
+        self.low[b] &= ~(1 << (rank & 63))
         if not self.low[b]:
-            self.mid[a] &= self.mid[a] - 1
+            self.mid[a] &= ~(1 << (b & 63))
             if not self.mid[a]:
-                self.top &= self.top - 1
+                self.top &= ~(1 << a)
+
+    def pop(self) -> tuple[int, np.ndarray] | None:
+        """The lowest rank and its positions in ascending order."""
+        if not self.top:
+            return None
+        rank = self.lowest()
+        self.clear(rank)
         parts = self.buckets.pop(rank)
         return rank, np.unique(np.concatenate(parts) if len(parts) > 1 else parts[0])
 
 
+class SingleQueue(RankQueue):
+    """The same queue for one position at a time: a bucket is a heap, so the others of a rank stay where they are."""
+
+    def put(self, rank: int, position: int) -> None:
+        held = self.buckets.get(rank)
+        if held is None:
+            self.buckets[rank] = [position]
+            self.mark(rank)
+        else:
+            heapq.heappush(held, position)
+
+    def take(self) -> tuple[int, int] | None:
+        """The leftmost position of the lowest rank."""
+        if not self.top:
+            return None
+        rank = self.lowest()
+        held = self.buckets[rank]
+        position = heapq.heappop(held)
+        if not held:
+            del self.buckets[rank]
+            self.clear(rank)
+        return rank, position
+
+
 class BytePairs:
     """A rank file: bytes in base64 and rank on each line; a token's id is its rank."""
 
@@ -188,18 +223,14 @@ class BytePairs:
         after, before, live = [*range(1, n + 1)], [*range(-1, n - 1)], [True] * n
         rank_of = lambda i: int(self.pair_ranks(np.array([ids[i]]), np.array([ids[after[i]]]))[0]) if after[i] < n else -1
         pair = [rank_of(i) for i in range(n)]
-        queue = RankQueue(self.n)
+        queue = SingleQueue(self.n)
         for i in range(n):
             if pair[i] >= 0:
-                queue.push(np.array([pair[i]]), np.array([i]))
-        while found := queue.pop():
-            rank, at = found
-            at = [i for i in at.tolist() if live[i] and pair[i] == rank]
-            if not at:
-                continue
-            i = at[0]
-            if rest := at[1:]:
-                queue.push(np.full(len(rest), rank), np.array(rest))
+                queue.put(pair[i], i)
+        while found := queue.take():
+            rank, i = found
+            if not live[i] or pair[i] != rank:
+                continue  # stale
             j = after[i]
             ids[i], live[j], after[i] = rank, False, after[j]
             if after[j] < n:
@@ -208,7 +239,7 @@ class BytePairs:
                 if k >= 0:
                     pair[k] = rank_of(k)
                     if pair[k] >= 0:
-                        queue.push(np.array([pair[k]]), np.array([k]))
+                        queue.put(pair[k], k)
         return [ids[i] for i in range(n) if live[i]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
