@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clonespark.llm.common import bound_batches, map_batches, release_memory, utf8
+from clonespark.llm.common import bound_batches, map_batches, release_memory, sized, utf8
 from clonespark.llm.words import LOWER, Block, blocks, mix
 from clonespark.scratch import Scratch
 
@@ -299,7 +299,7 @@ def pseudo_likelihood(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """Score every whole text by a network trained on all of them.
 
     Returns id_col, n_tokens, log_prob (the sum over all words) and mean_log_prob (null if there is no word). A null or
-    empty text has no words and log_prob 0. Words are runs of anything but ASCII white space, A-Z lower-cased.
+    empty text has no words and log_prob 0. Equal texts have equal scores, wherever they lie. Words are runs of anything but ASCII white space, A-Z lower-cased.
     Null and repeated ids are scored row by row; other columns are ignored; an empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession)
@@ -317,9 +317,14 @@ def pseudo_likelihood(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         return batch.column(0), n, sums, pa.ListArray.from_arrays(pa.array(offsets), pa.array(rest))
 
     # Each word of a group brings its own count.
-    made = map_batches(docs.select(F.col(id_col).alias("_id"), utf8(text_col)), run, f"_id {docs.schema[id_col].dataType.simpleString()}, n_tokens bigint, log_prob double, rest array<bigint>")
+    known = F.struct(F.xxhash64(text_col).alias("a"), F.crc32(utf8(text_col)).alias("b"), F.octet_length(utf8(text_col)).alias("n"))
+    read = docs.select(F.struct(F.col(id_col).alias("id"), known.alias("text")).alias("_own"), utf8(text_col))
+    made = map_batches(read, run, f"_own struct<id: {docs.schema[id_col].dataType.simpleString()}, text: struct<a: bigint, b: bigint, n: int>>, n_tokens bigint, log_prob double, rest array<bigint>").select("_own.*", "n_tokens", "log_prob", "rest").withColumnRenamed("id", "_id")
     made = scratch.save(made.withColumn("_row", F.monotonically_increasing_id()))
-    counts = F.broadcast(counts) if counts.count() <= BROADCAST_KINDS else counts
+    counts = sized(counts, scratch, BROADCAST_KINDS)
     own = made.select("_row", F.explode("rest").alias("hash")).join(counts, "hash").groupBy("_row").agg(F.sum(F.log("n")).alias("own"))
-    out = made.join(own, "_row", "left").select(F.col("_id").alias(id_col), "n_tokens", (F.col("log_prob") + F.coalesce("own", F.lit(0.0))).alias("log_prob"))
+    made = scratch.save(made.join(own, "_row", "left").select("_id", "text", "n_tokens", (F.col("log_prob") + F.coalesce("own", F.lit(0.0))).alias("log_prob")))
+    # Sums in single precision depend on where a text lies among others: of equal texts that differ, the least counts for all.
+    differ = made.groupBy("text").agg(F.min("log_prob").alias("least"), F.max("log_prob").alias("_most")).filter("least < _most").drop("_most")
+    out = made.join(sized(differ, scratch), "text", "left").select(F.col("_id").alias(id_col), "n_tokens", F.coalesce("least", "log_prob").alias("log_prob"))
     return out.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))

@@ -209,3 +209,50 @@ def test_several_equal_articles(spark):
     got = {r["page_id"]: r["text"] for r in html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got[0].count("News") == 4 and got[0].count("of the day") == 4
     assert all(got[1 + i] == f"One story\n\nIt is the same everywhere, word for word.\n\nPrint {i}" for i in range(9))
+
+
+def test_words_merged_alone():
+    import time
+
+    import public_tokenizers as P
+
+    from clonespark.llm import bpe
+
+    pairs = bpe.byte_pairs(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    rng = random.Random(8)
+    for _ in range(200):
+        word = "".join(rng.choices(["ab", "c", "the", "ing", "é", "1", "zz", "er"], k=rng.randrange(1, 40))).encode()
+        assert pairs.encode_alone(word) == pairs.encode_words([word])[0].tolist()
+    began = time.perf_counter()
+    assert pairs.encode_alone(b"abcabd" * 6_000) == pairs.encode_words([b"abcabd" * 6_000])[0].tolist()
+    assert time.perf_counter() - began < 20
+
+
+def test_search_with_many_blocks_of_queries(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from clonespark.llm import search
+
+    rng = np.random.default_rng(2)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 8)) * rng.uniform(0.2, 3, (400, 1)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for name, value in (("BUCKET_ROWS", 40), ("BLOCK_QUERIES", 10), ("BLOCKS_A_TASK", 2)):
+        monkeypatch.setattr(search, name, value)
+    x = np.floor(256 * np.array([v for _, v in rows])).astype(np.int64)
+    scores = x @ x.T
+    wanted = sorted((q, r + 1, int(c), int(scores[q, c])) for q in range(0, 400, 4) for r, c in enumerate(sorted((c for c in range(400) if c != q), key=lambda c: (-scores[q, c], c))[:5]))
+    assert sorted(tuple(r) for r in search.top_k(df, F.col("vec_id") % 4 == 0).collect()) == wanted
+
+
+def test_equal_texts_have_equal_scores(spark):
+    from clonespark.llm import lm_score
+
+    rng = random.Random(3)
+    kinds = [f"w{i}" for i in range(60)]
+    held = [" ".join(rng.choices(kinds, k=rng.randrange(1, 400))) for _ in range(12)]
+    rows = [(i, rng.choice(held)) for i in range(150)]
+    got = lm_score.pseudo_likelihood(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), vocabulary=20).collect()
+    by = collections.defaultdict(set)
+    for r in got:
+        by[dict(rows)[r["doc_id"]]].add(r["log_prob"])
+    assert len(got) == 150 and all(len(x) == 1 for x in by.values())
