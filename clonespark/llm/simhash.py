@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -455,6 +455,8 @@ SHARED = 8
 COMMON = 64
 #: Up to so many of them are sent to the tasks.
 KNOWN_COMMON = 500_000
+#: Prefixes with one shingle up to which they meet in one task.
+CROWD = 4_096
 #: Words of a set's parities (see parities), which go with nodes that have such shingles: where many sets meet, they rule out most pairs that are too far apart.
 PARITY_WORDS = 4
 
@@ -517,15 +519,15 @@ def _rare_first(nodes: DataFrame, texts_of, shingle: int, similarity: float, scr
 
 
 def _prefix_pairs(similarity: float):
-    """Over rows (shingle, node, known, size, parities) in order of shingle and known: for each shingle the pairs (a, b) that differ in known and whose
-    sizes and parities may go together, with how many shingles of their prefixes must be equal."""
+    """Over rows (unit, node, known, size, side, parities) in order of unit and known: for each unit (a shingle, or two tiles of one) the pairs (a, b) that differ in known
+    and whose sizes and parities may go together, with how many shingles of their prefixes must be equal. Of two tiles a row of each makes a pair; side 0: all of one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _blocks(batches):
-            shingle, node, known, size = (x.to_numpy() for x in t.columns[:4])
-            told = t.column(4).is_valid().to_numpy()
+            shingle, node, known, size, side = (x.to_numpy() for x in t.columns[:5])
+            told = t.column(5).is_valid().to_numpy()
             odd = np.zeros((len(node), PARITY_WORDS), np.uint64)
-            odd[told] = t.column(4).combine_chunks().flatten().to_numpy().reshape(-1, PARITY_WORDS).view(np.uint64)
+            odd[told] = t.column(5).combine_chunks().flatten().to_numpy().reshape(-1, PARITY_WORDS).view(np.uint64)
             least = np.minimum(np.ceil(similarity * size - 1e-9), SHARED).astype(np.int64)
             change = np.flatnonzero(shingle[1:] != shingle[:-1]) + 1
             ends = np.concatenate((change, [len(shingle)]))
@@ -541,7 +543,7 @@ def _prefix_pairs(similarity: float):
                 i = np.repeat(np.arange(row, last), w)
                 j = np.arange(len(i)) - np.repeat(np.cumsum(w) - w, w) + np.repeat(begin[row:last], w)
                 row = last
-                may = np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6
+                may = (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6) & ((side[i] == 0) | (side[i] != side[j]))
                 i, j = i[may], j[may]
                 both = size[i] + size[j]
                 differ = np.bitwise_count(odd[i] ^ odd[j]).sum(1, dtype=np.int64)
@@ -582,11 +584,16 @@ def prefix_links(nodes: DataFrame, texts_of, shingle: int, similarity: float, sc
     """
     ordered = _rare_first(nodes, texts_of, shingle, similarity, scratch)
     scratch.drop(nodes)
-    # Most shingles are in one prefix alone: nodes meet by number first, and bring what else is needed to shingles that they share.
-    tokens = ordered.select(F.explode("prefix").alias("shingle"), "node")
-    shared = tokens.withColumn("_n", F.count("*").over(Window.partitionBy("shingle"))).filter("_n > 1").drop("_n")
-    rows = shared.join(ordered.drop("prefix"), "node").select("shingle", "node", "known", "size", "parities")
-    dealt = rows.repartition("shingle").sortWithinPartitions("shingle", "known")
+    # Most shingles are in one prefix alone: nodes meet by number first, and bring what else is needed to shingles that they share. The one exchange serves count and rows.
+    tokens = ordered.select(F.explode("prefix").alias("shingle"), "node").repartition("shingle")
+    counts = tokens.groupBy("shingle").agg(F.count("*").alias("_n")).filter("_n > 1")
+    # A shingle that more than CROWD prefixes hold is cut into tiles, and each two of them are a unit of their own.
+    tiles = F.ceil(F.col("_n") / CROWD).cast("int")
+    shared = tokens.join(counts, "shingle").select("shingle", "node", F.pmod(F.xxhash64("node"), tiles).cast("int").alias("tile"), F.explode(F.sequence(F.lit(0), tiles - 1)).alias("u"), tiles.alias("tiles"))
+    unit = F.when(F.col("tiles") > 1, F.xxhash64("shingle", F.least("tile", "u"), F.greatest("tile", "u"))).otherwise(F.col("shingle")).alias("unit")
+    placed = shared.select(unit, "node", F.when(F.col("tile") == F.col("u"), 0).when(F.col("tile") < F.col("u"), 1).otherwise(2).alias("side"))
+    rows = placed.join(ordered.drop("prefix"), "node").select("unit", "node", "known", "size", "side", "parities")
+    dealt = rows.repartition("unit").sortWithinPartitions("unit", "known")
     pairs = dealt.mapInArrow(_prefix_pairs(similarity), "a bigint, b bigint, least bigint")
     return pairs.groupBy("a", "b", "least").count().filter("count >= least").select("a", "b")
 

@@ -256,3 +256,34 @@ def test_equal_texts_have_equal_scores(spark):
     for r in got:
         by[dict(rows)[r["doc_id"]]].add(r["log_prob"])
     assert len(got) == 150 and all(len(x) == 1 for x in by.values())
+
+
+def test_near_duplicates_of_a_crowded_shingle(spark, monkeypatch):
+    """A passage that all texts have, in prefixes cut into tiles of three: the same documents stay as by all pairs."""
+    from clonespark.llm import simhash
+
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(12))
+    texts = [passage + " " + " ".join(rng.choices([f"t{j}" for j in range(4)], k=rng.choice((3, 4)))) for _ in range(70)]
+    rows = list(enumerate(texts))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    wanted = sorted({find(i) for i in range(len(texts))})
+    assert 1 < len(wanted) < len(set(texts))
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    monkeypatch.setattr(simhash, "COMMON", 2)
+    for crowd in (4096, 3):
+        monkeypatch.setattr(simhash, "CROWD", crowd)
+        # without the fingerprints' links, so that prefixes have to find all
+        monkeypatch.setattr(simhash, "trie_links", lambda groups, plan, scratch: groups.select(groups["node"].alias("a"), groups["node"].alias("b")).limit(0))
+        assert sorted(r["doc_id"] for r in simhash.without_near_duplicates(df).collect()) == wanted
