@@ -1,17 +1,14 @@
-"""Alignments: BLAST's pairwise text, and native aligners for genes, clusters and read pairs."""
+"""Alignments: BLAST's pairwise text, and native aligners for clusters."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clonespark.functions.dna import reverse_complement
-
 ALIGNMENT = (
     "struct<num_alignments:int,alignments:array<struct<matched:int,whole:int,sbjct_index:int,query_start:int,query_end:int,sbjct_start:int,sbjct_end:int,"
     "num_mismatches:int,mismatches:array<struct<query:string,sbjct:string,query_loc:int,sbjct_loc:int>>,match_pattern:string>>>"
@@ -56,62 +53,6 @@ def parse_blast(text: str, index_of: dict[str, int] | None = None, alignments: i
     return pd.DataFrame(rows, columns=["query", "aln"])
 
 
-def local_alignment(q: str, s: str, match: int = 1, mismatch: int = -2, gap: int = -2) -> tuple[int, dict] | None:
-    """The best local alignment (Smith and Waterman, 1981) with a fixed cost of gaps: score and description."""
-    if not q or not s:
-        return None
-    a, b = np.frombuffer(q.encode(), np.uint8), np.frombuffer(s.encode(), np.uint8)
-    h = np.zeros((len(a) + 1, len(b) + 1), np.int32)
-    slope = gap * np.arange(len(b) + 1)
-    for i, c in enumerate(a):
-        row = np.zeros(len(b) + 1, np.int32)
-        row[1:] = np.maximum(0, np.maximum(h[i, :-1] + np.where(b == c, match, mismatch), h[i, 1:] + gap))
-        h[i + 1] = np.maximum.accumulate(row - slope) + slope  # a gap in the query goes on from the left
-    i, j = divmod(int(h.argmax()), len(b) + 1)
-    score = int(h[i, j])
-    if score <= 0:
-        return None
-    x, y = [], []
-    while h[i, j] > 0:
-        if i and j and h[i, j] == h[i - 1, j - 1] + (match if a[i - 1] == b[j - 1] else mismatch):
-            i, j = i - 1, j - 1
-            x.append(q[i])
-            y.append(s[j])
-        elif i and h[i, j] == h[i - 1, j] + gap:
-            i -= 1
-            x.append(q[i])
-            y.append("-")
-        else:
-            j -= 1
-            x.append("-")
-            y.append(s[j])
-    return score, described("".join(reversed(x)), "".join(reversed(y)), i + 1, j + 1, 0)
-
-
-def align_to_genes(df: DataFrame, genes: DataFrame, seq: str = "full_NT", top: int = 1, word: int = 10) -> DataFrame:
-    """Adds aln: the best local alignments of each sequence to a small reference of genes (index, full_NT), which share a word with it."""
-    reference = [(r["index"], r["full_NT"]) for r in genes.select("index", "full_NT").collect()]  # some hundred genes
-    words = {}
-    for i, s in reference:
-        for p in range(len(s) - word + 1):
-            words.setdefault(s[p : p + word], set()).add(i)
-    by_index = dict(reference)
-
-    def one(s: str | None) -> dict:
-        seeds = set().union(*(words.get(s[p : p + word], ()) for p in range(len(s) - word + 1))) if s else set()
-        found = [(r[0], i, r[1]) for i in sorted(seeds) if (r := local_alignment(s, by_index[i]))]
-        best = sorted(found, key=lambda x: (-x[0], x[1]))[:top]
-        return {"num_alignments": len(best), "alignments": [{**d, "sbjct_index": i} for _, i, d in best]}
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", aln {ALIGNMENT}"
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.assign(aln=[one(s) for s in frame[seq]])
-
-    return df.mapInPandas(run, schema)
-
-
 def global_alignment(a: str, b: str, band: int) -> tuple[str, str]:
     """Least edits from a to b, of alignments that stray at most `band` from the diagonal (as many as their lengths differ at least)."""
     band = max(band, abs(len(a) - len(b))) + 1
@@ -187,34 +128,6 @@ def align_clusters(reads: DataFrame, keys: list[str], seed: str = "seed", seq: s
     return distinct.groupBy(*keys).applyInPandas(one, f"{kinds}, sequence string, `{count}` bigint")
 
 
-def merged_pair(a: str, b: str, least: int = 10, most_wrong: float = 0.1, qa: str | None = None, qb: str | None = None) -> tuple[str, str | None] | None:
-    """A read and its mate (already turned) joined where they overlap best: the longest overlap with few enough mismatches.
-
-    With their qualities, where they differ the base that is surer counts, and where they agree the better quality.
-    """
-    x, y = (np.frombuffer(s.encode("ascii", "replace"), np.uint8) for s in (a, b))
-    for n in range(min(len(a), len(b)), least - 1, -1):
-        if np.count_nonzero(x[len(x) - n :] != y[:n]) <= most_wrong * n:
-            if not (qa and qb):
-                return a + b[n:], None
-            surer = [(c, p) if p >= q else (d, q) for c, p, d, q in zip(a[len(a) - n :], qa[len(a) - n :], b, qb)]
-            return a[: len(a) - n] + "".join(c for c, _ in surer) + b[n:], qa[: len(a) - n] + "".join(q for _, q in surer) + qb[n:]
-    return None
-
-
-def merge_pairs(pairs: DataFrame, forward: str = "r1", reverse: str = "r2", least: int = 10, most_wrong: float = 0.1, qualities: tuple[str, str] | None = None) -> DataFrame:
-    """Adds merged: a stand-in for a read merger, null where there is no overlap. reverse: as sequenced. qualities: the columns of both reads' qualities;
-    they decide where the reads differ, and merged_quality is added."""
-
-    def join(a: pd.Series, b: pd.Series, p: pd.Series, q: pd.Series) -> pd.DataFrame:
-        rows = [merged_pair(x, y, least, most_wrong, u, v) if x and y else None for x, y, u, v in zip(a, b, p, q)]
-        return pd.DataFrame([r or (None, None) for r in rows], columns=["merged", "merged_quality"], dtype=object)
-
-    columns = [F.col(qualities[0]), F.reverse(F.col(qualities[1]))] if qualities else [F.lit(None).cast("string")] * 2
-    made = pairs.withColumn("_m", F.pandas_udf(join, "merged string, merged_quality string")(F.col(forward), reverse_complement(reverse), *columns))
-    return made.select("*", "_m.merged", *(["_m.merged_quality"] if qualities else [])).drop("_m")
-
-
 def chicken_regions(fr_hits: DataFrame, seq: str = "seq", loose: bool = False) -> DataFrame:
     """CDRs between framework hits: struct columns FR1 to FR4 (query_start, query_end, sbjct_start, sbjct_end, length; from 1), null without a hit.
 

@@ -8,7 +8,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from clonespark import views as V
-from clonespark.adapters import align, igblast
+from clonespark.adapters import align, igblast, seeded
+from clonespark.adapters import pairs as read_pairs
 from clonespark.adapters.tools import ChainType
 from clonespark.functions import dna
 from clonespark.operators import collapse, filters, similarity, umi
@@ -206,7 +207,30 @@ def merge_pairs(spark, sf_dir):
     """Reads of 40 bases from both ends of 60, joined where they overlap."""
     s = part(spark, sf_dir).withColumn("s", F.concat("seq", V.dna("p_partkey", 24, ("b",))))
     pairs = s.select("p_partkey", F.substring("s", 1, 40).alias("r1"), dna.reverse_complement(F.substring("s", 21, 40)).alias("r2"))
-    return align.merge_pairs(pairs, least=15).select("p_partkey", "merged")
+    return read_pairs.merge_pairs(pairs, least=15).select("p_partkey", "merged")
+
+
+@query(f"""WITH s AS (SELECT p_partkey, {DNA36} || substr(translate(md5(p_partkey || 'b'), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 24) AS s FROM part) SELECT p_partkey, CASE WHEN p_partkey % 3 > 0 THEN s END AS merged FROM s""")
+def merge_pairs_tested(spark, sf_dir):
+    """The same where every third mate is of another fragment: at this level none of these is joined by chance."""
+    k = F.col("p_partkey")
+    s = part(spark, sf_dir).withColumn("s", F.concat("seq", V.dna("p_partkey", 24, ("b",))))
+    mate = F.when(k % 3 > 0, F.substring("s", 21, 40)).otherwise(V.dna("p_partkey", 40, ("c", "d")))
+    pairs = s.select("p_partkey", F.substring("s", 1, 40).alias("r1"), dna.reverse_complement(mate).alias("r2"))
+    return read_pairs.merge_pairs(pairs, level=1e-8).select("p_partkey", "merged")
+
+
+@query("""SELECT p_partkey, 1 AS num_alignments, CAST(p_partkey % 4 AS INTEGER) AS sbjct_index, 79 AS matched, 80 AS whole, 37 AS query_start, 115 AS query_end, 1 AS sbjct_start, 80 AS sbjct_end, 1 AS num_mismatches, true AS sure FROM part""")
+def gene_hits(spark, sf_dir):
+    """Sequences that end in a gene of 80 bases, but for one base in the middle, which calls for a gap."""
+    k = F.col("p_partkey")
+    made = [F.concat(*(V.letters(F.lit(f"{g}{i}"), V.DNA, 20) for i in range(4))) for g in GENES]
+    genes = spark.range(1).select(F.posexplode(F.array(*made)).alias("index", "full_NT"))
+    gene, at = F.get(F.array(*made), (k % 4).cast("int")), (30 + k % 20).cast("int")
+    rows = part(spark, sf_dir).select("p_partkey", F.concat("seq", F.substring(gene, F.lit(1), at), F.substring(gene, at + 2, F.lit(99))).alias("full_NT"))
+    out = seeded.align_to_genes(rows, genes)
+    a = F.get("aln.alignments", F.lit(0))
+    return out.select("p_partkey", "aln.num_alignments", *(a[c].alias(c) for c in ("sbjct_index", "matched", "whole", "query_start", "query_end", "sbjct_start", "sbjct_end", "num_mismatches")), (F.col("evalue") < 1e-20).alias("sure"))
 
 
 @query("""WITH r AS (SELECT p_partkey % 40 AS cluster, substr(translate(md5(CAST(p_partkey % 40 AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 20) AS s, CAST(p_partkey % 19 + 1 AS INTEGER) AS p, CAST(p_size AS BIGINT) AS n FROM part)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clonespark.adapters.align import align_clusters, align_to_genes
+from clonespark.adapters.align import align_clusters
+from clonespark.adapters.seeded import align_to_genes
 from clonespark.functions.dna import isotype_of, variable_region
 from clonespark.operators import collapse, filters, graph, merging, similarity, umi
 from clonespark.scratch import Scratch

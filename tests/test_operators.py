@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clonespark.adapters import align, igblast
+from clonespark.adapters import align, igblast, pairs, seeded
 from clonespark.adapters.tools import ChainType
 from clonespark.functions import cells, distance, dna, protein
 from clonespark.operators import collapse, correction, filters, germline, graph, merging, prefix_tree, similarity, umi
@@ -414,14 +414,14 @@ def test_igblast(spark, tmp_path):
 
 
 def test_alignment(spark):
-    score, d = align.local_alignment("TTACGTACGTAA", "ACGTTCGT")
+    score, d = seeded.best_alignments([("TTACGTACGTAA", "ACGTTCGT", [-2])], seeded.Scoring())[0]
     assert score == 5 and (d["query_start"], d["sbjct_start"], d["num_mismatches"], d["match_pattern"]) == (3, 1, 1, "|||| |||")
     text = "Query= q1\n\n> gene\nLength=4\n\n Score = 8\n\nQuery  2  AC-T  4\n          || |\nSbjct  1  ACGT  4\n"
     a = align.parse_blast(text)["aln"][0]["alignments"][0]
     assert (a["query_start"], a["query_end"], a["sbjct_end"], a["match_pattern"]) == (2, 4, 4, "||q|")
     assert align.star_alignment("ACGT", ["ACGT", "AGT", "ACCGT"], 2)[0].replace("-", "") == "ACGT"
     assert len({len(x) for x in align.star_alignment("ACGT", ["ACGT", "AGT", "ACCGT"], 2)}) == 1
-    assert align.merged_pair("AAAACCCCGGGG", "CCCCGGGGTTTT", 6, 0.1)[0] == "AAAACCCCGGGGTTTT" and align.merged_pair("AAAA", "TTTT", 3) is None
+    assert pairs.merge_reads(["AAAACCCCGGGG", "AAAA"], ["CCCCGGGGTTTT", "TTTT"], [None] * 2, [None] * 2, 3, 0.01)[0][0] == "AAAACCCCGGGGTTTT"
 
 
 def test_plan_from_reads(spark):
@@ -522,11 +522,92 @@ def test_banded_alignment():
 
 
 def test_merging_by_quality(spark):
-    df = spark.createDataFrame([("ACGTACGTTT", "GGAAACGTAC", "IIIIIIIII#", "IIIIIIIIII")], "r1 string, r2 string, q1 string, q2 string")
-    got = align.merge_pairs(df, least=8, most_wrong=0.2, qualities=("q1", "q2")).first()
-    assert got["merged"] is not None and len(got["merged"]) == len(got["merged_quality"])
-    assert align.merged_pair("AACCGGTT", "CCGGTAGA", 6, 0.2, "IIIIIII#", "IIIIIIII") == ("AACCGGTAGA", "IIIIIIIIII")
-    assert align.merged_pair("AACCGGTT", "CCGGTAGA", 6, 0.2, "IIIIIIII", "IIIII#II")[0] == "AACCGGTTGA"
+    df = spark.createDataFrame([("ACGTACGTTT", "GGAAACGTAC", "IIIIIIIII#", "IIIIIIIIII"), (None, "ACGT", None, None), ("ACG", "", "III", "")], "r1 string, r2 string, q1 string, q2 string")
+    got = pairs.merge_pairs(df, least=8, qualities=("q1", "q2")).collect()
+    assert got[0]["merged"] is not None and len(got[0]["merged"]) == len(got[0]["merged_quality"]) and got[1]["merged"] is got[2]["merged"] is None
+    one = lambda a, b, p, q: pairs.merge_reads([a], [b], [p], [q], 6, 0.1)[0][:2]
+    assert one("AACCGGTT", "CCGGTAGA", "IIIIIII#", "IIIIIIII") == ("AACCGGTAGA", "IIIIIIIIII")
+    assert one("AACCGGTT", "CCGGTAGA", "IIIIIIII", "IIIII#II")[0] == "AACCGGTTGA"
+
+
+def test_read_pairs_of_known_fragments():
+    """Fragments shorter and longer than the reads come back; unrelated reads hardly ever join."""
+    rng = np.random.default_rng(71)
+    dna_of = lambda n: "".join(rng.choice(list("ACGT"), n))
+    a, b, fragments = [], [], []
+    for i in range(400):
+        fragment = dna_of(int(rng.integers(40, 140)))
+        reads = [fragment[:80], fragment[-80:]]
+        if len(fragment) < 80:  # read through into adaptors
+            reads = [fragment + dna_of(80 - len(fragment)), dna_of(80 - len(fragment)) + fragment]
+        noisy = lambda s: "".join(c if rng.random() > 0.01 else rng.choice(list("ACGT")) for c in s)
+        a.append(noisy(reads[0]))
+        b.append(noisy(reads[1]))
+        fragments.append(fragment)
+    got = pairs.merge_reads(a, b, [None] * 400, [None] * 400, 10, 0.01)
+    right = sum(m is not None and len(m) == len(f) and sum(x != y for x, y in zip(m, f)) <= 6 for (m, _, _), f in zip(got, fragments))
+    assert right >= 0.98 * 400
+    c, d = ([dna_of(80) for _ in range(3000)] for _ in range(2))
+    for level in (0.05, 0.01):
+        false = sum(m is not None for m, _, _ in pairs.merge_reads(c, d, [None] * 3000, [None] * 3000, 10, level))
+        assert false <= 3000 * level * 1.25
+    exact = sum(__import__("math").comb(12, k) * 0.25**k * 0.75 ** (12 - k) for k in range(7))
+    assert pairs._below(12, 7) == pytest.approx(exact) and pairs._below(5, 0) == 0 and pairs._below(5, 6) == 1
+
+
+def plain_affine(q, g, s):
+    """The best local score with affine gaps, cell by cell."""
+    low = -(10**9)
+    h, up, best = [[0] * (len(g) + 1) for _ in range(len(q) + 1)], [[low] * (len(g) + 1) for _ in range(len(q) + 1)], 0
+    for i in range(1, len(q) + 1):
+        left = low
+        for j in range(1, len(g) + 1):
+            left = max(h[i][j - 1] - s.gap_open - s.gap_extend, left - s.gap_extend)
+            up[i][j] = max(h[i - 1][j] - s.gap_open - s.gap_extend, up[i - 1][j] - s.gap_extend)
+            h[i][j] = max(0, h[i - 1][j - 1] + (s.match if q[i - 1] == g[j - 1] else s.mismatch), left, up[i][j])
+            best = max(best, h[i][j])
+    return best
+
+
+@pytest.mark.parametrize("scoring", [seeded.Scoring(), seeded.Scoring(2, -3, 2, 1), seeded.Scoring(5, -4, 3, 1)])
+def test_seeded_alignments_against_a_plain_aligner(scoring):
+    import itertools
+
+    rng = random.Random(72)
+    made = []
+    while len(made) < 80:
+        g = "".join(rng.choices("ACGT", k=rng.randrange(20, 90)))
+        s = list(g[rng.randrange(10) : len(g) - rng.randrange(8)])
+        for _ in range(rng.randrange(7)):
+            p, x = rng.randrange(len(s)), rng.random()
+            if x < 0.4:
+                s[p] = rng.choice("ACGT")
+            elif x < 0.7:
+                s.insert(p, "".join(rng.choices("ACGT", k=rng.randrange(1, 3))))
+            elif len(s) > 1:
+                s.pop(p)
+        s = "".join(rng.choices("ACGT", k=rng.randrange(12))) + "".join(s)
+        diagonals = sorted({b - a for a in range(len(s) - 5) for b in range(len(g) - 5) if s[a : a + 6] == g[b : b + 6]})
+        if diagonals:
+            made.append((s, g, diagonals))
+    for (q, g, _), (score, d) in zip(made, seeded.best_alignments(made, scoring)):
+        assert score == plain_affine(q, g, scoring)
+        runs = [(c, len(list(r))) for c, r in itertools.groupby(d["match_pattern"])]
+        assert score == sum(n * scoring.match if c == "|" else n * scoring.mismatch if c == " " else -scoring.gap_open - n * scoring.gap_extend for c, n in runs)
+        assert all(q[m["query_loc"] - 1] == m["query"] and g[m["sbjct_loc"] - 1] == m["sbjct"] for m in d["mismatches"])
+
+
+def test_gene_alignments(spark):
+    lam, k = seeded.karlin_altschul(1, -2)
+    assert lam == pytest.approx(1.33, abs=0.01) and k == pytest.approx(0.621, abs=0.005)  # as published
+    rng = random.Random(73)
+    genes = ["".join(rng.choices("ACGT", k=80)) for _ in range(3)]
+    rows = [(1, "ACGTT" + genes[1], "x"), (2, genes[2][:40] + genes[0][20:], "x"), (3, None, "x"), (4, "", "x"), (5, "ACGTACG", "x"), (6, genes[0][:11], "x"), (1, "ACGTT" + genes[1], "x")]
+    df = spark.createDataFrame(rows, "id int, full_NT string, best string")
+    got = {r["id"]: r for r in seeded.align_to_genes(df, spark.createDataFrame(list(enumerate(genes)), "index int, full_NT string"), top=2).collect()}
+    assert len(got) == 6 and got[1]["aln"]["alignments"][0]["sbjct_index"] == 1 and got[1]["aln"]["alignments"][0]["query_start"] == 6 and got[1]["evalue"] < 1e-30
+    assert [a["sbjct_index"] for a in got[2]["aln"]["alignments"]] == [0, 2] and got[2]["best"] == "x"
+    assert all(got[i]["aln"]["num_alignments"] == 0 and got[i]["aln"]["alignments"] == [] and got[i]["evalue"] is None for i in (3, 4, 5, 6))  # eleven bases may meet by chance
 
 
 def test_tree_models():
