@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clonespark.adapters.profiles import pair_sum, progressive, refined
+
 ALIGNMENT = (
     "struct<num_alignments:int,alignments:array<struct<matched:int,whole:int,sbjct_index:int,query_start:int,query_end:int,sbjct_start:int,sbjct_end:int,"
     "num_mismatches:int,mismatches:array<struct<query:string,sbjct:string,query_loc:int,sbjct_loc:int>>,match_pattern:string>>>"
@@ -58,7 +60,7 @@ def global_alignment(a: str, b: str, band: int) -> tuple[str, str]:
     band = max(band, abs(len(a) - len(b))) + 1
     far, width = len(a) + len(b) + 2, 2 * band + 1
     k = np.arange(width)  # of row i: place j = i + k - band in b
-    other = np.concatenate((np.zeros(band + 1, np.uint32), np.array([ord(c) for c in b], np.uint32), np.zeros(band + 1, np.uint32)))
+    other = np.concatenate((np.zeros(band + 1, np.uint32), np.array([ord(c) for c in b], np.uint32), np.zeros(band + 1 + max(0, len(a) - len(b)), np.uint32)))
     cost = np.full((len(a) + 1, width + 1), far, np.int32)
     cost[0, :width] = np.where((k >= band) & (k - band <= len(b)), k - band, far)
     for i, c in enumerate(a, 1):
@@ -112,17 +114,32 @@ def star_alignment(seed: str, others: list[str], band: int) -> list[str]:
     return [spread(seed, seed), *(spread(x, y) for x, y in pairs)]
 
 
-def align_clusters(reads: DataFrame, keys: list[str], seed: str = "seed", seq: str = "full_NT", count: str = "readcount", band: int = 5) -> DataFrame:
-    """keys, sequence (with gaps) and count: each cluster's reads aligned with its seed. Clusters are as small as their UMIs' reads.
+#: Sequences up to which a cluster is aligned by profiles too.
+PROFILE_ROWS = 300
+
+
+def cluster_alignment(seed: str, others: list[str], band: int) -> list[str]:
+    """Rows of one length for the seed and the others: along a guide tree by profiles, with each row aligned anew, or all to the seed, whichever has the higher sum over pairs.
 
-    A stand-in for a multiple aligner: reads lie within a few edits of the seed. Without gaps the result is the same.
+    Sequences that need no gap, and clusters of over PROFILE_ROWS, are aligned to the seed alone.
     """
+    star = star_alignment(seed, others, band)
+    if not any("-" in r for r in star) or len(star) > PROFILE_ROWS or not all(star):
+        return star
+    kinds = list(dict.fromkeys([seed, *others]))
+    rows = dict(zip(kinds, refined(progressive(kinds))))
+    whole = [rows[s] for s in (seed, *others)]
+    return whole if pair_sum(whole) > pair_sum(star) else star
+
+
+def align_clusters(reads: DataFrame, keys: list[str], seed: str = "seed", seq: str = "full_NT", count: str = "readcount", band: int = 5) -> DataFrame:
+    """keys, sequence (with gaps) and count: each cluster's reads in a multiple alignment with its seed (see cluster_alignment). Clusters are as small as their UMIs' reads."""
     distinct = reads.groupBy(*keys, seed, seq).agg(F.sum(count).alias(count))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in reads.select(*keys).schema)
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(seq)
-        lines = star_alignment(rows[seed].iloc[0], rows[seq].tolist(), band)[1:]
+        lines = cluster_alignment(rows[seed].iloc[0], rows[seq].tolist(), band)[1:]
         return pd.DataFrame({**dict(zip(keys, key)), "sequence": lines, count: rows[count]})
 
     return distinct.groupBy(*keys).applyInPandas(one, f"{kinds}, sequence string, `{count}` bigint")

@@ -244,6 +244,18 @@ def align_clusters(spark, sf_dir):
     return align.align_clusters(rows, ["cluster"], band=2)
 
 
+@query("""WITH r AS (SELECT p_partkey % 40 AS cluster, substr(translate(md5(CAST(p_partkey % 40 AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 20) AS s, CAST(p_partkey % 7 * 2 + 3 AS INTEGER) AS p, CAST(p_size AS BIGINT) AS n FROM part)
+    SELECT cluster, substr(s, 1, p) || substr(s, p + 2) AS letters, 20 AS columns, 1 AS gaps, CAST(sum(n) AS BIGINT) AS readcount FROM r GROUP BY 1, 2""")
+def align_indels(spark, sf_dir):
+    """Reads that lack a base of their seed have one gap each."""
+    k, seed = F.col("p_partkey"), V.dna(F.col("p_partkey") % 40, 20)
+    at = (k % 7 * 2 + 3).cast("int")
+    rows = part(spark, sf_dir).select((k % 40).alias("cluster"), seed.alias("seed"), F.concat(F.substring(seed, F.lit(1), at), F.substring(seed, at + 2, F.lit(99))).alias("full_NT"), F.col("p_size").cast("bigint").alias("readcount"))
+    out = align.align_clusters(rows, ["cluster"], band=2)
+    letters = F.replace("sequence", F.lit("-"), F.lit(""))
+    return out.select("cluster", letters.alias("letters"), F.length("sequence").alias("columns"), (F.length("sequence") - F.length(letters)).alias("gaps"), "readcount")
+
+
 def chicken(spark, sf_dir, loose: bool):
     k = F.col("p_partkey")
     hit = lambda start, end, first, last, length: F.struct(start.alias("query_start"), end.alias("query_end"), first.alias("sbjct_start"), last.alias("sbjct_end"), F.lit(length).alias("length"))

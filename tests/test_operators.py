@@ -555,6 +555,36 @@ def test_read_pairs_of_known_fragments():
     assert pairs._below(12, 7) == pytest.approx(exact) and pairs._below(5, 0) == 0 and pairs._below(5, 6) == 1
 
 
+def test_multiple_alignment_by_profiles():
+    """Letters stay in order, and the sum over pairs is no lower than with all aligned to the seed."""
+    from clonespark.adapters import profiles
+
+    rng, better = random.Random(74), 0
+    for _ in range(40):
+        seed, reads = "".join(rng.choices("ACGT", k=rng.randrange(8, 50))), []
+        for _ in range(rng.randrange(1, 12)):
+            s = list(seed)
+            for _ in range(rng.randrange(4)):
+                p, x = rng.randrange(len(s)), rng.random()
+                if x < 0.5:
+                    s[p] = rng.choice("ACGTN")
+                elif x < 0.75:
+                    s.insert(p, rng.choice("ACGT"))
+                else:
+                    s.pop(p)
+            reads.append("".join(s))
+        rows, star = align.cluster_alignment(seed, reads, 5), align.star_alignment(seed, reads, 5)
+        assert [r.replace("-", "") for r in rows] == [seed, *reads] and len({len(r) for r in rows}) == 1
+        assert profiles.pair_sum(rows) >= profiles.pair_sum(star)
+        better += profiles.pair_sum(rows) > profiles.pair_sum(star)
+    assert better
+    plain = lambda rows: sum(1 if a == b else -1 if "-" not in (a, b) else -2 for i, x in enumerate(rows) for y in rows[:i] for a, b in zip(x, y) if (a, b) != ("-", "-"))
+    assert profiles.pair_sum(["AC-T", "ACGT", "A--T", "TCGN"]) == plain(["AC-T", "ACGT", "A--T", "TCGN"])
+    w = profiles.tree_weights([("Inner1", "a", 1.0), ("Inner1", "b", 1.0), ("Inner2", "Inner1", 2.0), ("Inner2", "c", 3.0)], ["a", "b", "c"])
+    assert w["a"] == w["b"] < w["c"]
+    assert align.global_alignment("ACGTACGTAC", "ACGT", 2)[0].replace("-", "") == "ACGTACGTAC"
+
+
 def plain_affine(q, g, s):
     """The best local score with affine gaps, cell by cell."""
     low = -(10**9)
