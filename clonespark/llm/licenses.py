@@ -8,6 +8,7 @@ against the template's words before it counts.
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clonespark.llm.common import map_batches, utf8
+from clonespark.llm.license_texts import TEXTS
 from clonespark.llm.words import ALNUM, LOWER, Block, blocks
 
 K = 3
@@ -34,7 +36,7 @@ PHRASES = {
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-#: Texts of well-known notices, in part, and their labels. A span may differ from them by some words.
+#: Texts of well-known notices, in part, and their labels (whole texts are in license_texts.py). A span may differ from them by some words.
 NOTICES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
     ("mit", "released under the terms of the mit license"),
@@ -59,6 +61,9 @@ NOTICES = [
 ]
 
 
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
 @dataclass(frozen=True)
 class Template:
     label: str
@@ -68,7 +73,7 @@ class Template:
 
 def templates(phrases: dict[str, str] | None = None, notices: list[tuple[str, str]] | None = None) -> list[Template]:
     base = [Template(label, tuple(text.split()), True) for text, label in (PHRASES if phrases is None else phrases).items()]
-    more = [Template(label, tuple(text.split()), False) for label, text in (NOTICES if notices is None else notices)]
+    more = [Template(label, tuple(WORDS.findall(text.lower())), False) for label, text in (NOTICES + TEXTS if notices is None else notices)]
     if short := [t for t in base + more if len(t.words) < K]:
         raise ValueError(f"templates need {K} words at least: {short}")
     return base + more

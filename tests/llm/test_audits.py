@@ -287,3 +287,19 @@ def test_near_duplicates_of_a_crowded_shingle(spark, monkeypatch):
         # without the fingerprints' links, so that prefixes have to find all
         monkeypatch.setattr(simhash, "trie_links", lambda groups, plan, scratch: groups.select(groups["node"].alias("a"), groups["node"].alias("b")).limit(0))
         assert sorted(r["doc_id"] for r in simhash.without_near_duplicates(df).collect()) == wanted
+
+
+def test_whole_license_texts(spark):
+    """A whole text with words put in and left out is one span of its template, and not also its notices in part."""
+    from clonespark.llm import license_texts, licenses
+
+    rng, rows = random.Random(12), []
+    for i, (label, text) in enumerate(license_texts.TEXTS):
+        words = text.split()
+        changed = [w for w in words if rng.random() > 0.02] if i % 2 else [x for w in words for x in ((w, "foo") if rng.random() < 0.02 else (w,))]
+        rows.append((i, "Intro words stand here. " + " ".join(changed) + " And code follows.", label))
+    got = {r["doc_id"]: r for r in licenses.license_scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    for i, _, label in rows:
+        assert label in got[i]["labels"].split(",") and got[i]["score"] >= 0.8
+        longest = max(got[i]["spans"], key=lambda s: s["cover"])
+        assert longest["label"] == label
