@@ -303,3 +303,21 @@ def test_whole_license_texts(spark):
         assert label in got[i]["labels"].split(",") and got[i]["score"] >= 0.8
         longest = max(got[i]["spans"], key=lambda s: s["cover"])
         assert longest["label"] == label
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Null ids and texts, repeated rows, columns named as the stages' own, and no rows at all."""
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    from pyspark.sql import functions as F
+
+    more = {"rate": "double", "p": "string", "node": "bigint", "quality": "int", "_row": "bigint", "_text": "string", "n_tokens": "int", "unit": "string"}
+    odd = docs.limit(60).withColumns({c: F.lit(1).cast(k) for c, k in more.items()})
+    odd = odd.unionByName(odd.limit(5)).unionByName(odd.limit(3).withColumn("doc_id", F.lit(None).cast("bigint"))).unionByName(odd.limit(2).withColumn("text", F.lit(None).cast("string")))
+    for name, table in (("odd", odd), ("none", odd.limit(0))):
+        table.write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.read.parquet("/root/testdata/sf0.001/labels.parquet").write.parquet(str(tmp_path / name / "labels.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path / "odd"))
+    assert got.columns[:2] == ["doc_id", "n_tokens"] and 0 < got.count() <= 200
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
