@@ -28,7 +28,7 @@ def with_isotypes(sequences: DataFrame, genes: DataFrame, seq: str = "full_NT",
     """Sequences cut before their constant gene, collapsed by isotype. genes: index, name, full_NT."""
     hits = align_to_genes(sequences, genes, seq).filter(filters.c_gene_hit())
     top = F.get("aln.alignments", F.lit(0))
-    named = hits.withColumn("_i", top["sbjct_index"]).join(F.broadcast(genes.select(F.col("index").alias("_i"), "name")), "_i")
+    named = hits.withColumn("_i", top["sbjct_index"]).join(genes.select(F.col("index").alias("_i"), "name"), "_i")
     cut = named.select(variable_region(seq, top["query_start"] - 1, top["sbjct_start"] - 1).alias(seq), isotype_of("name").alias("isotype"), count)
     return collapse.collapse_isotypes(cut, seq, "isotype", count)
 

@@ -680,13 +680,14 @@ def test_trees_of_large_groups_without_a_matrix(spark, monkeypatch):
         assert graph.upgma_by_profiles([f"n{i}" for i in range(n)], m, 0.5) == graph.upgma([f"n{i}" for i in range(n)], graph._hamming_all(m, m), 0.5)
 
 
-def test_group_distances(spark):
+def test_group_distances(spark, monkeypatch):
     rng = random.Random(62)
     side = lambda: [(rng.randrange(3), "".join(rng.choices("AC.", k=rng.choice((3, 4)))), rng.choice("xy"), rng.choice((1, 2))) for _ in range(40)]
     a, b = side(), side()
     schema = "g int, s string, v string, j int"
     dot = lambda p, q: max(len(p), len(q)) if len(p) != len(q) else sum(x != y and "." not in (x, y) for x, y in zip(p, q))
-    for metric, d in (("hamming", dot), ("levenshtein", lev)):
+    for metric, d, few in (("hamming", dot, 10**9), ("hamming", dot, 0), ("levenshtein", lev, 0)):
+        monkeypatch.setattr(similarity, "FEW_PAIRS", few)
         wanted = {}
         for g, p, v, j in a:
             for h, q, w, k in b:
