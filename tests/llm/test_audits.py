@@ -321,3 +321,33 @@ def test_pipeline_of_odd_tables(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path / "odd"))
     assert got.columns[:2] == ["doc_id", "n_tokens"] and 0 < got.count() <= 200
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_language_scores_against_one_ngram_at_a_time():
+    import pyarrow as pa
+
+    from clonespark.llm import language
+    from clonespark.llm.words import blocks
+
+    rng = np.random.default_rng(4)
+    table, bias = rng.normal(size=(language.BUCKETS, 3)), rng.normal(size=3)
+    model = language.LanguageModel(["a", "b", "c"], table, bias, 1.3, 20.0)
+    texts = ["", "a", "Ab c", "é", "Straße und Öl", "x" * 300, "the quick brown fox " * 20, "😀 fin", "\\x00\\x01", "ABC abc"]
+
+    def plain(text):
+        data, total, n_grams = text.encode(), np.zeros(3), 0
+        for n in language.SIZES:
+            for i in range(len(data) - n + 1):
+                h = n
+                for b in data[i : i + n]:
+                    h = ((h ^ int(language.FOLD[b])) * 0x01000193) & 0xFFFFFFFF
+                total += table[(h ^ (h >> 15)) & (language.BUCKETS - 1)]
+                n_grams += 1
+        logits = (total / max(n_grams, 1) + bias) / 1.3 * (n_grams / (n_grams + 20.0 + 1e-9))
+        e = np.exp(logits - logits.max())
+        return e / e.sum()
+
+    (block,) = blocks(pa.array([t.encode() for t in texts], pa.binary()))
+    got = model.scores(block)
+    alone = np.vstack([model.scores(next(iter(blocks(pa.array([t.encode()], pa.binary()))))) for t in texts])
+    assert np.allclose(got, [plain(t) for t in texts]) and np.allclose(got, alone)
