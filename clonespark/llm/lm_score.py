@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clonespark.llm.common import bound_batches, map_batches, release_memory, sized, utf8
+from clonespark.llm.common import bound_batches, fits, map_batches, release_memory, sized, utf8
 from clonespark.llm.words import LOWER, Block, blocks, mix
 from clonespark.scratch import Scratch
 
@@ -321,8 +321,9 @@ def pseudo_likelihood(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     read = docs.select(F.struct(F.col(id_col).alias("id"), known.alias("text")).alias("_own"), utf8(text_col))
     made = map_batches(read, run, f"_own struct<id: {docs.schema[id_col].dataType.simpleString()}, text: struct<a: bigint, b: bigint, n: int>>, n_tokens bigint, log_prob double, rest array<bigint>").select("_own.*", "n_tokens", "log_prob", "rest").withColumnRenamed("id", "_id")
     made = scratch.save(made.withColumn("_row", F.monotonically_increasing_id()))
-    counts = sized(counts, scratch, BROADCAST_KINDS)
-    own = made.select("_row", F.explode("rest").alias("hash")).join(counts, "hash").groupBy("_row").agg(F.sum(F.log("n")).alias("own"))
+    several = counts.filter("n > 1")  # the logarithm of one adds nothing
+    several = F.broadcast(several) if fits(counts) and counts.count() <= BROADCAST_KINDS else several
+    own = made.select("_row", F.explode("rest").alias("hash")).join(several, "hash").groupBy("_row").agg(F.sum(F.log("n")).alias("own"))
     made = scratch.save(made.join(own, "_row", "left").select("_id", "text", "n_tokens", (F.col("log_prob") + F.coalesce("own", F.lit(0.0))).alias("log_prob")))
     # Sums in single precision depend on where a text lies among others: of equal texts that differ, the least counts for all.
     differ = made.groupBy("text").agg(F.min("log_prob").alias("least"), F.max("log_prob").alias("_most")).filter("least < _most").drop("_most")
