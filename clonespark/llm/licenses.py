@@ -73,7 +73,7 @@ class Template:
 
 def templates(phrases: dict[str, str] | None = None, notices: list[tuple[str, str]] | None = None) -> list[Template]:
     base = [Template(label, tuple(text.split()), True) for text, label in (PHRASES if phrases is None else phrases).items()]
-    more = [Template(label, tuple(WORDS.findall(text.lower())), False) for label, text in (NOTICES + TEXTS if notices is None else notices)]
+    more = [Template(label, tuple(WORDS.findall(text.lower())), False) for label, text in (TEXTS + NOTICES if notices is None else notices)]
     if short := [t for t in base + more if len(t.words) < K]:
         raise ValueError(f"templates need {K} words at least: {short}")
     return base + more
