@@ -12,6 +12,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,11 @@ NOTICES = [
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+@lru_cache(1 << 10)
+def _words(text: str) -> tuple[str, ...]:
+    return tuple(WORDS.findall(text.lower()))
+
+
 @dataclass(frozen=True)
 class Template:
     label: str
@@ -73,7 +79,7 @@ class Template:
 
 def templates(phrases: dict[str, str] | None = None, notices: list[tuple[str, str]] | None = None) -> list[Template]:
     base = [Template(label, tuple(text.split()), True) for text, label in (PHRASES if phrases is None else phrases).items()]
-    more = [Template(label, tuple(WORDS.findall(text.lower())), False) for label, text in (TEXTS + NOTICES if notices is None else notices)]
+    more = [Template(label, _words(text), False) for label, text in (TEXTS + NOTICES if notices is None else notices)]
     if short := [t for t in base + more if len(t.words) < K]:
         raise ValueError(f"templates need {K} words at least: {short}")
     return base + more
