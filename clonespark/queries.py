@@ -338,7 +338,7 @@ def hamming_edges_vjlen(spark, sf_dir):
     SELECT c.id AS seq_id, coalesce(CAST(m.d AS VARCHAR), 'N/A') AS min_dist, CAST(length(c.seq) AS BIGINT) AS seq_len FROM c LEFT JOIN m ON c.id = m.id""")
 def nn_min_dist(spark, sf_dir):
     v = V.clones(spark, sf_dir).select("id", "seq")
-    n = similarity.nearest(v, similarity.similarity_join(v, "id", "seq", 2), "id", "seq")
+    n = similarity.nearest_within(v, "id", "seq", 2)
     return n.select("seq_id", cells.or_na("min_dist").alias("min_dist"), F.col("seq_len").cast("bigint").alias("seq_len"))
 
 
