@@ -53,6 +53,8 @@ def upgma(names: list[str], distances: np.ndarray, unit: float = 1.0) -> list[tu
 
 #: Sequences of a group up to which all distances are held; of more, residues by place of each cluster.
 MATRIX_ROWS = 2_000
+#: Clusters that one is held against at once, and whole numbers up to which single precision is exact.
+ABREAST, EXACT = 4_096, 1 << 24
 
 
 class Profiles:
@@ -65,17 +67,36 @@ class Profiles:
         varied = (m != m[:1]).any(0) | (m == ord(".")).any(0)
         self.places, places = int(varied.sum()), m[:, varied]
         columns = [(places == c) & (places != ord(".")) for c in np.unique(places) if c != ord(".")]
-        self.counts = np.concatenate([c[:, c.any(0)] for c in columns], axis=1).astype(np.float64) if columns else np.zeros((len(m), 0))
+        self.counts = np.concatenate([c[:, c.any(0)] for c in columns], axis=1).astype(np.float32) if columns else np.zeros((len(m), 0), np.float32)
         dots = places == ord(".")
-        self.dots = dots[:, dots.any(0)].astype(np.float64)
-        self.all_dots = self.dots.sum(1)
+        self.dots = dots[:, dots.any(0)].astype(np.float32)
+        self.all_dots = self.dots.sum(1, dtype=np.float64)
         self.size = np.ones(len(m))
 
-    def sums(self, i: int, to: np.ndarray) -> np.ndarray:
+    def sums(self, i: int, to: slice) -> np.ndarray:
         """Sums of the distances between all members of cluster i and all of each of the others: whole numbers."""
-        alike = self.counts[to] @ self.counts[i] - self.dots[to] @ self.dots[i] + self.all_dots[i] * self.size[to] + self.size[i] * self.all_dots[to]
+        exact = self.places * self.size[i] * self.size[to].max(initial=0) < EXACT
+        product = lambda x: x[to] @ x[i] if exact else x[to].astype(np.float64) @ x[i].astype(np.float64)
+        alike = product(self.counts).astype(np.float64)
+        if self.dots.shape[1]:
+            alike += self.all_dots[i] * self.size[to] + self.size[i] * self.all_dots[to] - product(self.dots)
         return self.places * self.size[i] * self.size[to] - alike
 
+    def nearest_later(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each row, before any are joined, the nearest later one (the first of equally near ones) and how near it is; the last has none."""
+        n = len(self.size)
+        nearest, least = np.zeros(n, np.int64), np.full(n, np.inf)
+        for a in range(0, n - 1, 64):
+            rows = slice(a, min(a + 64, n - 1))
+            alike = self.counts[rows] @ self.counts[a:].T
+            if self.dots.shape[1]:
+                alike += (self.all_dots[rows, None] + self.all_dots[a:]).astype(np.float32) - self.dots[rows] @ self.dots[a:].T
+            size = len(alike)
+            alike[:, :size][np.tri(size, dtype=bool)] = -1
+            at = alike.argmax(1)
+            nearest[rows], least[rows] = at + a, self.places - alike[np.arange(size), at]
+        return nearest, least
+
     def join(self, i: int, j: int) -> None:
         for x in (self.counts, self.dots, self.all_dots, self.size):
             x[i] += x[j]
@@ -87,43 +108,44 @@ class Profiles:
 def upgma_by_profiles(names: list[str], m: np.ndarray, unit: float = 1.0) -> list[tuple[str, str, float]]:
     """The tree that upgma makes of the Hamming distances of aligned rows, edge for edge, without their matrix.
 
-    Each cluster keeps its nearest later one and how near; a row of distances is made anew from profiles where the nearest went into a merged cluster. Rows of clusters that
-    are gone are dropped once they are half of all.
+    Each cluster keeps its nearest later one and how near. A mean lies between those that it is made of, so that a merged cluster comes nearer to none than its parts were: what a
+    cluster keeps remains a bound if its nearest is merged, and a row of distances is made anew, up to the first that meets the bound, only when that bound is the least of all. Rows
+    of clusters that are gone are dropped once they are a quarter of all.
     """
     n, held = len(names), Profiles(m)
     label, height, alive, edges = list(names), np.zeros(n), np.ones(n, bool), []
-    nearest, least = np.zeros(n, np.int64), np.full(n, np.inf)
+    nearest, least = held.nearest_later()
+    bound = np.zeros(n, bool)  # whether least is no more than a bound
+    left = n
 
     def search(r: int) -> None:
-        later = np.flatnonzero(alive[r + 1 :]) + r + 1
-        if not len(later):
-            least[r] = np.inf
-            return
-        d = held.sums(r, later) / (held.size[r] * held.size[later])
-        at = int(d.argmin())
-        nearest[r], least[r] = later[at], d[at]
-
-    for r in range(n):
-        search(r)
+        low, near = np.inf, 0
+        for a in range(r + 1, len(alive), ABREAST):
+            to = slice(a, min(a + ABREAST, len(alive)))
+            d = held.sums(r, to) / (held.size[r] * held.size[to])
+            d[~alive[to]] = np.inf
+            at = int(d.argmin())
+            if d[at] < low:
+                low, near = d[at], a + at
+            if low <= least[r]:
+                break
+        nearest[r], least[r], bound[r] = near, low, False
+
     for k in range(n - 1):
-        i = int(least.argmin())
+        while bound[i := int(least.argmin())]:
+            search(i)
         j = int(nearest[i])
         h, node = least[i] / 2, f"Inner{k + 1}"
         edges += [(node, label[i], float(h - height[i]) * unit), (node, label[j], float(h - height[j]) * unit)]
         held.join(i, j)
         label[i], height[i], alive[j], least[j] = node, h, False, np.inf
-        for r in {i, *np.flatnonzero(alive & ((nearest == i) | (nearest == j)) & np.isfinite(least)).tolist()}:
-            search(r)
-        before = np.flatnonzero(alive[:i])
-        if len(before):  # for the others only the merged one may have come nearer
-            d = held.sums(i, before) / (held.size[i] * held.size[before])
-            nearer = (d < least[before]) | ((d == least[before]) & (i < nearest[before]))
-            nearest[before[nearer]], least[before[nearer]] = i, d[nearer]
-        if 2 * alive.sum() < len(alive) and len(alive) > 64:
+        bound |= (nearest == i) | (nearest == j)
+        bound[i], left = True, left - 1
+        if 4 * left < 3 * len(alive) and len(alive) > 64:
             rows = np.flatnonzero(alive)
             new = np.cumsum(alive) - 1
             held.keep(rows)
-            nearest, least, height, label = new[nearest[rows]], least[rows], height[rows], [label[r] for r in rows]
+            nearest, least, bound, height, label = new[nearest[rows]], least[rows], bound[rows], height[rows], [label[r] for r in rows]
             alive = np.ones(len(rows), bool)
     return edges
 
@@ -164,6 +186,12 @@ def _tree(names: list[str], seqs: list[str], model: str | None) -> list[tuple[st
     return upgma_by_profiles(names, m, unit) if len(names) > MATRIX_ROWS else upgma(names, _hamming_all(m, m), unit)
 
 
+def _dealt(df: DataFrame, group: str) -> DataFrame:
+    """Rows dealt by group to more tasks than run at once, which Spark doesn't join for their few bytes: their work is by the square."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16 * spark.sparkContext.defaultParallelism), group)
+
+
 def trees(df: DataFrame, group: str, name: str = "name", seq: str = "sequence", model: str | None = None) -> DataFrame:
     """A UPGMA tree of each group's aligned sequences: group, from, to, length, root (1 for edges of the root).
 
@@ -178,7 +206,7 @@ def trees(df: DataFrame, group: str, name: str = "name", seq: str = "sequence",
         return pd.DataFrame([(key[0], a, b, length, int(a == root)) for a, b, length in edges], columns=[group, "from", "to", "length", "root"])
 
     kind = df.schema[group].dataType.simpleString()
-    return df.groupBy(group).applyInPandas(one, f"`{group}` {kind}, `from` string, `to` string, length double, root int")
+    return _dealt(df, group).groupBy(group).applyInPandas(one, f"`{group}` {kind}, `from` string, `to` string, length double, root int")
 
 
 def leaf_order(edges: list[tuple[str, str, float]]) -> list[str]:
@@ -225,7 +253,7 @@ def tree_ranks(df: DataFrame, group: str, name: str = "name", seq: str = "sequen
         return pd.DataFrame([(key[0], n, i + 1, part[n]) for i, n in enumerate(order)], columns=[group, name, "leaf_rank", "subtree"])
 
     kind = df.schema[group].dataType.simpleString()
-    return df.groupBy(group).applyInPandas(one, f"`{group}` {kind}, `{name}` string, leaf_rank int, subtree int")
+    return _dealt(df, group).groupBy(group).applyInPandas(one, f"`{group}` {kind}, `{name}` string, leaf_rank int, subtree int")
 
 
 def connected_vertices(vertices: DataFrame, edges: DataFrame, id_col: str, name: str = "component_ID") -> DataFrame:
