@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,27 +78,47 @@ def gravy(protein: Column | str) -> Column:
     return F.when(F.length(s) > 0, total / F.length(s))
 
 
-def charge(protein: Column, ph: Column) -> Column:
-    """Net charge of an upper-case sequence at a pH."""
+def charged_groups(protein: Column) -> tuple[list[tuple[Column, Column]], list[tuple[Column, Column]]]:
+    """Number and pK of an upper-case sequence's groups that may be positive, and of those that may be negative."""
     end = lambda table, residue, other: F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), residue), F.lit(other))
     n_end, c_end = end(PK_N_END, F.substring(protein, 1, 1), PK_PLUS["n"]), end(PK_C_END, F.substring(protein, -1, 1), PK_MINUS["c"])
     count = lambda c: F.length(protein) - F.length(F.replace(protein, F.lit(c)))
     plus = [(F.lit(1), n_end), *((count(c), F.lit(pk)) for c, pk in PK_PLUS.items() if c != "n")]
     minus = [(F.lit(1), c_end), *((count(c), F.lit(pk)) for c, pk in PK_MINUS.items() if c != "c")]
+    return plus, minus
+
+
+def charge(protein: Column, ph: Column) -> Column:
+    """Net charge of an upper-case sequence at a pH."""
+    plus, minus = charged_groups(protein)
     held = [n / (1 + F.pow(F.lit(10.0), ph - pk)) for n, pk in plus] + [-n / (1 + F.pow(F.lit(10.0), pk - ph)) for n, pk in minus]
     return reduce(lambda a, b: a + b, held)
 
 
 def isoelectric_point(protein: Column | str, halvings: int = 60) -> Column:
-    """The pH at which the charge is zero, by bisection; null for an empty sequence."""
+    """The pH at which the charge is zero, by bisection; null for an empty sequence.
+
+    Spark counts the charged groups once; the halvings of a batch go along together.
+    """
     s = F.upper(_col(protein))
-    ends = F.aggregate(
-        F.sequence(F.lit(1), F.lit(halvings)),
-        F.struct(F.lit(0.0).alias("low"), F.lit(14.0).alias("high")),
-        lambda x, _: F.when(charge(s, (x["low"] + x["high"]) / 2) > 0, F.struct(((x["low"] + x["high"]) / 2).alias("low"), x["high"].alias("high"))).otherwise(F.struct(x["low"].alias("low"), ((x["low"] + x["high"]) / 2).alias("high"))),
-        lambda x: (x["low"] + x["high"]) / 2,
-    )
-    return F.when(F.length(s) > 0, ends)
+    plus, minus = charged_groups(s)
+    positive = len(plus)
+
+    def bisected(*columns: pd.Series) -> pd.Series:
+        held = [c.to_numpy(np.float64) for c in columns]
+        counts, pks = held[::2], held[1::2]
+        low, high = np.zeros(len(columns[0])), np.full(len(columns[0]), 14.0)
+        for _ in range(halvings):
+            ph = (low + high) / 2
+            total = np.zeros(len(ph))
+            for k, (n, pk) in enumerate(zip(counts, pks)):
+                total += n / (1 + np.power(10.0, ph - pk)) if k < positive else -n / (1 + np.power(10.0, pk - ph))
+            low, high = np.where(total > 0, ph, low), np.where(total > 0, high, ph)
+        return pd.Series((low + high) / 2)
+
+    bisected.__annotations__ = {"columns": pd.Series, "return": pd.Series}
+    point = F.pandas_udf(bisected, "double")(*(x.cast("double") for pair in plus + minus for x in pair))
+    return F.when(F.length(s) > 0, point)
 
 
 # Residue labels of CDR3; the letter of the label in the middle goes on as the longest sequence needs.
