@@ -15,5 +15,6 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
     splits = text.groupBy("file", "start").agg(F.min("n").alias("low"), F.count("*").alias("size"))
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    # Joined by value, all lines of a file would be sorted in one task; there is one row for each split.
     offsets = splits.select("file", "start", (F.coalesce(F.sum("size").over(before), F.lit(0)) - F.col("low")).alias("shift"))
-    return text.join(offsets, ["file", "start"]).select("file", (F.col("n") + F.col("shift")).alias("line"), "value")
+    return text.join(F.broadcast(offsets), ["file", "start"]).select("file", (F.col("n") + F.col("shift")).alias("line"), "value")

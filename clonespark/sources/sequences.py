@@ -33,9 +33,10 @@ def read_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     Lines go to records by their number in the file, so splits may begin anywhere.
     """
-    lines = numbered_lines(spark, path)
+    # Dealt by record before they are put together: a task that reads a whole compressed file would sort all its lines for that.
+    lines = numbered_lines(spark, path).withColumn("record", F.floor(F.col("line") / 4)).repartition("file", "record")
     names = ("id", "sequence", "plus", "quality")
-    four = lines.groupBy("file", F.floor(F.col("line") / 4).alias("record")).agg(*(F.max(F.when(F.col("line") % 4 == i, F.col("value"))).alias(name) for i, name in enumerate(names)))
+    four = lines.groupBy("file", "record").agg(*(F.max(F.when(F.col("line") % 4 == i, F.col("value"))).alias(name) for i, name in enumerate(names)))
     return four.select(F.regexp_replace("id", "^@", "").alias("id"), "sequence", "plus", "quality", "file", "record")
 
 
