@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
@@ -457,7 +457,9 @@ COMMON = 64
 KNOWN_COMMON = 500_000
 #: Prefixes with one shingle up to which they meet in one task.
 CROWD = 4_096
-#: Words of a set's parities (see parities), which go with nodes that have such shingles: where many sets meet, they rule out most pairs that are too far apart.
+#: Prefixes with one shingle up to which it is dealt by their least node.
+GATHERED = 512
+#: Words of a set's parities (see parities), which rule out most pairs that are too far apart.
 PARITY_WORDS = 4
 
 
@@ -486,7 +488,7 @@ def confirmed(links: DataFrame, texts_of, shingle: int, similarity: float, scrat
 
 
 def _rare_first(nodes: DataFrame, texts_of, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """node, known, size and prefix with shingles that many prefixes share last in the order, then by hash, and of nodes that have such ones parities. The
+    """node, known, size and prefix with shingles that many prefixes share last in the order, then by hash, and parities. The
     order is one for all nodes."""
     tokens = nodes.select("node", F.explode("prefix").alias("shingle"))
     common = scratch.save(tokens.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > COMMON))
@@ -512,22 +514,34 @@ def _rare_first(nodes: DataFrame, texts_of, shingle: int, similarity: float, scr
         length = (F.size("ordered") - least + F.least(least, F.lit(SHARED))).cast("int")
         new = ordered.select("node", F.slice("ordered", F.lit(1), length).alias("_prefix"))
     new = scratch.save(new)
-    told = F.when(F.col("_prefix").isNotNull(), F.col("parities")).alias("parities")
-    out = scratch.save(nodes.join(new, "node", "left").select("node", "known", "size", told, F.coalesce("_prefix", "prefix").alias("prefix")))
+    out = scratch.save(nodes.join(new, "node", "left").select("node", "known", "size", "parities", F.coalesce("_prefix", "prefix").alias("prefix")))
     scratch.drop(new)
     return out
 
 
+def counted_pairs(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Of pairs (a, b, least, n) each once, with the sum of its n."""
+    a, b, least, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    starts = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+    return a[starts], b[starts], least[order][starts], np.add.reduceat(n[order], starts)
+
+
 def _prefix_pairs(similarity: float):
     """Over rows (unit, node, known, size, side, parities) in order of unit and known: for each unit (a shingle, or two tiles of one) the pairs (a, b) that differ in known
-    and whose sizes and parities may go together, with how many shingles of their prefixes must be equal. Of two tiles a row of each makes a pair; side 0: all of one."""
+    and whose sizes and parities may go together, with how many shingles of their prefixes must be equal, and in how many units that came one after another they met. Of two tiles a
+    row of each makes a pair; side 0: all of one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def told_pairs() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], names=["a", "b", "least", "n"])
+
         for t in _blocks(batches):
             shingle, node, known, size, side = (x.to_numpy() for x in t.columns[:5])
-            told = t.column(5).is_valid().to_numpy()
-            odd = np.zeros((len(node), PARITY_WORDS), np.uint64)
-            odd[told] = t.column(5).combine_chunks().flatten().to_numpy().reshape(-1, PARITY_WORDS).view(np.uint64)
+            odd = t.column(5).combine_chunks().flatten().to_numpy().reshape(-1, PARITY_WORDS).view(np.uint64)
             least = np.minimum(np.ceil(similarity * size - 1e-9), SHARED).astype(np.int64)
             change = np.flatnonzero(shingle[1:] != shingle[:-1]) + 1
             ends = np.concatenate((change, [len(shingle)]))
@@ -547,12 +561,18 @@ def _prefix_pairs(similarity: float):
                 i, j = i[may], j[may]
                 both = size[i] + size[j]
                 differ = np.bitwise_count(odd[i] ^ odd[j]).sum(1, dtype=np.int64)
-                may = (differ <= both - 2 * np.ceil(similarity / (1 + similarity) * both - 1e-9)) | ~(told[i] & told[j])
+                may = differ <= both - 2 * np.ceil(similarity / (1 + similarity) * both - 1e-9)
                 if may.any():
                     i, j = i[may], j[may]
                     a, b = node[i], node[j]
-                    columns = (np.minimum(a, b), np.maximum(a, b), np.minimum(least[i], least[j]))
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["a", "b", "least"])
+                    held.append((np.minimum(a, b), np.maximum(a, b), np.minimum(least[i], least[j]), np.ones(len(a), np.int64)))
+                if sum(len(x[0]) for x in held) > 2 * PAIRS:
+                    held = [counted_pairs(held)]
+                    if len(held[0][0]) > PAIRS:
+                        yield told_pairs()
+        if held:
+            held = [counted_pairs(held)]
+            yield told_pairs()
 
     return run
 
@@ -586,16 +606,23 @@ def prefix_links(nodes: DataFrame, texts_of, shingle: int, similarity: float, sc
     scratch.drop(nodes)
     # Most shingles are in one prefix alone: nodes meet by number first, and bring what else is needed to shingles that they share. The one exchange serves count and rows.
     tokens = ordered.select(F.explode("prefix").alias("shingle"), "node").repartition("shingle")
-    counts = tokens.groupBy("shingle").agg(F.count("*").alias("_n")).filter("_n > 1")
+    counts = tokens.groupBy("shingle").agg(F.count("*").alias("_n"), F.min("node").alias("first")).filter("_n > 1")
+    # A node with fewer shared shingles than it must have in common with the smallest set that is near has no pair.
+    shared = tokens.join(counts, "shingle").join(ordered.drop("prefix"), "node").withColumn("_own", F.count("*").over(Window.partitionBy("node")))
+    smallest = F.ceil(similarity * F.ceil(similarity * F.col("size") - 1e-6) - 1e-9)
+    shared = shared.filter(F.col("_own") >= F.least(smallest, F.lit(SHARED)))
     # A shingle that more than CROWD prefixes hold is cut into tiles, and each two of them are a unit of their own.
     tiles = F.ceil(F.col("_n") / CROWD).cast("int")
-    shared = tokens.join(counts, "shingle").select("shingle", "node", F.pmod(F.xxhash64("node"), tiles).cast("int").alias("tile"), F.explode(F.sequence(F.lit(0), tiles - 1)).alias("u"), tiles.alias("tiles"))
-    unit = F.when(F.col("tiles") > 1, F.xxhash64("shingle", F.least("tile", "u"), F.greatest("tile", "u"))).otherwise(F.col("shingle")).alias("unit")
-    placed = shared.select(unit, "node", F.when(F.col("tile") == F.col("u"), 0).when(F.col("tile") < F.col("u"), 1).otherwise(2).alias("side"))
-    rows = placed.join(ordered.drop("prefix"), "node").select("unit", "node", "known", "size", "side", "parities")
-    dealt = rows.repartition("unit").sortWithinPartitions("unit", "known")
-    pairs = dealt.mapInArrow(_prefix_pairs(similarity), "a bigint, b bigint, least bigint")
-    return pairs.groupBy("a", "b", "least").count().filter("count >= least").select("a", "b")
+    cut = shared.withColumns({"tile": F.pmod(F.xxhash64("node"), tiles).cast("int"), "tiles": tiles}).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    unit = F.when(F.col("tiles") > 1, F.xxhash64("shingle", F.least("tile", "u"), F.greatest("tile", "u"))).otherwise(F.col("shingle"))
+    side = F.when(F.col("tile") == F.col("u"), 0).when(F.col("tile") < F.col("u"), 1).otherwise(2)
+    # Sets that share one shingle mostly share many: units go by their least node, so that a pair is told about once and not once for each shingle. Large ones are spread.
+    spread = F.pow(F.ceil(F.col("_n") / GATHERED), F.lit(2)).cast("bigint")
+    block = F.when(F.col("tiles") > 1, unit).otherwise(F.xxhash64("first", F.pmod("shingle", spread)))
+    rows = cut.select(block.alias("block"), unit.alias("unit"), "node", "known", "size", side.alias("side"), "parities")
+    dealt = rows.repartition("block").sortWithinPartitions("block", "unit", "known").drop("block")
+    pairs = dealt.mapInArrow(_prefix_pairs(similarity), "a bigint, b bigint, least bigint, n bigint")
+    return pairs.groupBy("a", "b", "least").agg(F.sum("n").alias("n")).filter("n >= least").select("a", "b")
 
 
 def near_duplicate_firsts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, plan: Plan = NEAR) -> tuple[DataFrame, bool]:

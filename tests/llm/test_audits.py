@@ -351,3 +351,15 @@ def test_language_scores_against_one_ngram_at_a_time():
     got = model.scores(block)
     alone = np.vstack([model.scores(next(iter(blocks(pa.array([t.encode()], pa.binary()))))) for t in texts])
     assert np.allclose(got, [plain(t) for t in texts]) and np.allclose(got, alone)
+
+
+def test_pairs_of_sets_that_share_many_shingles_are_told_once(spark):
+    """Pipeline, round 3: as many rows as pairs where units come one after another, not as many as shingles that pairs share."""
+    from clonespark.llm import simhash
+
+    odd = [0] * simhash.PARITY_WORDS
+    rows = [(unit, node, node, 100, 0, odd) for unit in range(50) for node in range(20)]
+    names, kinds = "unit bigint, node bigint, known bigint, size bigint, side int, parities array<bigint>", "a bigint, b bigint, least bigint, n bigint"
+    df = spark.createDataFrame(rows, names).coalesce(1).sortWithinPartitions("unit", "known")
+    got = df.mapInArrow(simhash._prefix_pairs(0.8), kinds).collect()
+    assert sorted((r["a"], r["b"], r["n"]) for r in got) == [(a, b, 50) for a in range(20) for b in range(a + 1, 20)]
