@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -461,6 +462,8 @@ CROWD = 4_096
 GATHERED = 512
 #: Words of a set's parities (see parities), which rule out most pairs that are too far apart.
 PARITY_WORDS = 4
+#: Where shingles are in more than COMMON prefixes, so many forests of the closest pairs are told in a round, in so many rounds at most, before all pairs are.
+FORESTS, ROUNDS = 4, 4
 
 
 def _shingle_sets(shingle: int, ordered=None):
@@ -528,21 +531,43 @@ def counted_pairs(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]
     return a[starts], b[starts], least[order][starts], np.add.reduceat(n[order], starts)
 
 
-def _prefix_pairs(similarity: float):
+def close_pairs(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Of pairs (a, b, known of a, known of b, distance) FORESTS spanning forests between the known, of the closest, none with a pair of another."""
+    a, b, x, y, distance = (np.concatenate(p) for p in zip(*parts))
+    order = np.lexsort((b, a))
+    order = order[np.concatenate(([True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)))]
+    order = order[np.argsort(distance[order], kind="stable")]
+    a, b, x, y, distance = (p[order] for p in (a, b, x, y, distance))
+    left, chosen = np.arange(len(a)), []
+    names, flat = np.unique(np.concatenate((x, y)), return_inverse=True)
+    i, j = flat[: len(x)], flat[len(x) :]
+    for _ in range(FORESTS):
+        if len(left):
+            picked = forest(i[left], j[left], np.arange(len(names)))
+            chosen.append(left[picked])
+            left = np.delete(left, picked)
+    at = np.concatenate(chosen)
+    return a[at], b[at], x[at], y[at], distance[at]
+
+
+def _prefix_pairs(similarity: float, every: bool = True):
     """Over rows (unit, node, known, size, side, parities) in order of unit and known: for each unit (a shingle, or two tiles of one) the pairs (a, b) that differ in known
     and whose sizes and parities may go together, with how many shingles of their prefixes must be equal, and in how many units that came one after another they met. Of two tiles a
-    row of each makes a pair; side 0: all of one."""
+    row of each makes a pair; side 0: all of one. Without every, a task tells of the closest pairs alone as many as close_pairs leaves."""
+    columns = ["a", "b", "least", "n"] if every else ["a", "b"]
+    fewer = counted_pairs if every else close_pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
         def told_pairs() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], names=["a", "b", "least", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()[: len(columns)]], names=columns)
 
         for t in _blocks(batches):
             shingle, node, known, size, side = (x.to_numpy() for x in t.columns[:5])
             odd = t.column(5).combine_chunks().flatten().to_numpy().reshape(-1, PARITY_WORDS).view(np.uint64)
-            least = np.minimum(np.ceil(similarity * size - 1e-9), SHARED).astype(np.int64)
+            least = np.ceil(similarity * size - 1e-9).astype(np.int64)
+            beyond = np.minimum(least, SHARED) - least  # places of the prefix less those of the set
             change = np.flatnonzero(shingle[1:] != shingle[:-1]) + 1
             ends = np.concatenate((change, [len(shingle)]))
             end = np.repeat(ends, np.diff(np.concatenate(([0], ends))))
@@ -560,18 +585,23 @@ def _prefix_pairs(similarity: float):
                 may = (np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-6) & ((side[i] == 0) | (side[i] != side[j]))
                 i, j = i[may], j[may]
                 both = size[i] + size[j]
+                common = np.ceil(similarity / (1 + similarity) * both - 1e-9).astype(np.int64)
                 differ = np.bitwise_count(odd[i] ^ odd[j]).sum(1, dtype=np.int64)
-                may = differ <= both - 2 * np.ceil(similarity / (1 + similarity) * both - 1e-9)
+                may = differ <= both - 2 * common
                 if may.any():
                     i, j = i[may], j[may]
-                    a, b = node[i], node[j]
-                    held.append((np.minimum(a, b), np.maximum(a, b), np.minimum(least[i], least[j]), np.ones(len(a), np.int64)))
+                    flip = node[i] > node[j]
+                    i, j = np.where(flip, j, i), np.where(flip, i, j)
+                    if every:  # the shorter prefix holds what is common but for as many as it leaves out of its set
+                        held.append((node[i], node[j], np.maximum(common[may] + np.minimum(beyond[i], beyond[j]), 1), np.ones(len(i), np.int64)))
+                    else:
+                        held.append((node[i], node[j], known[i], known[j], differ[may] / both[may]))
                 if sum(len(x[0]) for x in held) > 2 * PAIRS:
-                    held = [counted_pairs(held)]
+                    held = [fewer(held)]
                     if len(held[0][0]) > PAIRS:
                         yield told_pairs()
         if held:
-            held = [counted_pairs(held)]
+            held = [fewer(held)]
             yield told_pairs()
 
     return run
@@ -598,31 +628,52 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def prefix_links(nodes: DataFrame, texts_of, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """Of nodes (node, known, size, parities, prefix), a saved table that goes, all pairs (a, b) of that similarity whose known differs, among others.
+    """Of nodes (node, known, size, parities, prefix), a saved table that goes, links (a, b) of that similarity that bring together the same nodes as all such pairs whose known differs.
 
-    Complete: of two sets that share so much, the prefixes in any one order of all shingles share elements (see prefix_size).
+    Complete: of two sets that share so much, the prefixes in any one order of all shingles share elements (see prefix_size). Where many sets share shingles, the closest of them are linked in
+    rounds first, so that what a round has brought together makes no pairs in the next; at last all pairs are looked at of what is still apart.
     """
     ordered = _rare_first(nodes, texts_of, shingle, similarity, scratch)
     scratch.drop(nodes)
-    # Most shingles are in one prefix alone: nodes meet by number first, and bring what else is needed to shingles that they share. The one exchange serves count and rows.
-    tokens = ordered.select(F.explode("prefix").alias("shingle"), "node").repartition("shingle")
-    counts = tokens.groupBy("shingle").agg(F.count("*").alias("_n"), F.min("node").alias("first")).filter("_n > 1")
+    # Most shingles are in one prefix alone or in those of one known: nodes meet by number first, and bring what else is needed to shingles that they share. The one exchange serves count and rows.
+    tokens = ordered.select(F.explode("prefix").alias("shingle"), "node", "known").repartition("shingle")
+    counts = tokens.groupBy("shingle").agg(F.count("*").alias("_n"), F.min("node").alias("first"), F.min("known").alias("_low"), F.max("known").alias("_high")).filter("_low < _high").drop("_low", "_high")
     # A node with fewer shared shingles than it must have in common with the smallest set that is near has no pair.
-    shared = tokens.join(counts, "shingle").join(ordered.drop("prefix"), "node").withColumn("_own", F.count("*").over(Window.partitionBy("node")))
+    shared = tokens.drop("known").join(counts, "shingle").join(ordered.select("node", "size"), "node").withColumn("_own", F.count("*").over(Window.partitionBy("node")))
     smallest = F.ceil(similarity * F.ceil(similarity * F.col("size") - 1e-6) - 1e-9)
-    shared = shared.filter(F.col("_own") >= F.least(smallest, F.lit(SHARED)))
+    shared = scratch.save(shared.filter(F.col("_own") >= F.least(smallest, F.lit(SHARED))).drop("_own", "size"))
+    sets = scratch.save(ordered.drop("prefix"))
+    scratch.drop(ordered)
+    found = []
+    crowded = scratch.save(shared.filter(F.col("_n") > COMMON))
+    for _ in range(ROUNDS):
+        if crowded.isEmpty():
+            break
+        links = confirmed(_meetings(crowded, sets).mapInArrow(_prefix_pairs(similarity, False), "a bigint, b bigint"), texts_of, shingle, similarity, scratch)
+        found.append(scratch.save(links))
+        if found[-1].isEmpty():
+            break
+        ends = found[-1].join(sets.select(F.col("node").alias("a"), F.col("known").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("known").alias("y")), "b")
+        moved = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")), scratch).select(F.col("node").alias("known"), "root")
+        old, sets = sets, scratch.save(sets.join(moved, "known", "left").select("node", F.coalesce("root", "known").alias("known"), "size", "parities"))
+        scratch.drop(old)
+    pairs = _meetings(shared, sets).mapInArrow(_prefix_pairs(similarity), "a bigint, b bigint, least bigint, n bigint")
+    candidates = pairs.groupBy("a", "b", "least").agg(F.sum("n").alias("n")).filter("n >= least").select("a", "b")
+    return reduce(DataFrame.unionAll, [*found, confirmed(candidates, texts_of, shingle, similarity, scratch)])
+
+
+def _meetings(shared: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of _prefix_pairs, in the tasks and the order that it needs: of shared (shingle, node, _n: prefixes that hold it, first: the least node of them) with sets' known, size and parities."""
     # A shingle that more than CROWD prefixes hold is cut into tiles, and each two of them are a unit of their own.
     tiles = F.ceil(F.col("_n") / CROWD).cast("int")
-    cut = shared.withColumns({"tile": F.pmod(F.xxhash64("node"), tiles).cast("int"), "tiles": tiles}).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    cut = shared.join(sets, "node").withColumns({"tile": F.pmod(F.xxhash64("node"), tiles).cast("int"), "tiles": tiles}).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     unit = F.when(F.col("tiles") > 1, F.xxhash64("shingle", F.least("tile", "u"), F.greatest("tile", "u"))).otherwise(F.col("shingle"))
     side = F.when(F.col("tile") == F.col("u"), 0).when(F.col("tile") < F.col("u"), 1).otherwise(2)
     # Sets that share one shingle mostly share many: units go by their least node, so that a pair is told about once and not once for each shingle. Large ones are spread.
     spread = F.pow(F.ceil(F.col("_n") / GATHERED), F.lit(2)).cast("bigint")
     block = F.when(F.col("tiles") > 1, unit).otherwise(F.xxhash64("first", F.pmod("shingle", spread)))
     rows = cut.select(block.alias("block"), unit.alias("unit"), "node", "known", "size", side.alias("side"), "parities")
-    dealt = rows.repartition("block").sortWithinPartitions("block", "unit", "known").drop("block")
-    pairs = dealt.mapInArrow(_prefix_pairs(similarity), "a bigint, b bigint, least bigint, n bigint")
-    return pairs.groupBy("a", "b", "least").agg(F.sum("n").alias("n")).filter("n >= least").select("a", "b")
+    return rows.repartition("block").sortWithinPartitions("block", "unit", "known").drop("block")
 
 
 def near_duplicate_firsts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, plan: Plan = NEAR) -> tuple[DataFrame, bool]:
@@ -654,8 +705,7 @@ def near_duplicate_firsts(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     held = scratch.save(confirmed(links.select("a", "b"), texts_of, shingle, similarity, scratch))
     known = scratch.save(groups.join(components(held, scratch), "node", "left").select("node", "size", "prefix", "parities", F.coalesce("root", "node").alias("known")))
     scratch.drop(groups)
-    links = prefix_links(known, texts_of, shingle, similarity, scratch)
-    held = scratch.save(held.unionAll(confirmed(links, texts_of, shingle, similarity, scratch)))
+    held = scratch.save(held.unionAll(prefix_links(known, texts_of, shingle, similarity, scratch)))
     firsts = out.save(labels(names, held, scratch).select(F.col("lowest.id").alias("_id"), F.col("lowest.hash").alias("_hash")).distinct())
     scratch.clear()
     return firsts, repeats

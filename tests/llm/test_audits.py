@@ -363,3 +363,34 @@ def test_pairs_of_sets_that_share_many_shingles_are_told_once(spark):
     df = spark.createDataFrame(rows, names).coalesce(1).sortWithinPartitions("unit", "known")
     got = df.mapInArrow(simhash._prefix_pairs(0.8), kinds).collect()
     assert sorted((r["a"], r["b"], r["n"]) for r in got) == [(a, b, 50) for a in range(20) for b in range(a + 1, 20)]
+
+
+def test_a_crowd_of_near_copies_is_linked_without_all_its_pairs(spark):
+    """Pipeline, round 3: near copies that the fingerprints left apart made a row for each pair of them; links are a few for each now, and connect the same."""
+    from pyspark.sql import functions as F
+
+    from clonespark.llm import simhash
+    from clonespark.operators.components import components
+    from clonespark.scratch import Scratch
+
+    rng = np.random.default_rng(3)
+    texts = []
+    for _ in range(2):
+        base = [f"w{x}" for x in rng.integers(0, 10**6, 200)]
+        changed = [set(rng.integers(0, 200, 2).tolist()) for _ in range(90)]
+        texts += [" ".join(f"c{i}x{j}" if j in at else w for j, w in enumerate(base)) for i, at in enumerate(changed)]
+        texts += [" ".join(base[:150]) + f" other{i} " + " ".join(f"t{x}" for x in rng.integers(0, 10**6, 60)) for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "node bigint, _text string")
+    scratch = Scratch(spark)
+    sets = simhash.set_fingerprints(df, carry="node", text_col="_text", shingle=5, words64=4, similarity=0.8)
+    nodes = scratch.save(sets.select("node", F.col("node").alias("known"), "size", "prefix", "parities"))
+    links = scratch.save(simhash.prefix_links(nodes, lambda n: df.join(n, "node", "left_semi"), 5, 0.8, scratch))
+    own = [set(simhash.shingle_set(t.encode(), 5).tolist()) for t in texts]
+    near = [(i, j) for i in range(len(own)) for j in range(i) if len(own[i] & own[j]) >= 0.8 * len(own[i] | own[j])]
+    root = list(range(len(own)))
+    for _ in root:
+        for i, j in near:
+            root[i] = root[j] = min(root[i], root[j])
+    got = {r["node"]: r["root"] for r in components(links, scratch).collect()}
+    assert [got.get(i, i) for i in range(len(own))] == root and len(near) > 1_000
+    assert {(max(r), min(r)) for r in links.collect()} <= set(near) and links.count() <= 8 * len(own) < len(near)
