@@ -460,8 +460,9 @@ KNOWN_COMMON = 500_000
 CROWD = 4_096
 #: Prefixes with one shingle up to which it is dealt by their least node.
 GATHERED = 512
-#: Words of a set's parities (see parities), which rule out most pairs that are too far apart.
-PARITY_WORDS = 4
+#: Words of a set's parities (see parities), which rule out most pairs that are too far apart. Sets of 400 shingles may differ in 88 of 800 at a similarity of 0.8: of four words half of
+#: the bits at most differ by chance, and 140 differing shingles (a similarity of 0.7) show as 85; in sixteen they show as 122.
+PARITY_WORDS = 16
 #: Where shingles are in more than COMMON prefixes, so many forests of the closest pairs are told in a round, in so many rounds at most, before all pairs are.
 FORESTS, ROUNDS = 4, 4
 
@@ -551,8 +552,8 @@ def close_pairs(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
 
 
 def _prefix_pairs(similarity: float, every: bool = True):
-    """Over rows (unit, node, known, size, side, parities) in order of unit and known: for each unit (a shingle, or two tiles of one) the pairs (a, b) that differ in known
-    and whose sizes and parities may go together, with how many shingles of their prefixes must be equal, and in how many units that came one after another they met. Of two tiles a
+    """Over rows (unit, node, known, size, side, parities, and if known own: in how many units the node is) in order of unit and known: for each unit (a shingle, or two tiles of one) the pairs (a, b) that differ in known
+    and whose sizes, parities and own may go together, with how many shingles of their prefixes must be equal, and in how many units that came one after another they met. Of two tiles a
     row of each makes a pair; side 0: all of one. Without every, a task tells of the closest pairs alone as many as close_pairs leaves."""
     columns = ["a", "b", "least", "n"] if every else ["a", "b"]
     fewer = counted_pairs if every else close_pairs
@@ -565,7 +566,8 @@ def _prefix_pairs(similarity: float, every: bool = True):
 
         for t in _blocks(batches):
             shingle, node, known, size, side = (x.to_numpy() for x in t.columns[:5])
-            odd = t.column(5).combine_chunks().flatten().to_numpy().reshape(-1, PARITY_WORDS).view(np.uint64)
+            odd = np.ascontiguousarray(t.column(5).combine_chunks().flatten().to_numpy().reshape(-1, PARITY_WORDS).view(np.uint64).T)
+            own = t.column(6).to_numpy() if t.num_columns > 6 else size
             least = np.ceil(similarity * size - 1e-9).astype(np.int64)
             beyond = np.minimum(least, SHARED) - least  # places of the prefix less those of the set
             change = np.flatnonzero(shingle[1:] != shingle[:-1]) + 1
@@ -586,14 +588,19 @@ def _prefix_pairs(similarity: float, every: bool = True):
                 i, j = i[may], j[may]
                 both = size[i] + size[j]
                 common = np.ceil(similarity / (1 + similarity) * both - 1e-9).astype(np.int64)
-                differ = np.bitwise_count(odd[i] ^ odd[j]).sum(1, dtype=np.int64)
+                needed = np.maximum(common + np.minimum(beyond[i], beyond[j]), 1)  # the shorter prefix holds what is common but for as many as it leaves out of its set
+                may = needed <= np.minimum(own[i], own[j])
+                i, j, both, common, needed = (x[may] for x in (i, j, both, common, needed))
+                differ = np.zeros(len(i), np.int64)
+                for word in odd:  # word by word: a chunk's pairs with all words would take 16 times the memory
+                    differ += np.bitwise_count(word[i] ^ word[j])
                 may = differ <= both - 2 * common
                 if may.any():
                     i, j = i[may], j[may]
                     flip = node[i] > node[j]
                     i, j = np.where(flip, j, i), np.where(flip, i, j)
-                    if every:  # the shorter prefix holds what is common but for as many as it leaves out of its set
-                        held.append((node[i], node[j], np.maximum(common[may] + np.minimum(beyond[i], beyond[j]), 1), np.ones(len(i), np.int64)))
+                    if every:
+                        held.append((node[i], node[j], needed[may], np.ones(len(i), np.int64)))
                     else:
                         held.append((node[i], node[j], known[i], known[j], differ[may] / both[may]))
                 if sum(len(x[0]) for x in held) > 2 * PAIRS:
@@ -641,7 +648,7 @@ def prefix_links(nodes: DataFrame, texts_of, shingle: int, similarity: float, sc
     # A node with fewer shared shingles than it must have in common with the smallest set that is near has no pair.
     shared = tokens.drop("known").join(counts, "shingle").join(ordered.select("node", "size"), "node").withColumn("_own", F.count("*").over(Window.partitionBy("node")))
     smallest = F.ceil(similarity * F.ceil(similarity * F.col("size") - 1e-6) - 1e-9)
-    shared = scratch.save(shared.filter(F.col("_own") >= F.least(smallest, F.lit(SHARED))).drop("_own", "size"))
+    shared = scratch.save(shared.filter(F.col("_own") >= F.least(smallest, F.lit(SHARED))).withColumn("own", F.col("_own").cast("int")).drop("_own", "size"))
     sets = scratch.save(ordered.drop("prefix"))
     scratch.drop(ordered)
     found = []
@@ -663,7 +670,7 @@ def prefix_links(nodes: DataFrame, texts_of, shingle: int, similarity: float, sc
 
 
 def _meetings(shared: DataFrame, sets: DataFrame) -> DataFrame:
-    """Rows of _prefix_pairs, in the tasks and the order that it needs: of shared (shingle, node, _n: prefixes that hold it, first: the least node of them) with sets' known, size and parities."""
+    """Rows of _prefix_pairs, in the tasks and the order that it needs: of shared (shingle, node, _n: prefixes that hold it, first: the least node of them, own) with sets' known, size and parities."""
     # A shingle that more than CROWD prefixes hold is cut into tiles, and each two of them are a unit of their own.
     tiles = F.ceil(F.col("_n") / CROWD).cast("int")
     cut = shared.join(sets, "node").withColumns({"tile": F.pmod(F.xxhash64("node"), tiles).cast("int"), "tiles": tiles}).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
@@ -672,7 +679,7 @@ def _meetings(shared: DataFrame, sets: DataFrame) -> DataFrame:
     # Sets that share one shingle mostly share many: units go by their least node, so that a pair is told about once and not once for each shingle. Large ones are spread.
     spread = F.pow(F.ceil(F.col("_n") / GATHERED), F.lit(2)).cast("bigint")
     block = F.when(F.col("tiles") > 1, unit).otherwise(F.xxhash64("first", F.pmod("shingle", spread)))
-    rows = cut.select(block.alias("block"), unit.alias("unit"), "node", "known", "size", side.alias("side"), "parities")
+    rows = cut.select(block.alias("block"), unit.alias("unit"), "node", "known", "size", side.alias("side"), "parities", "own")
     return rows.repartition("block").sortWithinPartitions("block", "unit", "known").drop("block")
 
 

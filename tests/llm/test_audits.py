@@ -394,3 +394,19 @@ def test_a_crowd_of_near_copies_is_linked_without_all_its_pairs(spark):
     got = {r["node"]: r["root"] for r in components(links, scratch).collect()}
     assert [got.get(i, i) for i in range(len(own))] == root and len(near) > 1_000
     assert {(max(r), min(r)) for r in links.collect()} <= set(near) and links.count() <= 8 * len(own) < len(near)
+
+
+def test_sets_that_are_too_far_apart_make_no_pairs(spark):
+    """Pipeline, round 3: sets of 400 with a similarity of 0.7 came through parities of 256 bits, and long sets that share one shingle by chance made pairs."""
+    from clonespark.llm import simhash
+
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 470).astype(np.uint64)
+    apart = [rng.permutation(base)[:400] for _ in range(30)]
+    sets = [np.unique(np.concatenate((x[:330], rng.integers(0, 2**63, 70).astype(np.uint64)))) for x in apart]
+    near = [base[:400], np.concatenate((base[:385], rng.integers(0, 2**63, 15).astype(np.uint64)))]
+    names, kinds = "unit bigint, node bigint, known bigint, size bigint, side int, parities array<bigint>, own int", "a bigint, b bigint, least bigint, n bigint"
+    rows = [(0, i, i, len(x), 0, simhash.parities(x).tolist(), len(x)) for i, x in enumerate([*sets, *near])]
+    rows += [(1, i, i, 4_000, 0, simhash.parities(rng.integers(0, 2**63, 4_000).astype(np.uint64)).tolist(), 5) for i in range(100, 120)]
+    df = spark.createDataFrame(rows, names).coalesce(1).sortWithinPartitions("unit", "known")
+    assert [(r["a"], r["b"], r["n"]) for r in df.mapInArrow(simhash._prefix_pairs(0.8), kinds).collect()] == [(30, 31, 1)]
