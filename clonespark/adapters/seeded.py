@@ -189,7 +189,9 @@ def align_to_genes(df: DataFrame, genes: DataFrame, seq: str = "full_NT", top: i
     too up to WORD_ROWS, beyond it the words of both sides are dealt by word.
     """
     spark, scratch = df.sparkSession, Scratch(df.sparkSession)
-    rows = scratch.save(df.withColumn("_row", F.monotonically_increasing_id()))
+    # Rows and pairs are few bytes and much work: dealt by size, as files and adaptive plans deal them, they are one task's or two's.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    rows = scratch.save(df.repartition(tasks).withColumn("_row", F.monotonically_increasing_id()))
     known = scratch.save(genes.filter(F.col("full_NT").isNotNull()).select(F.col("index").cast("int").alias("gene"), F.col("full_NT").alias("text")))
     texts = {r["gene"]: r["text"] for r in known.collect()}  # a reference of genes
     total = sum(map(len, texts.values()))
@@ -216,7 +218,8 @@ def align_to_genes(df: DataFrame, genes: DataFrame, seq: str = "full_NT", top: i
     one = ALIGNMENT[ALIGNMENT.index("array<") + len("array<") : -2]
     kinds = _parse_datatype_string(f"_row bigint, lost int, gene int, evalue double, found {one}")
     names, arrow = kinds.fieldNames(), to_arrow_schema(kinds)
-    scored = pairs.select("_row", "gene", "diagonals", "_s").mapInArrow(run, kinds)
+    # By a hash of its own: a key by which pairs lie already would be left out of the plan, and small partitions put together.
+    scored = pairs.select("_row", "gene", "diagonals", "_s").repartition(tasks, F.xxhash64("_row", "gene")).mapInArrow(run, kinds)
     held = scored.groupBy("_row").agg(F.slice(F.sort_array(F.collect_list(F.struct("lost", "gene", "evalue", "found"))), 1, top).alias("_best"))
     aln = F.struct(F.size("_best").alias("num_alignments"), F.transform("_best", lambda b: b["found"]).alias("alignments"))
     none = F.from_json(F.lit('{"num_alignments": 0, "alignments": []}'), ALIGNMENT)
