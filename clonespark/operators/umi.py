@@ -29,11 +29,16 @@ def primer_patterns(primers: list[str]) -> list[tuple[str, int]]:
 
 
 def first_match(text: Column, patterns: list[tuple[str, int]]) -> Column:
-    """(start, end) from 0 of the first pattern of the list that occurs, wherever it does; null if none does."""
-    table = F.array(*(F.struct(F.lit(p).alias("p"), F.lit(n).alias("n")) for p, n in patterns))
-    found = F.filter(F.transform(table, lambda x: F.struct((F.regexp_instr(text, x["p"]) - 1).alias("start"), x["n"].alias("n"))), lambda x: x["start"] >= 0)
-    best = F.get(found, F.lit(0))
-    return F.when(best.isNotNull(), F.struct(best["start"].alias("start"), (best["start"] + best["n"]).alias("end")))
+    """(start, end) from 0 of the first pattern of the list that occurs, wherever it does; null if none does.
+
+    One expression tries the patterns in their order, each from the text's first letter on, so a text is gone over once and nothing is compiled by row.
+    """
+    ordered = "|".join(f"(?<b{i}>.*?)(?<m{i}>{p})" for i, (p, _) in enumerate(patterns))
+    matched, before = ("".join(f"${{{side}{i}}}" for i in range(len(patterns))) for side in "mb")
+    # the match, a line's end and what stands before the match: a line's end alone if nothing matches
+    told = F.regexp_replace(text, F.lit(f"(?s)^(?:{ordered}|.*)(?:.*)$"), F.lit(f"{matched}\n{before}"))
+    found = F.transform(F.array(told), lambda x: F.struct((F.length(x) - F.instr(x, "\n")).alias("start"), (F.length(x) - 1).alias("end")))
+    return F.get(F.filter(found, lambda x: x["end"] > x["start"]), F.lit(0))
 
 
 def extract_umis(reads: DataFrame, forward: list[str] | None = None, reverse: list[str] | None = None, seq: str = "sequence", count: str = "readcount") -> DataFrame:
@@ -47,9 +52,11 @@ def extract_umis(reads: DataFrame, forward: list[str] | None = None, reverse: li
     turned = [r[0] for r in spark.createDataFrame([(p, i) for i, p in enumerate(primers)], "p string, i int").orderBy("i").select(reverse_complement("p")).collect()]
     s = F.col(seq)
     tail = F.substring(s, F.greatest(F.length(s) - (TAIL - 1), F.lit(1)), F.lit(TAIL))
-    found = reads.withColumns({"_r": first_match(tail, primer_patterns(turned)), "_f": first_match(F.substring(s, 1, HEAD), primer_patterns(FORWARD_PRIMERS if forward is None else forward))})
-    whole = found.filter(F.col("_r").isNotNull() & F.col("_f").isNotNull())
-    cut = whole.select(umi_of(seq, F.col("_r.end"), TAIL).alias("umi"), insert_of(seq, F.col("_f.end"), F.col("_r.start"), TAIL).alias("full_NT"), F.col(count).alias(count))
+    head = F.substring(s, 1, HEAD)
+    # a generator's rows are made once, whatever is asked of them after it
+    each = lambda match: F.explode(F.filter(F.array(match), lambda x: x.isNotNull()))
+    found = reads.withColumn("_r", each(first_match(tail, primer_patterns(turned)))).withColumn("_f", each(first_match(head, primer_patterns(FORWARD_PRIMERS if forward is None else forward))))
+    cut = found.select(umi_of(seq, F.col("_r.end"), TAIL).alias("umi"), insert_of(seq, F.col("_f.end"), F.col("_r.start"), TAIL).alias("full_NT"), F.col(count).alias(count))
     return cut.filter(F.length("umi").between(13, 15))
 
 

@@ -517,11 +517,13 @@ PRIMERS_F, PRIMERS_R = ["ACGTACGTAC", "TTGGCCAATT"], ["GGATCCGGAT", "CCTTAAGGCC"
     SELECT p_partkey, substr(body, 17, n) AS umi, 'TC' || substr(body, 1, 16) || 'AGAG' AS full_nt, readcount FROM s WHERE n BETWEEN 13 AND 15 AND p_partkey % 4 <> 3""".replace("AS full_nt, readcount", 'AS "full_NT", readcount'))
 def primer_umi(spark, sf_dir):
     k = F.col("p_partkey")
+    # a table of few splits would be few tasks' work
+    keys = V.table(spark, sf_dir, "part").select("p_partkey", "p_size").repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), "p_partkey")
     body = V.dna("p_partkey", 32)
     f = F.get(F.array(*map(F.lit, ["ACGTACGTAC", "TTGGCCAATT", "ACGTAGTAC", "ACGTACNTAC"])), (k % 4).cast("int"))
     r = F.get(F.array(*map(F.lit, ["ATCCGGATCC", "GGCCTTAAGG", "ATCCGTATCC"])), (k % 3).cast("int"))
     read = F.concat(f, F.lit("TC"), F.substring(body, 1, 16), F.lit("AGAG"), r, F.substring(body, F.lit(17), (12 + k % 5).cast("int")))
-    rows = V.table(spark, sf_dir, "part").select("p_partkey", read.alias("sequence"), F.struct("p_partkey", F.col("p_size").cast("bigint").alias("n")).alias("readcount"))
+    rows = keys.select("p_partkey", read.alias("sequence"), F.struct("p_partkey", F.col("p_size").cast("bigint").alias("n")).alias("readcount"))
     out = umi.extract_umis(rows, PRIMERS_F, PRIMERS_R)
     return out.select("readcount.p_partkey", "umi", "full_NT", F.col("readcount.n").alias("readcount"))
 
